@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from skyledger.schemas import AUDIT_DDL, QUARANTINE_DDL
+from skyledger.sources import tables
+
+
+def numbers(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "n int")
+
+
+def values(df):
+    return sorted(r.n for r in df.collect())
+
+
+def test_append_with_an_added_column(spark, folder):
+    path = f"{folder}/t"
+    tables.append(numbers(spark, 1), path)
+    tables.append(numbers(spark, 2).withColumn("extra", F.lit("x")), path)
+    wanted = {(1, None), (2, "x")}
+    merged = tables.scan(spark, path, merge_schema=True)
+    declared = tables.scan(spark, path, "n int, extra string")
+    assert {(r.n, r.extra) for r in merged.collect()} == wanted
+    assert {(r.n, r.extra) for r in declared.collect()} == wanted
+
+
+def test_publish_replaces_and_may_read_itself(spark, folder):
+    root = f"{folder}/p"
+    with pytest.raises(ValueError):
+        tables.read_published(spark, root)
+    tables.publish(numbers(spark, 1, 2), root, "v1")
+    tables.publish(tables.read_published(spark, root).withColumn("n", F.col("n") + 1), root, "v2")
+    assert values(tables.read_published(spark, root)) == [2, 3]
+
+
+def test_publish_guards_the_schema(spark, folder):
+    root = f"{folder}/p"
+    tables.publish(numbers(spark, 1), root, "v1")
+    wider = numbers(spark, 2).withColumn("extra", F.lit(1))
+    with pytest.raises(ValueError):
+        tables.publish(wider, root, "v2")
+    assert values(tables.read_published(spark, root)) == [1]
+    tables.publish(wider, root, "v2", replace_schema=True)
+    assert tables.read_published(spark, root).columns == ["n", "extra"]
+
+
+def test_version_without_log_entry_is_not_current(spark, folder):
+    root = f"{folder}/p"
+    tables.publish(numbers(spark, 1), root, "v1")
+    numbers(spark, 9).write.parquet(f"{root}/versions/v2")  # a run that died before its log entry
+    assert values(tables.read_published(spark, root)) == [1]
+
+
+def test_refresh_touches_only_its_partitions(spark, folder):
+    path = f"{folder}/t"
+    rows = spark.createDataFrame([("d1", 1), ("d2", 2)], "day string, n int")
+    tables.refresh_partitions(rows, path, "day")
+    tables.refresh_partitions(rows.where("day = 'd2'").withColumn("n", F.lit(5)), path, "day")
+    assert {(r.day, r.n) for r in tables.scan(spark, path).collect()} == {("d1", 1), ("d2", 5)}
+
+
+def test_named_tables(spark):
+    tables.create_layers(spark)
+    tables.create_layers(spark)
+    tables.create_table(spark, "silver.audit_log", AUDIT_DDL)
+    tables.create_table(spark, "silver.audit_log", AUDIT_DDL)
+    tables.create_table(spark, "silver.rejected", QUARANTINE_DDL, ["quarantine_reason"])
+    assert spark.table("silver.audit_log").count() == 0
+    row = spark.sql("SELECT TIMESTAMP '2024-01-01' AS run_time, 3L AS total_rows, 2L AS valid_rows, 1L AS quarantine_rows")
+    for _ in range(2):
+        tables.append_table(row, "silver.audit_log")
+    assert spark.table("silver.audit_log").count() == 2
+    tables.reset(spark, ["silver.audit_log", "silver.rejected"])
+    assert not spark.catalog.tableExists("silver.audit_log")
+
+
+def test_named_product(spark):
+    tables.create_layers(spark, ["gold"])
+    tables.overwrite_table(numbers(spark, 1, 2), "gold.current")
+    tables.overwrite_table(numbers(spark, 3), "gold.current")
+    assert values(spark.table("gold.current")) == [3]
+    wider = numbers(spark, 4).withColumn("extra", F.lit(1))
+    with pytest.raises(ValueError):
+        tables.overwrite_table(wider, "gold.current")
+    tables.overwrite_table(wider, "gold.current", replace_schema=True)
+    assert spark.table("gold.current").columns == ["n", "extra"]
+    tables.reset(spark, ["gold.current"])
+
+
+def test_reset_deletes_the_given_folder_only(spark, folder):
+    for name in ("a", "b"):
+        tables.append(numbers(spark, 1), f"{folder}/{name}")
+    tables.reset(spark, paths=[f"{folder}/a"])
+    assert not tables.path_exists(spark, f"{folder}/a")
+    assert tables.path_exists(spark, f"{folder}/b")
