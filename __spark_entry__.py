@@ -63,11 +63,16 @@ def _bronze_table(spark: SparkSession, sf_dir: str) -> str:
 
 def _streamed_store(spark: SparkSession, sf_dir: str) -> silver.SilverStore:
     """Bronze files in three micro-batches through the silver stream."""
-    source, store = _bronze_files(spark, sf_dir), silver.SilverStore(shared_dir(spark, "silver"))
+    source, store = _bronze_files(spark, sf_dir), _new_store(spark)
     stream_silver.drain(source, store, AS_OF)
     return store
 
 
+def _new_store(spark: SparkSession) -> silver.SilverStore:
+    # the feed has a few hundred readings a day
+    return silver.SilverStore(shared_dir(spark, "silver"), unit="month")
+
+
 def _bronze_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "bronze")
     rows = captures.stamp(_captures(spark, sf_dir), AS_OF).select(*column_names(BRONZE_DDL))
@@ -76,8 +81,8 @@ def _bronze_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _batch_store(spark: SparkSession, sf_dir: str) -> silver.SilverStore:
-    store = silver.SilverStore(shared_dir(spark, "silver"))
-    silver.write_batch(_captures(spark, sf_dir), store, 0, AS_OF, cluster_days=True)
+    store = _new_store(spark)
+    silver.write_batch(_captures(spark, sf_dir), store, 0, AS_OF, cluster=True)
     return store
 
 
@@ -219,27 +224,29 @@ def api_health_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def store_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Newest times first, whole rows from the days that hold one."""
-    return products.city_current(_batch_store(spark, sf_dir).clean(spark), day=silver.DAY)
+    """Newest times first, whole rows from the periods that hold one."""
+    store = _batch_store(spark, sf_dir)
+    return products.city_current(store.clean(spark, keep_period=True), store.period)
 
 
 def store_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 2 h bound from the day log; other days are not read."""
+    """The 2 h bound from the period log; other periods are not read."""
     store = _batch_store(spark, sf_dir)
-    return products.severe_alerts(store.clean(spark), day=silver.DAY, newest=store.newest(spark))
+    clean = store.clean(spark, keep_period=True)
+    return products.severe_alerts(clean, period=store.period, newest=store.newest(spark))
 
 
 def store_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily extremes kept up by refreshing the days each batch touched.
+    """Daily extremes kept up by refreshing the periods each batch touched.
 
-    The two batches are the whole table, and most days get rows from both.
+    The two batches are the whole table, and periods get rows from both.
     """
-    store, table = silver.SilverStore(shared_dir(spark, "silver")), shared_dir(spark, "extremes")
+    store, table = _new_store(spark), shared_dir(spark, "extremes")
     rows = _captures(spark, sf_dir)
     for number, part in enumerate([rows.where("latency_ms < 300"), rows.where("latency_ms >= 300")]):
-        silver.write_batch(part, store, number, AS_OF, cluster_days=True)
+        silver.write_batch(part, store, number, AS_OF, cluster=True)
         gold.refresh_daily_extremes(spark, store, number, table)
-    return tables.scan(spark, table)
+    return gold.read_daily_extremes(spark, table)
 
 
 def published_health(spark: SparkSession, sf_dir: str) -> DataFrame:

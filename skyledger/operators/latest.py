@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +14,19 @@ AT = "event_time"
 TIE_BREAK = ("call_timestamp", "raw_response", "requested_city", "latency_ms")
 
 
+class Period(NamedTuple):
+    """How a stored table is partitioned by time.
+
+    ``column`` holds the date ``event_time`` truncated to ``unit`` gives.
+    """
+
+    column: str
+    unit: str
+
+    def of(self, at: str | Column) -> Column:
+        return F.date_trunc(self.unit, at).cast("date")
+
+
 def order_of(df: DataFrame, tie_break: Sequence[str] = TIE_BREAK) -> list[str]:
     """``event_time`` and the tie breaks that the frame has."""
     return [AT, *(name for name in tie_break if name in df.columns)]
@@ -22,24 +36,25 @@ def latest_per_key(
     df: DataFrame,
     key: str = "city",
     tie_break: Sequence[str] = TIE_BREAK,
-    day: str | None = None,
+    period: Period | None = None,
 ) -> DataFrame:
     """The last row of each key by ``event_time``.
 
     The rank filter becomes a group limit before the shuffle: a task sends at
     most one row of a key, however many rows the key has.
 
-    With ``day`` (the column a stored table is partitioned by, equal to the
-    date of ``event_time``) the newest time of each key comes first, from two
-    columns and by hash aggregation; whole rows are then read from the days
-    that hold such a time only. Without it the single pass ranks whole rows.
+    For a table stored by ``period`` the newest time of each key comes first,
+    from two columns and by hash aggregation; whole rows are then read from
+    the periods that hold such a time only. The period column is dropped.
+    Without it a single pass ranks whole rows.
     """
-    if day is not None:
+    if period is not None:
         timed = df.where(F.col(key).isNotNull() & F.col(AT).isNotNull())
         newest = timed.groupBy(key).agg(F.max(AT).alias(AT))
-        # at most one entry for each day of history
-        days = newest.agg(F.collect_set(F.to_date(AT))).scalar()
-        df = timed.where(F.array_contains(days, F.col(day))).join(newest, [key, AT], "left_semi")
+        # at most one entry for each period of history
+        held = newest.agg(F.collect_set(period.of(AT))).scalar()
+        near = timed.where(F.array_contains(held, F.col(period.column))).drop(period.column)
+        df = near.join(newest, [key, AT], "left_semi").select(*near.columns)
     last_first = [F.desc_nulls_last(name) for name in order_of(df, tie_break)]
     ranked = Window.partitionBy(key).orderBy(*last_first)
     return df.withColumn("rn", F.row_number().over(ranked)).where("rn = 1").drop("rn")
@@ -48,17 +63,20 @@ def latest_per_key(
 def since_latest(
     df: DataFrame,
     hours: int,
-    day: str | None = None,
+    period: Period | None = None,
     newest: Column | None = None,
 ) -> DataFrame:
     """Rows of the last ``hours`` of data, the bound included.
 
     The bound is a scalar subquery inside the plan; empty input gives empty
-    output. With ``day`` it also prunes partitions. ``newest`` spares the scan
-    for the newest time where the caller can tell it from less.
+    output. For a table stored by ``period`` it also prunes partitions, and
+    the period column is dropped. ``newest`` spares the scan for the newest
+    time where the caller can tell it from less.
     """
     if newest is None:
         newest = df.agg(F.max(AT)).scalar()
     bound = newest - F.expr(f"INTERVAL {int(hours)} HOURS")
     recent = df.where(F.col(AT) >= bound)
-    return recent.where(F.col(day) >= bound.cast("date")) if day else recent
+    if period is not None:
+        recent = recent.where(F.col(period.column) >= period.of(bound)).drop(period.column)
+    return recent

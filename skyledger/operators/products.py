@@ -8,27 +8,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions import derive
-from skyledger.operators.latest import AT, latest_per_key, since_latest
+from skyledger.operators.latest import AT, Period, latest_per_key, since_latest
 
 
-def city_current(clean: DataFrame, day: str | None = None) -> DataFrame:
+def city_current(clean: DataFrame, period: Period | None = None) -> DataFrame:
     """The latest reading of each city."""
-    return latest_per_key(clean, day=day)
+    return latest_per_key(clean, period=period)
 
 
 def recent_readings(
-    clean: DataFrame, hours: int = 24, day: str | None = None, newest: Column | None = None
+    clean: DataFrame, hours: int = 24, period: Period | None = None, newest: Column | None = None
 ) -> DataFrame:
     """All readings of the last ``hours`` of data."""
-    return since_latest(clean, hours, day, newest)
+    return since_latest(clean, hours, period, newest)
 
 
 def hourly_summary(
-    clean: DataFrame, hours: int = 24, day: str | None = None, newest: Column | None = None
+    clean: DataFrame, hours: int = 24, period: Period | None = None, newest: Column | None = None
 ) -> DataFrame:
     """Averages of each city and hour over the last ``hours`` of data."""
     return (
-        since_latest(clean, hours, day, newest)
+        since_latest(clean, hours, period, newest)
         .groupBy("city", F.date_trunc("hour", AT).alias("event_hour_start"))
         .agg(
             F.count("*").alias("n_readings"),
@@ -67,7 +67,7 @@ def daily_extremes(clean: DataFrame, latest_wins: bool = True) -> DataFrame:
 
 
 def severe_alerts(
-    clean: DataFrame, hours: int = 2, day: str | None = None, newest: Column | None = None, **limits: float
+    clean: DataFrame, hours: int = 2, period: Period | None = None, newest: Column | None = None, **limits: float
 ) -> DataFrame:
     """The latest alerting reading of each city in the last ``hours`` of data.
 
@@ -76,7 +76,7 @@ def severe_alerts(
     """
     alert = derive.alert_type("weather_severity_score", "weather_condition", "wind_speed", "rain_fall", **limits)
     alerting = (
-        since_latest(clean, hours, day, newest).withColumn("alert_type", alert).where(F.col("alert_type").isNotNull())
+        since_latest(clean, hours, period, newest).withColumn("alert_type", alert).where(F.col("alert_type").isNotNull())
     )
     return latest_per_key(alerting).select(
         "city",

@@ -9,18 +9,18 @@ from pyspark.sql import functions as F
 
 from skyledger.operators import products
 from skyledger.plans import bronze as bronze_plan
-from skyledger.plans.silver import DAY, SilverStore
+from skyledger.plans.silver import PERIOD, SilverStore
 from skyledger.sources import tables
 
 
 def from_store(
     spark: SparkSession, store: SilverStore, bronze: DataFrame, as_of: datetime | str | None = None
 ) -> dict[str, DataFrame]:
-    """All products over a silver store, bounded to the dates they need."""
-    clean = store.clean(spark)
-    recent = {"day": DAY, "newest": store.newest(spark)}
+    """All products over a silver store, reading only the periods they need."""
+    clean = store.clean(spark, keep_period=True)
+    recent = {"period": store.period, "newest": store.newest(spark)}
     return {
-        "city_current": products.city_current(clean, day=DAY),
+        "city_current": products.city_current(clean, store.period),
         "recent_24h": products.recent_readings(clean, **recent),
         "hourly_summary": products.hourly_summary(clean, **recent),
         "daily_extremes": products.daily_extremes(clean),
@@ -39,14 +39,19 @@ def publish_all(
 
 
 def refresh_daily_extremes(spark: SparkSession, store: SilverStore, micro_batch: int, path: str) -> None:
-    """Recompute the dates one batch touched and replace just those.
+    """Recompute the periods one batch touched and replace just those.
 
-    Late rows revise their own dates; the rest of history is neither read nor
-    written. Running it again for the same batch changes nothing.
+    Late rows revise their own periods; the rest of history is neither read
+    nor written. Running it again for the same batch changes nothing. The
+    table at ``path`` is partitioned like the store.
     """
-    touched = store.days_of(spark, micro_batch)
-    clean = store.clean(spark).where(F.array_contains(touched, F.col(DAY)))
-    tables.refresh_partitions(products.daily_extremes(clean), path, DAY)
+    touched = F.array_contains(store.touched(spark, micro_batch), F.col(PERIOD))
+    extremes = products.daily_extremes(store.clean(spark, keep_period=True).where(touched))
+    tables.refresh_partitions(extremes.withColumn(PERIOD, store.period.of("event_date")), path, PERIOD)
+
+
+def read_daily_extremes(spark: SparkSession, path: str) -> DataFrame:
+    return tables.scan(spark, path).drop(PERIOD)
 
 
 def refresh_api_health(

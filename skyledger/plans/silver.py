@@ -3,9 +3,9 @@
 Layout below the store's root, a folder per micro-batch so that a replayed
 batch replaces itself::
 
-    checked/micro_batch=7/outcome=clean/event_date=2024-01-01/
-    checked/micro_batch=7/outcome=quarantine/    (below the null date)
-    days/micro_batch=7/      rows and newest event_time by outcome and date
+    checked/micro_batch=7/outcome=clean/event_period=2024-01-01/
+    checked/micro_batch=7/outcome=quarantine/    (below the null period)
+    periods/micro_batch=7/   rows and newest event_time by outcome and period
     audit/micro_batch=7/     one row; its presence marks the batch complete
     checkpoint/              of the stream that fills the store
 
@@ -26,13 +26,14 @@ from skyledger.functions.derive import moment
 from skyledger.functions.rules import located_rules, standard_rules
 from skyledger.operators import quality
 from skyledger.operators.enrich import enrich, enrich_located
+from skyledger.operators.latest import Period
 from skyledger.operators.parse import parse_payload, split_routes
 from skyledger.schemas import AUDIT_COLUMNS, PAYLOAD_DDL, QUARANTINE_COLUMNS
 from skyledger.sources import tables
 
 CLEAN = "clean"
 QUARANTINE = "quarantine"
-DAY = "event_date"
+PERIOD = "event_period"
 
 
 def checked_readings(
@@ -56,17 +57,26 @@ def checked_located(bronze: DataFrame, as_of: datetime | str | Column | None = N
 
 @dataclass(frozen=True)
 class SilverStore:
-    """Paths and readers of one silver store."""
+    """Paths and readers of one silver store.
+
+    ``unit`` is the span of one partition. A day suits a feed of gigabytes a
+    day; a month keeps the files of a small feed few.
+    """
 
     root: str
+    unit: str = "day"
+
+    @property
+    def period(self) -> Period:
+        return Period(PERIOD, self.unit)
 
     @property
     def checked_path(self) -> str:
         return f"{self.root}/checked"
 
     @property
-    def days_path(self) -> str:
-        return f"{self.root}/days"
+    def periods_path(self) -> str:
+        return f"{self.root}/periods"
 
     @property
     def audit_path(self) -> str:
@@ -76,10 +86,10 @@ class SilverStore:
     def checkpoint(self) -> str:
         return f"{self.root}/checkpoint"
 
-    def clean(self, spark: SparkSession, merge_schema: bool = False) -> DataFrame:
-        """Clean readings, partitioned by ``event_date``."""
-        rows = self._outcome(spark, CLEAN, merge_schema)
-        return rows.drop("outcome", "micro_batch", quality.REASON)
+    def clean(self, spark: SparkSession, keep_period: bool = False, merge_schema: bool = False) -> DataFrame:
+        """Clean readings; with ``keep_period`` the partition column stays for pruning."""
+        rows = self._outcome(spark, CLEAN, merge_schema).drop("outcome", "micro_batch", quality.REASON)
+        return rows if keep_period else rows.drop(PERIOD)
 
     def quarantine(self, spark: SparkSession) -> DataFrame:
         return self._outcome(spark, QUARANTINE).select(*QUARANTINE_COLUMNS)
@@ -89,14 +99,15 @@ class SilverStore:
 
     def newest(self, spark: SparkSession) -> Column:
         """The newest clean event_time as a scalar, without reading any reading."""
-        days = tables.scan(spark, self.days_path)
-        return days.where(F.col("outcome") == CLEAN).agg(F.max("newest_event_time")).scalar()
+        return self._periods(spark).agg(F.max("newest_event_time")).scalar()
+
+    def touched(self, spark: SparkSession, micro_batch: int) -> Column:
+        """The periods a batch brought clean rows for, as a scalar array."""
+        own = self._periods(spark).where(F.col("micro_batch") == micro_batch)
+        return own.agg(F.collect_set(PERIOD)).scalar()
 
-    def days_of(self, spark: SparkSession, micro_batch: int) -> Column:
-        """The dates a batch brought clean rows for, as a scalar array."""
-        days = tables.scan(spark, self.days_path)
-        own = days.where((F.col("micro_batch") == micro_batch) & (F.col("outcome") == CLEAN))
-        return own.agg(F.collect_set(DAY)).scalar()
+    def _periods(self, spark: SparkSession) -> DataFrame:
+        return tables.scan(spark, self.periods_path).where(F.col("outcome") == CLEAN)
 
     def _outcome(self, spark: SparkSession, outcome: str, merge_schema: bool = False) -> DataFrame:
         """Rows of complete batches; all conditions prune folders."""
@@ -104,7 +115,7 @@ class SilverStore:
         rows = tables.scan(spark, self.checked_path, merge_schema=merge_schema)
         own = (F.col("outcome") == outcome) & F.array_contains(complete, F.col("micro_batch"))
         # a store of undated rows alone gives no date to tell the type from
-        return rows.where(own).withColumn(DAY, F.col(DAY).cast("date"))
+        return rows.where(own).withColumn(PERIOD, F.col(PERIOD).cast("date"))
 
 
 def write_batch(
@@ -112,15 +123,15 @@ def write_batch(
     store: SilverStore,
     micro_batch: int = 0,
     as_of: datetime | str | None = None,
-    cluster_days: bool = False,
+    cluster: bool = False,
     **options,
 ) -> None:
     """Store one batch; running it again replaces the batch.
 
     As it is, the write needs no shuffle and suits input near in time, where a
-    task holds few dates. For backfills of many small or mixed files set
-    ``cluster_days``: rows are rebalanced by date, which merges small dates
-    into one task and splits a date with many rows over several.
+    task holds few periods. For backfills of many small or mixed files set
+    ``cluster``: rows are rebalanced by period, which merges small periods
+    into one task and splits one with many rows over several.
     ``options`` go to :func:`checked_readings`.
     """
     spark = bronze.sparkSession
@@ -128,18 +139,21 @@ def write_batch(
     checked = checked_readings(bronze, run_time, **options)
     passed = F.col(quality.REASON).isNull()
     placed = checked.withColumns(
-        {"outcome": F.when(passed, CLEAN).otherwise(QUARANTINE), DAY: F.when(passed, F.col(DAY))}
+        {
+            "outcome": F.when(passed, CLEAN).otherwise(QUARANTINE),
+            PERIOD: F.when(passed, store.period.of("event_time")),
+        }
     )
     own = f"{store.checked_path}/micro_batch={micro_batch}"
-    _replace(placed.hint("rebalance", "outcome", DAY) if cluster_days else placed, own, "outcome", DAY)
+    _replace(placed.hint("rebalance", "outcome", PERIOD) if cluster else placed, own, "outcome", PERIOD)
 
     written = spark.read.schema(placed.schema).parquet(own)
-    days = written.groupBy("outcome", DAY).agg(
+    periods = written.groupBy("outcome", PERIOD).agg(
         F.count("*").alias("row_count"), F.max("event_time").alias("newest_event_time")
     )
-    _replace(days.coalesce(1), f"{store.days_path}/micro_batch={micro_batch}")
+    _replace(periods.coalesce(1), f"{store.periods_path}/micro_batch={micro_batch}")
 
-    counts = tables.scan(spark, f"{store.days_path}/micro_batch={micro_batch}")
+    counts = tables.scan(spark, f"{store.periods_path}/micro_batch={micro_batch}")
 
     def total(of: Column) -> Column:
         return F.coalesce(F.sum(of), F.lit(0)).cast("bigint")

@@ -49,8 +49,8 @@ def captures_from(events: DataFrame) -> DataFrame:
 
 
 def read_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = ["event_id", "ts", "user_id"]
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(*columns)
+    ddl = "event_id bigint, ts timestamp_ntz, user_id bigint"
+    events = spark.read.schema(ddl).parquet(f"{sf_dir}/events.parquet")
     return captures_from(spread(events))
 
 

@@ -11,7 +11,7 @@ from samples import AS_OF, CALLED, NOON, body, bronze, call, main
 
 from skyledger.operators import products
 from skyledger.plans import gold
-from skyledger.plans.silver import DAY, SilverStore, write_batch
+from skyledger.plans.silver import SilverStore, write_batch
 from skyledger.schemas import BRONZE_COLUMNS, BRONZE_DDL, QUARANTINE_COLUMNS
 from skyledger.sources import tables
 from skyledger.streaming import current, silver
@@ -36,17 +36,17 @@ def contents(df):
     return sorted(map(repr, df.select(*sorted(df.columns)).collect()))
 
 
-@pytest.mark.parametrize("cluster_days", [False, True])
-def test_batch_lands_whole_and_replays_in_place(spark, folder, cluster_days):
-    store = SilverStore(folder)
+@pytest.mark.parametrize("unit, cluster", [("day", False), ("day", True), ("month", True)])
+def test_batch_lands_whole_and_replays_in_place(spark, folder, unit, cluster):
+    store = SilverStore(folder, unit)
     rows = bronze(spark, *responses())
-    write_batch(rows, store, 0, AS_OF, cluster_days)
+    write_batch(rows, store, 0, AS_OF, cluster)
     before = contents(store.clean(spark)), contents(store.quarantine(spark)), contents(store.audit(spark))
     log = store.audit(spark).first()
     assert (log.total_rows, log.valid_rows + log.quarantine_rows) == (30, 30)
     assert (len(before[0]), len(before[1])) == (log.valid_rows, log.quarantine_rows)
     assert store.quarantine(spark).columns == QUARANTINE_COLUMNS
-    write_batch(rows, store, 0, AS_OF, cluster_days)
+    write_batch(rows, store, 0, AS_OF, cluster)
     assert before == (contents(store.clean(spark)), contents(store.quarantine(spark)), contents(store.audit(spark)))
 
 
@@ -64,7 +64,7 @@ def test_batch_of_undated_rows_only(spark, folder):
     store = SilverStore(folder)
     write_batch(bronze(spark, call(None), call("", 200)), store, 0, AS_OF)
     assert (store.clean(spark).count(), store.quarantine(spark).count()) == (0, 2)
-    assert products.city_current(store.clean(spark), day=DAY).count() == 0
+    assert products.city_current(store.clean(spark, keep_period=True), store.period).count() == 0
     write_batch(bronze(spark, *responses()), store, 1, AS_OF)
     assert store.quarantine(spark).count() + store.clean(spark).count() == 32
 
@@ -89,8 +89,9 @@ def test_kept_struct(spark, folder):
     assert store.clean(spark).select("parsed.main.temp").first()[0] == 30.0
 
 
-def test_store_products_equal_plain_ones(spark, folder):
-    store = SilverStore(folder)
+@pytest.mark.parametrize("unit", ["day", "month"])
+def test_store_products_equal_plain_ones(spark, folder, unit):
+    store = SilverStore(folder, unit)
     for number in range(3):
         write_batch(bronze(spark, *responses(40, 40 * number)), store, number, AS_OF)
     clean = store.clean(spark)
@@ -113,7 +114,7 @@ def test_gold_refresh_of_touched_days(spark, folder):
         write_batch(bronze(spark, *responses(30, offset)), store, number, AS_OF)
         gold.refresh_daily_extremes(spark, store, number, path)
     gold.refresh_daily_extremes(spark, store, 2, path)
-    assert contents(tables.scan(spark, path)) == contents(products.daily_extremes(store.clean(spark)))
+    assert contents(gold.read_daily_extremes(spark, path)) == contents(products.daily_extremes(store.clean(spark)))
 
 
 def bronze_files(spark, path, *parts):

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyledger.operators import products
-from skyledger.operators.latest import latest_per_key, since_latest
+from skyledger.operators.latest import Period, latest_per_key, since_latest
 from skyledger.streaming.current import latest_readings
 
 T0 = datetime(2024, 3, 1, 12, 0)
@@ -19,6 +19,9 @@ DDL = """city string, event_time timestamp, call_timestamp timestamp, raw_respon
 humidity int, wind_speed double, rain_fall double, weather_condition string, weather_severity_score int"""
 
 
+PERIODS = [None, Period("event_date", "day")]
+
+
 def row(city="a", minutes=0.0, call=0, text="x", t=20.0, h=50, w=1.0, r=0.0, sky="Clear", s=0):
     at = T0 + timedelta(minutes=minutes)
     return (city, at, at + timedelta(seconds=call), text, t, h, w, r, sky, s)
@@ -59,10 +62,10 @@ def bodies(df):
     return {r.city: r.raw_response for r in df.collect()}
 
 
-@pytest.mark.parametrize("day", [None, "event_date"])
-def test_current_is_the_last_of_each_city(spark, day):
+@pytest.mark.parametrize("period", PERIODS)
+def test_current_is_the_last_of_each_city(spark, period):
     rows = hot()
-    got = products.city_current(clean(spark, *rows).repartition(7), day=day)
+    got = products.city_current(clean(spark, *rows).repartition(7), period=period)
     assert got.count() == len(last_of(rows))
     assert bodies(got) == {city: r[3] for city, r in last_of(rows).items()}
 
@@ -72,10 +75,10 @@ def test_streaming_form_agrees(spark):
     assert bodies(latest_readings(clean(spark, *rows))) == {city: r[3] for city, r in last_of(rows).items()}
 
 
-@pytest.mark.parametrize("day", [None, "event_date"])
-def test_ties_go_to_the_later_call_then_the_greater_body(spark, day):
+@pytest.mark.parametrize("period", PERIODS)
+def test_ties_go_to_the_later_call_then_the_greater_body(spark, period):
     rows = [row(call=1, text="m"), row(call=2, text="a"), row(call=2, text="b"), row(minutes=-5, call=900, text="z")]
-    assert bodies(latest_per_key(clean(spark, *rows), day=day)) == {"a": "b"}
+    assert bodies(latest_per_key(clean(spark, *rows), period=period)) == {"a": "b"}
 
 
 def plan(df):
@@ -93,8 +96,8 @@ def test_a_task_sends_one_row_of_a_city(spark):
 
 def test_recent_rows_include_the_bound(spark):
     rows = [row(minutes=0), row(minutes=-24 * 60), row(minutes=-24 * 60 - 0.1)]
-    for day in (None, "event_date"):
-        assert since_latest(clean(spark, *rows), 24, day).count() == 2
+    for period in PERIODS:
+        assert since_latest(clean(spark, *rows), 24, period).count() == 2
 
 
 def test_recent_of_nothing_is_nothing(spark):
