@@ -205,8 +205,8 @@ def severe_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def alert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = derive.alert_type("weather_severity_score", "weather_condition", "wind_speed", "rain_fall")
-    alerts = _clean(spark, sf_dir).select("event_id", "city", kind.alias("alert_type"))
-    return alerts.where(F.col("alert_type").isNotNull())
+    alerts = _clean(spark, sf_dir).selectExpr("event_id", "city", f"{kind} AS alert_type")
+    return alerts.where("alert_type IS NOT NULL")
 
 
 def api_health(spark: SparkSession, sf_dir: str) -> DataFrame:

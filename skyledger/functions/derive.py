@@ -1,16 +1,12 @@
-"""Derived columns, each a built-in expression over columns or their names."""
+"""Derived values, each a built-in SQL expression."""
 
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-Cell = Column | str
-
 # Band limits, severity weights and alert limits.
 COLD_BELOW = 15
 NORMAL_UP_TO = 30
@@ -21,23 +17,19 @@ HIGH_WIND_ABOVE = 50
 HEAVY_RAIN_ABOVE = 50
 
 
-def _col(cell: Cell) -> Column:
-    return F.col(cell) if isinstance(cell, str) else cell
-
+def moment(as_of: datetime | str | None) -> str:
+    """``as_of`` as a timestamp; the time of the query when it is None.
 
-def moment(as_of: datetime | str | Column | None) -> Column:
-    """``as_of`` as a timestamp; the time of the query when it is None."""
+    A time without zone is read in the session's zone.
+    """
     if as_of is None:
-        return F.current_timestamp()
-    if isinstance(as_of, Column):
-        return as_of
-    # as text, so that a time without zone is read in the session's zone
-    text = as_of.isoformat(sep=" ") if isinstance(as_of, datetime) else as_of
-    return F.lit(text).cast("timestamp")
+        return "current_timestamp()"
+    at = as_of if isinstance(as_of, datetime) else datetime.fromisoformat(as_of)
+    return f"TIMESTAMP_LTZ '{at.isoformat(sep=' ')}'"
 
 
 def request_url(
-    city: Cell,
+    city: str,
     base_url: str,
     units: str = "metric",
     api_key: str | None = None,
@@ -46,78 +38,68 @@ def request_url(
     """Request address of one city; without ``api_key`` the key is left out.
 
     Form encoding keeps ``~`` and escapes ``*``; ``url_encode`` does the
-    reverse for these two, hence the replacements.
+    reverse for these two, hence the replacements. A column, as it holds
+    texts from outside.
     """
-    name = _col(city)
-    if encode:
-        name = F.replace(F.replace(F.url_encode(name), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+    name = F.expr(f"replace(replace(url_encode({city}), '*', '%2A'), '%7E', '~')" if encode else city)
     key = f"&appid={api_key}" if api_key else ""
     return F.concat(F.lit(f"{base_url}?q="), name, F.lit(f"{key}&units={units}"))
 
 
-def epoch_time(seconds: Cell) -> Column:
+def epoch_time(seconds: str) -> str:
     """Epoch seconds as a timestamp, right in every zone and in DST folds."""
-    return F.timestamp_seconds(_col(seconds))
+    return f"timestamp_seconds({seconds})"
 
 
-def temperature_band(temperature: Cell) -> Column:
+def temperature_band(temperature: str) -> str:
     """Cold, Normal, Hot or Extreme; null and NaN are Extreme."""
-    t = _col(temperature)
-    return (
-        F.when(t < COLD_BELOW, "Cold")
-        .when(t <= NORMAL_UP_TO, "Normal")
-        .when(t <= HOT_UP_TO, "Hot")
-        .otherwise("Extreme")
-    )
+    return f"""CASE WHEN {temperature} < {COLD_BELOW} THEN 'Cold'
+        WHEN {temperature} <= {NORMAL_UP_TO} THEN 'Normal'
+        WHEN {temperature} <= {HOT_UP_TO} THEN 'Hot'
+        ELSE 'Extreme' END"""
 
 
-def severity_score(temperature: Cell, rain: Cell, wind: Cell) -> Column:
+def severity_score(temperature: str, rain: str, wind: str) -> str:
     """Points for each limit passed; an unknown measure scores nothing."""
     measures = {"temperature": temperature, "rain": rain, "wind": wind}
-    points = [
-        F.when(_col(measures[name]) > limit, weight).otherwise(0)
-        for name, (limit, weight) in SEVERITY_POINTS.items()
-    ]
-    return reduce(add, points).cast("int")
+    return " + ".join(
+        f"CASE WHEN {measures[name]} > {limit} THEN {points} ELSE 0 END"
+        for name, (limit, points) in SEVERITY_POINTS.items()
+    )
 
 
-def daytime(at: Cell, sunrise: Cell, sunset: Cell) -> Column:
+def daytime(at: str, sunrise: str, sunset: str) -> str:
     """Whether ``at`` lies in sunrise..sunset, ends included; null if a bound is."""
-    rise, fall = _col(sunrise), _col(sunset)
-    return F.when(rise.isNotNull() & fall.isNotNull(), _col(at).between(rise, fall))
+    return f"""CASE WHEN {sunrise} IS NOT NULL AND {sunset} IS NOT NULL
+        THEN {at} BETWEEN {sunrise} AND {sunset} END"""
 
 
 def alert_type(
-    severity: Cell,
-    condition: Cell,
-    wind: Cell,
-    rain: Cell,
+    severity: str,
+    condition: str,
+    wind: str,
+    rain: str,
     heatwave_score: int = HEATWAVE_SCORE,
     high_wind_above: float = HIGH_WIND_ABOVE,
     heavy_rain_above: float = HEAVY_RAIN_ABOVE,
-) -> Column:
+) -> str:
     """First alert that applies, else null.
 
     A score of 4 can come from rain and wind alone; it is a heatwave all the
     same, and heat alone (3) is none. Raise or lower ``heatwave_score`` for
     other readings of the term.
     """
-    words = F.lower(_col(condition))
-    return (
-        F.when(_col(severity) >= heatwave_score, "heatwave")
-        .when(words.contains("storm") | words.contains("thunder"), "storm")
-        .when(_col(wind) > high_wind_above, "high_wind")
-        .when(_col(rain) > heavy_rain_above, "heavy_rain")
-    )
+    return f"""CASE WHEN {severity} >= {heatwave_score} THEN 'heatwave'
+        WHEN contains(lower({condition}), 'storm') OR contains(lower({condition}), 'thunder') THEN 'storm'
+        WHEN {wind} > {high_wind_above} THEN 'high_wind'
+        WHEN {rain} > {heavy_rain_above} THEN 'heavy_rain' END"""
 
 
-def stale(latest_success: Cell, as_of: Column, within: str = "1 HOUR") -> Column:
-    """Whether the latest success is older than ``within``; false if there is none."""
-    overdue = _col(latest_success) < as_of - F.expr(f"INTERVAL {within}")
-    return F.coalesce(overdue, F.lit(False))
+def stale(latest_success: str, as_of: str, within: str = "1 HOUR", never: bool = False) -> str:
+    """Whether the latest success is older than ``within``; ``never`` if there is none."""
+    return f"coalesce({latest_success} < {as_of} - INTERVAL {within}, {never})"
 
 
-def broken_json(body: Cell) -> Column:
+def broken_json(body: str) -> str:
     """Whether a body is present but not JSON text."""
-    text = _col(body)
-    return text.isNotNull() & F.try_parse_json(text).isNull()
+    return f"({body} IS NOT NULL AND try_parse_json({body}) IS NULL)"

@@ -1,32 +1,31 @@
-"""Ordered quality rules: the first rule a row breaks names its reason."""
+"""Ordered quality rules: the first rule a row breaks names its reason.
+
+A rule is a label and the SQL condition of a row that breaks it.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from skyledger.functions.derive import broken_json, moment
 
-Rule = tuple[str, Column]
+Rule = tuple[str, str]
 
 # Legal ranges, ends included.
 TEMPERATURE_RANGE = (-50, 60)
 HUMIDITY_RANGE = (0, 100)
 
 
-def outside(name: str, bounds: tuple[float, float]) -> Column:
+def outside(name: str, bounds: tuple[float, float]) -> str:
     """Null is not outside; NaN is (it sorts above every number)."""
     low, high = bounds
-    return (F.col(name) < low) | (F.col(name) > high)
+    return f"{name} < {low} OR {name} > {high}"
 
 
-def call_failed(null_fails: bool = True) -> Column:
+def call_failed(null_fails: bool = True) -> str:
     """Status other than 200. With ``null_fails=False`` a null status passes."""
-    status = F.col("status_code")
-    return ~status.eqNullSafe(200) if null_fails else status != 200
+    return "NOT (status_code <=> 200)" if null_fails else "status_code <> 200"
 
 
 def standard_rules(null_status_fails: bool = True, strict_json: bool = False) -> list[Rule]:
@@ -34,42 +33,39 @@ def standard_rules(null_status_fails: bool = True, strict_json: bool = False) ->
 
     The permissive parser turns malformed text into a struct of nulls, so such
     rows are reported as ``city_missing``; ``strict_json`` reports them as
-    ``json_parse_failed``.
+    ``json_parse_failed``, looking at the text again only where no name was
+    found.
     """
-    unparsed = F.col("parsed").isNull()
-    if strict_json:
-        # the text is looked at again only where no name was found
-        unparsed = unparsed | (F.col("city").isNull() & broken_json("raw_response"))
+    broken = f" OR (city IS NULL AND {broken_json('raw_response')})" if strict_json else ""
     return [
         ("api_failed", call_failed(null_status_fails)),
-        ("raw_json_missing", F.col("raw_response").isNull()),
-        ("json_parse_failed", unparsed),
-        ("city_missing", F.col("city").isNull()),
-        ("temperature_missing", F.col("temperature").isNull()),
+        ("raw_json_missing", "raw_response IS NULL"),
+        ("json_parse_failed", f"parsed IS NULL{broken}"),
+        ("city_missing", "city IS NULL"),
+        ("temperature_missing", "temperature IS NULL"),
         ("out_of_range_temperature", outside("temperature", TEMPERATURE_RANGE)),
-        ("humidity_missing", F.col("humidity").isNull()),
+        ("humidity_missing", "humidity IS NULL"),
         ("out_of_range_humidity", outside("humidity", HUMIDITY_RANGE)),
-        ("out_of_range_wind_speed", F.col("wind_speed") < 0),
-        ("event_time_missing", F.col("event_time").isNull()),
-        ("rain_fall_missing", F.col("rain_fall").isNull()),
+        ("out_of_range_wind_speed", "wind_speed < 0"),
+        ("event_time_missing", "event_time IS NULL"),
+        ("rain_fall_missing", "rain_fall IS NULL"),
     ]
 
 
-def located_rules(as_of: datetime | str | Column | None = None) -> list[Rule]:
+def located_rules(as_of: datetime | str | None = None) -> list[Rule]:
     """Rules for readings of :func:`skyledger.operators.enrich.enrich_located`."""
-    city = F.col("city")
     return [
         ("api_error", call_failed()),
-        ("null_city", city.isNull() | (F.trim(city) == "")),
+        ("null_city", "city IS NULL OR trim(city) = ''"),
         ("out_of_range_temperature", outside("temperature", TEMPERATURE_RANGE)),
         ("out_of_range_humidity", outside("humidity", HUMIDITY_RANGE)),
-        ("out_of_range_wind_speed", F.col("wind_speed") < 0),
-        ("missing_coordinates", F.col("latitude").isNull() | F.col("longitude").isNull()),
-        ("future_event_time", F.col("event_time") > moment(as_of) + F.expr("INTERVAL 1 HOUR")),
+        ("out_of_range_wind_speed", "wind_speed < 0"),
+        ("missing_coordinates", "latitude IS NULL OR longitude IS NULL"),
+        ("future_event_time", f"event_time > {moment(as_of)} + INTERVAL 1 HOUR"),
     ]
 
 
-def first_broken(rules: Sequence[Rule]) -> Column:
+def first_broken(rules: Sequence[Rule]) -> str:
     """Label of the first broken rule, null for a row that breaks none."""
-    reasons = [F.when(broken, F.lit(label)) for label, broken in rules]
-    return F.coalesce(*reasons)
+    cases = " ".join(f"WHEN {broken} THEN '{label}'" for label, broken in rules)
+    return f"CASE {cases} END"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions.derive import moment
@@ -16,41 +16,32 @@ def reason_counts(checked: DataFrame) -> DataFrame:
     return checked.groupBy(REASON).agg(F.count("*").alias("row_count"))
 
 
-def audit_row(checked: DataFrame, as_of: datetime | str | Column | None = None) -> DataFrame:
+def audit_row(checked: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
     """One row: run_time, total_rows, valid_rows, quarantine_rows."""
-    reason = F.col(REASON)
     return checked.agg(
         F.count("*").alias("total_rows"),
-        F.count_if(reason.isNull()).alias("valid_rows"),
-        F.count_if(reason.isNotNull()).alias("quarantine_rows"),
-    ).select(moment(as_of).alias("run_time"), "*")
+        F.expr(f"count_if({REASON} IS NULL) AS valid_rows"),
+        F.expr(f"count_if({REASON} IS NOT NULL) AS quarantine_rows"),
+    ).selectExpr(f"{moment(as_of)} AS run_time", "*")
 
 
-def _breakdown() -> Column:
-    """JSON object of reason to count over rows of :func:`reason_counts`.
-
-    Bounded by the number of rules. Null cannot be a map key: clean rows are
-    left out.
-    """
-    pair = F.when(F.col(REASON).isNotNull(), F.struct(REASON, "row_count"))
-    return F.to_json(F.map_from_entries(F.sort_array(F.collect_list(pair))))
+# JSON object of reason to count over rows of reason_counts, as bounded as the
+# rules are. Null cannot be a map key: clean rows are left out.
+_BREAKDOWN = f"""to_json(map_from_entries(sort_array(
+    collect_list(struct({REASON}, row_count)) FILTER (WHERE {REASON} IS NOT NULL)
+))) AS quarantine_breakdown"""
 
 
 def breakdown_json(checked: DataFrame) -> DataFrame:
     """One row with the object of reason to count, reasons in order."""
-    return reason_counts(checked).agg(_breakdown().alias("quarantine_breakdown"))
+    return reason_counts(checked).agg(F.expr(_BREAKDOWN))
 
 
-def run_summary(checked: DataFrame, as_of: datetime | str | Column | None = None) -> DataFrame:
+def run_summary(checked: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
     """One row: run_timestamp, three counts and the breakdown, in one pass."""
-    reason, n = F.col(REASON), F.col("row_count")
-
-    def total(of: Column) -> Column:
-        return F.coalesce(F.sum(of), F.lit(0)).cast("bigint")
-
     return reason_counts(checked).agg(
-        total(n).alias("total_rows_read"),
-        total(F.when(reason.isNull(), n)).alias("valid_rows"),
-        total(F.when(reason.isNotNull(), n)).alias("quarantined_rows"),
-        _breakdown().alias("quarantine_breakdown"),
-    ).select(moment(as_of).alias("run_timestamp"), "*")
+        F.expr("coalesce(sum(row_count), 0L) AS total_rows_read"),
+        F.expr(f"coalesce(sum(row_count) FILTER (WHERE {REASON} IS NULL), 0L) AS valid_rows"),
+        F.expr(f"coalesce(sum(row_count) FILTER (WHERE {REASON} IS NOT NULL), 0L) AS quarantined_rows"),
+        F.expr(_BREAKDOWN),
+    ).selectExpr(f"{moment(as_of)} AS run_timestamp", "*")

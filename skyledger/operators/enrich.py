@@ -4,82 +4,76 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from skyledger.functions import derive
 
 # Fixed value: the origin every reading is stamped with.
 SOURCE_SYSTEM = "openweathermap"
 
-
-def _first_condition(field: str) -> Column:
-    # get() gives null on an empty array, where [0] fails in ANSI mode
-    return F.get("parsed.weather", 0)[field]
-
-
-def _measures() -> dict[str, Column]:
-    """Fields that both profiles take unchanged."""
+# Fields both profiles take unchanged. get() gives null on an empty array,
+# where [0] fails in ANSI mode.
+MEASURES = {
+    "city": "parsed.name",
+    "temperature": "parsed.main.temp",
+    "humidity": "parsed.main.humidity",
+    "pressure": "parsed.main.pressure",
+    "wind_speed": "parsed.wind.speed",
+    "weather_condition": "get(parsed.weather, 0).main",
+    "weather_description": "get(parsed.weather, 0).description",
+    "event_time": derive.epoch_time("parsed.dt"),
+    "country": "parsed.sys.country",
+    "latitude": "parsed.coord.lat",
+    "longitude": "parsed.coord.lon",
+    "visibility": "parsed.visibility",
+}
+
+
+def _derived(rain: str, sunrise: str, sunset: str, as_of: datetime | str | None) -> dict[str, str]:
     return {
-        "city": F.col("parsed.name"),
-        "temperature": F.col("parsed.main.temp"),
-        "humidity": F.col("parsed.main.humidity"),
-        "pressure": F.col("parsed.main.pressure"),
-        "wind_speed": F.col("parsed.wind.speed"),
-        "weather_condition": _first_condition("main"),
-        "weather_description": _first_condition("description"),
-        "event_time": derive.epoch_time("parsed.dt"),
-        "country": F.col("parsed.sys.country"),
-        "latitude": F.col("parsed.coord.lat"),
-        "longitude": F.col("parsed.coord.lon"),
-        "visibility": F.col("parsed.visibility"),
-    }
-
-
-def _derived(rain: str, sunrise: Column, sunset: Column, as_of) -> dict[str, Column]:
-    return {
-        "event_date": F.col("event_time").cast("date"),
-        "event_hour": F.hour("event_time"),
+        "event_date": "CAST(event_time AS DATE)",
+        "event_hour": "hour(event_time)",
         "temperature_band": derive.temperature_band("temperature"),
         "weather_severity_score": derive.severity_score("temperature", rain, "wind_speed"),
         "is_daytime": derive.daytime("event_time", sunrise, sunset),
-        "source_system": F.lit(SOURCE_SYSTEM),
+        "source_system": f"'{SOURCE_SYSTEM}'",
         "ingestion_time": derive.moment(as_of),
     }
 
 
-def enrich(parsed: DataFrame, as_of: datetime | str | Column | None = None) -> DataFrame:
+def _with(df: DataFrame, columns: list[str], added: dict[str, str]) -> DataFrame:
+    kept = [f"`{name}`" for name in columns if name not in added]
+    return df.selectExpr(*kept, *[f"{value} AS {name}" for name, value in added.items()])
+
+
+def enrich(parsed: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
     """Readings of the standard profile; all input columns stay, ``parsed`` too.
 
     Rain is that of the last hour, else of the last three, else 0.
     ``ingestion_time`` is replaced by the time of this step.
     """
-    rain = F.col("parsed.rain")
-    fields = _measures() | {
-        "feels_like": F.col("parsed.main.feels_like"),
-        "rain_fall": F.coalesce(rain["1h"], rain["3h"], F.lit(0.0)),
+    fields = MEASURES | {
+        "feels_like": "parsed.main.feels_like",
+        "rain_fall": "coalesce(parsed.rain.`1h`, parsed.rain.`3h`, 0D)",
         "sunrise_time": derive.epoch_time("parsed.sys.sunrise"),
         "sunset_time": derive.epoch_time("parsed.sys.sunset"),
     }
-    readings = parsed.withColumns(fields)
-    return readings.withColumns(
-        _derived("rain_fall", F.col("sunrise_time"), F.col("sunset_time"), as_of)
-    )
+    readings = _with(parsed, parsed.columns, fields)
+    return _with(readings, readings.columns, _derived("rain_fall", "sunrise_time", "sunset_time", as_of))
 
 
-def enrich_located(parsed: DataFrame, as_of: datetime | str | Column | None = None) -> DataFrame:
+def enrich_located(parsed: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
     """Readings of the located profile: coordinates kept, sun times as epochs.
 
     Rain is that of the last hour, else 0.
     """
     captured = ["requested_city", "status_code", "raw_response", "call_timestamp", "latency_ms", "load_date"]
-    fields = _measures() | {
-        "feels_like_temperature": F.col("parsed.main.feels_like"),
-        "rainfall": F.coalesce(F.col("parsed.rain")["1h"], F.lit(0.0)),
-        "sunrise_epoch": F.col("parsed.sys.sunrise"),
-        "sunset_epoch": F.col("parsed.sys.sunset"),
+    fields = MEASURES | {
+        "feels_like_temperature": "parsed.main.feels_like",
+        "rainfall": "coalesce(parsed.rain.`1h`, 0D)",
+        "sunrise_epoch": "parsed.sys.sunrise",
+        "sunset_epoch": "parsed.sys.sunset",
     }
-    readings = parsed.select(*captured, *[value.alias(name) for name, value in fields.items()])
-    return readings.withColumns(
-        _derived("rainfall", derive.epoch_time("sunrise_epoch"), derive.epoch_time("sunset_epoch"), as_of)
-    )
+    readings = _with(parsed, captured, fields)
+    rise, fall = derive.epoch_time("sunrise_epoch"), derive.epoch_time("sunset_epoch")
+    return _with(readings, readings.columns, _derived("rainfall", rise, fall, as_of))

@@ -23,8 +23,8 @@ class Period(NamedTuple):
     column: str
     unit: str
 
-    def of(self, at: str | Column) -> Column:
-        return F.date_trunc(self.unit, at).cast("date")
+    def of(self, at: str) -> str:
+        return f"CAST(date_trunc('{self.unit}', {at}) AS DATE)"
 
 
 def order_of(df: DataFrame, tie_break: Sequence[str] = TIE_BREAK) -> list[str]:
@@ -52,7 +52,7 @@ def latest_per_key(
         timed = df.where(F.col(key).isNotNull() & F.col(AT).isNotNull())
         newest = timed.groupBy(key).agg(F.max(AT).alias(AT))
         # at most one entry for each period of history
-        held = newest.agg(F.collect_set(period.of(AT))).scalar()
+        held = newest.agg(F.expr(f"collect_set({period.of(AT)})")).scalar()
         near = timed.where(F.array_contains(held, F.col(period.column))).drop(period.column)
         df = near.join(newest, [key, AT], "left_semi").select(*near.columns)
     last_first = [F.desc_nulls_last(name) for name in order_of(df, tie_break)]
@@ -78,5 +78,6 @@ def since_latest(
     bound = newest - F.expr(f"INTERVAL {int(hours)} HOURS")
     recent = df.where(F.col(AT) >= bound)
     if period is not None:
-        recent = recent.where(F.col(period.column) >= period.of(bound)).drop(period.column)
+        first = F.date_trunc(period.unit, bound).cast("date")
+        recent = recent.where(F.col(period.column) >= first).drop(period.column)
     return recent

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions.rules import call_failed
@@ -33,21 +33,16 @@ def parse_payload(df: DataFrame, payload: str = PAYLOAD_DDL, body: str = "raw_re
     return df.select("*", F.explode(F.array(F.from_json(body, payload, {"mode": "PERMISSIVE"}))).alias("parsed"))
 
 
-def usable() -> Column:
-    """Whether a response holds the fields every reading needs."""
-    needed = ["raw_response", "parsed", "parsed.name", "parsed.dt", "parsed.main.temp"]
-    present = F.lit(True)
-    for name in needed:
-        present = present & F.col(name).isNotNull()
-    return present
+# The fields every reading needs.
+USABLE = """raw_response IS NOT NULL AND parsed IS NOT NULL AND parsed.name IS NOT NULL
+    AND parsed.dt IS NOT NULL AND parsed.main.temp IS NOT NULL"""
 
 
 def route(df: DataFrame, payload: str = LOCATED_PAYLOAD_DDL) -> DataFrame:
     """Parse and add ``route``: every row gets exactly one, in a single pass."""
-    return parse_payload(df, payload).withColumn(
-        "route",
-        F.when(call_failed(), API_ERROR).when(usable(), PARSED).otherwise(UNPARSEABLE),
-    )
+    routes = f"""CASE WHEN {call_failed()} THEN '{API_ERROR}'
+        WHEN {USABLE} THEN '{PARSED}' ELSE '{UNPARSEABLE}' END AS route"""
+    return parse_payload(df, payload).selectExpr("*", routes)
 
 
 def split_routes(df: DataFrame, payload: str = LOCATED_PAYLOAD_DDL) -> Routes:
@@ -57,6 +52,5 @@ def split_routes(df: DataFrame, payload: str = LOCATED_PAYLOAD_DDL) -> Routes:
     When more than one of the other two is wanted, filter one stored
     :func:`route` instead of reading the input for each.
     """
-    answered = df.where(~call_failed())
-    parsed = parse_payload(answered, payload)
-    return Routes(df.where(call_failed()), parsed.where(~usable()), parsed.where(usable()))
+    parsed = parse_payload(df.where("status_code = 200"), payload)
+    return Routes(df.where(call_failed()), parsed.where(f"NOT ({USABLE})"), parsed.where(USABLE))

@@ -41,10 +41,9 @@ def hourly_summary(
 
 
 def _time_of_peak(measure: str, latest_wins: bool) -> Column:
-    if not latest_wins:
-        return F.max_by(AT, measure)
+    order = f"struct({measure}, {AT})" if latest_wins else measure
     # rows without the measure must not count as a peak
-    return F.max_by(AT, F.when(F.col(measure).isNotNull(), F.struct(measure, AT)))
+    return F.expr(f"max_by({AT}, {order}) FILTER (WHERE {measure} IS NOT NULL)")
 
 
 def daily_extremes(clean: DataFrame, latest_wins: bool = True) -> DataFrame:
@@ -75,25 +74,24 @@ def severe_alerts(
     earlier alert. ``limits`` go to :func:`skyledger.functions.derive.alert_type`.
     """
     alert = derive.alert_type("weather_severity_score", "weather_condition", "wind_speed", "rain_fall", **limits)
-    alerting = (
-        since_latest(clean, hours, period, newest).withColumn("alert_type", alert).where(F.col("alert_type").isNotNull())
-    )
-    return latest_per_key(alerting).select(
+    recent = since_latest(clean, hours, period, newest)
+    alerting = recent.selectExpr("*", f"{alert} AS alert_type").where("alert_type IS NOT NULL")
+    return latest_per_key(alerting).selectExpr(
         "city",
         AT,
         "temperature",
         "wind_speed",
-        F.col("rain_fall").alias("rainfall"),
+        "rain_fall AS rainfall",
         "weather_condition",
         "weather_severity_score",
         "alert_type",
-        F.col(AT).alias("alert_triggered_at"),
+        f"{AT} AS alert_triggered_at",
     )
 
 
 def api_health(
     bronze: DataFrame,
-    as_of: datetime | str | Column | None = None,
+    as_of: datetime | str | None = None,
     stale_after: str = "1 HOUR",
     never_succeeded_is_stale: bool = False,
     count_malformed: bool = False,
@@ -105,20 +103,20 @@ def api_health(
     the only option that reads the bodies' text. A call without status counts
     as neither successful nor failed.
     """
-    ok = F.col("status_code") == 200
-    success = F.col("latest_success_time")
-    stale = derive.stale("latest_success_time", derive.moment(as_of), stale_after)
-    if never_succeeded_is_stale:
-        stale = success.isNull() | stale
-    malformed = [F.count_if(ok & derive.broken_json("raw_response")).alias("malformed_bodies")] if count_malformed else []
+    ok = "status_code = 200"
+    malformed = f"count_if({ok} AND {derive.broken_json('raw_response')}) AS malformed_bodies"
     calls = bronze.groupBy(F.col("requested_city").alias("city"), "load_date").agg(
         F.count("*").alias("total_calls"),
-        F.count_if(ok).alias("successful_calls"),
-        F.count_if(~ok).alias("failed_calls"),
-        F.count_if(ok & F.col("raw_response").isNull()).alias("parse_errors"),
-        F.round(F.avg("latency_ms"), 2).alias("avg_latency_ms"),
-        F.max(F.when(ok, F.col("ingestion_time"))).alias("latest_success_time"),
-        *malformed,
+        F.expr(f"count_if({ok}) AS successful_calls"),
+        F.expr("count_if(status_code <> 200) AS failed_calls"),
+        F.expr(f"count_if({ok} AND raw_response IS NULL) AS parse_errors"),
+        F.expr("round(avg(latency_ms), 2) AS avg_latency_ms"),
+        F.expr(f"max(ingestion_time) FILTER (WHERE {ok}) AS latest_success_time"),
+        *([F.expr(malformed)] if count_malformed else []),
+    )
+    stale = derive.stale("latest_success_time", derive.moment(as_of), stale_after, never_succeeded_is_stale)
+    return calls.selectExpr(
+        "* EXCEPT (latest_success_time)",
+        "round(successful_calls / total_calls * 100, 2) AS success_rate",
+        f"{stale} AS is_stale",
     )
-    rate = F.round(F.col("successful_calls") / F.col("total_calls") * 100, 2)
-    return calls.withColumns({"success_rate": rate, "is_stale": stale}).drop("latest_success_time")

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from skyledger.functions.rules import Rule, first_broken
 from skyledger.schemas import QUARANTINE_COLUMNS
@@ -20,15 +19,15 @@ class Outcome(NamedTuple):
 
 
 def check(readings: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    return readings.withColumn(REASON, first_broken(rules))
+    return readings.selectExpr("*", f"{first_broken(rules)} AS {REASON}")
 
 
 def clean_rows(checked: DataFrame) -> DataFrame:
-    return checked.where(F.col(REASON).isNull()).drop(REASON)
+    return checked.where(f"{REASON} IS NULL").drop(REASON)
 
 
 def quarantined_rows(checked: DataFrame, columns: Sequence[str] = QUARANTINE_COLUMNS) -> DataFrame:
-    return checked.where(F.col(REASON).isNotNull()).select(*columns)
+    return checked.where(f"{REASON} IS NOT NULL").select(*columns)
 
 
 def split(checked: DataFrame) -> Outcome:

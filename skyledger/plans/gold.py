@@ -47,7 +47,7 @@ def refresh_daily_extremes(spark: SparkSession, store: SilverStore, micro_batch:
     """
     touched = F.array_contains(store.touched(spark, micro_batch), F.col(PERIOD))
     extremes = products.daily_extremes(store.clean(spark, keep_period=True).where(touched))
-    tables.refresh_partitions(extremes.withColumn(PERIOD, store.period.of("event_date")), path, PERIOD)
+    tables.refresh_partitions(extremes.selectExpr("*", f"{store.period.of('event_date')} AS {PERIOD}"), path, PERIOD)
 
 
 def read_daily_extremes(spark: SparkSession, path: str) -> DataFrame:

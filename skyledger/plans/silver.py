@@ -5,13 +5,13 @@ batch replaces itself::
 
     checked/micro_batch=7/outcome=clean/event_period=2024-01-01/
     checked/micro_batch=7/outcome=quarantine/    (below the null period)
-    periods/micro_batch=7/   rows and newest event_time by outcome and period
-    audit/micro_batch=7/     one row; its presence marks the batch complete
+    log/micro_batch=7/       rows and newest event_time by outcome and period
     checkpoint/              of the stream that fills the store
 
 One write means one parse of each body, and clean and quarantined rows are
-committed by the same job. Counts are read back from what was written: a
-recomputed task cannot count a row twice.
+committed by the same job. The log is counted from what was written, so a
+recomputed task cannot count a row twice, and written last: it marks the
+batch complete, and readers see complete batches only.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ PERIOD = "event_period"
 
 def checked_readings(
     bronze: DataFrame,
-    as_of: datetime | str | Column | None = None,
+    as_of: datetime | str | None = None,
     keep_parsed: bool = False,
     null_status_fails: bool = True,
     strict_json: bool = False,
@@ -50,7 +50,7 @@ def checked_readings(
     return checked if keep_parsed else checked.drop("parsed")
 
 
-def checked_located(bronze: DataFrame, as_of: datetime | str | Column | None = None) -> DataFrame:
+def checked_located(bronze: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
     """The usable responses as readings of the located profile with their reason."""
     return quality.check(enrich_located(split_routes(bronze).parsed, as_of), located_rules(as_of))
 
@@ -75,12 +75,8 @@ class SilverStore:
         return f"{self.root}/checked"
 
     @property
-    def periods_path(self) -> str:
-        return f"{self.root}/periods"
-
-    @property
-    def audit_path(self) -> str:
-        return f"{self.root}/audit"
+    def log_path(self) -> str:
+        return f"{self.root}/log"
 
     @property
     def checkpoint(self) -> str:
@@ -95,23 +91,29 @@ class SilverStore:
         return self._outcome(spark, QUARANTINE).select(*QUARANTINE_COLUMNS)
 
     def audit(self, spark: SparkSession) -> DataFrame:
-        return tables.scan(spark, self.audit_path).select(*AUDIT_COLUMNS)
+        """One row for each batch that held rows."""
+        batches = tables.scan(spark, self.log_path).groupBy("micro_batch", "run_time")
+        return batches.agg(
+            F.sum("row_count").alias("total_rows"),
+            F.expr(f"sum(if(outcome = '{CLEAN}', row_count, 0L)) AS valid_rows"),
+            F.expr(f"sum(if(outcome = '{QUARANTINE}', row_count, 0L)) AS quarantine_rows"),
+        ).select(*AUDIT_COLUMNS)
 
     def newest(self, spark: SparkSession) -> Column:
         """The newest clean event_time as a scalar, without reading any reading."""
-        return self._periods(spark).agg(F.max("newest_event_time")).scalar()
+        return self._clean_log(spark).agg(F.max("newest_event_time")).scalar()
 
     def touched(self, spark: SparkSession, micro_batch: int) -> Column:
         """The periods a batch brought clean rows for, as a scalar array."""
-        own = self._periods(spark).where(F.col("micro_batch") == micro_batch)
+        own = self._clean_log(spark).where(F.col("micro_batch") == micro_batch)
         return own.agg(F.collect_set(PERIOD)).scalar()
 
-    def _periods(self, spark: SparkSession) -> DataFrame:
-        return tables.scan(spark, self.periods_path).where(F.col("outcome") == CLEAN)
+    def _clean_log(self, spark: SparkSession) -> DataFrame:
+        return tables.scan(spark, self.log_path).where(F.col("outcome") == CLEAN)
 
     def _outcome(self, spark: SparkSession, outcome: str, merge_schema: bool = False) -> DataFrame:
         """Rows of complete batches; all conditions prune folders."""
-        complete = tables.scan(spark, self.audit_path).agg(F.collect_set("micro_batch")).scalar()
+        complete = tables.scan(spark, self.log_path).agg(F.collect_set("micro_batch")).scalar()
         rows = tables.scan(spark, self.checked_path, merge_schema=merge_schema)
         own = (F.col("outcome") == outcome) & F.array_contains(complete, F.col("micro_batch"))
         # a store of undated rows alone gives no date to tell the type from
@@ -137,34 +139,21 @@ def write_batch(
     spark = bronze.sparkSession
     run_time = as_of or datetime.now(timezone.utc)
     checked = checked_readings(bronze, run_time, **options)
-    passed = F.col(quality.REASON).isNull()
-    placed = checked.withColumns(
-        {
-            "outcome": F.when(passed, CLEAN).otherwise(QUARANTINE),
-            PERIOD: F.when(passed, store.period.of("event_time")),
-        }
+    passed = f"{quality.REASON} IS NULL"
+    placed = checked.selectExpr(
+        "*",
+        f"if({passed}, '{CLEAN}', '{QUARANTINE}') AS outcome",
+        f"if({passed}, {store.period.of('event_time')}, NULL) AS {PERIOD}",
     )
     own = f"{store.checked_path}/micro_batch={micro_batch}"
     _replace(placed.hint("rebalance", "outcome", PERIOD) if cluster else placed, own, "outcome", PERIOD)
 
     written = spark.read.schema(placed.schema).parquet(own)
-    periods = written.groupBy("outcome", PERIOD).agg(
+    log = written.groupBy("outcome", PERIOD).agg(
         F.count("*").alias("row_count"), F.max("event_time").alias("newest_event_time")
     )
-    _replace(periods.coalesce(1), f"{store.periods_path}/micro_batch={micro_batch}")
-
-    counts = tables.scan(spark, f"{store.periods_path}/micro_batch={micro_batch}")
-
-    def total(of: Column) -> Column:
-        return F.coalesce(F.sum(of), F.lit(0)).cast("bigint")
-
-    n, kind = F.col("row_count"), F.col("outcome")
-    audit = counts.agg(
-        total(n).alias("total_rows"),
-        total(F.when(kind == CLEAN, n)).alias("valid_rows"),
-        total(F.when(kind == QUARANTINE, n)).alias("quarantine_rows"),
-    )
-    _replace(audit.select(moment(run_time).alias("run_time"), "*"), f"{store.audit_path}/micro_batch={micro_batch}")
+    stamped = log.selectExpr("*", f"{moment(run_time)} AS run_time")
+    _replace(stamped.coalesce(1), f"{store.log_path}/micro_batch={micro_batch}")
 
 
 def _replace(df: DataFrame, path: str, *partition_by: str) -> None:

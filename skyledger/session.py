@@ -17,6 +17,8 @@ SETTINGS = {
     # 128 MB would decode to gigabytes of text in one task
     "spark.sql.files.maxPartitionBytes": "64m",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # call sites of column expressions in errors cost a stack walk for each
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _local_fallback: dict[str, str] = {}

@@ -19,6 +19,8 @@ from skyledger.schemas import CAPTURE_DDL
 # Fixed value: the feed every bronze row is stamped with.
 FEED = "openweather_api"
 
+STAMPS = ("ingestion_time", "load_date", "batch_id", "source")
+
 Fetch = Callable[[str, float], tuple[int, str]]
 
 
@@ -94,9 +96,13 @@ def capture_rows(spark: SparkSession, rows: list) -> DataFrame:
 
 def settle_failures(captures: DataFrame) -> DataFrame:
     """A call without a status never reached the API: status 0 and no body."""
-    status = F.coalesce("status_code", F.lit(0).cast("bigint"))
-    body = F.when(F.coalesce("status_code", F.lit(0)) != 0, F.col("raw_response"))
-    return captures.withColumns({"status_code": status, "raw_response": body})
+    return captures.selectExpr(
+        "requested_city",
+        "coalesce(status_code, 0L) AS status_code",
+        "if(coalesce(status_code, 0L) = 0, NULL, raw_response) AS raw_response",
+        "call_timestamp",
+        "latency_ms",
+    )
 
 
 def land(captures: DataFrame, path: str) -> None:
@@ -117,11 +123,10 @@ def stream_captures(spark: SparkSession, path: str, **options: str) -> DataFrame
 def stamp(captures: DataFrame, as_of: datetime | str | None = None, feed: str = FEED) -> DataFrame:
     """Bronze rows: captures with ingestion time, load date, batch id and feed."""
     now = derive.moment(as_of)
-    return captures.withColumns(
-        {
-            "ingestion_time": now,
-            "load_date": now.cast("date"),
-            "batch_id": F.date_format(now, "yyyyMMddHHmmss"),
-            "source": F.lit(feed),
-        }
+    return captures.selectExpr(
+        *[f"`{name}`" for name in captures.columns if name not in STAMPS],
+        f"{now} AS ingestion_time",
+        f"CAST({now} AS DATE) AS load_date",
+        f"date_format({now}, 'yyyyMMddHHmmss') AS batch_id",
+        f"'{feed}' AS source",
     )
