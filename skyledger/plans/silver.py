@@ -28,7 +28,7 @@ from skyledger.operators import quality
 from skyledger.operators.enrich import enrich, enrich_located
 from skyledger.operators.latest import Period
 from skyledger.operators.parse import parse_payload, split_routes
-from skyledger.schemas import AUDIT_COLUMNS, PAYLOAD_DDL, QUARANTINE_COLUMNS
+from skyledger.schemas import AUDIT_COLUMNS, PAYLOAD_DDL, QUARANTINE_COLUMNS, READING_DDL
 from skyledger.sources import tables
 
 CLEAN = "clean"
@@ -42,10 +42,13 @@ def checked_readings(
     keep_parsed: bool = False,
     null_status_fails: bool = True,
     strict_json: bool = False,
-    payload: str = PAYLOAD_DDL,
 ) -> DataFrame:
-    """Every bronze row as a reading of the standard profile with its reason."""
+    """Every bronze row as a reading of the standard profile with its reason.
+
+    The whole payload is parsed only to be kept.
+    """
     rules = standard_rules(null_status_fails, strict_json)
+    payload = PAYLOAD_DDL if keep_parsed else READING_DDL
     checked = quality.check(enrich(parse_payload(bronze, payload), as_of), rules)
     return checked if keep_parsed else checked.drop("parsed")
 

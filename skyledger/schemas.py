@@ -21,6 +21,20 @@ PAYLOAD_DDL = """
     cod int
 """
 
+# The part of it that readings are made of. Fields left out are skipped in the
+# text; a wrong type in one of them spoils no other field either way.
+READING_DDL = """
+    coord struct<lon: double, lat: double>,
+    weather array<struct<main: string, description: string>>,
+    main struct<temp: double, feels_like: double, pressure: int, humidity: int>,
+    visibility int,
+    wind struct<speed: double>,
+    rain struct<`1h`: double, `3h`: double>,
+    dt bigint,
+    sys struct<country: string, sunrise: bigint, sunset: bigint>,
+    name string
+"""
+
 # The smaller payload of the located profile; its id is 64 bit.
 LOCATED_PAYLOAD_DDL = """
     coord struct<lon: double, lat: double>,

@@ -38,6 +38,25 @@ def test_edge_bodies(spark, strict):
         assert got[i].quarantine_reason == (strict_reason if strict else reason), text
 
 
+def test_unread_fields_change_no_reading(spark):
+    """Parsing part of the payload gives what parsing all of it gives."""
+    texts = [text for text, *_ in EDGES] + [
+        body(id="x", cod="404", base=1, clouds="many", timezone=[1]),
+        body(main=main(temp_min="low", sea_level=1.5)),
+        body(wind={"speed": 3.5, "gust": "strong", "deg": 1.5}),
+        body(weather=[{"id": "x", "main": "Rain"}]),
+        body(weather="none"),
+        body(sys="none"),
+        body(rain=3, main="warm"),
+        body(main=None, coord=[], clouds={"all": 1.5}),
+        body(extra={"main": {"temp": 1}}),
+    ]
+    rows = bronze(spark, *[call(text, latency=i) for i, text in enumerate(texts)])
+    part = checked_readings(rows, "2026-05-11")
+    whole = checked_readings(rows, "2026-05-11", keep_parsed=True).drop("parsed")
+    assert sorted(map(repr, part.collect())) == sorted(map(repr, whole.collect()))
+
+
 def test_bad_field_leaves_its_siblings(spark):
     row = checked_readings(bronze(spark, call(body(main=main(temp="hot"))))).first()
     assert (row.temperature, row.humidity, row.city) == (None, 50, "Chennai")
