@@ -43,18 +43,15 @@ def latest_per_key(
     The rank filter becomes a group limit before the shuffle: a task sends at
     most one row of a key, however many rows the key has.
 
-    For a table stored by ``period`` the newest time of each key comes first,
-    from two columns and by hash aggregation; whole rows are then read from
-    the periods that hold such a time only. The period column is dropped.
-    Without it a single pass ranks whole rows.
+    A table stored by ``period`` is first asked, from two columns and by hash
+    aggregation, which periods hold the newest time of some key. Whole rows
+    are read and ranked from those only. The period column is dropped.
     """
     if period is not None:
-        timed = df.where(F.col(key).isNotNull() & F.col(AT).isNotNull())
-        newest = timed.groupBy(key).agg(F.max(AT).alias(AT))
+        newest = df.groupBy(key).agg(F.max(AT).alias(AT))
         # at most one entry for each period of history
         held = newest.agg(F.expr(f"collect_set({period.of(AT)})")).scalar()
-        near = timed.where(F.array_contains(held, F.col(period.column))).drop(period.column)
-        df = near.join(newest, [key, AT], "left_semi").select(*near.columns)
+        df = df.where(F.array_contains(held, F.col(period.column))).drop(period.column)
     last_first = [F.desc_nulls_last(name) for name in order_of(df, tie_break)]
     ranked = Window.partitionBy(key).orderBy(*last_first)
     return df.withColumn("rn", F.row_number().over(ranked)).where("rn = 1").drop("rn")
