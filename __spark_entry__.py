@@ -18,6 +18,7 @@ from skyledger.plans import bronze, gold, silver
 from skyledger.schemas import BRONZE_DDL, CAPTURE_DDL, column_names
 from skyledger.session import pin_utc, shared_dir
 from skyledger.sources import captures, event_feed, tables
+from skyledger.streaming import bronze as stream_bronze
 from skyledger.streaming import current as stream_current
 from skyledger.streaming import silver as stream_silver
 
@@ -260,6 +261,21 @@ def published_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- streams ------------------------------------------------------------------
 
 
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed captures appended to bronze by a stream."""
+    landing, table = shared_dir(spark, "landing"), shared_dir(spark, "bronze")
+    captures.land(_captures(spark, sf_dir).select(*column_names(CAPTURE_DDL)), landing)
+    landed = captures.stream_captures(spark, landing, maxFilesPerTrigger="4")
+    stream_bronze.start(landed, table, shared_dir(spark, "bronze-checkpoint"), AS_OF).awaitTermination()
+    return bronze.read(spark, table)
+
+
+def compacted_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table, archive = _bronze_table(spark, sf_dir), shared_dir(spark, "archive")
+    bronze.compact(spark, table, archive, AS_OF[:10])
+    return bronze.read(spark, archive)
+
+
 def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed_store(spark, sf_dir).clean(spark)
 
@@ -552,6 +568,8 @@ FROM captures GROUP BY ALL""",
         "store_alerts": (store_alerts, _ALERTS),
         "store_extremes": (store_extremes, _EXTREMES),
         "published_health": (published_health, _health(f"CAST({run_time} AS DATE)", run_time)),
+        "compacted_bronze": (compacted_bronze, f"{_CAPTURES} SELECT {_STAMPED} FROM captures"),
+        "stream_ingest": (stream_ingest, f"{_CAPTURES} SELECT {_STAMPED} FROM captures"),
         "stream_clean": (stream_clean, f"{_ENRICHED} SELECT {bronze_reading} FROM clean"),
         "stream_quarantine": (stream_quarantine, f"{_ENRICHED} {quarantined}"),
         "stream_audit": (

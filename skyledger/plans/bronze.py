@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skyledger.schemas import BRONZE_COLUMNS, BRONZE_DDL
 from skyledger.sources import captures, tables
@@ -21,3 +22,14 @@ def append_captures(rows: DataFrame, bronze: str, as_of: datetime | str | None =
 
 def read(spark: SparkSession, bronze: str) -> DataFrame:
     return tables.scan(spark, bronze, BRONZE_DDL)
+
+
+def compact(spark: SparkSession, bronze: str, archive: str, load_date: str) -> None:
+    """Copy one closed load date into an archive table of few, even files.
+
+    Polls leave many tiny files. The copy goes to a table of its own, so that
+    neither a stream over bronze nor a failed run sees rows twice; running it
+    again replaces the date. Readers of history use the archive.
+    """
+    day = read(spark, bronze).where(F.col("load_date") == F.lit(load_date).cast("date"))
+    tables.refresh_partitions(day.hint("rebalance"), archive, "load_date")

@@ -33,7 +33,8 @@ def start(
     latest = latest_readings(clean_rows(checked_readings(bronze_stream, as_of)))
 
     def land(table: DataFrame, batch_id: int) -> None:
-        tables.publish(table, out, f"batch-{batch_id:012d}")
+        # the query fixes the columns, so there is no present schema to look up
+        tables.publish(table, out, f"batch-{batch_id:012d}", replace_schema=True)
 
     return (
         latest.writeStream.outputMode("complete")

@@ -35,6 +35,19 @@ def start(
     )
 
 
-def drain(bronze_stream: DataFrame, store: SilverStore, as_of: datetime | str | None = None, **options) -> None:
-    """Start, wait until all input is processed, and raise what failed."""
-    start(bronze_stream, store, as_of, **options).awaitTermination()
+def drain(
+    bronze_stream: DataFrame,
+    store: SilverStore,
+    as_of: datetime | str | None = None,
+    timeout_s: int | None = None,
+    **options,
+) -> bool:
+    """Start, wait until all input is processed, and raise what failed.
+
+    False if ``timeout_s`` passed first; the query then goes on.
+    """
+    query = start(bronze_stream, store, as_of, **options)
+    if timeout_s is not None:
+        return query.awaitTermination(timeout_s)
+    query.awaitTermination()
+    return True

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from samples import AS_OF, CALLED, NOON, body, bronze, call, main
 
 from skyledger.operators import products
+from skyledger.plans import bronze as bronze_plan
 from skyledger.plans import gold
 from skyledger.plans.silver import SilverStore, write_batch
 from skyledger.schemas import BRONZE_COLUMNS, BRONZE_DDL, QUARANTINE_COLUMNS
-from skyledger.sources import tables
+from skyledger.sources import captures, tables
+from skyledger.streaming import bronze as bronze_stream
 from skyledger.streaming import current, silver
 
 DAY_SECONDS = 86_400
@@ -184,3 +186,25 @@ def test_publish_all(spark, folder):
     assert tables.read_published(spark, f"{folder}/gold/api_health").agg(F.sum("total_calls")).first()[0] == 30
     gold.refresh_api_health(spark, path, "2026-05-11", f"{folder}/health", AS_OF)
     assert tables.scan(spark, f"{folder}/health").agg(F.sum("total_calls")).first()[0] == 30
+
+
+def test_landing_stream_takes_each_capture_once(spark, folder):
+    landing, table = f"{folder}/landing", f"{folder}/bronze"
+    for offset in (0, 20):
+        captures.land(captures.capture_rows(spark, responses(20, offset)), landing)
+        stream = captures.stream_captures(spark, landing, maxFilesPerTrigger="2")
+        assert bronze_stream.start(stream, table, f"{folder}/checkpoint", AS_OF).awaitTermination(120)
+    rows = bronze_plan.read(spark, table)
+    assert contents(rows) == contents(bronze(spark, *responses(40)))
+
+
+def test_compacted_date_has_the_same_rows_in_one_file(spark, folder):
+    table, archive = f"{folder}/bronze", f"{folder}/archive"
+    for offset in range(0, 30, 6):
+        bronze_plan.append_captures(captures.capture_rows(spark, responses(6, offset)), table, AS_OF)
+    bronze_plan.append_captures(captures.capture_rows(spark, responses(6)), table, "2026-05-12 01:00:00")
+    for _ in range(2):
+        bronze_plan.compact(spark, table, archive, "2026-05-11")
+    day = bronze_plan.read(spark, table).where("load_date = DATE '2026-05-11'")
+    assert contents(bronze_plan.read(spark, archive)) == contents(day)
+    assert len(bronze_plan.read(spark, archive).inputFiles()) == 1
