@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +39,21 @@ def publish_all(
         tables.publish(product, f"{gold}/{name}", version, replace_schema=name != "city_current")
 
 
+def merge_current(clean: DataFrame, path: str, keep: int = 10) -> None:
+    """Publish the latest of the readings published so far and new ones.
+
+    Costs the new readings and one row for each city, not history. Columns
+    that either side lacks are null. ``keep`` versions stay for those who
+    still read an older one.
+    """
+    spark = clean.sparkSession
+    if tables.is_published(spark, path):
+        clean = tables.read_published(spark, path).unionByName(clean, allowMissingColumns=True)
+    # never the folder that is being read
+    version = f"merge-{uuid.uuid4().hex}"
+    tables.publish(products.city_current(clean), path, version, replace_schema=True, keep=keep)
+
+
 def refresh_daily_extremes(spark: SparkSession, store: SilverStore, micro_batch: int, path: str) -> None:
     """Recompute the periods one batch touched and replace just those.
 

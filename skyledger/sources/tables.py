@@ -6,10 +6,6 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-PUBLISHED_DDL = "version string, published_at timestamp"
-
 
 def scan(spark: SparkSession, path: str, ddl: str | None = None, merge_schema: bool = False) -> DataFrame:
     """A stored table.
@@ -67,42 +63,58 @@ def _same_columns(new: DataFrame, old: DataFrame, label: str) -> None:
 # -- products ---------------------------------------------------------------
 
 
-def publish(df: DataFrame, root: str, version: str, replace_schema: bool = False) -> None:
+def publish(
+    df: DataFrame, root: str, version: str, replace_schema: bool = False, keep: int | None = None
+) -> None:
     """Replace a product by a new version.
 
-    Rows go to a folder of their own and one appended log row makes them
-    current, so readers see the old version or the new one, a failed run
-    leaves the old one in place, and a product may be built from itself.
+    Rows go to a folder of their own and an empty marker file, named by time,
+    makes them current. So readers see the old version or the new one, a
+    failed run leaves the old one in place, and a product may be built from
+    itself. ``keep`` deletes all but so many of the newest versions.
     """
     spark = df.sparkSession
     if not replace_schema:
-        present = _current_version(spark, root)
-        if present is not None:
-            _same_columns(df, scan(spark, _version_path(root, present)), root)
+        present = _versions(spark, root)
+        if present:
+            _same_columns(df, read_published(spark, root), root)
     df.write.mode("overwrite").parquet(_version_path(root, version))
-    entry = spark.range(1).select(
-        F.lit(version).alias("version"),
-        F.lit(datetime.now(timezone.utc).isoformat()).cast("timestamp").alias("published_at"),
-    )
-    entry.write.mode("append").parquet(f"{root}/published")
+    now = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    files, marker = _open(spark, f"{root}/published/{now}={version}")
+    files.create(marker).close()
+    if keep is not None:
+        _forget(spark, root, _versions(spark, root)[:-keep])
 
 
 def read_published(spark: SparkSession, root: str) -> DataFrame:
-    version = _current_version(spark, root)
-    if version is None:
+    versions = _versions(spark, root)
+    if not versions:
         raise ValueError(f"{root}: nothing published yet")
-    return scan(spark, _version_path(root, version))
+    return scan(spark, _version_path(root, _name(versions[-1])))
+
+
+def is_published(spark: SparkSession, root: str) -> bool:
+    return bool(_versions(spark, root))
 
 
 def _version_path(root: str, version: str) -> str:
     return f"{root}/versions/{version}"
 
 
-def _current_version(spark: SparkSession, root: str) -> str | None:
-    if not path_exists(spark, f"{root}/published"):
-        return None
-    log = scan(spark, f"{root}/published", PUBLISHED_DDL)
-    return log.agg(F.max_by("version", F.struct("published_at", "version"))).first()[0]
+def _name(marker: str) -> str:
+    return marker.split("=", 1)[1]
+
+
+def _versions(spark: SparkSession, root: str) -> list[str]:
+    """Markers, oldest first."""
+    files, folder = _open(spark, f"{root}/published")
+    return sorted(found.getPath().getName() for found in files.listStatus(folder)) if files.exists(folder) else []
+
+
+def _forget(spark: SparkSession, root: str, markers: Sequence[str]) -> None:
+    kept = {_name(marker) for marker in _versions(spark, root) if marker not in markers}
+    reset(spark, paths=[f"{root}/published/{marker}" for marker in markers])
+    reset(spark, paths=[_version_path(root, name) for name in map(_name, markers) if name not in kept])
 
 
 def refresh_partitions(df: DataFrame, path: str, partition_by: str) -> None:
@@ -132,15 +144,22 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", {"name": name})
 
 
+def _open(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it wants it."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()), place
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+    files, place = _open(spark, path)
+    return files.exists(place)
 
 
 def reset(spark: SparkSession, tables: Sequence[str] = (), paths: Sequence[str] = ()) -> None:
-    """Drop the named tables and delete the given folders. Nothing else ever does."""
+    """Drop the named tables and delete the given folders."""
     for name in tables:
         drop_table(spark, name)
     for path in paths:
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        files, place = _open(spark, path)
+        files.delete(place, True)

@@ -5,40 +5,32 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from skyledger.operators.latest import order_of
 from skyledger.operators.quality import clean_rows
+from skyledger.plans.gold import merge_current
 from skyledger.plans.silver import checked_readings
 from skyledger.sources import tables
 
 
-def latest_readings(clean: DataFrame) -> DataFrame:
-    """Latest reading of each city as an aggregate, which streams allow.
-
-    State is one row for each city. Tasks send one row of a city at most.
-    """
-    latest = F.max_by(F.struct(*clean.columns), F.struct(*order_of(clean)))
-    return clean.groupBy("city").agg(latest.alias("latest")).select("latest.*")
-
-
 def start(
     bronze_stream: DataFrame,
     out: str,
     checkpoint: str,
     as_of: datetime | str | None = None,
 ) -> StreamingQuery:
-    """Publish the full table of latest readings after each micro-batch."""
-    latest = latest_readings(clean_rows(checked_readings(bronze_stream, as_of)))
+    """Publish the full table of latest readings after each micro-batch.
+
+    What the stream has to remember is the table itself, so each micro-batch
+    is merged into the one before it; there is no state store to size. Merging
+    a batch twice gives the same table, hence a replay does no harm.
+    """
 
-    def land(table: DataFrame, batch_id: int) -> None:
-        # the query fixes the columns, so there is no present schema to look up
-        tables.publish(table, out, f"batch-{batch_id:012d}", replace_schema=True)
+    def land(batch: DataFrame, batch_id: int) -> None:
+        merge_current(clean_rows(checked_readings(batch, as_of)), out)
 
     return (
-        latest.writeStream.outputMode("complete")
-        .foreachBatch(land)
+        bronze_stream.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

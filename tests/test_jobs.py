@@ -9,10 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 from samples import AS_OF, CALLED, NOON, body, bronze, call, main
 
-from skyledger.operators import products
+from skyledger.operators import products, quality
 from skyledger.plans import bronze as bronze_plan
 from skyledger.plans import gold
-from skyledger.plans.silver import SilverStore, write_batch
+from skyledger.plans.silver import SilverStore, checked_readings, write_batch
 from skyledger.schemas import BRONZE_COLUMNS, BRONZE_DDL, QUARANTINE_COLUMNS
 from skyledger.sources import captures, tables
 from skyledger.streaming import bronze as bronze_stream
@@ -175,6 +175,20 @@ def test_streamed_current_equals_batch(spark, folder):
     assert contents(current.read(spark, f"{folder}/current")) == before
 
 
+def test_merged_current_takes_late_repeated_and_wider_rows(spark, folder):
+    path = f"{folder}/current"
+    batches = [quality.clean_rows(checked_readings(bronze(spark, *responses(30, n)), AS_OF)) for n in (30, 0, 60)]
+    for batch in [*batches, batches[0]]:
+        gold.merge_current(batch, path)
+    whole = batches[0].unionByName(batches[1]).unionByName(batches[2])
+    assert contents(current.read(spark, path)) == contents(products.city_current(whole))
+    wider = bronze(spark, call(body(name="new"), city="new")).withColumn("region", F.lit("south"))
+    gold.merge_current(quality.clean_rows(checked_readings(wider, AS_OF)), path)
+    assert {(r.city, r.region) for r in current.read(spark, path).collect()} == {
+        ("new", "south"), *[(f"city{i}", None) for i in range(4)]
+    }
+
+
 def test_publish_all(spark, folder):
     store, path = SilverStore(f"{folder}/silver"), f"{folder}/bronze"
     rows = bronze(spark, *responses())

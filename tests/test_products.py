@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from skyledger.operators import products
 from skyledger.operators.latest import Period, latest_per_key, since_latest
-from skyledger.streaming.current import latest_readings
 
 T0 = datetime(2024, 3, 1, 12, 0)
 DDL = """city string, event_time timestamp, call_timestamp timestamp, raw_response string, temperature double,
@@ -70,11 +69,6 @@ def test_current_is_the_last_of_each_city(spark, period):
     assert bodies(got) == {city: r[3] for city, r in last_of(rows).items()}
 
 
-def test_streaming_form_agrees(spark):
-    rows = hot(seed=6)
-    assert bodies(latest_readings(clean(spark, *rows))) == {city: r[3] for city, r in last_of(rows).items()}
-
-
 @pytest.mark.parametrize("period", PERIODS)
 def test_ties_go_to_the_later_call_then_the_greater_body(spark, period):
     rows = [row(call=1, text="m"), row(call=2, text="a"), row(call=2, text="b"), row(minutes=-5, call=900, text="z")]

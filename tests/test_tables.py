@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,10 +48,18 @@ def test_publish_guards_the_schema(spark, folder):
     assert tables.read_published(spark, root).columns == ["n", "extra"]
 
 
-def test_version_without_log_entry_is_not_current(spark, folder):
+def test_publish_keeps_the_newest_versions(spark, folder):
+    root = f"{folder}/p"
+    for n, version in enumerate(["a", "b", "a", "c", "d"]):
+        tables.publish(numbers(spark, n), root, version, keep=3)
+    assert values(tables.read_published(spark, root)) == [4]
+    assert sorted(os.listdir(f"{root}/versions")) == ["a", "c", "d"]
+
+
+def test_version_without_marker_is_not_current(spark, folder):
     root = f"{folder}/p"
     tables.publish(numbers(spark, 1), root, "v1")
-    numbers(spark, 9).write.parquet(f"{root}/versions/v2")  # a run that died before its log entry
+    numbers(spark, 9).write.parquet(f"{root}/versions/v2")  # a run that died before its marker
     assert values(tables.read_published(spark, root)) == [1]
 
 
