@@ -253,7 +253,7 @@ def store_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def published_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """API health over the bronze table, published and read back."""
     product = shared_dir(spark, "health")
-    health = products.api_health(bronze.read(spark, _bronze_table(spark, sf_dir)), AS_OF)
+    health = products.api_health(bronze.read(spark, _bronze_table(spark, sf_dir)), AS_OF, stored=True)
     tables.publish(health, product, "run-1")
     return tables.read_published(spark, product)
 

@@ -44,14 +44,16 @@ def latest_per_key(
     most one row of a key, however many rows the key has.
 
     A table stored by ``period`` is first asked, from two columns and by hash
-    aggregation, which periods hold the newest time of some key. Whole rows
-    are read and ranked from those only. The period column is dropped.
+    aggregation, which periods hold the newest time of some key, and which of
+    these times is the earliest. Whole rows are read and ranked from those
+    periods and from that time on only. The period column is dropped.
     """
     if period is not None:
         newest = df.groupBy(key).agg(F.max(AT).alias(AT))
         # at most one entry for each period of history
         held = newest.agg(F.expr(f"collect_set({period.of(AT)})")).scalar()
-        df = df.where(F.array_contains(held, F.col(period.column))).drop(period.column)
+        since = newest.agg(F.min(AT)).scalar()
+        df = df.where(F.array_contains(held, F.col(period.column)) & (F.col(AT) >= since)).drop(period.column)
     last_first = [F.desc_nulls_last(name) for name in order_of(df, tie_break)]
     ranked = Window.partitionBy(key).orderBy(*last_first)
     return df.withColumn("rn", F.row_number().over(ranked)).where("rn = 1").drop("rn")

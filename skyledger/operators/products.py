@@ -89,30 +89,53 @@ def severe_alerts(
     )
 
 
+_OK = "status_code = 200"
+
+
+def _call_facts(bronze: DataFrame, stored: bool, count_malformed: bool) -> DataFrame:
+    """What health asks of each call; ``call`` is 0 in rows that only add a fact."""
+    keys = [F.col("requested_city").alias("city"), F.col("load_date")]
+    broken = f"if({_OK} AND {derive.broken_json('raw_response')}, 1L, 0L)" if count_malformed else "0L"
+    missing = f"{_OK} AND raw_response IS NULL"
+
+    def facts(rows: DataFrame, *values: str) -> DataFrame:
+        names = ["status_code", "latency_ms", "ingestion_time", "bodiless", "malformed", "call"]
+        return rows.select(*keys, *[F.expr(f"{v} AS {n}") for v, n in zip(values, names, strict=True)])
+
+    call = ("status_code", "latency_ms", "ingestion_time")
+    if not stored:
+        return facts(bronze, *call, f"if({missing}, 1L, 0L)", broken, "1L")
+    calls = facts(bronze, *call, "0L", broken, "1L")
+    return calls.unionAll(facts(bronze.where(missing), "NULL", "NULL", "NULL", "1L", "0L", "0L"))
+
+
 def api_health(
     bronze: DataFrame,
     as_of: datetime | str | None = None,
     stale_after: str = "1 HOUR",
     never_succeeded_is_stale: bool = False,
     count_malformed: bool = False,
+    stored: bool = False,
 ) -> DataFrame:
     """Call counts, latency and freshness of each requested city and load date.
 
-    ``parse_errors`` are successful calls without a body. ``count_malformed``
-    adds ``malformed_bodies``, successful calls whose body is not JSON; it is
-    the only option that reads the bodies' text. A call without status counts
-    as neither successful nor failed.
+    ``parse_errors`` are successful calls without a body. With ``stored`` they
+    are looked up by a scan of their own, which skips the bodies of all row
+    groups and pages without a null; the counts come from narrow columns. For
+    a table of bodies that is nearly all there is to save, for a frame that
+    has to be computed twice it is not. ``count_malformed`` adds
+    ``malformed_bodies``, successful calls whose body is not JSON, and reads
+    all bodies. A call without status is neither successful nor failed.
     """
-    ok = "status_code = 200"
-    malformed = f"count_if({ok} AND {derive.broken_json('raw_response')}) AS malformed_bodies"
-    calls = bronze.groupBy(F.col("requested_city").alias("city"), "load_date").agg(
-        F.count("*").alias("total_calls"),
-        F.expr(f"count_if({ok}) AS successful_calls"),
+    malformed = [F.sum("malformed").alias("malformed_bodies")] if count_malformed else []
+    calls = _call_facts(bronze, stored, count_malformed).groupBy("city", "load_date").agg(
+        F.sum("call").alias("total_calls"),
+        F.expr(f"count_if({_OK}) AS successful_calls"),
         F.expr("count_if(status_code <> 200) AS failed_calls"),
-        F.expr(f"count_if({ok} AND raw_response IS NULL) AS parse_errors"),
+        F.sum("bodiless").alias("parse_errors"),
         F.expr("round(avg(latency_ms), 2) AS avg_latency_ms"),
-        F.expr(f"max(ingestion_time) FILTER (WHERE {ok}) AS latest_success_time"),
-        *([F.expr(malformed)] if count_malformed else []),
+        F.expr(f"max(ingestion_time) FILTER (WHERE {_OK}) AS latest_success_time"),
+        *malformed,
     )
     stale = derive.stale("latest_success_time", derive.moment(as_of), stale_after, never_succeeded_is_stale)
     return calls.selectExpr(

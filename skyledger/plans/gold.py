@@ -26,7 +26,7 @@ def from_store(
         "hourly_summary": products.hourly_summary(clean, **recent),
         "daily_extremes": products.daily_extremes(clean),
         "severe_alerts": products.severe_alerts(clean, **recent),
-        "api_health": products.api_health(bronze, as_of),
+        "api_health": products.api_health(bronze, as_of, stored=True),
     }
 
 
@@ -75,4 +75,4 @@ def refresh_api_health(
 ) -> None:
     """Recompute API health of one load date, read and replaced alone."""
     calls = bronze_plan.read(spark, bronze).where(F.col("load_date") == F.lit(load_date).cast("date"))
-    tables.refresh_partitions(products.api_health(calls, as_of), path, "load_date")
+    tables.refresh_partitions(products.api_health(calls, as_of, stored=True), path, "load_date")

@@ -21,7 +21,8 @@ def scan(spark: SparkSession, path: str, ddl: str | None = None, merge_schema: b
 def stream(spark: SparkSession, path: str, ddl: str, **options: str) -> DataFrame:
     """A stored append-only table as a stream.
 
-    ``maxBytesPerTrigger`` or ``maxFilesPerTrigger`` bound a micro-batch.
+    ``maxBytesPerTrigger`` (a plain number) or ``maxFilesPerTrigger`` bound a
+    micro-batch.
     """
     return spark.readStream.schema(ddl).options(**options).parquet(path)
 

@@ -175,8 +175,9 @@ def calls(spark):
     )
 
 
-def test_api_health(spark):
-    got = {r.city: tuple(r)[2:] for r in products.api_health(calls(spark), T0).collect()}
+@pytest.mark.parametrize("stored", [False, True])
+def test_api_health(spark, stored):
+    got = {r.city: tuple(r)[2:] for r in products.api_health(calls(spark), T0, stored=stored).collect()}
     assert got == {
         "a": (3, 2, 1, 1, 10.67, 66.67, False),
         "b": (1, 1, 0, 0, 5.0, 100.0, True),
@@ -187,6 +188,16 @@ def test_api_health(spark):
 
 
 def test_api_health_options(spark):
-    health = products.api_health(calls(spark), T0, never_succeeded_is_stale=True, count_malformed=True)
-    got = {r.city: (r.malformed_bodies, r.is_stale) for r in health.collect()}
-    assert got == {"a": (0, False), "b": (1, True), "c": (0, True), "d": (0, True), "e": (0, False)}
+    options = {"never_succeeded_is_stale": True, "count_malformed": True}
+    for stored in (False, True):
+        health = products.api_health(calls(spark), T0, stored=stored, **options)
+        got = {r.city: (r.malformed_bodies, r.is_stale) for r in health.collect()}
+        assert got == {"a": (0, False), "b": (1, True), "c": (0, True), "d": (0, True), "e": (0, False)}
+
+
+def test_stored_health_reads_bodies_only_where_one_may_be_missing(spark, folder):
+    calls(spark).write.parquet(folder + "/calls")
+    text = plan(products.api_health(spark.read.parquet(folder + "/calls"), T0, stored=True))
+    scans = [line for line in text.splitlines() if line.startswith("ReadSchema")]
+    assert sorted("raw_response" in scan for scan in scans) == [False, True]
+    assert "IsNull(raw_response)" in text

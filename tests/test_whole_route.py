@@ -1,0 +1,123 @@
+"""From settings to products, and random responses against a model in Python."""
+
+from __future__ import annotations
+
+import json
+import random
+from collections import Counter
+from datetime import timedelta
+
+from samples import AS_OF, CALLED, NOON, body, bronze, call, main
+
+from skyledger.operators import audit
+from skyledger.operators.parse import split_routes
+from skyledger.plans import bronze as bronze_plan
+from skyledger.plans import gold
+from skyledger.plans.silver import SilverStore, checked_readings
+from skyledger.schemas import BRONZE_DDL
+from skyledger.sources import captures, tables
+from skyledger.streaming import silver
+
+
+def test_settings_to_products(spark, folder):
+    settings = {"api_key": "secret", "api_base_url": "https://api.example.org", "cities": ["Chennai", "New Delhi", "Pune"]}
+    with open(f"{folder}/settings.json", "w") as file:
+        json.dump(settings, file)
+    good, hot = body(), body(name="New Delhi", main=main(temp=45), rain={"1h": 31})
+
+    def fetch(url, timeout_s):
+        assert url.endswith("&units=metric&appid=secret")
+        if "Pune" in url:
+            raise TimeoutError
+        return 200, hot if "New+Delhi" in url else good
+
+    feed = captures.read_settings(spark, f"{folder}/settings.json")
+    planned = captures.plan_requests(feed.cities, feed.base_url, feed.units)
+    captures.land(captures.poll(planned, feed.api_key, fetch), f"{folder}/landing")
+    bronze_plan.ingest(spark, f"{folder}/landing", f"{folder}/bronze", AS_OF)
+
+    store = SilverStore(f"{folder}/silver")
+    source = tables.stream(spark, f"{folder}/bronze", BRONZE_DDL, maxBytesPerTrigger=str(1 << 30))
+    assert silver.drain(source, store, AS_OF, timeout_s=120)
+    gold.publish_all(spark, store, f"{folder}/bronze", f"{folder}/gold", "first", AS_OF)
+
+    def product(name):
+        return {r.city: r for r in tables.read_published(spark, f"{folder}/gold/{name}").collect()}
+
+    assert [tuple(r)[1:] for r in store.audit(spark).collect()] == [(3, 2, 1)]
+    assert product("city_current").keys() == product("recent_24h").keys() == {"Chennai", "New Delhi"}
+    assert product("daily_extremes")["New Delhi"].max_temp == 45.0
+    assert {city: r.alert_type for city, r in product("severe_alerts").items()} == {"New Delhi": "heatwave"}
+    assert {city: r.success_rate for city, r in product("api_health").items()} == {
+        "Chennai": 100.0, "New Delhi": 100.0, "Pune": 0.0
+    }
+
+
+def random_calls(n=600, seed=11):
+    pick = random.Random(seed)
+    rows = []
+    for i in range(n):
+        fields = {
+            "name": pick.choice(["a", "b", "hot", "hot", None]),
+            "dt": pick.choice([NOON + i, NOON - i, None, NOON]),
+            "main": pick.choice([None, main(temp=pick.choice([-50.5, -50, 20, 60, 60.5, None]), humidity=pick.choice([-1, 0, 100, 101, None]))]),
+            "wind": pick.choice([{"speed": pick.choice([-0.5, 0, 41])}, {}, None]),
+        }
+        if pick.random() < 0.5:  # mostly sound
+            fields = {k: v for k, v in fields.items() if k == "wind"}
+        text = pick.choice([body(**fields)] * 8 + [None, "", " ", body(**fields)[:40], "[]"])
+        status = pick.choice([200] * 9 + [404, 0, None])
+        rows.append(call(text, status, city=f"c{i % 7}", at=CALLED + timedelta(seconds=i), latency=i))
+    return rows
+
+
+def fields_of(text):
+    try:
+        found = json.loads(text)
+    except ValueError:
+        found = {}
+    return found if isinstance(found, dict) else {}
+
+
+def expected_reason(status, text):
+    found = fields_of(text or "")
+    measured, wind = found.get("main", {}), found.get("wind", {}).get("speed")
+    t, h = measured.get("temp"), measured.get("humidity")
+    rules = [
+        ("api_failed", status != 200),
+        ("raw_json_missing", text is None),
+        ("json_parse_failed", text is not None and not text.strip()),
+        ("city_missing", found.get("name") is None),
+        ("temperature_missing", t is None),
+        ("out_of_range_temperature", t is not None and not -50 <= t <= 60),
+        ("humidity_missing", h is None),
+        ("out_of_range_humidity", h is not None and not 0 <= h <= 100),
+        ("out_of_range_wind_speed", wind is not None and wind < 0),
+        ("event_time_missing", found.get("dt") is None),
+    ]
+    return next((label for label, broken in rules if broken), None)
+
+
+def test_random_responses_against_a_model(spark):
+    calls = random_calls()
+    checked = checked_readings(bronze(spark, *calls), AS_OF)
+    got = {r.latency_ms: r.quarantine_reason for r in checked.select("latency_ms", "quarantine_reason").collect()}
+    want = {latency: expected_reason(status, text) for _, status, text, _, latency in calls}
+    assert got == want
+    assert len(set(want.values())) == 11
+    counts = Counter(reason for reason in want.values() if reason)
+    assert json.loads(audit.breakdown_json(checked).first()[0]) == counts
+
+
+def test_random_routes_are_whole(spark):
+    calls = random_calls(seed=12)
+    routes = split_routes(bronze(spark, *calls))
+    taken = [{r.latency_ms for r in frame.select("latency_ms").collect()} for frame in routes]
+    assert sum(map(len, taken)) == len(set.union(*taken)) == len(calls)
+
+    def usable(text):
+        found = fields_of(text or "")
+        return None not in (found.get("name"), found.get("dt"), found.get("main", {}).get("temp"))
+
+    assert taken[0] == {latency for _, status, _, _, latency in calls if status != 200}
+    assert taken[2] == {latency for _, status, text, _, latency in calls if status == 200 and usable(text)}
