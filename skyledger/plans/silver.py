@@ -5,7 +5,7 @@ batch replaces itself::
 
     checked/micro_batch=7/outcome=clean/event_period=2024-01-01/
     checked/micro_batch=7/outcome=quarantine/    (below the null period)
-    log/micro_batch=7/       rows and newest event_time by outcome and period
+    log/micro_batch=7/       rows and newest event_time by outcome and period, columns
     checkpoint/              of the stream that fills the store
 
 One write means one parse of each body, and clean and quarantined rows are
@@ -16,11 +16,13 @@ batch complete, and readers see complete batches only.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from skyledger.functions.derive import moment
 from skyledger.functions.rules import located_rules, standard_rules
@@ -85,9 +87,9 @@ class SilverStore:
     def checkpoint(self) -> str:
         return f"{self.root}/checkpoint"
 
-    def clean(self, spark: SparkSession, keep_period: bool = False, merge_schema: bool = False) -> DataFrame:
+    def clean(self, spark: SparkSession, keep_period: bool = False) -> DataFrame:
         """Clean readings; with ``keep_period`` the partition column stays for pruning."""
-        rows = self._outcome(spark, CLEAN, merge_schema).drop("outcome", "micro_batch", quality.REASON)
+        rows = self._outcome(spark, CLEAN).drop("outcome", "micro_batch", quality.REASON)
         return rows if keep_period else rows.drop(PERIOD)
 
     def quarantine(self, spark: SparkSession) -> DataFrame:
@@ -114,13 +116,28 @@ class SilverStore:
     def _clean_log(self, spark: SparkSession) -> DataFrame:
         return tables.scan(spark, self.log_path).where(F.col("outcome") == CLEAN)
 
-    def _outcome(self, spark: SparkSession, outcome: str, merge_schema: bool = False) -> DataFrame:
+    def _outcome(self, spark: SparkSession, outcome: str) -> DataFrame:
         """Rows of complete batches; all conditions prune folders."""
         complete = tables.scan(spark, self.log_path).agg(F.collect_set("micro_batch")).scalar()
-        rows = tables.scan(spark, self.checked_path, merge_schema=merge_schema)
-        own = (F.col("outcome") == outcome) & F.array_contains(complete, F.col("micro_batch"))
-        # a store of undated rows alone gives no date to tell the type from
-        return rows.where(own).withColumn(PERIOD, F.col(PERIOD).cast("date"))
+        rows = spark.read.schema(self._columns(spark)).parquet(self.checked_path)
+        return rows.where(F.col("outcome") == outcome).where(F.array_contains(complete, F.col("micro_batch")))
+
+    def _columns(self, spark: SparkSession) -> StructType:
+        """Every column some batch wrote; those a batch did not write are null in it.
+
+        The log holds one text for each batch, so no file has to be opened to
+        tell, however many there are. Only the few different texts are fetched.
+        """
+        log = tables.scan(spark, self.log_path)
+        versions = log.groupBy("columns").agg(F.min("micro_batch").alias("since")).collect()
+        if not versions:
+            raise ValueError(f"{self.root}: no batch with rows yet")
+        fields: dict[str, StructField] = {"micro_batch": StructField("micro_batch", IntegerType())}
+        for version in sorted(versions, key=lambda found: found.since):
+            for field in StructType.fromJson(json.loads(version.columns)):
+                if fields.setdefault(field.name, field).dataType != field.dataType:
+                    raise ValueError(f"{self.root}: column {field.name} changed its type")
+        return StructType(list(fields.values()))
 
 
 def write_batch(
@@ -155,10 +172,14 @@ def write_batch(
     log = written.groupBy("outcome", PERIOD).agg(
         F.count("*").alias("row_count"), F.max("event_time").alias("newest_event_time")
     )
-    stamped = log.selectExpr("*", f"{moment(run_time)} AS run_time")
+    stamped = log.selectExpr("*", f"{moment(run_time)} AS run_time").withColumn("columns", F.lit(_nullable(placed)))
     _replace(stamped.coalesce(1), f"{store.log_path}/micro_batch={micro_batch}")
 
 
+def _nullable(df: DataFrame) -> str:
+    return StructType([StructField(field.name, field.dataType) for field in df.schema]).json()
+
+
 def _replace(df: DataFrame, path: str, *partition_by: str) -> None:
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 

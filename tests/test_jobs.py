@@ -75,6 +75,8 @@ def test_empty_batch(spark, folder):
     store = SilverStore(folder)
     write_batch(bronze(spark), store, 0, AS_OF)
     assert store.audit(spark).count() == 0
+    with pytest.raises(ValueError):
+        store.clean(spark)
     write_batch(bronze(spark, *responses(5)), store, 1, AS_OF)
     write_batch(bronze(spark), store, 2, AS_OF)
     assert store.audit(spark).first().total_rows == 5
@@ -84,10 +86,19 @@ def test_added_column_is_null_in_older_batches(spark, folder):
     store = SilverStore(folder)
     write_batch(bronze(spark, *responses(5, 1)), store, 0, AS_OF)
     write_batch(bronze(spark, *responses(5, 11)).withColumn("region", F.lit("south")), store, 1, AS_OF)
-    regions = store.clean(spark, merge_schema=True).groupBy("region").count().collect()
+    write_batch(bronze(spark, *responses(5, 21)), store, 2, AS_OF)
+    regions = store.clean(spark).groupBy("region").count().collect()
     assert {r.region for r in regions} == {None, "south"}
 
 
+def test_column_of_another_type_is_refused(spark, folder):
+    store = SilverStore(folder)
+    for number, region in enumerate(("south", 1)):
+        write_batch(bronze(spark, *responses(5, 1)).withColumn("region", F.lit(region)), store, number, AS_OF)
+    with pytest.raises(ValueError, match="region"):
+        store.clean(spark)
+
+
 def test_kept_struct(spark, folder):
     store = SilverStore(folder)
     write_batch(bronze(spark, call(body())), store, 0, AS_OF, keep_parsed=True)
