@@ -56,7 +56,7 @@ def latest_per_key(
         df = df.where(F.array_contains(held, F.col(period.column)) & (F.col(AT) >= since)).drop(period.column)
     last_first = [F.desc_nulls_last(name) for name in order_of(df, tie_break)]
     ranked = Window.partitionBy(key).orderBy(*last_first)
-    return df.withColumn("rn", F.row_number().over(ranked)).where("rn = 1").drop("rn")
+    return df.withColumn("_rank", F.row_number().over(ranked)).where("_rank = 1").drop("_rank")
 
 
 def since_latest(

@@ -165,7 +165,8 @@ def write_batch(
         f"if({passed}, '{CLEAN}', '{QUARANTINE}') AS outcome",
         f"if({passed}, {store.period.of('event_time')}, NULL) AS {PERIOD}",
     )
-    own = f"{store.checked_path}/micro_batch={micro_batch}"
+    own, own_log = (f"{path}/micro_batch={micro_batch}" for path in (store.checked_path, store.log_path))
+    tables.reset(spark, paths=[own_log])  # a batch being replaced is not complete
     _replace(placed.hint("rebalance", "outcome", PERIOD) if cluster else placed, own, "outcome", PERIOD)
 
     written = spark.read.schema(placed.schema).parquet(own)
@@ -173,7 +174,7 @@ def write_batch(
         F.count("*").alias("row_count"), F.max("event_time").alias("newest_event_time")
     )
     stamped = log.selectExpr("*", f"{moment(run_time)} AS run_time").withColumn("columns", F.lit(_nullable(placed)))
-    _replace(stamped.coalesce(1), f"{store.log_path}/micro_batch={micro_batch}")
+    _replace(stamped.coalesce(1), own_log)
 
 
 def _nullable(df: DataFrame) -> str:

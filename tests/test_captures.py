@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import io
 import json
+import urllib.error
+import urllib.request
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,6 +92,14 @@ def test_poll_of_an_unreachable_address_is_status_zero(spark):
     assert (row.status_code, row.raw_response) == (0, None)
 
 
+def test_error_status_is_an_answer(monkeypatch):
+    def refuse(url, timeout):
+        raise urllib.error.HTTPError(url, 401, "no", None, io.BytesIO(b'{"cod":401}'))
+
+    monkeypatch.setattr(urllib.request, "urlopen", refuse)
+    assert captures.http_get("https://api.example.org", 1.0) == (401, '{"cod":401}')
+
+
 def test_captures_may_be_none_or_without_bodies(spark):
     assert captures.capture_rows(spark, []).count() == 0
     assert captures.capture_rows(spark, [call(None, 0)]).first().raw_response is None

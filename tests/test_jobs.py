@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 from datetime import timedelta
 
@@ -124,6 +126,18 @@ def test_store_products_equal_plain_ones(spark, folder, unit):
         assert frame.count() > 0 or name == "severe_alerts"
 
 
+def test_store_products_prune_partitions(spark, folder):
+    store = SilverStore(folder)
+    write_batch(bronze(spark, *responses(40)), store, 0, AS_OF)
+    stored = gold.from_store(spark, store, bronze(spark, call(body())), AS_OF)
+    for name in ("city_current", "recent_24h", "hourly_summary", "severe_alerts"):
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            stored[name].explain("formatted")
+        filters = [line for line in out.getvalue().splitlines() if line.startswith("PartitionFilters")]
+        assert any("event_period" in line and "ubquery" in line for line in filters), name
+
+
 def test_gold_refresh_of_touched_days(spark, folder):
     store, path = SilverStore(f"{folder}/silver"), f"{folder}/extremes"
     for number, offset in enumerate((0, 30, 60)):

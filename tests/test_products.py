@@ -160,7 +160,8 @@ def test_alerts_rank_after_the_alert_filter(spark):
     assert got.where("alert_triggered_at <> event_time").count() == 0
 
 
-CALLS = "requested_city string, load_date date, status_code bigint, raw_response string, latency_ms bigint, ingestion_time timestamp"
+CALLS = """requested_city string, load_date date, status_code bigint, raw_response string, latency_ms bigint,
+ingestion_time timestamp"""
 
 
 def calls(spark):

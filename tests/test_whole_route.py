@@ -57,10 +57,11 @@ def random_calls(n=600, seed=11):
     pick = random.Random(seed)
     rows = []
     for i in range(n):
+        temperature, humidity = pick.choice([-50.5, -50, 20, 60, 60.5, None]), pick.choice([-1, 0, 100, 101, None])
         fields = {
             "name": pick.choice(["a", "b", "hot", "hot", None]),
             "dt": pick.choice([NOON + i, NOON - i, None, NOON]),
-            "main": pick.choice([None, main(temp=pick.choice([-50.5, -50, 20, 60, 60.5, None]), humidity=pick.choice([-1, 0, 100, 101, None]))]),
+            "main": pick.choice([None, main(temp=temperature, humidity=humidity)]),
             "wind": pick.choice([{"speed": pick.choice([-0.5, 0, 41])}, {}, None]),
         }
         if pick.random() < 0.5:  # mostly sound
