@@ -588,9 +588,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return city_current(spark, "/root/testdata/sf0.001")
 
 
+def _optional_entries() -> dict[str, tuple[Query, str | None]]:
+    """The training-data operators and their pipeline, where they are installed."""
+    found: dict[str, tuple[Query, str | None]] = {}
+    try:
+        from skyledger.llm.queries import ENTRIES
+
+        found |= ENTRIES
+        import corpus_pipeline
+
+        found["pipeline"] = (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("skyledger.llm", "skyledger.llm.queries", "corpus_pipeline"):
+            raise
+    return found
+
+
 def queries() -> dict[str, Query]:
-    return {name: query for name, (query, _) in _entries().items()}
+    return {name: query for name, (query, _) in (_entries() | _optional_entries()).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in _entries().items() if sql}
+    return {name: sql for name, (_, sql) in (_entries() | _optional_entries()).items() if sql}
