@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from skyledger.llm import packing, url_filters
+from skyledger.llm import langid, packing, quality, toxicity, url_filters
 
 ENTRIES = {
     "op6_concatenate_and_cut": (packing.op6_concatenate_and_cut, None),
+    "op7_nearest_votes": (quality.op7_nearest_votes, None),
     "op8_redirect_rules": (url_filters.op8_redirect_rules, url_filters.ORACLE),
+    "op9_naive_bayes_ratios": (toxicity.op9_naive_bayes_ratios, None),
+    "op10_family_then_pairs": (langid.op10_family_then_pairs, None),
 }
