@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from skyledger.llm import langid, packing, quality, toxicity, url_filters
+from skyledger.llm import langid, mixing, packing, quality, toxicity, url_filters
 
 ENTRIES = {
+    "op1_tree_budgets": (mixing.op1_tree_budgets, mixing.ORACLE),
     "op6_concatenate_and_cut": (packing.op6_concatenate_and_cut, None),
     "op7_nearest_votes": (quality.op7_nearest_votes, None),
     "op8_redirect_rules": (url_filters.op8_redirect_rules, url_filters.ORACLE),
