@@ -18,12 +18,21 @@ _INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 _powers = {True: np.ones(1, dtype=np.uint64), False: np.ones(1, dtype=np.uint64)}
 
 
-def _powers_of(base: np.uint64, key: bool, n: int) -> np.ndarray:
-    if len(_powers[key]) < n:
-        grown = np.full(max(n, 1 << 20), base, dtype=np.uint64)
+def powers(inverse: bool, n: int) -> np.ndarray:
+    """The first ``n`` powers of BASE, or of its inverse, modulo 2**64."""
+    if len(_powers[inverse]) < n:
+        grown = np.full(max(n, 1 << 18), _INVERSE if inverse else BASE, dtype=np.uint64)
         grown[0] = 1
-        _powers[key] = np.cumprod(grown)
-    return _powers[key][:n]
+        _powers[inverse] = np.cumprod(grown)
+    return _powers[inverse][:n]
+
+
+def prefix_values(values: np.ndarray) -> np.ndarray:
+    """Prefix sums of the values as coefficients of a polynomial in BASE: of two of them
+    the difference, brought back to place 0, is a value of what stands between."""
+    sums = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * powers(False, len(values)), out=sums[1:])
+    return sums
 
 
 def split_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -44,8 +53,6 @@ def split_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64 bits for each word; equal words have equal values wherever they stand."""
-    n = len(data)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(BYTE_VALUE[data] * _powers_of(BASE, True, n), out=sums[1:])
-    value = (sums[ends] - sums[starts]) * _powers_of(_INVERSE, False, n)[starts]
+    sums = prefix_values(BYTE_VALUE[data])
+    value = (sums[ends] - sums[starts]) * powers(True, len(data) + 1)[starts]
     return mix64(value + (ends - starts).astype(np.uint64) * GOLDEN)
