@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from skyledger.llm import fingerprints, langid, mixing, packing, quality, toxicity, url_filters
+from skyledger.llm import fingerprints, jaccard, langid, mixing, packing, quality, toxicity, url_filters
 
 ENTRIES = {
     "op1_tree_budgets": (mixing.op1_tree_budgets, mixing.ORACLE),
     "op3_coin_tossing": (fingerprints.op3_coin_tossing, None),
+    "op5_segment_pigeonhole": (jaccard.op5_segment_pigeonhole, None),
     "op6_concatenate_and_cut": (packing.op6_concatenate_and_cut, None),
     "op7_nearest_votes": (quality.op7_nearest_votes, None),
     "op8_redirect_rules": (url_filters.op8_redirect_rules, url_filters.ORACLE),
