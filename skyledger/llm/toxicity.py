@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import fold, read_table
+from skyledger.llm.common import fold, read_table, stage
 from skyledger.llm.features import (
     LOWER,
     hashed_ngrams,
@@ -66,33 +66,26 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(row_sums(self.weights[buckets], ends) + self.bias, -30, 30)))
 
 
-def fit(buckets: np.ndarray, ends: np.ndarray, labels: np.ndarray, weight: np.ndarray, penalty: float = 3.0) -> Model:
-    """Logistic regression, by full gradients with Adam steps, over the presence of each
-    n-gram times its log-count ratio: log of how much likelier the n-gram is in documents of label 1.
-
-    ``weight`` restores the share of each label in the corpus. Without two labels the
-    model scores the prior of what there is.
-    """
-    width = 1 << BITS
+def prior_model(labels: np.ndarray, weight: np.ndarray) -> Model:
+    """Scores every text by the share of label 1, or the least share without any label."""
     total = weight.sum()
     prior = float(np.clip((weight * labels).sum() / total, 1e-3, 1 - 1e-3)) if total else 1e-3
-    bias = np.log(prior / (1 - prior))
-    if len(set(labels.tolist())) < 2:
-        return Model(np.zeros(width, dtype=np.float32), bias)
+    return Model(np.zeros(1 << BITS, dtype=np.float32), np.log(prior / (1 - prior)))
+
+
+def fit(
+    buckets: np.ndarray, ends: np.ndarray, labels: np.ndarray, weight: np.ndarray, ratio: np.ndarray, penalty: float = 3.0
+) -> Model:
+    """Logistic regression, by full gradients with Adam steps, over the presence of each
+    n-gram times its log-count ratio; n-grams of ratio 0 are no features. ``weight``
+    restores the share of each label in the corpus."""
     row = np.repeat(np.arange(len(labels)), np.diff(ends))
-    seen = [np.bincount(buckets[labels[row] == k], minlength=width) + 1.0 for k in (0, 1)]
-    ratio = np.log(seen[1] / (labels == 1).sum()) - np.log(seen[0] / (labels == 0).sum())
-    known = np.abs(ratio) > LEAST_Z * np.sqrt(1 / seen[0] + 1 / seen[1])
-    keep = known[buckets]
-    buckets, row = buckets[keep], row[keep]
-    ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(labels)))])
-    ratio = np.where(known, ratio, 0.0)
-    v, first, second = np.zeros(width), np.zeros(width), np.zeros(width)
-    b, b1, b2 = bias, 0.0, 0.0
+    v, first, second = (np.zeros(len(ratio)) for _ in range(3))
+    b, b1, b2 = prior_model(labels, weight).bias, 0.0, 0.0
     for step in range(1, 81):
         z = row_sums((v * ratio)[buckets], ends) + b
         error = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels)
-        grad = np.bincount(buckets, weights=error[row], minlength=width) * ratio + penalty * v
+        grad = np.bincount(buckets, weights=error[row], minlength=len(ratio)) * ratio + penalty * v
         grad_b = error.sum()
         first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad**2
         b1, b2 = 0.9 * b1 + 0.1 * grad_b, 0.99 * b2 + 0.01 * grad_b**2
@@ -102,25 +95,45 @@ def fit(buckets: np.ndarray, ends: np.ndarray, labels: np.ndarray, weight: np.nd
     return Model((v * ratio).astype(np.float32), float(b))
 
 
+def _ngram_lists(sample: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:
+    def run(data, offsets, block):
+        buckets, ends = present_ngrams(data, offsets, wanted)
+        return [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(buckets.astype(np.int32)))]
+
+    return scored(sample, ["doc_id", "label"], run, "buckets array<int>")
+
+
+def log_count_ratios(sample: DataFrame, drawn: dict[int, int]) -> np.ndarray:
+    """For each bucket the log of how much likelier its n-grams are in a document of label
+    1, counted over the sample; 0 within LEAST_Z standard errors of it."""
+    seen = _ngram_lists(sample).select("label", F.explode("buckets").alias("bucket"))
+    seen = seen.groupBy("bucket").agg((F.sum("label") + 1).alias("one"), (F.sum(1 - F.col("label")) + 1).alias("nil"))
+    ratio = F.log(F.col("one") / drawn[1]) - F.log(F.col("nil") / drawn[0])
+    seen = seen.select("bucket", ratio.alias("ratio"), F.sqrt(1 / F.col("one") + 1 / F.col("nil")).alias("error"))
+    got = seen.where(F.abs("ratio") > LEAST_Z * F.col("error")).toArrow()  # a row per bucket at most
+    out = np.zeros(1 << BITS)
+    out[got.column("bucket").to_numpy()] = got.column("ratio").to_numpy()
+    return out
+
+
 def train(docs: DataFrame, labels: DataFrame, each: int = SAMPLE_EACH) -> Model:
-    """Fitted on about ``each`` documents of either label (``doc_id``, ``label``); texts
-    become n-grams in the tasks, and only these come to the driver."""
-    counts = {x.label: x["count"] for x in labels.groupBy("label").count().collect()}
-    sample = join_sample(docs, labelled_sample(labels, "label", each))
+    """Fitted on about ``each`` documents of either label (``doc_id``, ``label``).
 
-    def run(data, offsets, block):
-        buckets, ends = present_ngrams(data, offsets)
-        values = pa.array(buckets.astype(np.int32))
-        return [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)]
-
-    got = scored(sample, ["doc_id", "label"], run, "buckets array<int>").toArrow().combine_chunks().sort_by("doc_id")
-    y = got.column("label").to_numpy().astype(np.float64)
-    lists = got.column("buckets").combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.int32()))
-    ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
-    drawn = {k: max(1, int((y == k).sum())) for k in (0, 1)}
-    weight = np.array([counts.get(int(k), 0) / drawn[int(k)] for k in y])
-    weight = weight / weight.mean() if len(weight) else weight
-    return fit(lists.flatten().to_numpy(), ends, y, weight)
+    N-grams are counted in the tasks; the driver gets the ratios of those that tell the
+    labels apart and, for each sampled document, which of these it holds."""
+    counts = {x.label: x["count"] for x in labels.groupBy("label").count().collect()}
+    sample = stage(join_sample(docs, labelled_sample(labels, "label", each)), "toxicity-sample")
+    drawn = {x.label: x["count"] for x in sample.groupBy("label").count().collect()}
+    y = np.repeat([0.0, 1.0], [drawn.get(0, 0), drawn.get(1, 0)])
+    weight = np.array([counts[int(k)] / drawn[int(k)] for k in y])
+    if len(drawn) < 2:
+        return prior_model(y, weight)
+    ratio = log_count_ratios(sample, drawn)
+    got = _ngram_lists(sample, ratio != 0).toArrow().combine_chunks().sort_by([("label", "ascending"), ("doc_id", "ascending")])
+    lists = got.column("buckets").combine_chunks()
+    lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
+    ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    return fit(lists.flatten().to_numpy(), ends, y, weight / weight.mean(), ratio)
 
 
 def score_documents(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
