@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from skyledger.llm import fingerprints, jaccard, langid, mixing, packing, quality, toxicity, url_filters
+from skyledger.llm import ann, fingerprints, html_layout, jaccard, langid, mixing, packing, quality, toxicity, url_filters
 
 ENTRIES = {
     "op1_tree_budgets": (mixing.op1_tree_budgets, mixing.ORACLE),
+    "op2_layout_text": (html_layout.op2_layout_text, None),
     "op3_coin_tossing": (fingerprints.op3_coin_tossing, None),
+    "op4_shared_queue_forest": (ann.op4_shared_queue_forest, None),
     "op5_segment_pigeonhole": (jaccard.op5_segment_pigeonhole, None),
     "op6_concatenate_and_cut": (packing.op6_concatenate_and_cut, None),
     "op7_nearest_votes": (quality.op7_nearest_votes, None),
