@@ -20,6 +20,8 @@ LEAF_SAMPLE = 24
 DEEPEST = 10
 #: Share of the sample that a search covers before it ends.
 SEARCH_SHARE = 0.6
+#: Vectors that a search covers at least, however few there are.
+LEAST_COVERED = 1000
 #: Index rows of a leaf that are compared in one go; larger leaves are split.
 LEAF_ROWS = 4096
 NEIGHBOURS = 10
@@ -84,12 +86,14 @@ class Forest:
     def probes(self, query: np.ndarray) -> list[tuple[int, int]]:
         """(tree, leaf) to look into. All trees share one queue: what is nearest to the
         query, by the squares of the distances to the hyperplanes crossed, comes first,
-        until the leaves hold ``share`` of the sample, each vector counted once."""
+        until the leaves hold ``share`` of the sample, each vector counted once (of a small
+        one LEAST_COVERED)."""
         inner = (1 << self.depth) - 1
         margins = [tree.normals @ query - tree.cuts for tree in self.trees]
         queue = [(0.0, t, 0) for t in range(len(self.trees))]
+        wanted = min(max(self.share * self.size, LEAST_COVERED), self.size)
         covered, count, out = np.zeros(self.size, dtype=bool), 0, []
-        while queue and (count < self.share * self.size or len(out) < len(self.trees)):
+        while queue and (count < wanted or len(out) < len(self.trees)):
             far, t, node = heapq.heappop(queue)
             while node < inner:
                 margin = margins[t][node]

@@ -66,7 +66,8 @@ def scored(
 
     kinds = dict(docs.dtypes)
     declared = ", ".join([*[f"`{c}` {kinds[c]}" for c in columns], schema])
-    return docs.select(*columns, "text").mapInArrow(score, declared)
+    needed = columns if "text" in columns else [*columns, "text"]
+    return docs.select(*[F.col(f"`{c}`") for c in needed]).mapInArrow(score, declared)
 
 
 def labelled_sample(rows: DataFrame, label: str, each: int) -> DataFrame:
