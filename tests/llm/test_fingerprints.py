@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+from helpers import with_extras
+
+from skyledger.llm import fingerprints
+from skyledger.llm.common import text_buffer
+
+
+def texts(n=60, seed=4):
+    rng = random.Random(seed)
+    pool = ["".join(rng.choice("abcdefghé ") for _ in range(rng.randrange(2, 9))) for _ in range(300)]
+    return [" ".join(rng.choice(pool) for _ in range(rng.choice([0, 1, 3, 20, 200, 900]))) for _ in range(n)]
+
+
+def test_rows_equal_a_plain_version(documents):
+    made = texts()
+    rows = [(3 * i, t) for i, t in enumerate(made)] + [(1, None), (None, "no id"), (4, "x"), (7, "aaaa" * 5000), (8, "é")]
+    docs = with_extras(documents(rows), "bucket", "guest", "_order").repartition(7)
+    found = {r.doc_id: r for r in fingerprints.compared(docs).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
+    for (i, text), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+        text, after, row = text or "", after or "", found[i]
+        k = len(text) // 3
+        edited = text[: len(text) - k] + after[:k]
+        assert row.n_chars == len(text)
+        assert row.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        prints = [fingerprints.of_texts([x]) for x in (text, edited, after)]
+        assert [row.fingerprint, row.edited_fingerprint] == [fingerprints.as_text(p).to_pylist()[0] for p in prints[:2]]
+        assert row.near_edited == fingerprints.likeness(prints[0], prints[1])[0]
+        assert row.near_next == fingerprints.likeness(prints[0], prints[2])[0]
+        assert 0 <= row.near_edited <= 1 and 0 <= row.near_next <= 1
+
+
+def test_likeness_follows_shared_text():
+    made = [t for t in texts(seed=8) if len(t) > 800]
+    halves = [a[: len(a) // 2] + b[len(b) // 2 :] for a, b in zip(made, made[1:] + made[:1], strict=True)]
+    whole, half, shifted, other = (
+        fingerprints.of_texts(x) for x in (made, halves, ["shift " + t for t in made], made[1:] + made[:1])
+    )
+    assert fingerprints.likeness(whole, whole).tolist() == [1.0] * len(made)
+    assert fingerprints.likeness(whole, shifted).min() > 0.9
+    assert 0.15 < fingerprints.likeness(whole, half).mean() < 0.6
+    assert fingerprints.likeness(whole, other).mean() < 0.15
+
+
+def test_equal_substrings_share_interior_names():
+    rng = np.random.default_rng(0)
+    inner = rng.integers(97, 123, 4000).astype(np.uint8)
+    names = []
+    for lead in (0, 1, 7, 500):
+        data = np.concatenate([rng.integers(97, 123, lead).astype(np.uint8), inner])
+        symbols, cuts, places = data, np.array([0, len(data)]), np.arange(len(data))
+        for _ in range(3):
+            symbols, cuts, places = fingerprints._phrases(symbols, cuts, places)
+        far = places > lead + 300  # past what the start disturbs
+        names.append(set(zip(symbols[far].tolist(), (places[far] - lead).tolist(), strict=True)))
+    assert all(x == names[0] for x in names) and len(names[0]) > 50
+
+
+def test_prints_do_not_depend_on_neighbours():
+    made = texts(seed=2)
+    roots, tags = fingerprints.of_texts(made)
+    for i, text in enumerate(made):
+        alone = fingerprints.fingerprints(*text_buffer(__import__("pyarrow").array([text])))
+        assert alone[0][0] == roots[i] and (alone[1][0] == tags[i]).all()
+
+
+def test_few_rows_and_repeats(documents):
+    assert fingerprints.compared(documents([])).collect() == []
+    alone = fingerprints.compared(documents([(4, "only text here")])).collect()
+    assert [r.near_next for r in alone] == [1.0]
+    again = fingerprints.compared(documents([(4, "same"), (4, "same"), (4, "other")])).collect()
+    assert sorted(r.n_chars for r in again) == [4, 4, 5]

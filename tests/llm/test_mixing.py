@@ -1,0 +1,92 @@
+from __future__ import annotations
+
+from collections import Counter, defaultdict
+from fractions import Fraction
+
+from helpers import WORD, with_extras
+from pyspark.sql import functions as F
+
+from skyledger.llm import mixing
+
+DOMAINS = {"a": ["s1", "s2"], "b": ["s3"]}
+WEIGHTS = {("a",): 3, ("a", "en"): 2, ("a", "en", "s2"): 5, ("b",): 1}
+
+
+def rows():
+    out = []
+    for i in range(60):
+        source = ["s1", "s2", "s3", "s9"][i % 4] if i % 7 else "s1"
+        lang = "en" if i % 3 else "de"
+        out.append((i, " ".join(f"w{k}" for k in range(3 + i % 11)), lang, source, 5))
+    return [*out, (60, None, "en", "s1", 0), (61, "", None, "s9", 0), (62, "null language", None, "s9", 1)]
+
+
+def fill(budget, children):
+    """Water level by trial: {name: (weight, cap)} to exact shares."""
+    got, open_ = {}, dict(children)
+    while True:
+        total = sum(w for w, _ in open_.values())
+        full = [k for k, (w, cap) in open_.items() if cap <= Fraction(budget * w, total)]
+        if not full:
+            return got | {k: Fraction(budget * w, total) for k, (w, _) in open_.items()}
+        for k in full:
+            got[k] = open_.pop(k)[1]
+            budget -= got[k]
+        if not open_:
+            return got
+
+
+def test_budgets_go_to_siblings_first(spark, documents):
+    docs = with_extras(documents(rows()), "_x", "tokens", "domain")
+    found = mixing.mixture(docs, "available * 3 / 2", WEIGHTS, DOMAINS, "rest", 2, seed=5).collect()
+    available = Counter()
+    for i, text, lang, source, _ in rows():
+        domain = next((d for d, s in DOMAINS.items() if source in s), "rest")
+        available[(domain, lang or "(none)", source)] += len(WORD.findall(text or ""))
+    available = +available
+    total = min(sum(available.values()) * 3 // 2, 2 * sum(available.values()))
+    want = {(): Fraction(total)}
+    for depth in (1, 2, 3):
+        families = defaultdict(dict)
+        for leaf, n in available.items():
+            name = leaf[:depth]
+            weight, cap = families[name[:-1]].get(name, (WEIGHTS.get(name, 1), 0))
+            families[name[:-1]][name] = (weight, cap + 2 * n)
+        for parent, children in families.items():
+            want |= fill(want[parent], children)
+    got = Counter()
+    for r in found:
+        got[(r._domain, r.lang or "(none)", r.source)] += r._kept
+    assert sum(got.values()) == total
+    for leaf in available:
+        assert abs(got[leaf] - want[leaf]) < 4, leaf
+    # whole epochs are whole, of the last a prefix with one cut document at most
+    by_leaf = defaultdict(list)
+    for r in found:
+        by_leaf[(r._domain, r.lang, r.source)].append(r)
+    for taken in by_leaf.values():
+        assert sum(r._kept < r._tokens for r in taken) <= 1
+        assert len({(r.doc_id, r._epoch) for r in taken}) == len(taken)
+
+
+def test_texts_are_cut_after_words(documents):
+    docs = documents([(i, f"  a{i} b\tc\n d  ", "en", "s1", 12) for i in range(9)])
+    mixed = mixing.mixture(docs, "18", {}, {}, "rest", 1)
+    assert sum(r._kept for r in mixed.collect()) == 18
+    cut = mixing.cut_texts(mixed, docs.columns).collect()
+    assert sum(len(WORD.findall(r.text)) for r in cut) == 18
+    assert all(f"  a{r.doc_id} b\tc\n d  ".startswith(r.text) and r.n_chars <= 12 for r in cut)
+
+
+def test_repeated_ids_and_empty_tables(documents):
+    docs = documents([(1, "a b c", "en", "s1", 5)] * 4)
+    kept = [r._kept for r in mixing.mixture(docs, "13", {}, {}, "rest", 4).collect()]
+    assert kept == [3, 3, 3, 3]  # the part epoch ends in rows that are tied
+    assert mixing.mixture(documents([])).collect() == []
+    assert mixing.mixture(documents([(1, None), (2, " ")])).collect() == []
+
+
+def test_weight_nought(documents):
+    docs = documents([(i, "a b c d", "en", f"s{i % 2}", 7) for i in range(10)])
+    got = mixing.mixture(docs, "16", {("rest", "en", "s0"): 0}, {}, "rest", 4)
+    assert got.agg(F.sum("_kept"), F.countDistinct("source")).first()[:] == (16, 1)
