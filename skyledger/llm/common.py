@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,8 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers import this package; where it is not installed they find it beside the driver's
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -76,7 +79,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[start : offsets[-1] if len(offsets) else 0], offsets - start
 
 
-def blocks(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def blocks(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the column ``text`` of a block holds about ``most_bytes``
     (one row may be longer): temporaries then stay small whatever the rows hold."""
     for batch in batches:
