@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from skyledger.functions import derive
 from skyledger.operators import audit, enrich, parse, products, quality
 from skyledger.plans import bronze, gold, silver
-from skyledger.schemas import BRONZE_DDL, CAPTURE_DDL, column_names
+from skyledger.schemas import BRONZE_DDL, CAPTURE_DDL, READING_DDL, column_names
 from skyledger.session import pin_utc, shared_dir
 from skyledger.sources import captures, event_feed, tables
 from skyledger.streaming import bronze as stream_bronze
@@ -24,10 +24,32 @@ from skyledger.streaming import silver as stream_silver
 
 AS_OF = "2025-01-01 00:00:00"
 EARLY = "2024-01-03 00:00:00"
+# about two days of events in four
+EVERY_OTHER_DAY = "event_id % 670 < 335"
+# total, so that its negation has the other rows
+EARLY_HALF = "coalesce(latency_ms, 0) < 300"
+BATCH_BYTES = str(256 << 20)
 BASE_URL = "https://api.example.org/data/2.5/weather"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Where the payload holds what no column of a reading does.
+PAYLOAD_EXTRAS = {
+    "base": "base",
+    "temp_min": "main.temp_min",
+    "temp_max": "main.temp_max",
+    "sea_level": "main.sea_level",
+    "grnd_level": "main.grnd_level",
+    "wind_deg": "wind.deg",
+    "wind_gust": "wind.gust",
+    "cloudiness": "clouds.all",
+    "sys_type": "sys.type",
+    "sys_id": "sys.id",
+    "utc_offset": "timezone",
+    "place_id": "id",
+    "cod": "cod",
+}
+
 
 # -- inputs -------------------------------------------------------------------
 
@@ -44,12 +66,6 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.clean_rows(_checked(spark, sf_dir))
 
 
-def _staged_clean(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Clean readings parsed once, for products that pass over them twice."""
-    rows = _clean(spark, sf_dir)
-    return tables.stage(rows.select(*columns) if columns else rows, shared_dir(spark, "clean"))
-
-
 def _checked_located(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
     return silver.checked_located(_captures(spark, sf_dir), as_of)
 
@@ -63,12 +79,19 @@ def _bronze_table(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _streamed_store(spark: SparkSession, sf_dir: str) -> silver.SilverStore:
-    """Bronze files in three micro-batches through the silver stream."""
+    """Bronze files in micro-batches through the silver stream."""
     source, store = _bronze_files(spark, sf_dir), _new_store(spark)
     stream_silver.drain(source, store, AS_OF)
     return store
 
 
+def _new_space(spark: SparkSession) -> str:
+    """A schema of its own for the tables of one query."""
+    space = f"run_{uuid.uuid4().hex[:8]}"
+    tables.create_layers(spark, [space], shared_dir(spark, "catalog"))
+    return space
+
+
 def _new_store(spark: SparkSession) -> silver.SilverStore:
     # the feed has a few hundred readings a day
     return silver.SilverStore(shared_dir(spark, "silver"), unit="month")
@@ -77,8 +100,8 @@ def _new_store(spark: SparkSession) -> silver.SilverStore:
 def _bronze_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "bronze")
     rows = captures.stamp(_captures(spark, sf_dir), AS_OF).select(*column_names(BRONZE_DDL))
-    rows.repartitionByRange(3, "call_timestamp").write.parquet(path)
-    return tables.stream(spark, path, BRONZE_DDL, maxFilesPerTrigger="1")
+    rows.write.parquet(path)
+    return tables.stream(spark, path, BRONZE_DDL, maxBytesPerTrigger=BATCH_BYTES)
 
 
 def _batch_store(spark: SparkSession, sf_dir: str) -> silver.SilverStore:
@@ -96,14 +119,24 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bronze table by name: typed DDL, then an append."""
-    space = f"bronze_{uuid.uuid4().hex[:8]}"
+    name = f"{_new_space(spark)}.calls"
     rows = captures.stamp(_captures(spark, sf_dir), AS_OF).select(*column_names(BRONZE_DDL))
-    tables.create_layers(spark, [space], shared_dir(spark, "catalog"))
-    tables.create_table(spark, f"{space}.calls", BRONZE_DDL, ["load_date"])
-    tables.append_table(rows, f"{space}.calls", ["load_date"])
-    return spark.table(f"{space}.calls").groupBy("load_date", "status_code").agg(
-        F.count("*").alias("calls"), F.sum("latency_ms").alias("latency_ms")
-    )
+    tables.create_table(spark, name, BRONZE_DDL, ["load_date"])
+    tables.append_table(rows, name, ["load_date"])
+    return spark.table(name)
+
+
+def landing_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed lines of which some break off, as bronze keeps them and why silver does not."""
+    landing, table = shared_dir(spark, "landing"), shared_dir(spark, "bronze")
+    rows = _captures(spark, sf_dir)
+    captures.land(rows.where("event_id % 13 <> 0").select(*column_names(CAPTURE_DDL)), landing)
+    line = "concat('{\"requested_city\":\"', requested_city, '\",\"latency_ms\":', latency_ms) AS value"
+    rows.where("event_id % 13 = 0").selectExpr(line).write.mode("append").text(landing)
+    bronze.ingest(spark, landing, table, AS_OF)
+    kept = silver.checked_readings(bronze.read(spark, table), AS_OF)
+    broken = "if(quarantine_reason = 'landing_broken', quarantine_reason, NULL) AS broken"
+    return kept.selectExpr("requested_city", "status_code", "raw_response", "latency_ms", broken)
 
 
 def request_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +157,7 @@ def parse_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.enrich(parse.parse_payload(_captures(spark, sf_dir)), AS_OF).drop("parsed")
+    return enrich.enrich(parse.parse_payload(_captures(spark, sf_dir), READING_DDL), AS_OF).drop("parsed")
 
 
 def enriched_located(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,12 +218,11 @@ def city_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recent_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return products.recent_readings(_staged_clean(spark, sf_dir))
+    return products.recent_readings(_clean(spark, sf_dir))
 
 
 def hourly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    needed = ["city", "event_time", "temperature", "humidity", "wind_speed", "rain_fall"]
-    return products.hourly_summary(_staged_clean(spark, sf_dir, *needed))
+    return products.hourly_summary(_clean(spark, sf_dir))
 
 
 def daily_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,10 +230,7 @@ def daily_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def severe_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    needed = ["city", "event_time", "call_timestamp", "temperature", "wind_speed", "rain_fall"]
-    return products.severe_alerts(
-        _staged_clean(spark, sf_dir, *needed, "weather_condition", "weather_severity_score")
-    )
+    return products.severe_alerts(_clean(spark, sf_dir))
 
 
 def alert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,6 +266,85 @@ def store_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return products.severe_alerts(clean, period=store.period, newest=store.newest(spark))
 
 
+def store_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 24 h bound from the period log prunes the periods."""
+    store = _batch_store(spark, sf_dir)
+    clean = store.clean(spark, keep_period=True)
+    return products.recent_readings(clean, period=store.period, newest=store.newest(spark))
+
+
+def store_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _batch_store(spark, sf_dir)
+    clean = store.clean(spark, keep_period=True)
+    return products.hourly_summary(clean, period=store.period, newest=store.newest(spark))
+
+
+def refreshed_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch replaced by one of fewer days: its other days go."""
+    store, table = silver.SilverStore(shared_dir(spark, "silver")), shared_dir(spark, "extremes")
+    rows = _captures(spark, sf_dir)
+    for part in (rows, rows.where(EVERY_OTHER_DAY)):
+        silver.write_batch(part, store, 0, AS_OF, cluster=True)
+        gold.refresh_daily_extremes(spark, store, 0, table)
+    return gold.read_daily_extremes(spark, table)
+
+
+def published_schema_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A product published again with a column more, and once in vain."""
+    name, place = f"{_new_space(spark)}.city_current", shared_dir(spark, "current")
+    latest = products.city_current(_clean(spark, sf_dir)).select("city", "event_time", "temperature")
+    tables.publish(latest, name, place)
+    tables.publish(spark.table(name).withColumn("is_hot", F.expr("temperature > 30")), name, place, replace_schema=True)
+    try:
+        tables.publish(latest, name, place)
+    except ValueError:
+        return spark.table(name)
+    raise AssertionError("columns were lost")
+
+
+def named_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store by names of the session: empty before the first batch, then with its rows."""
+    store, space = _new_store(spark), f"s{uuid.uuid4().hex[:8]}"
+    store.register(spark, space)
+    before = spark.table(f"{space}_quarantine")
+    silver.write_batch(_captures(spark, sf_dir), store, 0, AS_OF, cluster=True)
+    store.register(spark, space)
+    return spark.table(f"{space}_quarantine").unionAll(before)
+
+
+def named_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store, space = _batch_store(spark, sf_dir), f"s{uuid.uuid4().hex[:8]}"
+    store.register(spark, space)
+    return spark.sql(f"SELECT * FROM {space}_audit")
+
+
+def clean_with_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the payload has beyond the columns of a reading."""
+    rows = quality.clean_rows(_checked(spark, sf_dir, keep_parsed=True))
+    fields = [f"parsed.{path} AS {name}" for name, path in PAYLOAD_EXTRAS.items()]
+    return rows.selectExpr("event_id", *fields)
+
+
+def evolved_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second batch with a column more: null in the rows of the first."""
+    store, rows = _new_store(spark), _captures(spark, sf_dir)
+    silver.write_batch(rows.where(EARLY_HALF), store, 0, AS_OF, cluster=True)
+    later = rows.where(f"NOT ({EARLY_HALF})").withColumn("station", F.lit("north"))
+    silver.write_batch(later, store, 1, AS_OF, cluster=True)
+    return store.clean(spark).select("event_id", "city", "event_time", "temperature", "station")
+
+
+def stream_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream run again on its checkpoint, and its first batch forced once more."""
+    path, store = shared_dir(spark, "bronze"), _new_store(spark)
+    rows = captures.stamp(_captures(spark, sf_dir), AS_OF).select(*column_names(BRONZE_DDL))
+    rows.write.parquet(path)
+    for _ in range(2):
+        stream_silver.drain(tables.stream(spark, path, BRONZE_DDL), store, AS_OF)
+    silver.write_batch(tables.scan(spark, path, BRONZE_DDL), store, 0, AS_OF)
+    return store.clean(spark)
+
+
 def store_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily extremes kept up by refreshing the periods each batch touched.
 
@@ -244,7 +352,7 @@ def store_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     store, table = _new_store(spark), shared_dir(spark, "extremes")
     rows = _captures(spark, sf_dir)
-    for number, part in enumerate([rows.where("latency_ms < 300"), rows.where("latency_ms >= 300")]):
+    for number, part in enumerate([rows.where(EARLY_HALF), rows.where(f"NOT ({EARLY_HALF})")]):
         silver.write_batch(part, store, number, AS_OF, cluster=True)
         gold.refresh_daily_extremes(spark, store, number, table)
     return gold.read_daily_extremes(spark, table)
@@ -252,10 +360,10 @@ def store_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def published_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """API health over the bronze table, published and read back."""
-    product = shared_dir(spark, "health")
+    name = f"{_new_space(spark)}.api_health"
     health = products.api_health(bronze.read(spark, _bronze_table(spark, sf_dir)), AS_OF, stored=True)
-    tables.publish(health, product, "run-1")
-    return tables.read_published(spark, product)
+    tables.publish(health, name, shared_dir(spark, "health"))
+    return spark.table(name)
 
 
 # -- streams ------------------------------------------------------------------
@@ -287,15 +395,15 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _streamed_store(spark, sf_dir).audit(spark)
     return log.groupBy("run_time").agg(
-        F.count("*").alias("batches"),
         *[F.sum(name).alias(name) for name in ("total_rows", "valid_rows", "quarantine_rows")],
     )
 
 
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, checkpoint = shared_dir(spark, "current"), shared_dir(spark, "current-checkpoint")
-    stream_current.start(_bronze_files(spark, sf_dir), out, checkpoint, AS_OF).awaitTermination()
-    return stream_current.read(spark, out)
+    name, checkpoint = f"{_new_space(spark)}.city_current", shared_dir(spark, "current-checkpoint")
+    rows = _bronze_files(spark, sf_dir)
+    stream_current.start(rows, name, shared_dir(spark, "current"), checkpoint, AS_OF).awaitTermination()
+    return spark.table(name)
 
 
 # -- the same in SQL ----------------------------------------------------------
@@ -427,6 +535,9 @@ _REASON_COUNTS = "SELECT quarantine_reason, count(*) AS row_count FROM checked"
 _STAMPED = f"""{_CAPTURED}, TIMESTAMP '{AS_OF}' AS ingestion_time, CAST(TIMESTAMP '{AS_OF}' AS DATE) AS load_date,
   strftime(TIMESTAMP '{AS_OF}', '%Y%m%d%H%M%S') AS batch_id, 'openweather_api' AS source"""
 
+# as the landing zone hands them on: a call without a status has status 0
+_LANDED = _STAMPED.replace("status_code", "coalesce(status_code, 0) AS status_code")
+
 _COUNTS = """CAST(count(*) AS BIGINT) AS total_rows,
   CAST(count(*) FILTER (WHERE quarantine_reason IS NULL) AS BIGINT) AS valid_rows,
   CAST(count(*) FILTER (WHERE quarantine_reason IS NOT NULL) AS BIGINT) AS quarantine_rows"""
@@ -435,7 +546,7 @@ _COUNTS = """CAST(count(*) AS BIGINT) AS total_rows,
 def _current(columns: str) -> str:
     return f"""{_ENRICHED}
 SELECT {columns} FROM clean
-QUALIFY row_number() OVER (PARTITION BY city ORDER BY event_time DESC, call_timestamp DESC, raw_response DESC) = 1"""
+QUALIFY row_number() OVER (PARTITION BY city ORDER BY event_time DESC, call_timestamp DESC, md5(raw_response) DESC) = 1"""
 
 
 _ALERTS = f"""{_ENRICHED}
@@ -443,7 +554,7 @@ SELECT city, event_time, temperature, wind_speed, rain_fall AS rainfall, weather
   weather_severity_score, alert_type, event_time AS alert_triggered_at
 FROM alerting
 WHERE alert_type IS NOT NULL AND event_time >= (SELECT max(event_time) FROM clean) - INTERVAL 2 HOUR
-QUALIFY row_number() OVER (PARTITION BY city ORDER BY event_time DESC, call_timestamp DESC) = 1"""
+QUALIFY row_number() OVER (PARTITION BY city ORDER BY event_time DESC, call_timestamp DESC, md5(raw_response) DESC) = 1"""
 
 _EXTREMES = f"""{_ENRICHED}
 SELECT city, event_date, max(temperature) AS max_temp,
@@ -477,17 +588,27 @@ def _entries() -> dict[str, tuple[Query, str | None]]:
     quarantined = """SELECT requested_city, status_code, latency_ms, raw_response, ingestion_time, quarantine_reason
 FROM checked WHERE quarantine_reason IS NOT NULL"""
     recent = "event_time >= (SELECT max(event_time) FROM clean) - INTERVAL 24 HOUR"
+    hourly = f"""{_ENRICHED} SELECT city, date_trunc('hour', event_time) AS event_hour_start, count(*) AS n_readings,
+  avg(temperature) AS avg_temperature, avg(humidity) AS avg_humidity, avg(wind_speed) AS avg_wind_speed,
+  sum(rain_fall) AS total_rainfall FROM clean WHERE {recent} GROUP BY ALL"""
     return {
-        "bronze_ingest": (bronze_ingest, f"{_CAPTURES} SELECT {_STAMPED} FROM captures"),
-        "bronze_table": (
-            bronze_table,
-            f"""{_CAPTURES} SELECT CAST({run_time} AS DATE) AS load_date, status_code, count(*) AS calls,
-  CAST(sum(latency_ms) AS BIGINT) AS latency_ms FROM captures GROUP BY status_code""",
+        "bronze_ingest": (bronze_ingest, f"{_CAPTURES} SELECT {_LANDED} FROM captures"),
+        "bronze_table": (bronze_table, f"{_CAPTURES} SELECT {_STAMPED} FROM captures"),
+        "landing_broken": (
+            landing_broken,
+            f"""{_CAPTURES}, landed AS (
+  SELECT *, event_id % 13 = 0 AS is_broken, '{{"requested_city":"' || requested_city || '","latency_ms":' || latency_ms AS line
+  FROM captures)
+SELECT CASE WHEN NOT is_broken THEN requested_city END AS requested_city,
+  CASE WHEN is_broken THEN -1 ELSE coalesce(status_code, 0) END AS status_code,
+  CASE WHEN is_broken THEN line ELSE raw_response END AS raw_response,
+  CASE WHEN NOT is_broken THEN latency_ms END AS latency_ms,
+  CASE WHEN is_broken THEN 'landing_broken' END AS broken FROM landed""",
         ),
         "request_plan": (
             request_plan,
-            f"""SELECT DISTINCT 'city_' || user_id AS requested_city,
-  '{BASE_URL}?q=city_' || user_id || '&units=metric' AS url FROM events""",
+            f"""{_CAPTURES} SELECT DISTINCT requested_city, '{BASE_URL}?q='
+  || replace(replace(replace(requested_city, '&', '%26'), '*', '%2A'), ' ', '+') || '&units=metric' AS url FROM captures""",
         ),
         "parse_routes": (parse_routes, f"{_ROUTES} SELECT event_id, route FROM routed"),
         "parse_split": (
@@ -543,12 +664,7 @@ FROM clean GROUP BY ALL""",
         ),
         "city_current": (city_current, _current(event_reading)),
         "recent_24h": (recent_24h, f"{_ENRICHED} SELECT {event_reading} FROM clean WHERE {recent}"),
-        "hourly_summary": (
-            hourly_summary,
-            f"""{_ENRICHED} SELECT city, date_trunc('hour', event_time) AS event_hour_start, count(*) AS n_readings,
-  avg(temperature) AS avg_temperature, avg(humidity) AS avg_humidity, avg(wind_speed) AS avg_wind_speed,
-  sum(rain_fall) AS total_rainfall FROM clean WHERE {recent} GROUP BY ALL""",
-        ),
+        "hourly_summary": (hourly_summary, hourly),
         "daily_extremes": (daily_extremes, _EXTREMES),
         "severe_alerts": (severe_alerts, _ALERTS),
         "alert_history": (
@@ -567,15 +683,44 @@ FROM captures GROUP BY ALL""",
         "store_current": (store_current, _current(event_reading)),
         "store_alerts": (store_alerts, _ALERTS),
         "store_extremes": (store_extremes, _EXTREMES),
-        "published_health": (published_health, _health(f"CAST({run_time} AS DATE)", run_time)),
-        "compacted_bronze": (compacted_bronze, f"{_CAPTURES} SELECT {_STAMPED} FROM captures"),
-        "stream_ingest": (stream_ingest, f"{_CAPTURES} SELECT {_STAMPED} FROM captures"),
+        "store_recent": (store_recent, f"{_ENRICHED} SELECT {event_reading} FROM clean WHERE {recent}"),
+        "store_hourly": (store_hourly, hourly),
+        "refreshed_extremes": (
+            refreshed_extremes,
+            _EXTREMES.replace("FROM captures\n", f"FROM captures WHERE {EVERY_OTHER_DAY}\n"),
+        ),
+        "published_schema_change": (
+            published_schema_change,
+            f"""{_ENRICHED} SELECT city, event_time, temperature, temperature > 30 AS is_hot FROM clean
+QUALIFY row_number() OVER (PARTITION BY city ORDER BY event_time DESC, call_timestamp DESC, md5(raw_response) DESC) = 1""",
+        ),
+        "named_quarantine": (named_quarantine, f"{_ENRICHED} {quarantined}"),
+        "named_audit": (named_audit, f"{_ENRICHED} SELECT {run_time} AS run_time, {_COUNTS} FROM checked"),
+        "clean_with_payload": (
+            clean_with_payload,
+            f"""{_ENRICHED} SELECT event_id, j->>'$.base' AS base, CAST(j->>'$.main.temp_min' AS DOUBLE) AS temp_min,
+  CAST(j->>'$.main.temp_max' AS DOUBLE) AS temp_max, CAST(j->>'$.main.sea_level' AS INTEGER) AS sea_level,
+  CAST(j->>'$.main.grnd_level' AS INTEGER) AS grnd_level, CAST(j->>'$.wind.deg' AS INTEGER) AS wind_deg,
+  CAST(j->>'$.wind.gust' AS DOUBLE) AS wind_gust, CAST(j->>'$.clouds.all' AS INTEGER) AS cloudiness,
+  CAST(j->>'$.sys.type' AS INTEGER) AS sys_type, CAST(j->>'$.sys.id' AS INTEGER) AS sys_id,
+  CAST(j->>'$.timezone' AS INTEGER) AS utc_offset, CAST(j->>'$.id' AS INTEGER) AS place_id,
+  CAST(j->>'$.cod' AS INTEGER) AS cod FROM clean""",
+        ),
+        "evolved_clean": (
+            evolved_clean,
+            f"""{_ENRICHED} SELECT event_id, city, event_time, temperature,
+  CASE WHEN latency_ms >= 300 THEN 'north' END AS station FROM clean""",
+        ),
+        "stream_replayed": (stream_replayed, f"{_ENRICHED} SELECT {bronze_reading} FROM clean"),
+        "published_health": (
+            published_health,
+            _health(f"CAST({run_time} AS DATE)", run_time).replace("status_code", "coalesce(status_code, 0)"),
+        ),
+        "compacted_bronze": (compacted_bronze, f"{_CAPTURES} SELECT {_LANDED} FROM captures"),
+        "stream_ingest": (stream_ingest, f"{_CAPTURES} SELECT {_LANDED} FROM captures"),
         "stream_clean": (stream_clean, f"{_ENRICHED} SELECT {bronze_reading} FROM clean"),
         "stream_quarantine": (stream_quarantine, f"{_ENRICHED} {quarantined}"),
-        "stream_audit": (
-            stream_audit,
-            f"{_ENRICHED} SELECT {run_time} AS run_time, CAST(3 AS BIGINT) AS batches, {_COUNTS} FROM checked",
-        ),
+        "stream_audit": (stream_audit, f"{_ENRICHED} SELECT {run_time} AS run_time, {_COUNTS} FROM checked"),
         "stream_current": (stream_latest, _current(bronze_reading)),
     }
 

@@ -12,6 +12,9 @@ from skyledger.functions.derive import broken_json, moment
 
 Rule = tuple[str, str]
 
+# The status of a landed line that is no capture; no call has it.
+BROKEN_LINE_STATUS = -1
+
 # Legal ranges, ends included.
 TEMPERATURE_RANGE = (-50, 60)
 HUMIDITY_RANGE = (0, 100)
@@ -38,6 +41,7 @@ def standard_rules(null_status_fails: bool = True, strict_json: bool = False) ->
     """
     broken = f" OR (city IS NULL AND {broken_json('raw_response')})" if strict_json else ""
     return [
+        ("landing_broken", f"status_code = {BROKEN_LINE_STATUS}"),
         ("api_failed", call_failed(null_status_fails)),
         ("raw_json_missing", "raw_response IS NULL"),
         ("json_parse_failed", f"parsed IS NULL{broken}"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,8 +11,11 @@ from pyspark.sql import functions as F
 
 AT = "event_time"
 
-# Ties in event_time go to the later call, then to the greater of these.
-TIE_BREAK = ("call_timestamp", "raw_response", "requested_city", "latency_ms")
+# Names a body among those of equal times; stored, so that bodies need not be read to rank.
+BODY_HASH = "body_hash"
+
+# Ties in event_time go to the later call, then to the greater hash of the body.
+ORDER = (AT, "call_timestamp", BODY_HASH)
 
 
 class Period(NamedTuple):
@@ -27,18 +31,13 @@ class Period(NamedTuple):
         return f"CAST(date_trunc('{self.unit}', {at}) AS DATE)"
 
 
-def order_of(df: DataFrame, tie_break: Sequence[str] = TIE_BREAK) -> list[str]:
-    """``event_time`` and the tie breaks that the frame has."""
-    return [AT, *(name for name in tie_break if name in df.columns)]
+def with_body_hash(df: DataFrame) -> DataFrame:
+    """The frame with the hash of each body, taken from the body unless stored."""
+    return df if BODY_HASH in df.columns else df.withColumn(BODY_HASH, F.md5("raw_response"))
 
 
-def latest_per_key(
-    df: DataFrame,
-    key: str = "city",
-    tie_break: Sequence[str] = TIE_BREAK,
-    period: Period | None = None,
-) -> DataFrame:
-    """The last row of each key by ``event_time``.
+def latest_per_key(df: DataFrame, key: str = "city", period: Period | None = None) -> DataFrame:
+    """The last row of each key in the one order there is, :data:`ORDER`.
 
     The rank filter becomes a group limit before the shuffle: a task sends at
     most one row of a key, however many rows the key has.
@@ -46,22 +45,25 @@ def latest_per_key(
     A table stored by ``period`` is first asked, from two columns and by hash
     aggregation, which periods hold the newest time of some key, and which of
     these times is the earliest. Whole rows are read and ranked from those
-    periods and from that time on only. The period column is dropped.
+    periods and from that time on only. The period column is dropped, and the hash.
     """
+    missing = [name for name in ORDER if name not in df.columns]
+    if missing:
+        raise ValueError(f"cannot order rows without {', '.join(missing)}")
     if period is not None:
         newest = df.groupBy(key).agg(F.max(AT).alias(AT))
         # at most one entry for each period of history
-        held = newest.agg(F.expr(f"collect_set({period.of(AT)})")).scalar()
-        since = newest.agg(F.min(AT)).scalar()
-        df = df.where(F.array_contains(held, F.col(period.column)) & (F.col(AT) >= since)).drop(period.column)
-    last_first = [F.desc_nulls_last(name) for name in order_of(df, tie_break)]
-    ranked = Window.partitionBy(key).orderBy(*last_first)
-    return df.withColumn("_rank", F.row_number().over(ranked)).where("_rank = 1").drop("_rank")
+        held = F.expr(f"collect_set({period.of(AT)})").alias("held")
+        bounds = newest.agg(F.struct(held, F.min(AT).alias("since"))).scalar()
+        df = df.where(F.array_contains(bounds["held"], F.col(period.column)) & (F.col(AT) >= bounds["since"]))
+        df = df.drop(period.column)
+    ranked = Window.partitionBy(key).orderBy(*[F.desc_nulls_last(name) for name in ORDER])
+    return df.withColumn("_rank", F.row_number().over(ranked)).where("_rank = 1").drop("_rank", BODY_HASH)
 
 
 def since_latest(
     df: DataFrame,
-    hours: int,
+    hours: float,
     period: Period | None = None,
     newest: Column | None = None,
 ) -> DataFrame:
@@ -74,7 +76,7 @@ def since_latest(
     """
     if newest is None:
         newest = df.agg(F.max(AT)).scalar()
-    bound = newest - F.expr(f"INTERVAL {int(hours)} HOURS")
+    bound = newest - F.lit(timedelta(hours=hours))
     recent = df.where(F.col(AT) >= bound)
     if period is not None:
         first = F.date_trunc(period.unit, bound).cast("date")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions.rules import call_failed
-from skyledger.schemas import LOCATED_PAYLOAD_DDL, PAYLOAD_DDL
+from skyledger.schemas import PAYLOAD_DDL, READING_DDL, ROUTE_DDL
 
 API_ERROR = "api_error"
 UNPARSEABLE = "unparseable"
@@ -38,14 +38,15 @@ USABLE = """raw_response IS NOT NULL AND parsed IS NOT NULL AND parsed.name IS N
     AND parsed.dt IS NOT NULL AND parsed.main.temp IS NOT NULL"""
 
 
-def route(df: DataFrame, payload: str = LOCATED_PAYLOAD_DDL) -> DataFrame:
-    """Parse and add ``route``: every row gets exactly one, in a single pass."""
+def route(df: DataFrame, payload: str = ROUTE_DDL) -> DataFrame:
+    """Parse and add ``route``: every row gets exactly one, in a single pass. Readings made
+    of the parsed rows need a wider ``payload``."""
     routes = f"""CASE WHEN {call_failed()} THEN '{API_ERROR}'
         WHEN {USABLE} THEN '{PARSED}' ELSE '{UNPARSEABLE}' END AS route"""
     return parse_payload(df, payload).selectExpr("*", routes)
 
 
-def split_routes(df: DataFrame, payload: str = LOCATED_PAYLOAD_DDL) -> Routes:
+def split_routes(df: DataFrame, payload: str = READING_DDL) -> Routes:
     """The three routes as separate frames.
 
     Failed calls are told by their status alone, so that frame is not parsed.

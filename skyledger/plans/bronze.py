@@ -1,7 +1,13 @@
-"""Landing zone to bronze."""
+"""Landing zone to bronze.
+
+Every append is a folder of its own below the table, ``ingest=<name>``, whether a
+batch or a micro-batch of a stream wrote it: both fill one table, and an append that
+is run again under its name replaces what it wrote before.
+"""
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,12 +22,17 @@ def ingest(spark: SparkSession, landing: str, bronze: str, as_of: datetime | str
     append_captures(captures.read_captures(spark, landing), bronze, as_of)
 
 
-def append_captures(rows: DataFrame, bronze: str, as_of: datetime | str | None = None) -> None:
-    tables.append(captures.stamp(rows, as_of).select(*BRONZE_COLUMNS), bronze, ["load_date"])
+def append_captures(
+    rows: DataFrame, bronze: str, as_of: datetime | str | None = None, name: str | None = None
+) -> None:
+    """Append under ``name``, or under one that no other append has."""
+    own = f"{bronze}/ingest={name or uuid.uuid4().hex}"
+    stamped = captures.stamp(rows, as_of).select(*BRONZE_COLUMNS)
+    stamped.write.mode("overwrite").partitionBy("load_date").parquet(own)
 
 
 def read(spark: SparkSession, bronze: str) -> DataFrame:
-    return tables.scan(spark, bronze, BRONZE_DDL)
+    return tables.scan(spark, bronze, BRONZE_DDL).select(*BRONZE_COLUMNS)
 
 
 def compact(spark: SparkSession, bronze: str, archive: str, load_date: str) -> None:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,39 +30,46 @@ def from_store(
 
 
 def publish_all(
-    spark: SparkSession, store: SilverStore, bronze: str, gold: str, version: str, as_of: datetime | str | None = None
+    spark: SparkSession,
+    store: SilverStore,
+    bronze: str,
+    namespace: str,
+    location: str,
+    as_of: datetime | str | None = None,
 ) -> None:
-    """Rebuild every product as a new version."""
+    """Rebuild every product; each becomes current by its name in ``namespace``."""
     built = from_store(spark, store, bronze_plan.read(spark, bronze), as_of)
     for name, product in built.items():
-        tables.publish(product, f"{gold}/{name}", version, replace_schema=name != "city_current")
+        tables.publish(product, f"{namespace}.{name}", f"{location}/{name}", replace_schema=name != "city_current")
 
 
-def merge_current(clean: DataFrame, path: str, keep: int = 10) -> None:
+def merge_current(clean: DataFrame, name: str, location: str) -> None:
     """Publish the latest of the readings published so far and new ones.
 
     Costs the new readings and one row for each city, not history. Columns
-    that either side lacks are null. ``keep`` versions stay for those who
-    still read an older one.
+    that either side lacks are null.
     """
     spark = clean.sparkSession
-    if tables.is_published(spark, path):
-        clean = tables.read_published(spark, path).unionByName(clean, allowMissingColumns=True)
-    # never the folder that is being read
-    version = f"merge-{uuid.uuid4().hex}"
-    tables.publish(products.city_current(clean), path, version, replace_schema=True, keep=keep)
+    if spark.catalog.tableExists(name):
+        clean = spark.table(name).unionByName(clean, allowMissingColumns=True)
+    tables.publish(products.city_current(clean), name, location, replace_schema=True)
 
 
 def refresh_daily_extremes(spark: SparkSession, store: SilverStore, micro_batch: int, path: str) -> None:
     """Recompute the periods one batch touched and replace just those.
 
     Late rows revise their own periods; the rest of history is neither read
-    nor written. Running it again for the same batch changes nothing. The
-    table at ``path`` is partitioned like the store.
+    nor written. Periods that a replaced batch held before count as touched, and those
+    that have no rows left are removed. Running it again for the same batch changes
+    nothing. The table at ``path`` is partitioned like the store.
     """
-    touched = F.array_contains(store.touched(spark, micro_batch), F.col(PERIOD))
-    extremes = products.daily_extremes(store.clean(spark, keep_period=True).where(touched))
+    touched = store.periods(spark, micro_batch)
+    kept = [period for period, has_rows in touched.items() if has_rows]
+    clean = store.clean(spark, keep_period=True).where(F.col(PERIOD).isin(kept))
+    extremes = products.daily_extremes(clean)
     tables.refresh_partitions(extremes.selectExpr("*", f"{store.period.of('event_date')} AS {PERIOD}"), path, PERIOD)
+    emptied = [period for period, has_rows in touched.items() if not has_rows]
+    tables.reset(spark, paths=[f"{path}/{PERIOD}={period}" for period in emptied])
 
 
 def read_daily_extremes(spark: SparkSession, path: str) -> DataFrame:

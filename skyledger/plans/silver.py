@@ -5,7 +5,8 @@ batch replaces itself::
 
     checked/micro_batch=7/outcome=clean/event_period=2024-01-01/
     checked/micro_batch=7/outcome=quarantine/    (below the null period)
-    log/micro_batch=7/       rows and newest event_time by outcome and period, columns
+    log/micro_batch=7/       rows and newest event_time by outcome and period
+    columns/                 a file for each different set of columns that batches wrote
     checkpoint/              of the stream that fills the store
 
 One write means one parse of each body, and clean and quarantined rows are
@@ -16,9 +17,10 @@ batch complete, and readers see complete batches only.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,15 +30,18 @@ from skyledger.functions.derive import moment
 from skyledger.functions.rules import located_rules, standard_rules
 from skyledger.operators import quality
 from skyledger.operators.enrich import enrich, enrich_located
-from skyledger.operators.latest import Period
+from skyledger.operators.latest import BODY_HASH, Period, with_body_hash
 from skyledger.operators.parse import parse_payload, split_routes
-from skyledger.schemas import AUDIT_COLUMNS, PAYLOAD_DDL, QUARANTINE_COLUMNS, READING_DDL
+from skyledger.schemas import AUDIT_COLUMNS, BRONZE_DDL, PAYLOAD_DDL, QUARANTINE_COLUMNS, READING_DDL
 from skyledger.sources import tables
 
 CLEAN = "clean"
 QUARANTINE = "quarantine"
 PERIOD = "event_period"
 
+_LOGGED_DDL = f"outcome string, {PERIOD} date, row_count bigint, newest_event_time timestamp"
+LOG_DDL = f"{_LOGGED_DDL}, run_time timestamp, micro_batch int"
+
 
 def checked_readings(
     bronze: DataFrame,
@@ -83,61 +88,95 @@ class SilverStore:
     def log_path(self) -> str:
         return f"{self.root}/log"
 
+    @property
+    def columns_path(self) -> str:
+        return f"{self.root}/columns"
+
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/checkpoint"
 
     def clean(self, spark: SparkSession, keep_period: bool = False) -> DataFrame:
-        """Clean readings; with ``keep_period`` the partition column stays for pruning."""
+        """Clean readings; with ``keep_period`` the partition column stays for pruning, and
+        the hash of the body for ranking."""
         rows = self._outcome(spark, CLEAN).drop("outcome", "micro_batch", quality.REASON)
-        return rows if keep_period else rows.drop(PERIOD)
+        return rows if keep_period else rows.drop(PERIOD, BODY_HASH)
 
     def quarantine(self, spark: SparkSession) -> DataFrame:
         return self._outcome(spark, QUARANTINE).select(*QUARANTINE_COLUMNS)
 
     def audit(self, spark: SparkSession) -> DataFrame:
         """One row for each batch that held rows."""
-        batches = tables.scan(spark, self.log_path).groupBy("micro_batch", "run_time")
-        return batches.agg(
-            F.sum("row_count").alias("total_rows"),
-            F.expr(f"sum(if(outcome = '{CLEAN}', row_count, 0L)) AS valid_rows"),
-            F.expr(f"sum(if(outcome = '{QUARANTINE}', row_count, 0L)) AS quarantine_rows"),
-        ).select(*AUDIT_COLUMNS)
+        batches = self._log(spark).groupBy("micro_batch", "run_time")
+        return (
+            batches.agg(
+                F.sum("row_count").alias("total_rows"),
+                F.expr(f"sum(if(outcome = '{CLEAN}', row_count, 0L)) AS valid_rows"),
+                F.expr(f"sum(if(outcome = '{QUARANTINE}', row_count, 0L)) AS quarantine_rows"),
+            )
+            .where("total_rows > 0")
+            .select(*AUDIT_COLUMNS)
+        )
 
     def newest(self, spark: SparkSession) -> Column:
         """The newest clean event_time as a scalar, without reading any reading."""
         return self._clean_log(spark).agg(F.max("newest_event_time")).scalar()
 
-    def touched(self, spark: SparkSession, micro_batch: int) -> Column:
-        """The periods a batch brought clean rows for, as a scalar array."""
-        own = self._clean_log(spark).where(F.col("micro_batch") == micro_batch)
-        return own.agg(F.collect_set(PERIOD)).scalar()
+    def periods(self, spark: SparkSession, micro_batch: int) -> dict[date, bool]:
+        """The periods that a batch holds clean rows of, or held before it was replaced, and
+        whether the store has clean rows of them now. Bounded by the periods of a batch."""
+        log = self._clean_log(spark)
+        own = log.where(F.col("micro_batch") == micro_batch).select(PERIOD).distinct()
+        counts = log.join(own, PERIOD).groupBy(PERIOD).agg(F.sum("row_count").alias("row_count"))
+        return {row[PERIOD]: row.row_count > 0 for row in counts.collect()}
+
+    def register(self, spark: SparkSession, namespace: str) -> None:
+        """Views ``clean``, ``quarantine`` and ``audit`` of the session, for SQL, over what
+        the store holds now; a store without batches gives typed tables without rows."""
+        for name, rows in (("clean", self.clean(spark)), ("quarantine", self.quarantine(spark)), ("audit", self.audit(spark))):
+            rows.createOrReplaceTempView(f"{namespace}_{name}")
+
+    def _log(self, spark: SparkSession) -> DataFrame:
+        if not tables.path_exists(spark, self.log_path):
+            return spark.createDataFrame([], LOG_DDL)
+        return tables.scan(spark, self.log_path, LOG_DDL)
 
     def _clean_log(self, spark: SparkSession) -> DataFrame:
-        return tables.scan(spark, self.log_path).where(F.col("outcome") == CLEAN)
+        return self._log(spark).where(F.col("outcome") == CLEAN)
 
     def _outcome(self, spark: SparkSession, outcome: str) -> DataFrame:
         """Rows of complete batches; all conditions prune folders."""
-        complete = tables.scan(spark, self.log_path).agg(F.collect_set("micro_batch")).scalar()
-        rows = spark.read.schema(self._columns(spark)).parquet(self.checked_path)
+        columns = self._columns(spark)
+        if not tables.path_exists(spark, self.checked_path):
+            return spark.createDataFrame([], columns)
+        complete = self._log(spark).agg(F.collect_set("micro_batch")).scalar()
+        rows = spark.read.schema(columns).parquet(self.checked_path)
         return rows.where(F.col("outcome") == outcome).where(F.array_contains(complete, F.col("micro_batch")))
 
     def _columns(self, spark: SparkSession) -> StructType:
         """Every column some batch wrote; those a batch did not write are null in it.
 
-        The log holds one text for each batch, so no file has to be opened to
-        tell, however many there are. Only the few different texts are fetched.
+        A file tells each set of columns there was, so no table file has to be opened and
+        no job run, however many batches there are. Those of the present code are in it.
         """
-        log = tables.scan(spark, self.log_path)
-        versions = log.groupBy("columns").agg(F.min("micro_batch").alias("since")).collect()
-        if not versions:
-            raise ValueError(f"{self.root}: no batch with rows yet")
+        present = _placed(checked_readings(spark.createDataFrame([], BRONZE_DDL)), self).schema
+        found = sorted((json.loads(text) for text in tables.read_texts(spark, self.columns_path)), key=lambda x: x["since"])
+        known = [StructType.fromJson(x["columns"]) for x in found]
         fields: dict[str, StructField] = {"micro_batch": StructField("micro_batch", IntegerType())}
-        for version in sorted(versions, key=lambda found: found.since):
-            for field in StructType.fromJson(json.loads(version.columns)):
-                if fields.setdefault(field.name, field).dataType != field.dataType:
-                    raise ValueError(f"{self.root}: column {field.name} changed its type")
-        return StructType(list(fields.values()))
+        for field in (field for columns in known or [present] for field in columns):
+            if fields.setdefault(field.name, field).dataType != field.dataType:
+                raise ValueError(f"{self.root}: column {field.name} changed its type")
+        return StructType([StructField(field.name, field.dataType) for field in fields.values()])
+
+
+def _placed(checked: DataFrame, store: SilverStore) -> DataFrame:
+    """Checked readings with the partition they belong to and what ranks them."""
+    passed = f"{quality.REASON} IS NULL"
+    return with_body_hash(checked).selectExpr(
+        "*",
+        f"if({passed}, '{CLEAN}', '{QUARANTINE}') AS outcome",
+        f"if({passed}, {store.period.of('event_time')}, NULL) AS {PERIOD}",
+    )
 
 
 def write_batch(
@@ -158,14 +197,14 @@ def write_batch(
     """
     spark = bronze.sparkSession
     run_time = as_of or datetime.now(timezone.utc)
-    checked = checked_readings(bronze, run_time, **options)
-    passed = f"{quality.REASON} IS NULL"
-    placed = checked.selectExpr(
-        "*",
-        f"if({passed}, '{CLEAN}', '{QUARANTINE}') AS outcome",
-        f"if({passed}, {store.period.of('event_time')}, NULL) AS {PERIOD}",
-    )
+    placed = _placed(checked_readings(bronze, run_time, **options), store)
     own, own_log = (f"{path}/micro_batch={micro_batch}" for path in (store.checked_path, store.log_path))
+    # periods that the batch held before it is replaced: products over them change too
+    before = sorted(store.periods(spark, micro_batch))
+    columns = StructType([StructField(field.name, field.dataType) for field in placed.schema]).jsonValue()
+    named = hashlib.md5(json.dumps(columns).encode()).hexdigest()
+    text = json.dumps({"since": micro_batch, "columns": columns})
+    tables.write_text(spark, f"{store.columns_path}/{named}.json", text)
     tables.reset(spark, paths=[own_log])  # a batch being replaced is not complete
     _replace(placed.hint("rebalance", "outcome", PERIOD) if cluster else placed, own, "outcome", PERIOD)
 
@@ -173,14 +212,10 @@ def write_batch(
     log = written.groupBy("outcome", PERIOD).agg(
         F.count("*").alias("row_count"), F.max("event_time").alias("newest_event_time")
     )
-    stamped = log.selectExpr("*", f"{moment(run_time)} AS run_time").withColumn("columns", F.lit(_nullable(placed)))
+    emptied = spark.createDataFrame([(CLEAN, period, 0, None) for period in before], _LOGGED_DDL)
+    stamped = log.unionByName(emptied).selectExpr("*", f"{moment(run_time)} AS run_time")
     _replace(stamped.coalesce(1), own_log)
 
 
-def _nullable(df: DataFrame) -> str:
-    return StructType([StructField(field.name, field.dataType) for field in df.schema]).json()
-
-
 def _replace(df: DataFrame, path: str, *partition_by: str) -> None:
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-

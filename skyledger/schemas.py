@@ -35,21 +35,8 @@ READING_DDL = """
     name string
 """
 
-# The smaller payload of the located profile; its id is 64 bit.
-LOCATED_PAYLOAD_DDL = """
-    coord struct<lon: double, lat: double>,
-    weather array<struct<id: int, main: string, description: string, icon: string>>,
-    main struct<temp: double, feels_like: double, pressure: int, humidity: int>,
-    visibility int,
-    wind struct<speed: double, deg: int>,
-    rain struct<`1h`: double>,
-    sys struct<country: string, sunrise: bigint, sunset: bigint>,
-    timezone int,
-    id bigint,
-    name string,
-    cod int,
-    dt bigint
-"""
+# All that tells a usable response from others.
+ROUTE_DDL = "main struct<temp: double>, dt bigint, name string"
 
 CAPTURE_DDL = """
     requested_city string, status_code bigint, raw_response string,

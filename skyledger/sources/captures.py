@@ -1,19 +1,14 @@
-"""Captured API responses: requests, polls and the landing zone."""
+"""Captured API responses: requests and the landing zone."""
 
 from __future__ import annotations
 
-import time
-import urllib.error
-import urllib.request
-from collections.abc import Callable, Iterator
-from datetime import datetime, timezone
-from typing import NamedTuple
+from datetime import datetime
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions import derive
+from skyledger.functions.rules import BROKEN_LINE_STATUS
 from skyledger.schemas import CAPTURE_DDL
 
 # Fixed value: the feed every bronze row is stamped with.
@@ -21,32 +16,6 @@ FEED = "openweather_api"
 
 STAMPS = ("ingestion_time", "load_date", "batch_id", "source")
 
-Fetch = Callable[[str, float], tuple[int, str]]
-
-
-class PollSettings(NamedTuple):
-    base_url: str
-    units: str
-    api_key: str
-    cities: DataFrame
-
-
-def read_settings(spark: SparkSession, path: str) -> PollSettings:
-    """Poll settings from a JSON file; the key and a list of cities must be there.
-
-    Only the single values come to the driver. The cities stay a frame.
-    """
-    ddl = "api_key string, api_base_url string, units string, cities array<string>"
-    settings = spark.read.schema(ddl).json(path, multiLine=True)
-    head = settings.select("api_key", "api_base_url", "units", F.size("cities").alias("n")).first()
-    if head is None or not head.api_key:
-        raise ValueError("settings must hold an api_key")
-    if head.n is None or head.n < 1:
-        raise ValueError("settings must hold a list of cities")
-    cities = settings.select(F.explode("cities").alias("requested_city"))
-    return PollSettings(head.api_base_url, head.units or "metric", head.api_key, cities)
-
-
 def plan_requests(cities: DataFrame, base_url: str, units: str = "metric", encode: bool = True) -> DataFrame:
     """One row for each city with its request address, which holds no key."""
     return cities.select(
@@ -55,51 +24,26 @@ def plan_requests(cities: DataFrame, base_url: str, units: str = "metric", encod
     )
 
 
-def http_get(url: str, timeout_s: float) -> tuple[int, str]:
-    """Status and text of one call; an error status is an answer, not a failure."""
-    try:
-        with urllib.request.urlopen(url, timeout=timeout_s) as answer:
-            return answer.status, answer.read().decode("utf-8", "replace")
-    except urllib.error.HTTPError as error:
-        return error.code, error.read().decode("utf-8", "replace")
-
-
-def poll(requests: DataFrame, api_key: str, fetch: Fetch = http_get, timeout_s: float = 10.0) -> DataFrame:
-    """Call each planned request and return captures.
-
-    Calls run in tasks, one after the other within a partition: repartition
-    ``requests`` to set how many run at a time. A call that raises becomes
-    status 0 without a body. The frame is lazy and every action calls again,
-    so :func:`land` it once and read it from there.
-    """
-
-    def call(row) -> tuple:
-        called, started = datetime.now(timezone.utc), time.monotonic()
-        try:
-            status, text = fetch(f"{row.url}&appid={api_key}", timeout_s)
-        except Exception:
-            status, text = 0, None
-        return row.requested_city, status, text, called, int((time.monotonic() - started) * 1000)
-
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["requested_city", "status_code", "raw_response", "call_timestamp", "latency_ms"]
-        for frame in frames:
-            yield pd.DataFrame([call(row) for row in frame.itertuples()], columns=names)
-
-    return requests.mapInPandas(batches, CAPTURE_DDL)
-
-
 def capture_rows(spark: SparkSession, rows: list) -> DataFrame:
     """Captures from local rows; the schema is declared, so rows may be none or all null."""
     return spark.createDataFrame(rows, CAPTURE_DDL)
 
 
-def settle_failures(captures: DataFrame) -> DataFrame:
-    """A call without a status never reached the API: status 0 and no body."""
-    return captures.selectExpr(
+LANDED_DDL = f"{CAPTURE_DDL}, broken_line string"
+_LANDED = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken_line"}
+
+
+def settled(landed: DataFrame) -> DataFrame:
+    """Captures from landed lines; no text is lost.
+
+    A call without a status never reached the API and has status 0. A line that is no
+    capture, or not of the declared types, keeps its whole text as the body, under a
+    status of its own.
+    """
+    return landed.selectExpr(
         "requested_city",
-        "coalesce(status_code, 0L) AS status_code",
-        "if(coalesce(status_code, 0L) = 0, NULL, raw_response) AS raw_response",
+        f"if(broken_line IS NULL, coalesce(status_code, 0L), {BROKEN_LINE_STATUS}L) AS status_code",
+        "coalesce(broken_line, raw_response) AS raw_response",
         "call_timestamp",
         "latency_ms",
     )
@@ -111,13 +55,13 @@ def land(captures: DataFrame, path: str) -> None:
 
 
 def read_captures(spark: SparkSession, path: str) -> DataFrame:
-    """Landing zone of JSON lines, one capture each; a broken line is a failed call."""
-    return settle_failures(spark.read.schema(CAPTURE_DDL).json(path))
+    """Landing zone of JSON lines, one capture each."""
+    return settled(spark.read.schema(LANDED_DDL).options(**_LANDED).json(path))
 
 
 def stream_captures(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """The landing zone as a stream; options as of the file source."""
-    return settle_failures(spark.readStream.schema(CAPTURE_DDL).options(**options).json(path))
+    return settled(spark.readStream.schema(LANDED_DDL).options(**_LANDED, **options).json(path))
 
 
 def stamp(captures: DataFrame, as_of: datetime | str | None = None, feed: str = FEED) -> DataFrame:
@@ -128,5 +72,4 @@ def stamp(captures: DataFrame, as_of: datetime | str | None = None, feed: str =
         f"{now} AS ingestion_time",
         f"CAST({now} AS DATE) AS load_date",
         f"date_format({now}, 'yyyyMMddHHmmss') AS batch_id",
-        f"'{feed}' AS source",
-    )
+    ).withColumn("source", F.lit(feed))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+
 def scan(spark: SparkSession, path: str, ddl: str | None = None, merge_schema: bool = False) -> DataFrame:
     """A stored table.
 
@@ -64,58 +66,60 @@ def _same_columns(new: DataFrame, old: DataFrame, label: str) -> None:
 # -- products ---------------------------------------------------------------
 
 
-def publish(
-    df: DataFrame, root: str, version: str, replace_schema: bool = False, keep: int | None = None
-) -> None:
-    """Replace a product by a new version.
+def publish(df: DataFrame, name: str, location: str, replace_schema: bool = False) -> None:
+    """Replace the product ``name`` by the rows of ``df``.
 
-    Rows go to a folder of their own and an empty marker file, named by time,
-    makes them current. So readers see the old version or the new one, a
-    failed run leaves the old one in place, and a product may be built from
-    itself. ``keep`` deletes all but so many of the newest versions.
+    Rows go to a fresh folder below ``location``; the named view is then pointed at it,
+    which the catalog does at once. So readers see the old rows or the new ones, a
+    failed run leaves the old ones in place whatever runs came before or clocks say, and
+    a product may be built from itself. Old folders stay, as readers may still be on
+    them; :func:`forget_before` is the job that removes them.
     """
     spark = df.sparkSession
-    if not replace_schema:
-        present = _versions(spark, root)
-        if present:
-            _same_columns(df, read_published(spark, root), root)
-    df.write.mode("overwrite").parquet(_version_path(root, version))
-    now = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    files, marker = _open(spark, f"{root}/published/{now}={version}")
-    files.create(marker).close()
-    if keep is not None:
-        _forget(spark, root, _versions(spark, root)[:-keep])
-
-
-def read_published(spark: SparkSession, root: str) -> DataFrame:
-    versions = _versions(spark, root)
-    if not versions:
-        raise ValueError(f"{root}: nothing published yet")
-    return scan(spark, _version_path(root, _name(versions[-1])))
-
-
-def is_published(spark: SparkSession, root: str) -> bool:
-    return bool(_versions(spark, root))
-
-
-def _version_path(root: str, version: str) -> str:
-    return f"{root}/versions/{version}"
-
-
-def _name(marker: str) -> str:
-    return marker.split("=", 1)[1]
-
-
-def _versions(spark: SparkSession, root: str) -> list[str]:
-    """Markers, oldest first."""
-    files, folder = _open(spark, f"{root}/published")
-    return sorted(found.getPath().getName() for found in files.listStatus(folder)) if files.exists(folder) else []
-
-
-def _forget(spark: SparkSession, root: str, markers: Sequence[str]) -> None:
-    kept = {_name(marker) for marker in _versions(spark, root) if marker not in markers}
-    reset(spark, paths=[f"{root}/published/{marker}" for marker in markers])
-    reset(spark, paths=[_version_path(root, name) for name in map(_name, markers) if name not in kept])
+    if not replace_schema and spark.catalog.tableExists(name):
+        _same_columns(df, spark.table(name), name)
+    folder = f"{location}/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    quoted = folder.replace("`", "``")
+    spark.sql(f"CREATE OR REPLACE VIEW IDENTIFIER(:name) AS SELECT * FROM parquet.`{quoted}`", {"name": name})
+
+
+def forget_before(spark: SparkSession, name: str, location: str, before: datetime) -> list[str]:
+    """Delete the folders of a product last written before a time with a zone, but for the
+    one that its view reads."""
+    files, place = _open(spark, location)
+    present = {path.rsplit("/", 2)[-2] for path in spark.table(name).inputFiles()}
+    if not present and spark.catalog.tableExists(name):
+        raise ValueError(f"{name}: the folder in use cannot be told")
+    found = [x for x in files.listStatus(place) if x.getPath().getName() not in present]
+    old = [x.getPath() for x in found if x.getModificationTime() < before.timestamp() * 1000]
+    for path in old:
+        files.delete(path, True)
+    return sorted(path.getName() for path in old)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file beside a table, unless it is there."""
+    files, place = _open(spark, path)
+    if not files.exists(place):
+        out = files.create(place, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+
+def read_texts(spark: SparkSession, folder: str) -> list[str]:
+    """The small files of a folder, by name; none if there is no folder."""
+    files, place = _open(spark, folder)
+    if not files.exists(place):
+        return []
+    paths = sorted(str(x.getPath()) for x in files.listStatus(place))
+    to_text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString
+    out = []
+    for path in paths:
+        stream = files.open(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path))
+        out.append(to_text(stream, "UTF-8"))
+        stream.close()
+    return out
 
 
 def refresh_partitions(df: DataFrame, path: str, partition_by: str) -> None:

@@ -7,23 +7,28 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
-from skyledger.schemas import BRONZE_COLUMNS
-from skyledger.sources import captures
+from skyledger.plans.bronze import append_captures
 
 
 def start(
-    capture_stream: DataFrame, bronze: str, checkpoint: str, as_of: datetime | str | None = None
+    capture_stream: DataFrame,
+    bronze: str,
+    checkpoint: str,
+    as_of: datetime | str | None = None,
+    name: str = "stream",
 ) -> StreamingQuery:
     """Append what has landed, each capture once, then stop.
 
-    The file sink keeps a log of its files, and readers go by that log: a
-    table filled by this stream must not be appended to in any other way.
+    A micro-batch is an append under ``name`` and its id, so one that is replayed
+    replaces itself. Batch jobs and streams of other names may fill the same table. The
+    name goes with the checkpoint: ids start at 0 again without it.
     """
-    rows = captures.stamp(capture_stream, as_of).select(*BRONZE_COLUMNS)
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        append_captures(batch, bronze, as_of, f"{name}-{batch_id}")
+
     return (
-        rows.writeStream.format("parquet")
-        .partitionBy("load_date")
-        .option("path", bronze)
+        capture_stream.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

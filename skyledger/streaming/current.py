@@ -4,22 +4,22 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
 from skyledger.operators.quality import clean_rows
 from skyledger.plans.gold import merge_current
 from skyledger.plans.silver import checked_readings
-from skyledger.sources import tables
 
 
 def start(
     bronze_stream: DataFrame,
-    out: str,
+    name: str,
+    location: str,
     checkpoint: str,
     as_of: datetime | str | None = None,
 ) -> StreamingQuery:
-    """Publish the full table of latest readings after each micro-batch.
+    """Publish the full table of latest readings, by its name, after each micro-batch.
 
     What the stream has to remember is the table itself, so each micro-batch
     is merged into the one before it; there is no state store to size. Merging
@@ -27,7 +27,7 @@ def start(
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        merge_current(clean_rows(checked_readings(batch, as_of)), out)
+        merge_current(clean_rows(checked_readings(batch, as_of)), name, location)
 
     return (
         bronze_stream.writeStream.foreachBatch(land)
@@ -35,7 +35,3 @@ def start(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def read(spark: SparkSession, out: str) -> DataFrame:
-    return tables.read_published(spark, out)

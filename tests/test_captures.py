@@ -1,19 +1,17 @@
 from __future__ import annotations
 
-import io
-import json
-import urllib.error
-import urllib.request
-
 import pytest
-from pyspark.sql import functions as F
-from samples import AS_OF, CALLED, body, call
+from samples import AS_OF, CALLED, CITY, body, call
 
 from skyledger.functions import derive
+from skyledger.operators import products, quality
 from skyledger.plans import bronze
+from skyledger.plans.silver import checked_readings
 from skyledger.schemas import BRONZE_COLUMNS
 from skyledger.sources import captures
+from skyledger.streaming import bronze as streamed
 
+BROKEN = '{"requested_city": "x", "status'
 BASE = "https://api.example.org/weather"
 
 
@@ -42,25 +40,6 @@ def test_url_with_key_and_without_encoding(spark):
     )
 
 
-def settings_file(tmp_path, **changes):
-    fields = {"api_key": "demo", "api_base_url": BASE, "units": "metric", "cities": ["Chennai", "Madurai", "Salem"]}
-    path = tmp_path / "settings.json"
-    path.write_text(json.dumps(fields | changes, indent=1))
-    return str(path)
-
-
-def test_settings_give_cities_as_a_frame(spark, tmp_path):
-    settings = captures.read_settings(spark, settings_file(tmp_path))
-    assert (settings.api_key, settings.base_url, settings.units) == ("demo", BASE, "metric")
-    assert {row[0] for row in settings.cities.collect()} == {"Chennai", "Madurai", "Salem"}
-
-
-@pytest.mark.parametrize("changes", [{"api_key": ""}, {"api_key": None}, {"cities": []}, {"cities": None}, {"cities": "x"}])
-def test_settings_without_key_or_cities_are_refused(spark, tmp_path, changes):
-    with pytest.raises(ValueError):
-        captures.read_settings(spark, settings_file(tmp_path, **changes))
-
-
 def requests(spark, *cities):
     return captures.plan_requests(spark.createDataFrame([(c,) for c in cities], "requested_city string"), BASE)
 
@@ -72,51 +51,51 @@ def test_planned_requests_hold_no_key(spark):
     }
 
 
-def test_poll_keeps_answers_and_settles_failures(spark):
-    def fetch(address, timeout_s):
-        if "Lost" in address:
-            raise OSError("network down")
-        return (404, "no such city") if "Nowhere" in address else (200, address)
-
-    rows = captures.poll(requests(spark, "Salem", "Nowhere", "Lost"), "secret", fetch).collect()
-    got = {row.requested_city: row for row in rows}
-    assert (got["Salem"].status_code, got["Salem"].raw_response) == (200, f"{BASE}?q=Salem&units=metric&appid=secret")
-    assert (got["Nowhere"].status_code, got["Nowhere"].raw_response) == (404, "no such city")
-    assert (got["Lost"].status_code, got["Lost"].raw_response) == (0, None)
-    assert all(row.latency_ms >= 0 and row.call_timestamp is not None for row in rows)
-
-
-def test_poll_of_an_unreachable_address_is_status_zero(spark):
-    planned = requests(spark, "Salem").withColumn("url", F.lit("nosuchscheme://host/?q=Salem"))
-    row = captures.poll(planned, "k").first()
-    assert (row.status_code, row.raw_response) == (0, None)
-
-
-def test_error_status_is_an_answer(monkeypatch):
-    def refuse(url, timeout):
-        raise urllib.error.HTTPError(url, 401, "no", None, io.BytesIO(b'{"cod":401}'))
-
-    monkeypatch.setattr(urllib.request, "urlopen", refuse)
-    assert captures.http_get("https://api.example.org", 1.0) == (401, '{"cod":401}')
-
-
 def test_captures_may_be_none_or_without_bodies(spark):
     assert captures.capture_rows(spark, []).count() == 0
     assert captures.capture_rows(spark, [call(None, 0)]).first().raw_response is None
 
 
 def test_landing_zone_round_trip(spark, folder):
-    sent = captures.capture_rows(spark, [call(body()), call("later, with \"quotes\"\n", 500), call("x", None), call("x", 0)])
+    sent = captures.capture_rows(spark, [call(body()), call("later, with \"quotes\"\n", 500), call("kept whole", None), call(None, 0)])
     captures.land(sent, f"{folder}/landing")
     with open(f"{folder}/landing/broken.json", "w") as broken:
-        broken.write('{"requested_city": "x", "status\n')
+        broken.write(BROKEN + "\n")
     got = captures.read_captures(spark, f"{folder}/landing")
     assert sorted((r.status_code, r.raw_response or "") for r in got.collect()) == sorted(
-        [(200, body()), (500, "later, with \"quotes\"\n"), (0, ""), (0, ""), (0, "")]
+        [(200, body()), (500, 'later, with "quotes"\n'), (0, "kept whole"), (0, ""), (-1, BROKEN)]
     )
     assert got.where("status_code = 200").first().call_timestamp == CALLED.replace(tzinfo=None)
 
 
+def test_no_line_is_lost(spark, folder):
+    """Lines that break off, that are no JSON or of another type: their text is kept,
+    quarantined under a reason of its own, and no call of any city."""
+    lines = [BROKEN, "not json", '{"requested_city": "x", "status_code": "many"}', "[1]"]
+    captures.land(captures.capture_rows(spark, [call(body())]), f"{folder}/landing")
+    with open(f"{folder}/landing/broken.json", "w") as broken:
+        broken.write("\n".join(lines) + "\n")
+    bronze.ingest(spark, f"{folder}/landing", f"{folder}/bronze", AS_OF)
+    table = bronze.read(spark, f"{folder}/bronze")
+    kept = quality.quarantined_rows(checked_readings(table, AS_OF)).collect()
+    assert sorted((r.quarantine_reason, r.raw_response) for r in kept) == sorted(("landing_broken", x) for x in lines)
+    for stored in (False, True):
+        assert [r.city for r in products.api_health(table, AS_OF, stored=stored).collect()] == [CITY]
+
+
+def test_batch_and_stream_fill_one_table(spark, folder):
+    landing, table = f"{folder}/landing", f"{folder}/bronze"
+    captures.land(captures.capture_rows(spark, [call(body()), call(None, 0)]), landing)
+    for _ in range(2):  # the second run finds nothing new
+        stream = captures.stream_captures(spark, landing)
+        streamed.start(stream, table, f"{folder}/checkpoint", AS_OF).awaitTermination()
+    bronze.append_captures(captures.capture_rows(spark, [call("by batch")]), table, AS_OF)
+    for _ in range(2):  # run again under its name
+        bronze.append_captures(captures.capture_rows(spark, [call("named")]), table, AS_OF, "day-1")
+    texts = sorted(r.raw_response or "" for r in bronze.read(spark, table).collect())
+    assert texts == sorted([body(), "", "by batch", "named"])
+
+
 def test_ingest_stamps_and_appends_by_load_date(spark, folder):
     captures.land(captures.capture_rows(spark, [call(body())]), f"{folder}/landing")
     for _ in range(2):
@@ -125,5 +104,5 @@ def test_ingest_stamps_and_appends_by_load_date(spark, folder):
     row = table.first()
     assert table.count() == 2
     assert sorted(table.columns) == sorted(BRONZE_COLUMNS)
-    assert (row.batch_id, str(row.load_date), row.source) == ("20260511100500", "2026-05-11", "openweather_api")
+    assert (row.batch_id, str(row.load_date), row.source) == ("20310203162500", "2031-02-03", "openweather_api")
     assert str(row.ingestion_time) == AS_OF

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import hashlib
 import io
 import random
 from datetime import datetime, timedelta
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyledger.operators import products
-from skyledger.operators.latest import Period, latest_per_key, since_latest
+from skyledger.operators.latest import Period, latest_per_key, since_latest, with_body_hash
 
 T0 = datetime(2024, 3, 1, 12, 0)
 DDL = """city string, event_time timestamp, call_timestamp timestamp, raw_response string, temperature double,
@@ -49,10 +50,14 @@ def hot(n=3000, seed=5):
     ]
 
 
+def order(r):
+    return r[1], r[2], hashlib.md5(r[3].encode()).hexdigest()
+
+
 def last_of(rows):
     best = {}
     for r in rows:
-        if r[0] not in best or (r[1], r[2], r[3]) > best[r[0]][1:4]:
+        if r[0] not in best or order(r) > order(best[r[0]]):
             best[r[0]] = r
     return best
 
@@ -70,9 +75,17 @@ def test_current_is_the_last_of_each_city(spark, period):
 
 
 @pytest.mark.parametrize("period", PERIODS)
-def test_ties_go_to_the_later_call_then_the_greater_body(spark, period):
+def test_ties_go_to_the_later_call_then_the_greater_hash(spark, period):
     rows = [row(call=1, text="m"), row(call=2, text="a"), row(call=2, text="b"), row(minutes=-5, call=900, text="z")]
-    assert bodies(latest_per_key(clean(spark, *rows), period=period)) == {"a": "b"}
+    got = bodies(latest_per_key(with_body_hash(clean(spark, *rows)), period=period))
+    assert got == {"a": max("ab", key=lambda text: hashlib.md5(text.encode()).hexdigest())}
+
+
+def test_rows_without_an_order_are_refused(spark):
+    with pytest.raises(ValueError, match="body_hash"):
+        latest_per_key(clean(spark, row()))
+    with pytest.raises(ValueError, match="call_timestamp"):
+        latest_per_key(with_body_hash(clean(spark, row())).drop("call_timestamp"))
 
 
 def plan(df):
@@ -94,6 +107,11 @@ def test_recent_rows_include_the_bound(spark):
         assert since_latest(clean(spark, *rows), 24, period).count() == 2
 
 
+def test_hours_may_be_fractions(spark):
+    rows = [row(minutes=-15 * i) for i in range(12)]
+    assert [since_latest(clean(spark, *rows), h).count() for h in (0, 0.25, 1, 1.75, 2.5)] == [1, 2, 5, 8, 11]
+
+
 def test_recent_of_nothing_is_nothing(spark):
     assert products.recent_readings(clean(spark).limit(0)).count() == 0
     assert products.severe_alerts(clean(spark).limit(0)).count() == 0

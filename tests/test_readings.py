@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta, timezone
+from datetime import datetime, timedelta, timezone
 
 import pytest
-from samples import AS_OF, NOON, SUNRISE, SUNSET, body, bronze, call, main
+from samples import AS_OF, CITY, NOON, SUNRISE, SUNSET, body, bronze, call, main
 
 from skyledger.functions import derive
 from skyledger.functions.rules import first_broken
@@ -16,19 +16,22 @@ from skyledger.plans.silver import checked_located, checked_readings
 from skyledger.schemas import QUARANTINE_COLUMNS
 
 
+LIMIT = int(datetime.fromisoformat(f"{AS_OF}+00:00").timestamp()) + 3600
+
+
 def reading(spark, **changes):
     return checked_readings(bronze(spark, call(body(**changes))), AS_OF).first()
 
 
 def test_reading_of_a_full_response(spark):
     row = reading(spark, main=main(temp=35.0))
-    at = datetime(2021, 5, 3, 1, 0)
-    assert (row.city, row.temperature, row.feels_like, row.humidity, row.pressure) == ("Chennai", 35.0, 31.0, 50, 1005)
-    assert (row.weather_condition, row.weather_description, row.wind_speed) == ("Clouds", "scattered clouds", 4.5)
-    assert (row.event_time, row.event_date, row.event_hour) == (at, date(2021, 5, 3), 1)
+    at = datetime.fromtimestamp(NOON, timezone.utc).replace(tzinfo=None)
+    assert (row.city, row.temperature, row.feels_like, row.humidity, row.pressure) == (CITY, 35.0, 20.25, 64, 991)
+    assert (row.weather_condition, row.weather_description, row.wind_speed) == ("Haze", "thin haze", 7.25)
+    assert (row.event_time, row.event_date, row.event_hour) == (at, at.date(), at.hour)
     assert (row.temperature_band, row.weather_severity_score, row.is_daytime) == ("Hot", 0, True)
     assert (row.source_system, row.source) == ("openweathermap", "openweather_api")
-    assert (row.country, row.latitude, row.longitude, row.visibility) == ("IN", 13.0, 80.0, 6000)
+    assert (row.country, row.latitude, row.longitude, row.visibility) == ("SE", 59.65, 12.59, 4200)
     assert str(row.ingestion_time) == AS_OF
     assert row.quarantine_reason is None
 
@@ -90,7 +93,7 @@ def test_daytime(spark):
     ]
     calls = []
     for i, (at, rise, fall, _) in enumerate(cases):
-        sun = {"country": "IN", "sunrise": rise, "sunset": fall}
+        sun = {"country": "SE", "sunrise": rise, "sunset": fall}
         calls.append(call(body(dt=at, sys={k: v for k, v in sun.items() if v is not None}), latency=i))
     for check in (checked_readings, checked_located):
         got = checked_by_case(bronze(spark, *calls), check)
@@ -167,8 +170,8 @@ def test_located_rules(spark):
         ({"wind": {"speed": -1}}, "out_of_range_wind_speed"),
         ({"coord": {"lon": 80.0}}, "missing_coordinates"),
         ({"coord": None}, "missing_coordinates"),
-        ({"dt": 1778497500}, None),  # an hour after AS_OF
-        ({"dt": 1778497501}, "future_event_time"),
+        ({"dt": LIMIT}, None),  # an hour after AS_OF
+        ({"dt": LIMIT + 1}, "future_event_time"),
     ]
     calls = [call(body(**changes), latency=i) for i, (changes, _) in enumerate(cases)]
     got = checked_by_case(bronze(spark, *calls), lambda rows: checked_located(rows, AS_OF))
@@ -178,8 +181,8 @@ def test_located_rules(spark):
 
 def test_located_columns(spark):
     row = enrich_located(split_routes(bronze(spark, call(body()))).parsed, AS_OF).first()
-    assert (row.feels_like_temperature, row.sunrise_epoch, row.sunset_epoch) == (31.0, SUNRISE, SUNSET)
-    assert (row.temperature_band, row.event_hour, str(row.ingestion_time)) == ("Normal", 1, AS_OF)
+    assert (row.feels_like_temperature, row.sunrise_epoch, row.sunset_epoch) == (20.25, SUNRISE, SUNSET)
+    assert (row.temperature_band, row.event_hour, str(row.ingestion_time)) == ("Normal", datetime.fromtimestamp(NOON, timezone.utc).hour, AS_OF)
 
 
 def test_split_is_whole(spark):
@@ -197,7 +200,7 @@ def test_first_broken_keeps_order(spark):
 
 
 def test_as_of_may_be_a_datetime(spark):
-    at = datetime(2026, 5, 11, 10, 5)
+    at = datetime.fromisoformat(AS_OF)
     for as_of in (at, AS_OF, at.replace(tzinfo=timezone.utc), at.astimezone(timezone(timedelta(hours=3)))):
         assert spark.range(1).selectExpr(derive.moment(as_of)).first()[0] == at
     now = spark.range(1).selectExpr(derive.moment(None)).first()[0]

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import os
+import uuid
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -28,39 +30,59 @@ def test_append_with_an_added_column(spark, folder):
     assert {(r.n, r.extra) for r in declared.collect()} == wanted
 
 
-def test_publish_replaces_and_may_read_itself(spark, folder):
-    root = f"{folder}/p"
-    with pytest.raises(ValueError):
-        tables.read_published(spark, root)
-    tables.publish(numbers(spark, 1, 2), root, "v1")
-    tables.publish(tables.read_published(spark, root).withColumn("n", F.col("n") + 1), root, "v2")
-    assert values(tables.read_published(spark, root)) == [2, 3]
+@pytest.fixture
+def product(spark):
+    tables.create_layers(spark, ["products"])
+    name = f"products.p{uuid.uuid4().hex[:8]}"
+    yield name
+    spark.sql(f"DROP VIEW IF EXISTS {name}")
 
 
-def test_publish_guards_the_schema(spark, folder):
-    root = f"{folder}/p"
-    tables.publish(numbers(spark, 1), root, "v1")
-    wider = numbers(spark, 2).withColumn("extra", F.lit(1))
-    with pytest.raises(ValueError):
-        tables.publish(wider, root, "v2")
-    assert values(tables.read_published(spark, root)) == [1]
-    tables.publish(wider, root, "v2", replace_schema=True)
-    assert tables.read_published(spark, root).columns == ["n", "extra"]
+def test_publish_replaces_and_may_read_itself(spark, folder, product):
+    tables.publish(numbers(spark, 1, 2), product, folder)
+    for _ in range(2):
+        tables.publish(spark.table(product).withColumn("n", F.col("n") + 1), product, folder)
+    assert values(spark.table(product)) == [3, 4]
+    tables.publish(numbers(spark, 0).limit(0), product, folder)
+    assert values(spark.table(product)) == []
 
 
-def test_publish_keeps_the_newest_versions(spark, folder):
-    root = f"{folder}/p"
-    for n, version in enumerate(["a", "b", "a", "c", "d"]):
-        tables.publish(numbers(spark, n), root, version, keep=3)
-    assert values(tables.read_published(spark, root)) == [4]
-    assert sorted(os.listdir(f"{root}/versions")) == ["a", "c", "d"]
+def test_publish_guards_the_schema(spark, folder, product):
+    tables.publish(numbers(spark, 1), product, folder)
+    wider = numbers(spark, 2).withColumn("extra", F.lit(1))
+    with pytest.raises(ValueError):
+        tables.publish(wider, product, folder)
+    assert values(spark.table(product)) == [1]
+    tables.publish(wider, product, folder, replace_schema=True)
+    assert spark.table(product).columns == ["n", "extra"]
 
 
-def test_version_without_marker_is_not_current(spark, folder):
-    root = f"{folder}/p"
-    tables.publish(numbers(spark, 1), root, "v1")
-    numbers(spark, 9).write.parquet(f"{root}/versions/v2")  # a run that died before its marker
-    assert values(tables.read_published(spark, root)) == [1]
+def test_a_failed_run_leaves_the_product(spark, folder, product):
+    """Whatever ran before: nothing is written where a reader may be."""
+    for _ in range(2):
+        tables.publish(numbers(spark, 1, 2, 3), product, folder)
+        with pytest.raises(Exception, match="boom"):
+            failing = spark.range(3).selectExpr("if(id = 2, raise_error('boom'), cast(id as int)) AS n")
+            tables.publish(failing, product, folder)
+        assert values(spark.table(product)) == [1, 2, 3]
+
+
+def test_clocks_do_not_matter(spark, folder, product):
+    tables.publish(numbers(spark, 1), product, folder)
+    first = {entry.name for entry in os.scandir(folder)}
+    tables.publish(numbers(spark, 2), product, folder)
+    for name in first:  # as if written later than the second
+        os.utime(f"{folder}/{name}", (4e9, 4e9))
+    assert values(spark.table(product)) == [2]
+
+
+def test_old_folders_go_by_age_only(spark, folder, product):
+    for n in range(3):
+        tables.publish(numbers(spark, n), product, folder)
+    soon = datetime.now(timezone.utc) + timedelta(minutes=1)
+    assert tables.forget_before(spark, product, folder, soon - timedelta(days=1)) == []
+    assert len(tables.forget_before(spark, product, folder, soon)) == 2
+    assert values(spark.table(product)) == [2]
 
 
 def test_refresh_touches_only_its_partitions(spark, folder):

@@ -1,4 +1,4 @@
-"""From settings to products, and random responses against a model in Python."""
+"""From the landing zone to products, and random responses against a model in Python."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import random
 from collections import Counter
 from datetime import timedelta
 
-from samples import AS_OF, CALLED, NOON, body, bronze, call, main
+from samples import AS_OF, CALLED, CITY, NOON, body, bronze, call, main
 
 from skyledger.operators import audit
 from skyledger.operators.parse import split_routes
@@ -19,37 +19,27 @@ from skyledger.sources import captures, tables
 from skyledger.streaming import silver
 
 
-def test_settings_to_products(spark, folder):
-    settings = {"api_key": "secret", "api_base_url": "https://api.example.org", "cities": ["Chennai", "New Delhi", "Pune"]}
-    with open(f"{folder}/settings.json", "w") as file:
-        json.dump(settings, file)
-    good, hot = body(), body(name="New Delhi", main=main(temp=45), rain={"1h": 31})
-
-    def fetch(url, timeout_s):
-        assert url.endswith("&units=metric&appid=secret")
-        if "Pune" in url:
-            raise TimeoutError
-        return 200, hot if "New+Delhi" in url else good
-
-    feed = captures.read_settings(spark, f"{folder}/settings.json")
-    planned = captures.plan_requests(feed.cities, feed.base_url, feed.units)
-    captures.land(captures.poll(planned, feed.api_key, fetch), f"{folder}/landing")
+def test_landing_to_products(spark, folder):
+    hot = body(name="Old Town", main=main(temp=45), rain={"1h": 31})
+    calls = [call(body()), call(hot, city="Old Town"), call(None, 0, city="Lost")]
+    captures.land(captures.capture_rows(spark, calls), f"{folder}/landing")
     bronze_plan.ingest(spark, f"{folder}/landing", f"{folder}/bronze", AS_OF)
 
     store = SilverStore(f"{folder}/silver")
     source = tables.stream(spark, f"{folder}/bronze", BRONZE_DDL, maxBytesPerTrigger=str(1 << 30))
     assert silver.drain(source, store, AS_OF, timeout_s=120)
-    gold.publish_all(spark, store, f"{folder}/bronze", f"{folder}/gold", "first", AS_OF)
+    tables.create_layers(spark, ["route"])
+    gold.publish_all(spark, store, f"{folder}/bronze", "route", f"{folder}/gold", AS_OF)
 
     def product(name):
-        return {r.city: r for r in tables.read_published(spark, f"{folder}/gold/{name}").collect()}
+        return {r.city: r for r in spark.table(f"route.{name}").collect()}
 
     assert [tuple(r)[1:] for r in store.audit(spark).collect()] == [(3, 2, 1)]
-    assert product("city_current").keys() == product("recent_24h").keys() == {"Chennai", "New Delhi"}
-    assert product("daily_extremes")["New Delhi"].max_temp == 45.0
-    assert {city: r.alert_type for city, r in product("severe_alerts").items()} == {"New Delhi": "heatwave"}
+    assert product("city_current").keys() == product("recent_24h").keys() == {CITY, "Old Town"}
+    assert product("daily_extremes")["Old Town"].max_temp == 45.0
+    assert {city: r.alert_type for city, r in product("severe_alerts").items()} == {"Old Town": "heatwave"}
     assert {city: r.success_rate for city, r in product("api_health").items()} == {
-        "Chennai": 100.0, "New Delhi": 100.0, "Pune": 0.0
+        CITY: 100.0, "Old Town": 100.0, "Lost": 0.0
     }
 
 
