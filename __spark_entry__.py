@@ -714,7 +714,9 @@ QUALIFY row_number() OVER (PARTITION BY city ORDER BY event_time DESC, call_time
         "stream_replayed": (stream_replayed, f"{_ENRICHED} SELECT {bronze_reading} FROM clean"),
         "published_health": (
             published_health,
-            _health(f"CAST({run_time} AS DATE)", run_time).replace("status_code", "coalesce(status_code, 0)"),
+            _health(f"CAST({run_time} AS DATE)", run_time).replace(
+                "FROM captures GROUP", "FROM (SELECT * REPLACE (coalesce(status_code, 0) AS status_code) FROM captures) GROUP"
+            ),
         ),
         "compacted_bronze": (compacted_bronze, f"{_CAPTURES} SELECT {_LANDED} FROM captures"),
         "stream_ingest": (stream_ingest, f"{_CAPTURES} SELECT {_LANDED} FROM captures"),
