@@ -334,6 +334,17 @@ def evolved_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.clean(spark).select("event_id", "city", "event_time", "temperature", "station")
 
 
+def compacted_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches, compacted after the second and once more, old folders gone."""
+    store, rows = _new_store(spark), _captures(spark, sf_dir)
+    for number in range(3):
+        silver.write_batch(rows.where(f"event_id % 3 = {number}"), store, number, AS_OF, cluster=True)
+        if number:
+            silver.compact(spark, store)
+            silver.forget_compacted(spark, store)
+    return store.clean(spark)
+
+
 def stream_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream run again on its checkpoint, and its first batch forced once more."""
     path, store = shared_dir(spark, "bronze"), _new_store(spark)
@@ -711,6 +722,7 @@ QUALIFY row_number() OVER (PARTITION BY city ORDER BY event_time DESC, call_time
             f"""{_ENRICHED} SELECT event_id, city, event_time, temperature,
   CASE WHEN latency_ms >= 300 THEN 'north' END AS station FROM clean""",
         ),
+        "compacted_silver": (compacted_silver, f"{_ENRICHED} SELECT {event_reading} FROM clean"),
         "stream_replayed": (stream_replayed, f"{_ENRICHED} SELECT {bronze_reading} FROM clean"),
         "published_health": (
             published_health,

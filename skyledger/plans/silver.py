@@ -13,6 +13,10 @@ One write means one parse of each body, and clean and quarantined rows are
 committed by the same job. The log is counted from what was written, so a
 recomputed task cannot count a row twice, and written last: it marks the
 batch complete, and readers see complete batches only.
+
+Compaction writes all batches up to one, say 41, again as ``micro_batch=-42``, their log
+lines too; the log of that folder, written last, makes it stand for them. So folders and
+log files are as many as the batches since the last compaction, however old the store.
 """
 
 from __future__ import annotations
@@ -40,7 +44,7 @@ QUARANTINE = "quarantine"
 PERIOD = "event_period"
 
 _LOGGED_DDL = f"outcome string, {PERIOD} date, row_count bigint, newest_event_time timestamp"
-LOG_DDL = f"{_LOGGED_DDL}, run_time timestamp, micro_batch int"
+LOG_DDL = f"{_LOGGED_DDL}, run_time timestamp, batch int, micro_batch int"
 
 
 def checked_readings(
@@ -107,7 +111,7 @@ class SilverStore:
 
     def audit(self, spark: SparkSession) -> DataFrame:
         """One row for each batch that held rows."""
-        batches = self._log(spark).groupBy("micro_batch", "run_time")
+        batches = self._log(spark).groupBy("batch", "run_time")
         return (
             batches.agg(
                 F.sum("row_count").alias("total_rows"),
@@ -126,7 +130,7 @@ class SilverStore:
         """The periods that a batch holds clean rows of, or held before it was replaced, and
         whether the store has clean rows of them now. Bounded by the periods of a batch."""
         log = self._clean_log(spark)
-        own = log.where(F.col("micro_batch") == micro_batch).select(PERIOD).distinct()
+        own = log.where(F.col("batch") == micro_batch).select(PERIOD).distinct()
         counts = log.join(own, PERIOD).groupBy(PERIOD).agg(F.sum("row_count").alias("row_count"))
         return {row[PERIOD]: row.row_count > 0 for row in counts.collect()}
 
@@ -136,28 +140,44 @@ class SilverStore:
         for name, rows in (("clean", self.clean(spark)), ("quarantine", self.quarantine(spark)), ("audit", self.audit(spark))):
             rows.createOrReplaceTempView(f"{namespace}_{name}")
 
-    def _log(self, spark: SparkSession) -> DataFrame:
+    def _logged(self, spark: SparkSession) -> DataFrame:
         if not tables.path_exists(spark, self.log_path):
             return spark.createDataFrame([], LOG_DDL)
         return tables.scan(spark, self.log_path, LOG_DDL)
 
+    def _mark(self, spark: SparkSession) -> Column:
+        """The last compacted batch, -1 if there is none, and the later complete ones."""
+        last = F.expr("coalesce(max(if(micro_batch < 0, -micro_batch - 1, NULL)), -1)").alias("last")
+        ids = F.expr("collect_set(if(micro_batch < 0, NULL, micro_batch))").alias("ids")
+        return self._logged(spark).agg(F.struct(last, ids)).scalar()
+
+    def _current(self, spark: SparkSession, rows: DataFrame) -> DataFrame:
+        """Rows of complete batches, each once; the condition prunes folders."""
+        mark, folder = self._mark(spark), F.col("micro_batch")
+        later = (folder > mark["last"]) & F.array_contains(mark["ids"], folder)
+        return rows.where((folder == -1 - mark["last"]) | later)
+
+    def _log(self, spark: SparkSession) -> DataFrame:
+        return self._current(spark, self._logged(spark))
+
     def _clean_log(self, spark: SparkSession) -> DataFrame:
         return self._log(spark).where(F.col("outcome") == CLEAN)
 
     def _outcome(self, spark: SparkSession, outcome: str) -> DataFrame:
-        """Rows of complete batches; all conditions prune folders."""
+        return self._checked(spark).where(F.col("outcome") == outcome)
+
+    def _checked(self, spark: SparkSession) -> DataFrame:
         columns = self._columns(spark)
         if not tables.path_exists(spark, self.checked_path):
             return spark.createDataFrame([], columns)
-        complete = self._log(spark).agg(F.collect_set("micro_batch")).scalar()
-        rows = spark.read.schema(columns).parquet(self.checked_path)
-        return rows.where(F.col("outcome") == outcome).where(F.array_contains(complete, F.col("micro_batch")))
+        return self._current(spark, spark.read.schema(columns).parquet(self.checked_path))
 
     def _columns(self, spark: SparkSession) -> StructType:
         """Every column some batch wrote; those a batch did not write are null in it.
 
         A file tells each set of columns there was, so no table file has to be opened and
-        no job run, however many batches there are. Those of the present code are in it.
+        no job run, however many batches there are. Before the first there are those that
+        the present code writes.
         """
         present = _placed(checked_readings(spark.createDataFrame([], BRONZE_DDL)), self).schema
         found = sorted((json.loads(text) for text in tables.read_texts(spark, self.columns_path)), key=lambda x: x["since"])
@@ -197,6 +217,8 @@ def write_batch(
     """
     spark = bronze.sparkSession
     run_time = as_of or datetime.now(timezone.utc)
+    if micro_batch <= last_compacted(spark, store):
+        raise ValueError(f"batch {micro_batch} is compacted: it can no longer be replaced")
     placed = _placed(checked_readings(bronze, run_time, **options), store)
     own, own_log = (f"{path}/micro_batch={micro_batch}" for path in (store.checked_path, store.log_path))
     # periods that the batch held before it is replaced: products over them change too
@@ -213,9 +235,40 @@ def write_batch(
         F.count("*").alias("row_count"), F.max("event_time").alias("newest_event_time")
     )
     emptied = spark.createDataFrame([(CLEAN, period, 0, None) for period in before], _LOGGED_DDL)
-    stamped = log.unionByName(emptied).selectExpr("*", f"{moment(run_time)} AS run_time")
+    stamped = log.unionByName(emptied).selectExpr("*", f"{moment(run_time)} AS run_time", f"{micro_batch} AS batch")
     _replace(stamped.coalesce(1), own_log)
 
 
+def last_compacted(spark: SparkSession, store: SilverStore) -> int:
+    """The last batch that a compaction holds, -1 without any; told by folder names."""
+    ids = [int(name.split("=")[1]) for name in tables.folders(spark, store.log_path) if name.startswith("micro_batch=-")]
+    return max((-1 - i for i in ids), default=-1)
+
+
+def compact(spark: SparkSession, store: SilverStore) -> None:
+    """Write all complete batches again as one folder of few, even files for each period.
+
+    To be run between the runs of the stream, whose batches go on after it. What it
+    replaces stays readable to those who are on it, until :func:`forget_compacted`. A run
+    that fails leaves the store as it was.
+    """
+    ids = [int(name.split("=")[1]) for name in tables.folders(spark, store.log_path)]
+    if not ids or max(ids) <= last_compacted(spark, store):
+        return
+    name = f"micro_batch={-1 - max(ids)}"
+    rows = store._checked(spark).drop("micro_batch")
+    _replace(rows.hint("rebalance", "outcome", PERIOD), f"{store.checked_path}/{name}", "outcome", PERIOD)
+    _replace(store._log(spark).drop("micro_batch").coalesce(1), f"{store.log_path}/{name}")
+
+
+def forget_compacted(spark: SparkSession, store: SilverStore) -> None:
+    """Delete the folders and logs that a compaction stands for; no reader may be on them."""
+    last = last_compacted(spark, store)
+    for root in (store.log_path, store.checked_path):
+        ids = [int(name.split("=")[1]) for name in tables.folders(spark, root)]
+        old = [i for i in ids if -1 - last < i <= last]
+        tables.reset(spark, paths=[f"{root}/micro_batch={i}" for i in old])
+
+
 def _replace(df: DataFrame, path: str, *partition_by: str) -> None:
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)

@@ -161,6 +161,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below a path; none if it is not there."""
+    files, place = _open(spark, path)
+    found = files.listStatus(place) if files.exists(place) else []
+    return sorted(x.getPath().getName() for x in found if x.isDirectory())
+
+
 def reset(spark: SparkSession, tables: Sequence[str] = (), paths: Sequence[str] = ()) -> None:
     """Drop the named tables and delete the given folders."""
     for name in tables:

@@ -14,6 +14,7 @@ from samples import AS_OF, CALLED, NOON, body, bronze, call, main
 from skyledger.operators import products, quality
 from skyledger.plans import bronze as bronze_plan
 from skyledger.plans import gold
+from skyledger.plans import silver as silver_plan
 from skyledger.plans.silver import SilverStore, checked_readings, write_batch
 from skyledger.schemas import BRONZE_COLUMNS, BRONZE_DDL, QUARANTINE_COLUMNS
 from skyledger.sources import captures, tables
@@ -105,6 +106,39 @@ def test_many_batches_share_their_columns(spark, folder):
     assert len(os.listdir(store.columns_path)) <= 2  # with the checksum
 
 
+def test_compaction_changes_no_row(spark, folder):
+    store, plain = SilverStore(f"{folder}/a"), SilverStore(f"{folder}/b")
+    silver_plan.compact(spark, store)  # nothing yet
+    for number in range(5):
+        for one in (store, plain):
+            write_batch(bronze(spark, *responses(9, 9 * number)), one, number, AS_OF)
+        if number in (1, 3):
+            silver_plan.compact(spark, store)
+            silver_plan.compact(spark, store)
+            if number == 3:
+                silver_plan.forget_compacted(spark, store)
+        for read in (SilverStore.clean, SilverStore.quarantine, SilverStore.audit):
+            assert contents(read(store, spark)) == contents(read(plain, spark))
+        assert store.periods(spark, number) == plain.periods(spark, number)
+    assert sorted(tables.folders(spark, store.log_path)) == ["micro_batch=-4", "micro_batch=4"]
+    assert tables.folders(spark, store.checked_path) == tables.folders(spark, store.log_path)
+    with pytest.raises(ValueError, match="compacted"):
+        write_batch(bronze(spark, *responses()), store, 3, AS_OF)
+    write_batch(bronze(spark, *responses()), store, 4, AS_OF)
+
+
+def test_failed_compaction_is_not_seen(spark, folder):
+    store = SilverStore(folder)
+    write_batch(bronze(spark, *responses()), store, 0, AS_OF)
+    before = contents(store.clean(spark))
+    silver_plan.compact(spark, store)
+    tables.reset(spark, paths=[f"{store.log_path}/micro_batch=-1"])  # died before its log
+    assert contents(store.clean(spark)) == before
+    silver_plan.compact(spark, store)
+    silver_plan.forget_compacted(spark, store)
+    assert contents(store.clean(spark)) == before
+
+
 def test_store_ranks_without_bodies(spark, folder):
     store = SilverStore(folder)
     write_batch(bronze(spark, *responses(40)), store, 0, AS_OF)
