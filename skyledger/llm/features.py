@@ -9,7 +9,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import GOLDEN, blocks, text_buffer
+from skyledger.llm.common import GOLDEN, blocks, broadcast_if_small, checkpointed, in_batches, text_buffer
+
+#: Different labels whose shares are sent to every executor; more are joined by shuffle.
+MOST_LABELS = 100_000
 
 #: Lower case for A-Z, other bytes as they are.
 LOWER = np.arange(256, dtype=np.uint8)
@@ -67,7 +70,7 @@ def scored(
     kinds = dict(docs.dtypes)
     declared = ", ".join([*[f"`{c}` {kinds[c]}" for c in columns], schema])
     needed = columns if "text" in columns else [*columns, "text"]
-    return docs.select(*[F.col(f"`{c}`") for c in needed]).mapInArrow(score, declared)
+    return in_batches(docs.select(*[F.col(f"`{c}`") for c in needed])).mapInArrow(score, declared)
 
 
 def labelled_sample(rows: DataFrame, label: str, each: int) -> DataFrame:
@@ -76,12 +79,10 @@ def labelled_sample(rows: DataFrame, label: str, each: int) -> DataFrame:
 
     The counts cover all rows; the sample is the same on any cluster.
     """
-    counts = rows.groupBy(label).count().collect()
-    share = F.lit(0.0)
-    for value, n in counts:
-        share = F.when(F.col(label) == F.lit(value), F.lit(min(1.0, each / n))).otherwise(share)
+    shares = rows.groupBy(label).agg(F.least(F.lit(1.0), each / F.count("*")).alias("_share"))
+    shares = broadcast_if_small(checkpointed(shares), shares.count(), MOST_LABELS)
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
-    return rows.where(place < share)
+    return rows.join(shares, label).where(place < F.col("_share")).select(*rows.columns)
 
 
 def join_sample(docs: DataFrame, sample: DataFrame) -> DataFrame:

@@ -21,9 +21,11 @@ from skyledger.llm.features import (
 SIZES = (4, 5, 6)
 BITS = 20
 #: Standard errors that a log-count ratio must lie from 0 for its n-gram to be a feature.
-LEAST_Z = 4.0
+LEAST_Z = 3.5
 #: Labelled documents of each class that the classifier is fitted on.
 SAMPLE_EACH = 2500
+#: Documents of a step's block.
+FIT_ROWS = 256
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
 
@@ -73,36 +75,60 @@ def prior_model(labels: np.ndarray, weight: np.ndarray) -> Model:
     return Model(np.zeros(1 << BITS, dtype=np.float32), np.log(prior / (1 - prior)))
 
 
-def fit(
-    buckets: np.ndarray, ends: np.ndarray, labels: np.ndarray, weight: np.ndarray, ratio: np.ndarray, penalty: float = 3.0
-) -> Model:
+def fit(rows: list[np.ndarray], labels: np.ndarray, weight: np.ndarray, ratio: np.ndarray, penalty: float = 3.0) -> Model:
     """Logistic regression, by full gradients with Adam steps, over the presence of each
-    n-gram times its log-count ratio; n-grams of ratio 0 are no features. ``weight``
+    n-gram times its log-count ratio; n-grams of ratio 0 are no features. ``rows``: the
+    features of each document, by their place among the buckets that are. ``weight``
     restores the share of each label in the corpus."""
-    row = np.repeat(np.arange(len(labels)), np.diff(ends))
-    v, first, second = (np.zeros(len(ratio)) for _ in range(3))
+    used = np.flatnonzero(ratio)
+    scale, width = ratio[used], len(used)
+    v, first, second = (np.zeros(width) for _ in range(3))
     b, b1, b2 = prior_model(labels, weight).bias, 0.0, 0.0
     for step in range(1, 81):
-        z = row_sums((v * ratio)[buckets], ends) + b
-        error = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels)
-        grad = np.bincount(buckets, weights=error[row], minlength=len(ratio)) * ratio + penalty * v
-        grad_b = error.sum()
+        slope, grad, grad_b = (v * scale).astype(np.float32), np.zeros(width), 0.0
+        for at in range(0, len(rows), FIT_ROWS):
+            some = rows[at : at + FIT_ROWS]
+            lengths = np.array([len(x) for x in some])
+            places = np.concatenate(some)
+            z = row_sums(slope[places], np.concatenate([[0], np.cumsum(lengths)])) + b
+            logistic = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            error = weight[at : at + FIT_ROWS] * (logistic - labels[at : at + FIT_ROWS])
+            grad += np.bincount(places, weights=np.repeat(error, lengths), minlength=width)
+            grad_b += error.sum()
+        grad = grad * scale + penalty * v
         first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad**2
         b1, b2 = 0.9 * b1 + 0.1 * grad_b, 0.99 * b2 + 0.01 * grad_b**2
         rate = 0.03
         v -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
         b -= 10 * rate * (b1 / (1 - 0.9**step)) / (np.sqrt(b2 / (1 - 0.99**step)) + 1e-8)
-    return Model((v * ratio).astype(np.float32), float(b))
+    weights = np.zeros(len(ratio), dtype=np.float32)
+    weights[used] = v * scale
+    return Model(weights, float(b))
 
 
-def _ngram_lists(sample: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:
+def _ngram_lists(sample: DataFrame) -> DataFrame:
     def run(data, offsets, block):
-        buckets, ends = present_ngrams(data, offsets, wanted)
+        buckets, ends = present_ngrams(data, offsets)
         return [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(buckets.astype(np.int32)))]
 
     return scored(sample, ["doc_id", "label"], run, "buckets array<int>")
 
 
+def _places(sample: DataFrame, wanted: np.ndarray) -> list[np.ndarray]:
+    """Of each document, in order of label and id, which of the wanted n-grams it holds."""
+    place = np.cumsum(wanted, dtype=np.int32) - 1
+
+    def run(data, offsets, block):
+        buckets, ends = present_ngrams(data, offsets, wanted)
+        found = place[buckets]
+        return [pa.array([found[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], type=pa.binary())]
+
+    got = scored(sample, ["doc_id", "label"], run, "places binary").toArrow()
+    order = np.lexsort((got.column("doc_id").to_numpy(), got.column("label").to_numpy()))
+    rows = [np.frombuffer(x, dtype=np.int32) for x in got.column("places").to_pylist()]
+    return [rows[i] for i in order]
+
+
 def log_count_ratios(sample: DataFrame, drawn: dict[int, int]) -> np.ndarray:
     """For each bucket the log of how much likelier its n-grams are in a document of label
     1, counted over the sample; 0 within LEAST_Z standard errors of it."""
@@ -129,11 +155,8 @@ def train(docs: DataFrame, labels: DataFrame, each: int = SAMPLE_EACH) -> Model:
     if len(drawn) < 2:
         return prior_model(y, weight)
     ratio = log_count_ratios(sample, drawn)
-    got = _ngram_lists(sample, ratio != 0).toArrow().combine_chunks().sort_by([("label", "ascending"), ("doc_id", "ascending")])
-    lists = got.column("buckets").combine_chunks()
-    lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
-    ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-    return fit(lists.flatten().to_numpy(), ends, y, weight / weight.mean(), ratio)
+    rows = _places(sample, ratio != 0)
+    return fit(rows, y, weight / weight.mean(), ratio)
 
 
 def score_documents(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
