@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache
 
 import numpy as np
@@ -10,9 +11,10 @@ from skyledger.llm.common import GOLDEN, mix64
 from skyledger.llm.features import LOWER
 from skyledger.llm.words import split_words, word_hashes
 
-#: Cost model of the allocation, in rows: what a segment costs that is so small that
-#: texts share it without being alike; it halves with each shingle more in a segment.
-CHANCE = 40.0
+#: Cost model of the allocation, in rows: what it costs to probe a segment of no or one
+#: shingle, which texts share without being alike; others cost less by half for each
+#: shingle more in a segment.
+CHANCE = 200.0
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,24 +86,29 @@ class Bands:
 
     @lru_cache(maxsize=None)  # noqa: B019 - one object for a task
     def plan(self, band: int) -> tuple[int, int, int]:
-        """The largest size, the segments and how many of them, the first, are indexed
-        with their one-deletion neighbourhoods: the cheapest that tolerate enough, by the
-        rows they make and the chance matches of small segments."""
+        """The largest size, the segments and how many of them (none or one) are indexed
+        with their one-deletion neighbourhood: the cheapest that tolerate enough, by the
+        rows they make and the chance matches of small segments. Spare segments let each
+        set leave out the smallest of its own."""
         self.band(self.starts[-1])
         while len(self.starts) < band + 2:
             self.band(self.starts[-1])
         low, high = self.starts[band], self.starts[band + 1] - 1
         need = max(self.difference(high, high), self.difference(low - 1, min(high, self.largest_partner(low - 1)))) + 1
         best = None
-        for deletions in (0, 1, 2):
-            for spare in range(3 + need // 25):
+        for deletions in (0, 1):
+            for spare in range(1 + need):
                 segments = need - deletions + spare
-                if segments < max(1, deletions):
+                # a neighbourhood of a part is as common as the lines that texts share
+                if segments < 1 or (deletions and segments > 1):
                     continue
                 load = low / segments
-                skipped = min(spare / segments, 1.0)
-                chance = CHANCE * segments * 2.0**-load * (1 - skipped) ** 3
-                cost = segments * (2 - skipped) + 2 * deletions * load + chance
+                # segments of no or one shingle beyond those that probes leave out
+                tiny = segments * math.exp(-load) * (1 + load)
+                small = max(tiny + 2 * math.sqrt(tiny) - spare, 0.0) + (segments - spare) * 2.0**-load
+                # a neighbourhood leaves one shingle out, so it is small itself up to two
+                small += deletions * (load * 2.0 ** (1 - load) + math.exp(-load) * (1 + load + load**2 / 2))
+                cost = 2 * segments - spare + 2 * deletions * load + CHANCE * small
                 if best is None or cost < best[0]:
                     best = (cost, segments, deletions)
         return high, best[1], best[2]
@@ -116,8 +123,8 @@ def _segment_edges(values: np.ndarray, segments: int) -> np.ndarray:
 def signatures(values: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys of one sorted set, and of each whether it is of the index and whether it probes.
 
-    In its own band a set indexes every segment, the first with their one-deletion
-    neighbourhoods. It probes, for partners of its size or larger, in its own band and in
+    In its own band a set indexes every segment (where one holds the whole set, with its
+    one-deletion neighbourhood). It probes, for partners of its size or larger, in its own band and in
     those above that they may be in: there it needs only as many segments as tolerate the
     most by which it can differ from such a partner, and leaves out those that cost most,
     the smallest ones, which many texts share.
