@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import read_table, shuffle_partitions, stage
+from skyledger.llm.common import in_batches, read_table, shuffle_partitions, stage
 
 TREES = 8
 #: Vectors that the trees are fitted on, about, and the fewest of them in a leaf.
@@ -175,7 +175,7 @@ def _route_rows(index: DataFrame, forest, parts: int) -> DataFrame:
                     leaf = tree.leaves(vectors.astype(np.float64))
                     yield _batch(np.full(len(ids), t), leaf, ids % parts, False, ids, raw, members)
 
-    return index.mapInArrow(run, ROUTED)
+    return in_batches(index).mapInArrow(run, ROUTED)
 
 
 def _route_queries(asked: DataFrame, forest, parts: int) -> DataFrame:
@@ -190,7 +190,7 @@ def _route_queries(asked: DataFrame, forest, parts: int) -> DataFrame:
                 n = len(found)
                 yield _batch(tree, leaf, part, True, [i] * n, [vector.tobytes()] * n, [[]] * n)
 
-    return asked.mapInArrow(run, ROUTED)
+    return in_batches(asked).mapInArrow(run, ROUTED)
 
 
 class _Best:

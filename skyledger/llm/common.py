@@ -18,6 +18,9 @@ MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
+#: Bytes that a Python worker is handed at a time.
+BATCH_BYTES = str(8 << 20)
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # Python workers import this package; where it is not installed they find it beside the driver's
@@ -33,6 +36,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose rows then go to Python in batches of BATCH_BYTES, or one larger row,
+    and not of so many rows, whatever they hold."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df.checkpoint()``; a folder is set only where the session names none."""
     spark = df.sparkSession

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import GOLDEN, blocks, mix64, read_table, shuffle_partitions, text_buffer
+from skyledger.llm.common import GOLDEN, blocks, in_batches, mix64, read_table, shuffle_partitions, text_buffer
 from skyledger.llm.words import BASE, BYTE_VALUE, powers, prefix_values
 
 BINS = 128
@@ -264,7 +264,7 @@ def compared(docs: DataFrame) -> DataFrame:
                 names=[x.split()[0] for x in COLUMNS.split(", ")],
             )
 
-    return in_order(docs).mapInArrow(run, COLUMNS)
+    return in_batches(in_order(docs)).mapInArrow(run, COLUMNS)
 
 
 def op3_coin_tossing(spark: SparkSession, sf_dir: str) -> DataFrame:

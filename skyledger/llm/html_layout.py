@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm.common import blocks, read_table
+from skyledger.llm.common import blocks, in_batches, read_table
 from skyledger.llm.html_tree import CELLS, HEADINGS, ROW_GROUPS, Node, parse
 
 #: Elements that are not shown, or whose content stands in for what is shown.
@@ -368,7 +368,7 @@ def extract(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([block.column("page_id"), pa.array(texts, type=pa.string())], names=["page_id", "text"])
 
     kind = dict(pages.dtypes)["page_id"]
-    return pages.select("page_id", "html").mapInArrow(run, f"page_id {kind}, text string")
+    return in_batches(pages.select("page_id", "html")).mapInArrow(run, f"page_id {kind}, text string")
 
 
 def op2_layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:

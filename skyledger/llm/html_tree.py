@@ -114,11 +114,10 @@ class _Builder:
         return node
 
     def push(self, node: Node) -> None:
-        self.stack[-1].children.append(node)
         if len(self.stack) >= DEEPEST:
-            self.stack[-1] = node
-        else:
-            self.stack.append(node)
+            self.stack.pop()
+        self.stack[-1].children.append(node)
+        self.stack.append(node)
 
     def close(self, tags, stops) -> bool:
         """Ends the nearest open element of ``tags``, with all that it holds."""
@@ -161,9 +160,13 @@ class _Builder:
 
 def parse(html: str) -> Node:
     """The tree of a page. Anything parses: stray ends are left out, missing ones implied,
-    unclosed comments and raw text run to the end."""
+    unclosed comments, tags and raw text run to the end. Takes time in proportion to the
+    length of the page."""
     builder, at, length = _Builder(), 0, len(html)
+    last_close = html.rfind(">")
     while at < length:
+        if at > last_close and html[at] == "<" and html[at + 1 : at + 2].isalpha():
+            break  # a tag that never ends, as all that follow it
         found = TOKEN.match(html, at)
         at = found.end()
         first = found.group()

@@ -14,6 +14,7 @@ from skyledger.llm.common import (
     blocks,
     broadcast_if_small,
     checkpointed,
+    in_batches,
     read_table,
     shuffle_partitions,
     stage,
@@ -25,10 +26,12 @@ from skyledger.llm.shingles import Bands, common_count, set_names, shingle_sets,
 WORDS, SHARE = 4, 85
 #: Segment keys in a bucket, on average; a task holds one bucket at a time.
 BUCKET_KEYS = 1_000_000
-#: Documents whose keys a task gathers before it sends them on.
-FLUSH_KEYS = 2_000_000
+#: Keys that a task gathers, about, before it sends them on.
+FLUSH_KEYS = 400_000
 #: Sets of a block; two blocks at a time are compared in a task.
-BLOCK = 96
+BLOCK = 128
+#: Bytes of sets that a task hands on at a time.
+UNIT_BYTES = 1 << 20
 #: Rows of a table of ids that is sent to every executor; larger ones are joined by shuffle.
 MOST_IDS = 500_000
 
@@ -61,7 +64,7 @@ def document_sets(docs: DataFrame, words: int) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row_key"), "text")
-    return rows.mapInArrow(run, "doc_id long, row_key long, n_shingles long, name long, name2 long")
+    return in_batches(rows).mapInArrow(run, "doc_id long, row_key long, n_shingles long, name long, name2 long")
 
 
 def _packed(keys: list, names: list, flags: list, buckets: int, turn: int) -> Iterator[tuple[int, bytes, bool]]:
@@ -168,7 +171,7 @@ def shared_keys(docs: DataFrame, words: int, bands: Bands, buckets: int) -> Data
         if parts:
             yield close()
 
-    sent = docs.select("text").mapInArrow(emit, "bucket int, records binary, known boolean")
+    sent = in_batches(docs.select("text")).mapInArrow(emit, "bucket int, records binary, known boolean")
     dealt = sent.repartition(shuffle_partitions(docs.sparkSession), "bucket")
     return dealt.sortWithinPartitions("bucket").mapInArrow(meet, "key long, name long, flags int")
 
@@ -217,7 +220,7 @@ def _units(docs: DataFrame, places: DataFrame, words: int) -> DataFrame:
             values, cuts = shingle_sets(*text_buffer(block.column("text")), words)
             first, second = set_names(values, cuts)
             members = block.column("member").to_pylist()
-            out = []
+            out, held = [], 0
             for r, places in enumerate(block.column("places").to_pylist()):
                 if f"{first[r]:016x}{second[r]:016x}" != members[r]:
                     continue  # another text of the same id
@@ -228,10 +231,12 @@ def _units(docs: DataFrame, places: DataFrame, words: int) -> DataFrame:
                         pairs = [(i, j) for i in range(n) for j in range(i, n)]
                     else:
                         pairs = [(min(own, k), max(own, k)) for k in range(n)]
-                    out += [(p["center"], i, j, p["is_center"], own, members[r], raw) for i, j in pairs]
-                    if len(out) >= 256:
-                        yield batch(out)
-                        out = []
+                    for i, j in pairs:
+                        out.append((p["center"], i, j, p["is_center"], own, members[r], raw))
+                        held += len(raw)
+                        if held >= UNIT_BYTES:
+                            yield batch(out)
+                            out, held = [], 0
             if out:
                 yield batch(out)
 

@@ -138,6 +138,8 @@ def cuts(narrow: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
         else:
             level = level.withColumn("base", F.lit(0).cast("long"))
         sums = level.groupBy(*LEVELS, "rest", "base", "prefix").agg(F.sum("tokens").alias("tokens"), F.max("n").alias("n"))
+        # a table of its own: else one shuffle, by leaf alone, would serve the sums too
+        sums = checkpointed(sums)
         sums = sums.withColumn("before", F.col("base") + F.coalesce(F.sum("tokens").over(within), F.lit(0)))
         found = checkpointed(sums.where("before <= rest and rest < before + tokens"))
     # of rows that share an id no single one can be cut: they are left out
@@ -219,12 +221,16 @@ def mixture(
 
 
 def cut_texts(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """``columns`` of a mixture's rows, the text of a cut document up to its last kept token."""
+    """``columns`` of a mixture's rows, the text of a cut document up to its last kept token
+    (and ``n_chars``, if there, its length)."""
     pieces = F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
     lead = F.regexp_extract("text", r"^[\x20\x09-\x0D]*", 0)
     kept = F.concat(lead, F.array_join(F.slice(pieces, F.lit(1), F.col("_kept").cast("int")), ""))
-    text = F.when(F.col("_kept") < F.col("_tokens"), kept).otherwise(F.col("text"))
-    return mixed.select(*[text.alias(c) if c == "text" else F.col(c) for c in columns])
+    is_cut = F.col("_kept") < F.col("_tokens")
+    made = {"text": F.when(is_cut, kept).otherwise(F.col("text"))}
+    if "n_chars" in columns:
+        made["n_chars"] = F.when(is_cut, F.length(kept).cast("long")).otherwise(F.col("n_chars"))
+    return mixed.select(*[made[c].alias(c) if c in made else F.col(c) for c in columns])
 
 
 def op1_tree_budgets(spark: SparkSession, sf_dir: str) -> DataFrame:

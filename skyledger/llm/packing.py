@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import blocks, broadcast_if_small, read_table, stage
+from skyledger.llm.common import blocks, broadcast_if_small, in_batches, read_table, stage
 
 END_ID = 1
 SEQUENCE_TOKENS = 2048
@@ -79,7 +79,7 @@ def tokenized(docs: DataFrame, vocabulary: str) -> DataFrame:
             total = int(ends[-1])
 
     schema = "part int, local_offset long, doc_id long, doc_tokens long, ids binary"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return in_batches(docs.select(F.col("doc_id").cast("long"), "text")).mapInArrow(run, schema)
 
 
 def _with_offsets(tokens: DataFrame) -> DataFrame:
@@ -124,7 +124,7 @@ def _cut(tokens: DataFrame, window: int, keep_ids: bool) -> DataFrame:
         + ", ids binary" * keep_ids
     )
     names = [x.split()[0] for x in schema.split(", ")]
-    return tokens.select("doc_id", "doc_tokens", "global_offset", "ids").mapInArrow(run, schema)
+    return in_batches(tokens.select("doc_id", "doc_tokens", "global_offset", "ids")).mapInArrow(run, schema)
 
 
 def pack(

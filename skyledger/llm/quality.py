@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import blocks, fold, read_table, text_buffer
+from skyledger.llm.common import blocks, fold, in_batches, read_table, text_buffer
 from skyledger.llm.features import join_sample, labelled_sample, ngram_counts, scored, training_labels
 from skyledger.llm.words import SPACE, split_words, word_hashes
 
@@ -78,7 +78,7 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
         buckets = np.arange(-1, width, dtype=np.int32)
         yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(np.append(rows, seen))], names=["bucket", "n"])
 
-    sums = docs.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    sums = in_batches(docs.select("text")).mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     got = sums.toArrow()  # one row per bucket
     counts = np.zeros(width + 1, dtype=np.int64)
     counts[got.column("bucket").to_numpy() + 1] = got.column("n").to_numpy()
