@@ -116,7 +116,7 @@ def _place(seed: int, epoch: Column, doc_id: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit(""))))
 
 
-def cuts(narrow: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
+def cuts(narrow: DataFrame, plan: DataFrame, n_leaves: int, seed: int) -> DataFrame:
     """For each leaf with a part epoch the place of the document that its budget ends in
     (``cut_place``) and the tokens of it that still fit (``cut_tokens``).
 
@@ -134,6 +134,7 @@ def cuts(narrow: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
         level = rows.withColumn("prefix", F.substring("place", 1, digits))
         if found is not None:
             parts = found.select(*LEVELS, F.col("prefix").alias("outer"), F.col("before").alias("base"))
+            parts = broadcast_if_small(parts, n_leaves, MOST_LEAVES)
             level = level.join(parts, LEVELS).where(F.col("prefix").startswith(F.col("outer"))).drop("outer")
         else:
             level = level.withColumn("base", F.lit(0).cast("long"))
@@ -192,7 +193,7 @@ def mixture(
     plan = checkpointed(plan.where("budget > 0"))
     small = plan.count()
     plan = broadcast_if_small(plan, small, MOST_LEAVES)
-    ends = broadcast_if_small(cuts(narrow, plan, seed), small, MOST_LEAVES)
+    ends = broadcast_if_small(cuts(narrow, plan, small, seed), small, MOST_LEAVES)
     plan = broadcast_if_small(checkpointed(plan.join(ends, LEVELS, "left")), small, MOST_LEAVES)
     renamed = plan.select(*[F.col(c).alias(f"_plan_{c}") for c in plan.columns])
     if small <= MOST_LEAVES:
