@@ -199,7 +199,8 @@ def candidate_groups(found: DataFrame, classes: DataFrame) -> DataFrame:
 def _places(groups: DataFrame) -> DataFrame:
     """One row per member: the groups it is in, its block there and how many there are."""
     sizes = groups.groupBy("center").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = groups.join(sizes, "center")
+    # a table of its own: else one shuffle, by center, would serve the join too
+    rows = groups.join(checkpointed(sizes), "center")
     block = F.pmod(F.xxhash64("member", F.lit(7)), F.col("blocks")).cast("int")
     place = F.struct("center", F.col("blocks"), block.alias("block"), (F.col("center") == F.col("member")).alias("is_center"))
     return rows.groupBy("member", "row_key").agg(F.collect_list(place).alias("places"))
