@@ -349,7 +349,8 @@ def components(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> DataF
     links = checkpointed(verified_links(_units(docs, _places(groups), words), share).distinct())
     roots = checkpointed(connected_components(links, "a", "b"))
     joined = classes.join(roots, classes["id"] == roots["node"], "left").withColumn("root", F.coalesce("root", "id"))
-    lowest = joined.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # a table of its own: else one shuffle, by root, would serve the join too
+    lowest = checkpointed(joined.groupBy("root").agg(F.min("doc_id").alias("component_id")))
     named = joined.join(lowest, "root").select("name", "name2", "component_id")
     own = rows.join(named, ["name", "name2"], "left")
     # an empty set has a name too, but no class
