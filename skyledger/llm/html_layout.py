@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm.common import blocks, in_batches, read_table
+from skyledger.llm.html_style import Sheets, inline
 from skyledger.llm.html_tree import CELLS, HEADINGS, ROW_GROUPS, Node, parse
 
 #: Elements that are not shown, or whose content stands in for what is shown.
@@ -27,25 +28,6 @@ INDENT = "    "
 GAP = "  "
 WIDEST_SPAN = 1000
 BLANKS = re.compile(r"[ \t\n\f\r]+")
-HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
-RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-SIMPLE = re.compile(r"^([a-zA-Z][\w-]*)?([.#][\w-]+)?$")
-
-
-def hiding_selectors(sheets: list[str]) -> set[tuple[str, str]]:
-    """(tag, class or id) of the simple selectors that style sheets hide."""
-    found = set()
-    for sheet in sheets:
-        if not HIDING.search(sheet):
-            continue
-        sheet = re.sub(r"/\*.*?\*/", "", sheet, flags=re.DOTALL)
-        for selectors, body in RULE.findall(sheet):
-            if HIDING.search(body):
-                for selector in selectors.split(","):
-                    simple = SIMPLE.match(selector.strip())
-                    if simple and selector.strip():
-                        found.add(((simple.group(1) or "").lower(), simple.group(2) or ""))
-    return found
 
 
 class Flow:
@@ -111,15 +93,7 @@ class Flow:
 
 class Renderer:
     def __init__(self, root: Node):
-        self.hidden: set[tuple[str, str]] = set()
-        sheets: list[str] = []
-        todo = [root]
-        while todo:
-            node = todo.pop()
-            if node.tag == "style":
-                sheets += [c for c in node.children if isinstance(c, str)]
-            todo += [c for c in node.children if isinstance(c, Node)]
-        self.hidden = hiding_selectors(sheets)
+        self.sheets = Sheets(root)
         self.root = root
 
     def render(self) -> list[str]:
@@ -129,28 +103,26 @@ class Renderer:
 
     def styled(self, node: Node, seen: bool) -> tuple[bool, bool]:
         """Whether the element is laid out at all, and whether its own text is seen."""
-        if self.hidden and self._by_sheet(node):
-            return False, False
-        raw = node.raw
-        if not raw:
+        raw, closed = node.raw, node.tag == "dialog"
+        if not raw and not closed and not self.sheets.rules:
             return True, seen
-        if "hidden" in raw.lower() and "hidden" in node.attributes:
+        best = self.sheets.settled(node)
+        if raw and "style" in raw.lower():
+            for name, value, strong in inline(node.attributes.get("style", "")):
+                if name not in best or strong >= best[name][0][0]:
+                    best[name] = ((strong,), value)
+        display = best["display"][1] if "display" in best else "revert"
+        if display == "none":
             return False, False
-        if "style" in raw.lower():
-            style = node.attributes.get("style", "").lower().replace(" ", "")
-            if "display:none" in style:
+        if display.startswith("revert"):  # what holds without a style
+            if closed and "open" not in node.attributes:
+                return False, False
+            if raw and "hidden" in raw.lower() and "hidden" in node.attributes:
                 return False, False
-            if "visibility:hidden" in style or "visibility:collapse" in style:
-                return True, False
-            if "visibility:visible" in style:
-                return True, True
-        return True, seen
-
-    def _by_sheet(self, node: Node) -> bool:
-        names = {""} | {"." + c for c in node.attributes.get("class", "").split()}
-        if node.attributes.get("id"):
-            names.add("#" + node.attributes["id"])
-        return any((tag in ("", node.tag)) and name in names and (tag or name) for tag, name in self.hidden)
+        visibility = best["visibility"][1] if "visibility" in best else "inherit"
+        if visibility in ("hidden", "collapse"):
+            return True, False
+        return True, seen or visibility in ("visible", "initial")
 
     def children(self, node: Node, flow: Flow, seen: bool, pre: bool, depth: int, only: str | None = None) -> None:
         for child in node.children:
@@ -162,7 +134,7 @@ class Renderer:
 
     def element(self, node: Node, flow: Flow, seen: bool, pre: bool, depth: int) -> None:
         tag = node.tag
-        if tag in UNSEEN or (tag == "dialog" and "open" not in node.attributes):
+        if tag in UNSEEN:
             return
         laid_out, seen = self.styled(node, seen)
         if not laid_out:
@@ -355,8 +327,12 @@ def extract(pages: DataFrame) -> DataFrame:
     and tables have one empty line around them; list items have bullets or their numbers
     and are indented by depth; cells of a table stand in columns as wide as their widest
     line, with spans. Not seen: heads, scripts, style, templates, closed dialogs and
-    details, what ``hidden``, a style attribute or a simple selector of a style sheet
-    hides, and what stands in for media. ``noscript`` is seen, as no scripts run.
+    details, what ``hidden``, a style attribute or a style sheet hides, and what stands
+    in for media. ``noscript`` is seen, as no scripts run. Rules count by the cascade on
+    a desktop screen (:mod:`.html_style`): of those that match, the strongest and then
+    the last decides, an inline style over them, so what is shown again is seen; media
+    queries for print or narrower screens do not hold. Rules in container queries or
+    ``@scope``, and selectors with ``:has``, are not followed.
 
     Null and empty html gives an empty text. Repeated rows are extracted each; a page of
     any length is read whole; an empty table gives no rows; other columns are not read.

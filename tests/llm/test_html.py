@@ -37,6 +37,61 @@ PAGES = [
 ]
 
 
+STYLED = [
+    ("@media print{.a{display:none}}", "<p class=a>s", "s"),
+    ("@media (max-width:600px){.a{display:none}}", "<p class=a>s", "s"),
+    ("@media screen and (max-width: 40em), print{.a{display:none}}", "<p class=a>s", "s"),
+    ("@media (width < 600px) or (prefers-color-scheme: dark){.a{display:none}}", "<p class=a>s", "s"),
+    ("@media not screen{.a{display:none}}", "<p class=a>s", "s"),
+    ("@media screen and (min-width:600px){.a{display:none}} .b{margin:0}", "<p class=a>h<p>s", "s"),
+    ("@media not print{.a{display:none}}", "<p class=a>h<p>s", "s"),
+    ("@media (400px <= width <= 2000px){.a{display:none}}", "<p class=a>h<p>s", "s"),
+    (".a{display:none} @media (min-width:768px){.md\\:block{display:block}}", "<p class='a md:block'>s", "s"),
+    ("@media print{.a{color:red} @media all{.b{display:none}}} .c{display:none}", "<p class=a>s<p class=b>t<p class=c>h", "s\n\nt"),
+    ("@supports not (display:grid){.a{display:none}}", "<p class=a>s", "s"),
+    ("@keyframes k{from{visibility:hidden}to{visibility:visible}} p{color:red}", "<p>s", "s"),
+    (".a{display:none} .a{display:block}", "<p class=a>s", "s"),
+    (".a{display:block} .a{display:none}", "<p class=a>h", ""),
+    ("#i{display:block} .a{display:none}", "<p class=a id=i>s", "s"),
+    (".a{display:none!important} .a{display:block}", "<p class=a style='display:block'>h", ""),
+    (".a{display:none}", "<p class=a style='display:block'>s", "s"),
+    (".a{display:none}", "<p class=a style='color:red'>h", ""),
+    (".a{display:none} .n .a{display:block}", "<p class=a>h<div class=n><p class=a>s", "s"),
+    (".a{display:none} .n:hover .a{display:block}", "<div class=n><p class=a>h", ""),
+    (".a{display:none} #t:checked ~ .a{display:block}", "<input type=checkbox id=t checked><i>x</i><p class=a>s", "x\n\ns"),
+    ("li:nth-child(2n){display:none} li:not(.k){visibility:hidden}", "<ul><li class=k>a<li class=k>b<li class=k>c</ul>", "* a\n* c"),
+    (".a{visibility:hidden} b{visibility:visible}", "<p class=a>h<b>s</b>", "s"),
+    (".a{visibility:hidden}.a{visibility:visible}", "<p class=a>s", "s"),
+    (".a{content:'}.b{display:none}'} /* .b{display:none} */ .c{display:inline}", "<p class=b>s", "s"),
+    (".a{display:none; .b &{display:block}}", "<p class=a>h<div class=b><p class=a>s", "s"),
+    (".a{display:hide} .a::before{display:none}", "<p class=a>s", "s"),
+    ("@layer x{.a{display:none}} @layer y{#i{display:none}} p{display:block}", "<p class=a id=i>s", "s"),
+    ("p{display:block}", "<p hidden>s", "s"),
+]
+
+
+@pytest.mark.parametrize("sheet, html, text", STYLED)
+def test_styles_on_a_screen(sheet, html, text):
+    assert rendered(f"<style>{sheet}</style>{html}") == text
+
+
+def test_sheets_of_other_media():
+    assert rendered("<style media=print>p{display:none}</style><p>s") == "s"
+    assert rendered("x<template><style>p{display:none}</style></template><p>s") == "x\n\ns"
+    assert rendered("<style media='screen, print'>p{display:none}</style><p>h") == ""
+    # of two sheets the later one decides
+    assert rendered("<style>p{display:none}</style><style>p{display:block}</style><p>s") == "s"
+
+
+def test_long_sheets():
+    many = "".join(f".n .c{i}{{display:none}}" for i in range(5000))
+    assert rendered(f"<style>{many}</style><div class=n>" + "<p class=x>s" * 5000).split() == ["s"] * 5000
+    assert rendered("<style>" + "@media all{" * 20_000 + "p{display:none}</style><p>s") == "s"
+    assert rendered("<style>" + "a " * 20_000 + "{display:none}</style><p>s") == "s"
+    assert rendered("<style>li ~ li{display:none}</style>" + "<li>s" * 20_000) == "s"
+    assert rendered("<style>" + "{" * 50_000 + ":not(" * 50_000 + "display:none</style><p>s") == "s"
+
+
 @pytest.mark.parametrize("html, text", PAGES)
 def test_layout(html, text):
     assert rendered(html) == text
