@@ -26,6 +26,21 @@ CANONICAL_TAG = r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
 HREF = r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
 REFRESH_TAG = r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
 REFRESH_URL = r"(?i)\burl\s*=\s*[\"']?([^\"'\s>;]+)"
+BASE_TAG = r"(?i)<base\b[^>]*\bhref\s*=[^>]*>"
+#: The value of an attribute, in one of three groups: in quotes of two kinds, or bare.
+ATTRIBUTE = r"(?i)[\s\"'/]{}\s*=\s*(?:\"([^\"]*)|'([^']*)|([^\s\"'>][^\s>]*))"
+#: What stands behind the seconds of a refresh: likewise.
+REFRESH = (
+    r"(?is)^\s*(?:[\d.]++(?:\s*[;,]\s*|\s+|$)(?:url\s*=\s*)?+|[;,]?\s*url\s*=\s*)(?:\"([^\"]*)|'([^']*)|([^\"'\s].*))"
+)
+#: Character references and what stands between them.
+REFERENCES = r"(?i)&#[0-9]{1,7};|&#x[0-9a-f]{1,6};|&(?:quot|apos|lt|gt|sol|colon|equals|quest|num|percnt);|&amp(?:;|(?![=a-z0-9;]))|[^&]+|&"
+NAMED = {
+    "&quot;": '"', "&apos;": "'", "&lt;": "<", "&gt;": ">", "&sol;": "/", "&colon;": ":", "&equals;": "=", "&quest;": "?",
+    "&num;": "#", "&percnt;": "%", "&amp;": "&", "&amp": "&",
+}
+#: Paths beyond it, in characters, keep their dots.
+LONGEST_PATH = 8192
 
 
 def _after_scheme(url: Column) -> Column:
@@ -64,21 +79,94 @@ def rule_table(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*rows) if rows else F.expr(empty)))
 
 
+def _one_of(text: Column, pattern: str) -> Column:
+    return F.concat(*[F.regexp_extract(text, pattern, i) for i in (1, 2, 3)])
+
+
+def _code_point(digits: Column, radix: int) -> Column:
+    code = F.conv(digits, radix, 10).cast("long")
+    known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    return F.when(known, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("\ufffd")
+
+
+def unescaped(text: Column) -> Column:
+    """Text with its character references undone, once: numbers and those that URLs have."""
+
+    def plain(piece: Column) -> Column:
+        known = F.when(piece.rlike("^&#[0-9]+;$"), _code_point(F.regexp_extract(piece, "[0-9]+", 0), 10))
+        known = known.when(piece.rlike("^&#[xX].+;$"), _code_point(F.regexp_extract(piece, "^&#[xX](.+);$", 1), 16))
+        for name, value in NAMED.items():
+            known = known.when(F.lower(piece) == name, F.lit(value))
+        return known.otherwise(piece)
+
+    pieces = F.regexp_extract_all(text, F.lit(REFERENCES), F.lit(0))
+    return F.when(F.instr(text, "&") > 0, F.array_join(F.transform(pieces, plain), "")).otherwise(text)
+
+
+def _address(text: Column) -> Column:
+    """A URL as browsers take it from an attribute."""
+    return F.replace(F.regexp_replace(F.regexp_replace(text, r"^\s+|\s+$", ""), r"[\t\n\r]+", ""), F.lit(" "), F.lit("%20"))
+
+
+def _without_dots(path: Column) -> Column:
+    """A path from ``/`` on with its ``.`` and ``..`` steps taken."""
+    steps = F.split(F.substring(path, 2, LONGEST_PATH), "/")
+    nothing = F.array().cast("array<string>")
+    taken = F.aggregate(
+        steps,
+        nothing,
+        lambda done, x: F.when(x == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+        .when(x == ".", done)
+        .otherwise(F.concat(done, F.array(x))),
+    )
+    # a last step of dots is a folder
+    end = F.when(path.rlike(r"/\.\.?$") & (F.size(taken) > 0), F.lit("/")).otherwise(F.lit(""))
+    dotted = path.rlike(r"/\.\.?(/|$)") & (F.length(path) <= LONGEST_PATH)
+    return F.when(dotted, F.concat(F.lit("/"), F.array_join(taken, "/"), end)).otherwise(path)
+
+
+def resolved(target: Column, base: Column) -> Column:
+    """The URL that a reference in a document of the URL ``base`` names; null if it is none
+    with ``://``, as of ``mailto:``. Absolute ones stay as they are."""
+    site = F.concat(F.substring_index(base, "://", 1), F.lit("://"), host_of(base))
+    path = F.when(path_of(base) == "", F.lit("/")).otherwise(path_of(base))
+    own_path = F.regexp_extract(target, "^[^?#]*", 0)
+    rest = F.regexp_extract(target, "^[^?#]*(.*)", 1)
+    folder = F.regexp_extract(path, "(?s)^.*/", 0)
+    return (
+        F.when(target == "", None)
+        .when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+        .when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), None)
+        .when(target.startswith("//"), F.concat(F.substring_index(base, "://", 1), F.lit(":"), target))
+        .when(target.startswith("#"), base)
+        .when(target.startswith("?"), F.concat(site, path, target))
+        .when(target.startswith("/"), F.concat(site, _without_dots(own_path), rest))
+        .otherwise(F.concat(site, _without_dots(F.concat(folder, own_path)), rest))
+    )
+
+
 def document_edges(pages: DataFrame) -> DataFrame:
-    """``a``, ``b``: alias keys of a page and of the page that its canonical link or meta
-    refresh names. Targets may be absolute, ``//host/...`` or ``/path``."""
-    targets = F.array(
-        F.regexp_extract(F.regexp_extract("html", CANONICAL_TAG, 0), HREF, 1),
-        F.regexp_extract(F.regexp_extract("html", REFRESH_TAG, 0), REFRESH_URL, 1),
+    """``a``, ``b``: alias keys of a page and of each page that its canonical links or meta
+    refreshes name. Targets are resolved as in a browser, against the page's URL or what
+    its first ``base`` names: absolute, ``//host/...``, ``/path``, ``?query`` or relative to
+    the folder; character references are undone."""
+    links = F.transform(
+        F.regexp_extract_all("html", F.lit(CANONICAL_TAG), F.lit(0)),
+        lambda tag: unescaped(_one_of(tag, ATTRIBUTE.format("href"))),
     )
-    found = pages.where("html is not null and instr(url, '://') > 0").select("url", F.explode(targets).alias("target"))
-    scheme = F.substring_index("url", "://", 1)
-    whole = (
-        F.when(F.col("target").startswith("//"), F.concat(scheme, F.lit(":"), "target"))
-        .when(F.col("target").startswith("/"), F.concat(scheme, F.lit("://"), host_of(F.col("url")), "target"))
-        .when(F.instr("target", "://") > 0, F.col("target"))
+    moves = F.transform(
+        F.regexp_extract_all("html", F.lit(REFRESH_TAG), F.lit(0)),
+        lambda tag: _one_of(unescaped(_one_of(tag, ATTRIBUTE.format("content"))), REFRESH),
     )
-    edges = found.where("target <> ''").select(alias_key(F.col("url")).alias("a"), alias_key(whole).alias("b"))
+    base = _address(unescaped(_one_of(F.regexp_extract("html", BASE_TAG, 0), ATTRIBUTE.format("href"))))
+    targets = F.array_distinct(F.concat(links, moves))
+    found = pages.where("html is not null and instr(url, '://') > 0")
+    found = found.select("url", targets.alias("targets"), base.alias("base")).where("size(targets) > 0")
+    found = found.withColumn("base", F.coalesce(resolved(F.col("base"), F.col("url")), "url"))
+    found = found.select("url", "base", F.explode("targets").alias("target"))
+    found = found.withColumn("target", _address(F.col("target")))
+    found = found.withColumn("whole", resolved(F.col("target"), F.col("base")))
+    edges = found.select(alias_key(F.col("url")).alias("a"), alias_key(F.col("whole")).alias("b"))
     return edges.where("b <> '' and a <> b").distinct()
 
 

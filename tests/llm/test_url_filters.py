@@ -80,6 +80,52 @@ def test_aliases_carry_verdicts(spark):
     }
 
 
+def refresh(content):
+    return f"<meta http-equiv=refresh content='{content}'>"
+
+
+def test_targets_are_resolved(spark):
+    base = "<base href='/deep/er/'>"
+    cases = [
+        ("http://site.org/", "<meta http-equiv=refresh content=\"0; url=es/index.html\">", "site.org/es/index.html"),
+        ("http://site.org/a/b?q#f", canonical("c/d"), "site.org/a/c/d"),
+        ("http://site.org/a/b?q", canonical("?x=1"), "site.org/a/b?x=1"),
+        ("http://site.org", canonical("es/"), "site.org/es/"),
+        ("http://site.org/a/b/c", canonical("../x/./y?z=../w"), "site.org/a/x/y?z=../w"),
+        ("http://site.org/a/b/c", canonical("../../../.."), "site.org/"),
+        ("http://site.org/a/b/c", canonical(".."), "site.org/a/"),
+        ("http://site.org/a/b", canonical("http://t.org/?a=1&amp;b=2&#38;c=&amp;amp;"), "t.org/?a=1&b=2&c=&amp;"),
+        ("http://site.org/a/b", refresh("5; URL=//t.org/x?a=1&amp;b=2;c"), "t.org/x?a=1&b=2;c"),
+        ("http://site.org/a/b", refresh('0;url="t/u"'), "site.org/a/t/u"),
+        ("http://site.org/a/b", refresh("0; login?next=http://t.org/"), "site.org/a/login?next=http://t.org/"),
+        ("http://site.org/a/b", refresh("30"), None),
+        ("http://site.org/a/b", refresh("0;url="), None),
+        ("http://site.org/a/b", canonical("mailto:x@t.org"), None),
+        ("http://site.org/a/b", canonical("#top"), None),
+        ("http://site.org/a/b", base + canonical("x"), "site.org/deep/er/x"),
+        ("http://site.org/a/b", canonical(" /it%20is here\n"), "site.org/it%20is%20here"),
+        ("http://site.org/a/b", canonical("&#x2F;caf&#233;"), "site.org/café"),
+        ("no scheme", canonical("x"), None),
+    ]
+    # each on a host of its own
+    rows = [[x and x.replace("site.org", f"site{i}.org") for x in case] for i, case in enumerate(cases)]
+    pages = spark.createDataFrame([row[:2] for row in rows], "url string, html string")
+    found = {(r.a, r.b) for r in url_filters.document_edges(pages).collect()}
+    assert found == {(url.split("//")[1].split("#")[0], target) for url, _, target in rows if target}
+
+
+def test_all_links_of_a_page_carry_verdicts(spark):
+    rows = [
+        (1, "http://site.net/", '<meta http-equiv=refresh content="0; url=es/index.html">'),
+        (2, "http://two.org/", canonical("http://free.org/") + canonical("http://evil.org/p")),
+        (3, "http://three.org/", refresh("1; url=http://free.org/") + refresh("2; url=http://free.org/q?a=1&amp;b=2")),
+        (4, "http://free.org/q?a=1&b=2", canonical("http://two.org/")),
+        (5, "http://five.org/", "<link rel=canonical>" + canonical("")),
+    ]
+    verdicts = {r[0]: (r[3], r[4]) for r in judged(spark, rows)}
+    assert verdicts == {k: (None, "block") for k in (1, 2, 3, 4)} | {5: (None, "allow")}
+
+
 def test_empty_tables_and_no_rules(spark):
     assert judged(spark, []) == []
     pages = spark.createDataFrame([(1, "http://a.com/", None)], "page_id long, url string, html string")
