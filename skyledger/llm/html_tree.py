@@ -46,7 +46,9 @@ DEEPEST = 200
 
 TOKEN = re.compile(
     r"<!--(?:-?>|.*?(?:--!?>|\Z))"  # a comment
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"  # a tag
+    # a tag of names and values: a quote opens a value behind the "=" of a name, elsewhere it is as any character
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|(?:=[^\s=/>]*+|[^\s=/>]++)"
+    r"(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)?+)*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"  # a tag whose quotes do not close
     r"|<[!?/][^>]*(?:>|\Z)"  # declarations and bogus comments
     r"|[^<]+|<",

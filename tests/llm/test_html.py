@@ -37,6 +37,22 @@ PAGES = [
 ]
 
 
+QUOTES = [
+    ("<p title=it's>Seen</p><p>it's more</p>", "Seen\n\nit's more"),
+    ("<p title='a'b'>One</p><p>it's two", "One\n\nit's two"),
+    ("<a href=/x?q=\"a>link</a> say \"b\"", 'link say "b"'),
+    ("<p 'a>One</p><p>it's two", "One\n\nit's two"),
+    ("<p a = 'x>y' b=\"it's>\"c='>'>One", "One"),
+    ("<p title='x=y>' b==' c>One</p>'", "One\n\n'"),
+    ("</p title=it's>One</b>'", "One'"),
+]
+
+
+@pytest.mark.parametrize("html, text", QUOTES)
+def test_quotes_in_tags(html, text):
+    assert rendered(html) == text
+
+
 STYLED = [
     ("@media print{.a{display:none}}", "<p class=a>s", "s"),
     ("@media (max-width:600px){.a{display:none}}", "<p class=a>s", "s"),
