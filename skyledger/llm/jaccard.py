@@ -44,9 +44,14 @@ def _row_key() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
 
 
-def document_sets(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id``, ``row_key``, ``n_shingles``, ``name``, ``name2`` (the set, in 128 bits) and
-    ``n_keys``, an estimate of the segment keys, for every row."""
+def _text_key() -> Column:
+    return F.xxhash64("text")
+
+
+def document_sets(docs: DataFrame, words: int, with_text_key: bool = False) -> DataFrame:
+    """``doc_id``, ``row_key``, ``n_shingles``, ``name``, ``name2`` (the set, in 128 bits) for
+    every row, and ``text_key``, a hash of its text, if wanted."""
+    keys = ["doc_id", "row_key", *["text_key"] * with_text_key]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
@@ -54,17 +59,17 @@ def document_sets(docs: DataFrame, words: int) -> DataFrame:
             first, second = set_names(values, cuts)
             yield pa.RecordBatch.from_arrays(
                 [
-                    block.column("doc_id"),
-                    block.column("row_key"),
+                    *[block.column(k) for k in keys],
                     pa.array(np.diff(cuts)),
                     pa.array(first.view(np.int64)),
                     pa.array(second.view(np.int64)),
                 ],
-                names=["doc_id", "row_key", "n_shingles", "name", "name2"],
+                names=[*keys, "n_shingles", "name", "name2"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row_key"), "text")
-    return in_batches(rows).mapInArrow(run, "doc_id long, row_key long, n_shingles long, name long, name2 long")
+    made = {"doc_id": F.col("doc_id").cast("long"), "row_key": _row_key(), "text_key": _text_key()}
+    rows = docs.select(*[made[k].alias(k) for k in keys], "text")
+    return in_batches(rows).mapInArrow(run, ", ".join(f"{k} long" for k in [*keys, "n_shingles", "name", "name2"]))
 
 
 def _packed(keys: list, names: list, flags: list, buckets: int, turn: int) -> Iterator[tuple[int, bytes, bool]]:
@@ -334,8 +339,14 @@ def components(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> DataF
     by its text. Texts are read whole. An empty table gives no rows; other columns are not
     read.
     """
+    return _with_components(docs, words, share).select("doc_id", "n_shingles", "component_id")
+
+
+def _with_components(docs: DataFrame, words: int, share: int, with_text_key: bool = False) -> DataFrame:
+    """:func:`document_sets` with ``root``, a name of the component (null: an empty set), and
+    ``component_id``."""
     bands = Bands(share)
-    rows = stage(document_sets(docs, words), "jaccard-sets")
+    rows = stage(document_sets(docs, words, with_text_key), "jaccard-sets")
     own_id = F.format_string("%016x%016x", "name", "name2")
     filled = rows.where("n_shingles > 0")
     classes = filled.groupBy("name", "name2").agg(
@@ -351,26 +362,44 @@ def components(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> DataF
     joined = classes.join(roots, classes["id"] == roots["node"], "left").withColumn("root", F.coalesce("root", "id"))
     # a table of its own: else one shuffle, by root, would serve the join too
     lowest = checkpointed(joined.groupBy("root").agg(F.min("doc_id").alias("component_id")))
-    named = joined.join(lowest, "root").select("name", "name2", "component_id")
+    named = joined.join(lowest, "root").select("name", "name2", "root", "component_id")
     own = rows.join(named, ["name", "name2"], "left")
     # an empty set has a name too, but no class
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return own.select("doc_id", "n_shingles", component.alias("component_id"))
+    return own.withColumn("component_id", component)
 
 
 def without_near_duplicates(docs: DataFrame, words: int = 5, share: int = 80) -> DataFrame:
-    """The rows of ``docs``, all their columns, but of each component only the row of the
-    smallest id (of rows that repeat it one; of rows without an id, all)."""
-    found = stage(components(docs, words, share), "jaccard-components")
-    dropped = found.where("doc_id <> component_id").select("doc_id").distinct()
+    """The rows of ``docs``, all their columns, but of each component only one row: of those
+    with the smallest id (no id: last) that of the smallest hash of its text, of rows of one
+    id and text any. Rows without a word are in no component: all stay."""
+    found = _with_components(docs, words, share, with_text_key=True).where("n_shingles > 0")
+    found = stage(found.select("doc_id", "row_key", "text_key", "root", "component_id"), "jaccard-components")
+    first = found.where("doc_id <=> component_id")
+    tied = first.groupBy("root").agg(F.count("*").alias("n"), F.min("text_key").alias("chosen"))
+    tied = checkpointed(tied.where("n > 1").select("root", "chosen"))
+    n_tied = tied.count()
+    dropped = found.where("not doc_id <=> component_id").select("row_key", "text_key")
+    if n_tied:
+        others = first.join(broadcast_if_small(tied, n_tied, MOST_IDS), "root").where("text_key <> chosen")
+        dropped = dropped.union(others.select("row_key", "text_key"))
+    dropped = checkpointed(dropped.distinct())
     dropped = broadcast_if_small(dropped, dropped.count(), MOST_IDS)
-    kept = docs.join(dropped.withColumnRenamed("doc_id", "_dropped"), docs["doc_id"] == F.col("_dropped"), "left_anti")
-    repeated = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
-    if repeated.isEmpty():
+
+    def same(keys: DataFrame) -> Column:
+        return (row_key == keys["row_key"]) & (text_key == keys["text_key"])
+
+    row_key = F.coalesce(docs["doc_id"].cast("long"), F.xxhash64(docs["text"]))
+    text_key = F.xxhash64(docs["text"])
+    kept = docs.join(dropped, same(dropped), "left_anti")
+    if not n_tied:
         return kept
-    again = F.broadcast(repeated) if repeated.count() <= MOST_IDS else repeated
-    return kept.join(again, "doc_id", "left_anti").unionByName(
-        kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    again = first.join(broadcast_if_small(tied, n_tied, MOST_IDS), "root").where("text_key = chosen")
+    again = checkpointed(again.groupBy("row_key", "text_key").count().where("count > 1").select("row_key", "text_key"))
+    again = broadcast_if_small(again, again.count(), MOST_IDS)
+    copies = kept.join(again, same(again), "left_semi").withColumns({"_row_key": row_key, "_text_key": text_key})
+    return kept.join(again, same(again), "left_anti").unionByName(
+        copies.dropDuplicates(["_row_key", "_text_key"]).drop("_row_key", "_text_key")
     )
 
 

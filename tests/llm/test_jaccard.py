@@ -75,6 +75,21 @@ def test_one_row_of_each_group_stays(documents):
     assert found == sorted(str(x) for x in [(2, text), (6, "other words here at all now"), (None, "no id"), (None, None), (7, None)])
 
 
+def test_one_row_of_each_group_stays_where_ids_repeat_or_lack(documents):
+    text, other = " ".join(f"w{i}" for i in range(50)), " ".join(f"v{i}" for i in range(50))
+    lone = "a text of its own that nothing is like"
+    rows = [(1, text), (2, text + " z"), (2, lone), (3, lone + " but longer by so many more words than it had")]
+    rows += [(None, other), (None, other), (None, other + " z"), (None, text), (5, "x y"), (5, "p q"), (5, "p q"), (8, ""), (8, None)]
+    docs = with_extras(documents(rows), "component_id", "row_key", "text_key", "root")
+    kept = jaccard.without_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    found = sorted(str((r.doc_id, r.text)) for r in kept.collect())
+    nameless = [x for x in (other, other + " z") if str((None, x)) in found]
+    assert len(nameless) == 1
+    want = [(1, text), (2, lone), rows[3], (None, nameless[0]), (5, "x y"), (5, "p q"), (8, ""), (8, None)]
+    assert found == sorted(map(str, want))
+
+
 def test_similar_sets_share_a_key():
     """The pigeonhole bound, at its edge: sets that differ by as much as they may."""
     rng = np.random.default_rng(2)
