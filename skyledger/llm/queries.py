@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from skyledger.llm import ann, fingerprints, html_layout, jaccard, langid, mixing, packing, quality, toxicity, url_filters
+from skyledger.llm import (
+    ann,
+    fingerprints,
+    html_layout,
+    jaccard,
+    langid,
+    mixing,
+    packing,
+    quality,
+    rule_votes,
+    toxicity,
+    url_filters,
+)
 
 ENTRIES = {
     "op1_tree_budgets": (mixing.op1_tree_budgets, mixing.ORACLE),
@@ -15,4 +27,5 @@ ENTRIES = {
     "op8_redirect_rules": (url_filters.op8_redirect_rules, url_filters.ORACLE),
     "op9_naive_bayes_ratios": (toxicity.op9_naive_bayes_ratios, None),
     "op10_family_then_pairs": (langid.op10_family_then_pairs, None),
+    "op13_rule_votes": (rule_votes.op13_rule_votes, None),
 }
