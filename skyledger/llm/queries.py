@@ -5,6 +5,7 @@ from __future__ import annotations
 from skyledger.llm import (
     ann,
     fingerprints,
+    hard_negatives,
     html_layout,
     jaccard,
     langid,
@@ -27,5 +28,6 @@ ENTRIES = {
     "op8_redirect_rules": (url_filters.op8_redirect_rules, url_filters.ORACLE),
     "op9_naive_bayes_ratios": (toxicity.op9_naive_bayes_ratios, None),
     "op10_family_then_pairs": (langid.op10_family_then_pairs, None),
+    "op11_focus_coordinates": (hard_negatives.op11_focus_coordinates, hard_negatives.ORACLE),
     "op13_rule_votes": (rule_votes.op13_rule_votes, None),
 }
