@@ -11,6 +11,7 @@ from skyledger.llm import (
     langid,
     mixing,
     packing,
+    prefix_trie,
     quality,
     rule_votes,
     toxicity,
@@ -29,5 +30,6 @@ ENTRIES = {
     "op9_naive_bayes_ratios": (toxicity.op9_naive_bayes_ratios, None),
     "op10_family_then_pairs": (langid.op10_family_then_pairs, None),
     "op11_focus_coordinates": (hard_negatives.op11_focus_coordinates, hard_negatives.ORACLE),
+    "op12_rollup_prefixes": (prefix_trie.op12_rollup_prefixes, prefix_trie.ORACLE),
     "op13_rule_votes": (rule_votes.op13_rule_votes, None),
 }
