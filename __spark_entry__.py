@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from skyledger.functions import derive
 from skyledger.operators import audit, enrich, parse, products, quality
 from skyledger.plans import bronze, gold, silver
-from skyledger.schemas import BRONZE_DDL, CAPTURE_DDL, READING_DDL, column_names
+from skyledger.schemas import AUDIT_DDL, BRONZE_DDL, CAPTURE_DDL, READING_DDL, column_names
 from skyledger.session import pin_utc, shared_dir
 from skyledger.sources import captures, event_feed, tables
 from skyledger.streaming import bronze as stream_bronze
@@ -23,6 +23,7 @@ from skyledger.streaming import current as stream_current
 from skyledger.streaming import silver as stream_silver
 
 AS_OF = "2025-01-01 00:00:00"
+NEXT_DAY = "2025-01-02 00:00:00"
 EARLY = "2024-01-03 00:00:00"
 # about two days of events in four
 EVERY_OTHER_DAY = "event_id % 670 < 335"
@@ -92,9 +93,9 @@ def _new_space(spark: SparkSession) -> str:
     return space
 
 
-def _new_store(spark: SparkSession) -> silver.SilverStore:
+def _new_store(spark: SparkSession, unit: str = "month") -> silver.SilverStore:
     # the feed has a few hundred readings a day
-    return silver.SilverStore(shared_dir(spark, "silver"), unit="month")
+    return silver.SilverStore(f"run_{uuid.uuid4().hex[:8]}", shared_dir(spark, "silver"), unit)
 
 
 def _bronze_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,7 +282,7 @@ def store_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def refreshed_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch replaced by one of fewer days: its other days go."""
-    store, table = silver.SilverStore(shared_dir(spark, "silver")), shared_dir(spark, "extremes")
+    store, table = _new_store(spark, "day"), shared_dir(spark, "extremes")
     rows = _captures(spark, sf_dir)
     for part in (rows, rows.where(EVERY_OTHER_DAY)):
         silver.write_batch(part, store, 0, AS_OF, cluster=True)
@@ -303,19 +304,23 @@ def published_schema_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def named_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A store by names of the session: empty before the first batch, then with its rows."""
-    store, space = _new_store(spark), f"s{uuid.uuid4().hex[:8]}"
-    store.register(spark, space)
-    before = spark.table(f"{space}_quarantine")
+    """A store by its names in the catalog: empty before the first batch, then with its rows."""
+    store = _new_store(spark)
+    store.create(spark)
+    before = spark.table(f"{store.namespace}.quarantine").count()
     silver.write_batch(_captures(spark, sf_dir), store, 0, AS_OF, cluster=True)
-    store.register(spark, space)
-    return spark.table(f"{space}_quarantine").unionAll(before)
+    return spark.table(f"{store.namespace}.quarantine").where(F.lit(before == 0))
+
+
+def named_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean readings by name, from another session than the one that wrote them."""
+    store = _batch_store(spark, sf_dir)
+    return pin_utc(spark.newSession()).table(f"{store.namespace}.clean")
 
 
 def named_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store, space = _batch_store(spark, sf_dir), f"s{uuid.uuid4().hex[:8]}"
-    store.register(spark, space)
-    return spark.sql(f"SELECT * FROM {space}_audit")
+    store = _batch_store(spark, sf_dir)
+    return spark.newSession().sql(f"SELECT * FROM {store.namespace}.audit")
 
 
 def clean_with_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -335,13 +340,13 @@ def evolved_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compacted_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three batches, compacted after the second and once more, old folders gone."""
+    """Three batches, compacted after the second and once more, old files gone."""
     store, rows = _new_store(spark), _captures(spark, sf_dir)
     for number in range(3):
-        silver.write_batch(rows.where(f"event_id % 3 = {number}"), store, number, AS_OF, cluster=True)
+        silver.write_batch(rows.where(f"coalesce(event_id, 0) % 3 = {number}"), store, number, AS_OF)
         if number:
             silver.compact(spark, store)
-            silver.forget_compacted(spark, store)
+            silver.forget_replaced(spark, store)
     return store.clean(spark)
 
 
@@ -390,9 +395,13 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compacted_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table, archive = _bronze_table(spark, sf_dir), shared_dir(spark, "archive")
+    """A closed date from the archive, an open one from bronze, each row once."""
+    table, archive = shared_dir(spark, "bronze"), shared_dir(spark, "archive")
+    rows = _captures(spark, sf_dir).select(*column_names(CAPTURE_DDL))
+    bronze.append_captures(rows.where(EARLY_HALF), table, AS_OF)
+    bronze.append_captures(rows.where(f"NOT ({EARLY_HALF})"), table, NEXT_DAY)
     bronze.compact(spark, table, archive, AS_OF[:10])
-    return bronze.read(spark, archive)
+    return bronze.read_whole(spark, table, archive)
 
 
 def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -417,6 +426,87 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def stream_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a streaming aggregation, restarted from its state for later files."""
+    name, checkpoint, path = f"{_new_space(spark)}.city_current", shared_dir(spark, "state"), shared_dir(spark, "bronze")
+    rows = captures.stamp(_captures(spark, sf_dir), AS_OF).select(*column_names(BRONZE_DDL))
+    place = shared_dir(spark, "current")
+    for part in (EARLY_HALF, f"NOT ({EARLY_HALF})"):
+        tables.append(rows.where(part), path)
+        source = tables.stream(spark, path, BRONZE_DDL, maxBytesPerTrigger=BATCH_BYTES)
+        stream_current.start_stateful(source, name, place, checkpoint, AS_OF).awaitTermination()
+    return spark.table(name)
+
+
+def stream_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze as a named table, read as a stream by its name, into a named store; the second
+    run takes only what came after the first."""
+    name, store = f"{_new_space(spark)}.calls", _new_store(spark)
+    rows = captures.stamp(_captures(spark, sf_dir), AS_OF).select(*column_names(BRONZE_DDL))
+    tables.create_table(spark, name, BRONZE_DDL, ["load_date"])
+    for part in (EARLY_HALF, f"NOT ({EARLY_HALF})"):
+        tables.append_table(rows.where(part), name, ["load_date"])
+        stream_silver.drain(tables.stream_table(spark, name, maxBytesPerTrigger=BATCH_BYTES), store, AS_OF)
+    return pin_utc(spark.newSession()).table(f"{store.namespace}.clean")
+
+
+def audit_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts collected on the write itself."""
+    rows, counts = audit.observed(_checked(spark, sf_dir))
+    rows.write.parquet(shared_dir(spark, "observed"))
+    return audit.observed_row(spark, counts, AS_OF)
+
+
+def stream_audit_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for each micro-batch of a stream, summed."""
+    name, place = f"{_new_space(spark)}.audit", shared_dir(spark, "observed")
+    tables.create_table(spark, name, f"{AUDIT_DDL}, micro_batch int", ["micro_batch"], overwrites=True)
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        rows, counts = audit.observed(silver.checked_readings(batch, AS_OF))
+        rows.write.mode("overwrite").parquet(f"{place}/{batch_id}")
+        line = audit.observed_row(batch.sparkSession, counts, AS_OF)
+        tables.insert(line.selectExpr("*", f"{batch_id} AS micro_batch"), name, overwrite=True)
+
+    stream = _bronze_files(spark, sf_dir).writeStream.foreachBatch(land)
+    stream = stream.option("checkpointLocation", shared_dir(spark, "checkpoint")).trigger(availableNow=True)
+    stream.start().awaitTermination()
+    counted = [F.sum(c).alias(c) for c in ("total_rows", "valid_rows", "quarantine_rows")]
+    return spark.table(name).groupBy("run_time").agg(*counted)
+
+
+def refreshed_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API health from mergeable parts, one batch of them replaced."""
+    name, rows = f"{_new_space(spark)}.health_parts", _captures(spark, sf_dir)
+    gold.add_health(rows, 0, name)
+    gold.add_health(rows.where(f"NOT ({EARLY_HALF})"), 1, name)
+    gold.add_health(rows.where(EARLY_HALF), 0, name)
+    return gold.kept_health(spark, name, AS_OF)
+
+
+def refreshed_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly summary from mergeable parts, one batch of them replaced."""
+    name, store, rows = f"{_new_space(spark)}.hourly_parts", _new_store(spark), _captures(spark, sf_dir)
+    for number, part in ((0, "true"), (1, f"NOT ({EARLY_HALF})"), (0, EARLY_HALF)):
+        silver.write_batch(rows.where(part), store, number, AS_OF, cluster=True)
+        gold.add_hours(spark, store, number, name)
+    return gold.kept_hours(spark, store, name)
+
+
+def recreated_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A named table dropped, made again by its DDL and filled anew; one more reset."""
+    space = _new_space(spark)
+    rows = captures.stamp(_captures(spark, sf_dir), AS_OF).select(*column_names(BRONZE_DDL))
+    for name in ("calls", "spare"):
+        tables.create_table(spark, f"{space}.{name}", BRONZE_DDL, ["load_date"])
+        tables.append_table(rows, f"{space}.{name}", ["load_date"])
+    tables.drop_table(spark, f"{space}.calls")
+    tables.reset(spark, tables=[f"{space}.spare"])
+    tables.create_table(spark, f"{space}.calls", BRONZE_DDL, ["load_date"])
+    tables.append_table(rows.where(EARLY_HALF), f"{space}.calls", ["load_date"])
+    return spark.table(f"{space}.calls").where(F.lit(not spark.catalog.tableExists(f"{space}.spare")))
+
+
 # -- the same in SQL ----------------------------------------------------------
 
 # The feed's text, then readings and reasons derived from it.
@@ -706,6 +796,7 @@ FROM captures GROUP BY ALL""",
 QUALIFY row_number() OVER (PARTITION BY city ORDER BY event_time DESC, call_timestamp DESC, md5(raw_response) DESC) = 1""",
         ),
         "named_quarantine": (named_quarantine, f"{_ENRICHED} {quarantined}"),
+        "named_clean": (named_clean, f"{_ENRICHED} SELECT {event_reading} FROM clean"),
         "named_audit": (named_audit, f"{_ENRICHED} SELECT {run_time} AS run_time, {_COUNTS} FROM checked"),
         "clean_with_payload": (
             clean_with_payload,
@@ -730,12 +821,26 @@ QUALIFY row_number() OVER (PARTITION BY city ORDER BY event_time DESC, call_time
                 "FROM captures GROUP", "FROM (SELECT * REPLACE (coalesce(status_code, 0) AS status_code) FROM captures) GROUP"
             ),
         ),
-        "compacted_bronze": (compacted_bronze, f"{_CAPTURES} SELECT {_LANDED} FROM captures"),
+        "compacted_bronze": (
+            compacted_bronze,
+            f"""{_CAPTURES} SELECT {_STAMPED} FROM captures WHERE {EARLY_HALF}
+UNION ALL SELECT {_STAMPED.replace(AS_OF, NEXT_DAY)} FROM captures WHERE NOT ({EARLY_HALF})""",
+        ),
         "stream_ingest": (stream_ingest, f"{_CAPTURES} SELECT {_LANDED} FROM captures"),
         "stream_clean": (stream_clean, f"{_ENRICHED} SELECT {bronze_reading} FROM clean"),
         "stream_quarantine": (stream_quarantine, f"{_ENRICHED} {quarantined}"),
         "stream_audit": (stream_audit, f"{_ENRICHED} SELECT {run_time} AS run_time, {_COUNTS} FROM checked"),
         "stream_current": (stream_latest, _current(bronze_reading)),
+        "stream_current_state": (stream_current_state, _current(bronze_reading)),
+        "stream_named": (stream_named, f"{_ENRICHED} SELECT {bronze_reading} FROM clean"),
+        "audit_observed": (audit_observed, f"{_ENRICHED} SELECT {run_time} AS run_time, {_COUNTS} FROM checked"),
+        "stream_audit_observed": (
+            stream_audit_observed,
+            f"{_ENRICHED} SELECT {run_time} AS run_time, {_COUNTS} FROM checked",
+        ),
+        "refreshed_health": (refreshed_health, _health("load_date", "ingestion_time")),
+        "refreshed_hourly": (refreshed_hourly, hourly),
+        "recreated_table": (recreated_table, f"{_CAPTURES} SELECT {_STAMPED} FROM captures WHERE {EARLY_HALF}"),
     }
 
 

@@ -41,6 +41,33 @@ def hourly_summary(
     )
 
 
+#: Sums, counts and maxima that merge: of two sets of readings, those of both together.
+HOUR_MEASURES = ("temperature", "humidity", "wind_speed")
+
+
+def hourly_parts(clean: DataFrame) -> DataFrame:
+    """What the hourly averages are made of, for each city and hour of some readings."""
+    return clean.groupBy("city", F.date_trunc("hour", AT).alias("event_hour_start")).agg(
+        F.count("*").alias("n_readings"),
+        *[F.sum(F.col(m).cast("double")).alias(f"{m}_sum") for m in HOUR_MEASURES],
+        *[F.count(m).alias(f"{m}_n") for m in HOUR_MEASURES],
+        F.sum("rain_fall").alias("total_rainfall"),
+    )
+
+
+def hourly_from_parts(parts: DataFrame) -> DataFrame:
+    """The averages of :func:`hourly_summary` from any parts of its readings."""
+    sums = ["n_readings", *[f"{m}_{x}" for m in HOUR_MEASURES for x in ("sum", "n")], "total_rainfall"]
+    merged = parts.groupBy("city", "event_hour_start").agg(*[F.sum(name).alias(name) for name in sums])
+    return merged.selectExpr(
+        "city",
+        "event_hour_start",
+        "n_readings",
+        *[f"{m}_sum / nullif({m}_n, 0) AS avg_{m}" for m in HOUR_MEASURES],
+        "total_rainfall",
+    )
+
+
 def _time_of_peak(measure: str, latest_wins: bool) -> Column:
     order = f"struct({measure}, {AT})" if latest_wins else measure
     # rows without the measure must not count as a peak
@@ -132,16 +159,39 @@ def api_health(
     ``malformed_bodies``, successful calls whose body is not JSON, and reads
     all bodies. A call without status is neither successful nor failed.
     """
+    parts = health_parts(bronze, count_malformed, stored)
+    return health_from_parts(parts, as_of, stale_after, never_succeeded_is_stale)
+
+
+def health_parts(bronze: DataFrame, count_malformed: bool = False, stored: bool = False) -> DataFrame:
+    """What API health is made of, for each requested city and load date of some calls."""
     malformed = [F.sum("malformed").alias("malformed_bodies")] if count_malformed else []
-    calls = _call_facts(bronze, stored, count_malformed).groupBy("city", "load_date").agg(
+    return _call_facts(bronze, stored, count_malformed).groupBy("city", "load_date").agg(
         F.sum("call").alias("total_calls"),
         F.expr(f"count_if({_OK}) AS successful_calls"),
         F.expr("count_if(status_code <> 200) AS failed_calls"),
         F.sum("bodiless").alias("parse_errors"),
-        F.expr("round(avg(latency_ms), 2) AS avg_latency_ms"),
+        F.sum("latency_ms").alias("latency_sum"),
+        F.count("latency_ms").alias("latency_n"),
         F.expr(f"max(ingestion_time) FILTER (WHERE {_OK}) AS latest_success_time"),
         *malformed,
     )
+
+
+def health_from_parts(
+    parts: DataFrame,
+    as_of: datetime | str | None = None,
+    stale_after: str = "1 HOUR",
+    never_succeeded_is_stale: bool = False,
+) -> DataFrame:
+    """API health from any parts of its calls (:func:`health_parts`)."""
+    counts = ["total_calls", "successful_calls", "failed_calls", "parse_errors", "latency_sum", "latency_n"]
+    counts += [name for name in ("malformed_bodies",) if name in parts.columns]
+    calls = parts.groupBy("city", "load_date").agg(
+        *[F.sum(name).alias(name) for name in counts], F.max("latest_success_time").alias("latest_success_time")
+    )
+    latency = "round(latency_sum / nullif(latency_n, 0), 2) AS avg_latency_ms"
+    calls = calls.selectExpr("* EXCEPT (latency_sum, latency_n)", latency)
     stale = derive.stale("latest_success_time", derive.moment(as_of), stale_after, never_succeeded_is_stale)
     return calls.selectExpr(
         "* EXCEPT (latest_success_time)",

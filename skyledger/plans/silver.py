@@ -1,34 +1,28 @@
 """Bronze to silver: parse, enrich, check, and store both outcomes in one write.
 
-Layout below the store's root, a folder per micro-batch so that a replayed
-batch replaces itself::
-
-    checked/micro_batch=7/outcome=clean/event_period=2024-01-01/
-    checked/micro_batch=7/outcome=quarantine/    (below the null period)
-    log/micro_batch=7/       rows and newest event_time by outcome and period
-    columns/                 a file for each different set of columns that batches wrote
-    checkpoint/              of the stream that fills the store
-
-One write means one parse of each body, and clean and quarantined rows are
-committed by the same job. The log is counted from what was written, so a
-recomputed task cannot count a row twice, and written last: it marks the
-batch complete, and readers see complete batches only.
-
-Compaction writes all batches up to one, say 41, again as ``micro_batch=-42``, their log
-lines too; the log of that folder, written last, makes it stand for them. So folders and
-log files are as many as the batches since the last compaction, however old the store.
+A store is a schema of the catalog::
+
+    readings    checked rows, PARTITIONED BY (micro_batch, attempt, outcome, event_period)
+    batches     rows and newest event_time by outcome and period, PARTITIONED BY (micro_batch, attempt)
+    clean, quarantine, audit    views over them
+
+One write means one parse of each body, and clean and quarantined rows are committed by the
+same job. Every run of a batch inserts under an attempt of its own; its lines in ``batches``,
+counted from what was written, come last, and readers see the attempt of a batch with the
+highest version. So a batch that is replayed replaces itself, a recomputed task cannot count
+a row twice, and a run that dies at any step leaves the rows there were. Both tables are only
+inserted into: no reader, of whatever session, finds a file gone. One job writes at a time.
 """
 
 from __future__ import annotations
 
-import hashlib
-import json
+import uuid
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from skyledger.functions.derive import moment
 from skyledger.functions.rules import located_rules, standard_rules
@@ -36,15 +30,20 @@ from skyledger.operators import quality
 from skyledger.operators.enrich import enrich, enrich_located
 from skyledger.operators.latest import BODY_HASH, Period, with_body_hash
 from skyledger.operators.parse import parse_payload, split_routes
-from skyledger.schemas import AUDIT_COLUMNS, BRONZE_DDL, PAYLOAD_DDL, QUARANTINE_COLUMNS, READING_DDL
+from skyledger.schemas import BRONZE_DDL, PAYLOAD_DDL, QUARANTINE_COLUMNS, READING_DDL
 from skyledger.sources import tables
 
 CLEAN = "clean"
 QUARANTINE = "quarantine"
 PERIOD = "event_period"
 
-_LOGGED_DDL = f"outcome string, {PERIOD} date, row_count bigint, newest_event_time timestamp"
-LOG_DDL = f"{_LOGGED_DDL}, run_time timestamp, batch int, micro_batch int"
+# Fixed value: how a path tells a null.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+PARTITIONS = {"micro_batch": "int", "attempt": "string", "outcome": "string", PERIOD: "date"}
+BATCHES_DDL = f"""
+    outcome string, {PERIOD} date, row_count bigint, newest_event_time timestamp,
+    run_time timestamp, version int, micro_batch int, attempt string
+"""
 
 
 def checked_readings(
@@ -71,13 +70,15 @@ def checked_located(bronze: DataFrame, as_of: datetime | str | None = None) -> D
 
 @dataclass(frozen=True)
 class SilverStore:
-    """Paths and readers of one silver store.
+    """Names and readers of one silver store.
 
-    ``unit`` is the span of one partition. A day suits a feed of gigabytes a
-    day; a month keeps the files of a small feed few.
+    ``namespace`` is its schema, made at ``location`` by the first batch. ``unit`` is the
+    span of one period. A day suits a feed of gigabytes a day; a month keeps the files of a
+    small feed few.
     """
 
-    root: str
+    namespace: str
+    location: str
     unit: str = "day"
 
     @property
@@ -85,108 +86,89 @@ class SilverStore:
         return Period(PERIOD, self.unit)
 
     @property
-    def checked_path(self) -> str:
-        return f"{self.root}/checked"
-
-    @property
-    def log_path(self) -> str:
-        return f"{self.root}/log"
+    def checkpoint(self) -> str:
+        return f"{self.location}/checkpoint"
 
     @property
-    def columns_path(self) -> str:
-        return f"{self.root}/columns"
+    def readings(self) -> str:
+        return f"{self.namespace}.readings"
 
     @property
-    def checkpoint(self) -> str:
-        return f"{self.root}/checkpoint"
+    def batches(self) -> str:
+        return f"{self.namespace}.batches"
+
+    def create(self, spark: SparkSession, columns: StructType | None = None) -> None:
+        """Make the tables and views unless they are there, with the columns that the first
+        batch has or else those of readings of plain bronze rows."""
+        if not spark.catalog.tableExists(f"{self.namespace}.audit"):
+            tables.create_layers(spark, [self.namespace], self.location)
+            columns = columns or _placed(checked_readings(spark.createDataFrame([], BRONZE_DDL)), self).schema
+            ddl = [f"`{f.name}` {f.dataType.simpleString()}" for f in columns if f.name not in PARTITIONS]
+            ddl += [f"{name} {kind}" for name, kind in PARTITIONS.items()]
+            tables.create_table(spark, self.readings, ", ".join(ddl), list(PARTITIONS))
+            tables.create_table(spark, self.batches, BATCHES_DDL, ["micro_batch", "attempt"])
+            self._show(spark)
 
     def clean(self, spark: SparkSession, keep_period: bool = False) -> DataFrame:
         """Clean readings; with ``keep_period`` the partition column stays for pruning, and
         the hash of the body for ranking."""
-        rows = self._outcome(spark, CLEAN).drop("outcome", "micro_batch", quality.REASON)
+        rows = self._outcome(spark, CLEAN).drop("outcome", "micro_batch", "attempt", quality.REASON)
         return rows if keep_period else rows.drop(PERIOD, BODY_HASH)
 
+    def clean_of(self, spark: SparkSession, micro_batch: int) -> DataFrame:
+        """The clean readings of one batch."""
+        return self._outcome(spark, CLEAN).where(F.col("micro_batch") == micro_batch)
+
     def quarantine(self, spark: SparkSession) -> DataFrame:
         return self._outcome(spark, QUARANTINE).select(*QUARANTINE_COLUMNS)
 
     def audit(self, spark: SparkSession) -> DataFrame:
         """One row for each batch that held rows."""
-        batches = self._log(spark).groupBy("batch", "run_time")
-        return (
-            batches.agg(
-                F.sum("row_count").alias("total_rows"),
-                F.expr(f"sum(if(outcome = '{CLEAN}', row_count, 0L)) AS valid_rows"),
-                F.expr(f"sum(if(outcome = '{QUARANTINE}', row_count, 0L)) AS quarantine_rows"),
-            )
-            .where("total_rows > 0")
-            .select(*AUDIT_COLUMNS)
-        )
+        self.create(spark)
+        return spark.table(f"{self.namespace}.audit")
 
     def newest(self, spark: SparkSession) -> Column:
         """The newest clean event_time as a scalar, without reading any reading."""
-        return self._clean_log(spark).agg(F.max("newest_event_time")).scalar()
+        return self._clean_lines(spark).agg(F.max("newest_event_time")).scalar()
 
     def periods(self, spark: SparkSession, micro_batch: int) -> dict[date, bool]:
         """The periods that a batch holds clean rows of, or held before it was replaced, and
         whether the store has clean rows of them now. Bounded by the periods of a batch."""
-        log = self._clean_log(spark)
-        own = log.where(F.col("batch") == micro_batch).select(PERIOD).distinct()
-        counts = log.join(own, PERIOD).groupBy(PERIOD).agg(F.sum("row_count").alias("row_count"))
+        lines = self._clean_lines(spark)
+        own = lines.where(F.col("micro_batch") == micro_batch).select(PERIOD).distinct()
+        counts = lines.join(own, PERIOD).groupBy(PERIOD).agg(F.sum("row_count").alias("row_count"))
         return {row[PERIOD]: row.row_count > 0 for row in counts.collect()}
 
-    def register(self, spark: SparkSession, namespace: str) -> None:
-        """Views ``clean``, ``quarantine`` and ``audit`` of the session, for SQL, over what
-        the store holds now; a store without batches gives typed tables without rows."""
-        for name, rows in (("clean", self.clean(spark)), ("quarantine", self.quarantine(spark)), ("audit", self.audit(spark))):
-            rows.createOrReplaceTempView(f"{namespace}_{name}")
+    def lines(self, spark: SparkSession) -> DataFrame:
+        """Of each batch the lines of the attempt that readers see."""
+        self.create(spark)
+        return spark.sql(f"SELECT * FROM {self.batches} WHERE {self._seen()}")
 
-    def _logged(self, spark: SparkSession) -> DataFrame:
-        if not tables.path_exists(spark, self.log_path):
-            return spark.createDataFrame([], LOG_DDL)
-        return tables.scan(spark, self.log_path, LOG_DDL)
-
-    def _mark(self, spark: SparkSession) -> Column:
-        """The last compacted batch, -1 if there is none, and the later complete ones."""
-        last = F.expr("coalesce(max(if(micro_batch < 0, -micro_batch - 1, NULL)), -1)").alias("last")
-        ids = F.expr("collect_set(if(micro_batch < 0, NULL, micro_batch))").alias("ids")
-        return self._logged(spark).agg(F.struct(last, ids)).scalar()
-
-    def _current(self, spark: SparkSession, rows: DataFrame) -> DataFrame:
-        """Rows of complete batches, each once; the condition prunes folders."""
-        mark, folder = self._mark(spark), F.col("micro_batch")
-        later = (folder > mark["last"]) & F.array_contains(mark["ids"], folder)
-        return rows.where((folder == -1 - mark["last"]) | later)
-
-    def _log(self, spark: SparkSession) -> DataFrame:
-        return self._current(spark, self._logged(spark))
-
-    def _clean_log(self, spark: SparkSession) -> DataFrame:
-        return self._log(spark).where(F.col("outcome") == CLEAN)
+    def _clean_lines(self, spark: SparkSession) -> DataFrame:
+        return self.lines(spark).where(F.col("outcome") == CLEAN)
 
     def _outcome(self, spark: SparkSession, outcome: str) -> DataFrame:
-        return self._checked(spark).where(F.col("outcome") == outcome)
-
-    def _checked(self, spark: SparkSession) -> DataFrame:
-        columns = self._columns(spark)
-        if not tables.path_exists(spark, self.checked_path):
-            return spark.createDataFrame([], columns)
-        return self._current(spark, spark.read.schema(columns).parquet(self.checked_path))
-
-    def _columns(self, spark: SparkSession) -> StructType:
-        """Every column some batch wrote; those a batch did not write are null in it.
-
-        A file tells each set of columns there was, so no table file has to be opened and
-        no job run, however many batches there are. Before the first there are those that
-        the present code writes.
-        """
-        present = _placed(checked_readings(spark.createDataFrame([], BRONZE_DDL)), self).schema
-        found = sorted((json.loads(text) for text in tables.read_texts(spark, self.columns_path)), key=lambda x: x["since"])
-        known = [StructType.fromJson(x["columns"]) for x in found]
-        fields: dict[str, StructField] = {"micro_batch": StructField("micro_batch", IntegerType())}
-        for field in (field for columns in known or [present] for field in columns):
-            if fields.setdefault(field.name, field).dataType != field.dataType:
-                raise ValueError(f"{self.root}: column {field.name} changed its type")
-        return StructType([StructField(field.name, field.dataType) for field in fields.values()])
+        self.create(spark)
+        return spark.sql(f"SELECT * FROM {self.readings} WHERE outcome = '{outcome}' AND {self._seen()}")
+
+    def _seen(self) -> str:
+        """Attempts that readers see, one for each batch; the condition prunes partitions."""
+        seen = f"SELECT max_by(attempt, version) AS seen FROM {self.batches} GROUP BY micro_batch"
+        return f"array_contains((SELECT collect_set(seen) FROM ({seen})), attempt)"
+
+    def _show(self, spark: SparkSession) -> None:
+        """The views; they have the columns that the table has now."""
+        kept = [f"`{c}`" for c in spark.table(self.readings).columns if c not in (*PARTITIONS, BODY_HASH, quality.REASON)]
+        counted = "coalesce(sum(row_count) FILTER (WHERE outcome = '{}'), 0L) AS {}"
+        views = {
+            "clean": f"SELECT {', '.join(kept)} FROM {self.readings} WHERE outcome = '{CLEAN}' AND {self._seen()}",
+            "quarantine": f"SELECT {', '.join(QUARANTINE_COLUMNS)} FROM {self.readings} WHERE outcome = '{QUARANTINE}' AND {self._seen()}",
+            "audit": f"""SELECT run_time, sum(row_count) AS total_rows, {counted.format(CLEAN, 'valid_rows')},
+                {counted.format(QUARANTINE, 'quarantine_rows')}
+                FROM {self.batches} WHERE {self._seen()} GROUP BY micro_batch, run_time HAVING sum(row_count) > 0""",
+        }
+        for name, text in views.items():
+            spark.sql(f"CREATE OR REPLACE VIEW {self.namespace}.{name} AS {text}")
 
 
 def _placed(checked: DataFrame, store: SilverStore) -> DataFrame:
@@ -199,6 +181,16 @@ def _placed(checked: DataFrame, store: SilverStore) -> DataFrame:
     )
 
 
+def _fit(spark: SparkSession, store: SilverStore, columns: StructType) -> None:
+    """Give the table the columns that it lacks; they are null in the rows there are."""
+    known = {field.name: field.dataType for field in spark.table(store.readings).schema}
+    for field in columns:
+        if known.get(field.name, field.dataType) != field.dataType:
+            raise ValueError(f"{store.readings}: column {field.name} changed its type")
+    if tables.add_columns(spark, store.readings, [f for f in columns if f.name not in known]):
+        store._show(spark)
+
+
 def write_batch(
     bronze: DataFrame,
     store: SilverStore,
@@ -213,62 +205,72 @@ def write_batch(
     task holds few periods. For backfills of many small or mixed files set
     ``cluster``: rows are rebalanced by period, which merges small periods
     into one task and splits one with many rows over several.
-    ``options`` go to :func:`checked_readings`.
+    ``options`` go to :func:`checked_readings`. Columns that the table lacks are added to
+    it; one that changes its type is refused.
     """
     spark = bronze.sparkSession
-    run_time = as_of or datetime.now(timezone.utc)
-    if micro_batch <= last_compacted(spark, store):
-        raise ValueError(f"batch {micro_batch} is compacted: it can no longer be replaced")
+    run_time, attempt = as_of or datetime.now(timezone.utc), uuid.uuid4().hex
     placed = _placed(checked_readings(bronze, run_time, **options), store)
-    own, own_log = (f"{path}/micro_batch={micro_batch}" for path in (store.checked_path, store.log_path))
-    # periods that the batch held before it is replaced: products over them change too
-    before = sorted(store.periods(spark, micro_batch))
-    columns = StructType([StructField(field.name, field.dataType) for field in placed.schema]).jsonValue()
-    named = hashlib.md5(json.dumps(columns).encode()).hexdigest()
-    text = json.dumps({"since": micro_batch, "columns": columns})
-    tables.write_text(spark, f"{store.columns_path}/{named}.json", text)
-    tables.reset(spark, paths=[own_log])  # a batch being replaced is not complete
-    _replace(placed.hint("rebalance", "outcome", PERIOD) if cluster else placed, own, "outcome", PERIOD)
-
-    written = spark.read.schema(placed.schema).parquet(own)
-    log = written.groupBy("outcome", PERIOD).agg(
+    store.create(spark, placed.schema)
+    _fit(spark, store, placed.schema)
+    placed = placed.selectExpr("*", f"{micro_batch} AS micro_batch", f"'{attempt}' AS attempt")
+    tables.insert(placed.hint("rebalance", "outcome", PERIOD) if cluster else placed, store.readings)
+    _switch(spark, store, [attempt], f"map({micro_batch}, {moment(run_time)})")
+
+
+def _switch(spark: SparkSession, store: SilverStore, attempts: list[str], run_times: str) -> None:
+    """Let readers see these attempts, each of a batch of the map ``run_times``: count what
+    they wrote. Periods that a batch held before stay, with no rows, as products over them
+    change too."""
+    own = spark.table(store.readings).where(F.col("attempt").isin(attempts))
+    lines = own.groupBy("outcome", PERIOD, "micro_batch", "attempt").agg(
         F.count("*").alias("row_count"), F.max("event_time").alias("newest_event_time")
     )
-    emptied = spark.createDataFrame([(CLEAN, period, 0, None) for period in before], _LOGGED_DDL)
-    stamped = log.unionByName(emptied).selectExpr("*", f"{moment(run_time)} AS run_time", f"{micro_batch} AS batch")
-    _replace(stamped.coalesce(1), own_log)
-
-
-def last_compacted(spark: SparkSession, store: SilverStore) -> int:
-    """The last batch that a compaction holds, -1 without any; told by folder names."""
-    ids = [int(name.split("=")[1]) for name in tables.folders(spark, store.log_path) if name.startswith("micro_batch=-")]
-    return max((-1 - i for i in ids), default=-1)
-
-
-def compact(spark: SparkSession, store: SilverStore) -> None:
-    """Write all complete batches again as one folder of few, even files for each period.
-
-    To be run between the runs of the stream, whose batches go on after it. What it
-    replaces stays readable to those who are on it, until :func:`forget_compacted`. A run
-    that fails leaves the store as it was.
-    """
-    ids = [int(name.split("=")[1]) for name in tables.folders(spark, store.log_path)]
-    if not ids or max(ids) <= last_compacted(spark, store):
+    # a line for each batch, so that one without rows is replaced as well
+    held = spark.sql(f"SELECT explode(map_keys({run_times})) AS micro_batch")
+    name = f"'{attempts[0]}'" if len(attempts) == 1 else f"concat('{attempts[0].rsplit('-', 1)[0]}-', micro_batch)"
+    nothing = (f"{name} AS attempt", "0L AS row_count", "CAST(NULL AS timestamp) AS newest_event_time")
+    held = held.selectExpr(f"'{CLEAN}' AS outcome", f"CAST(NULL AS date) AS {PERIOD}", "micro_batch", *nothing)
+    before = store._clean_lines(spark).where(f"array_contains(map_keys({run_times}), micro_batch)")
+    before = before.selectExpr("outcome", PERIOD, "micro_batch", *nothing)
+    whole = lines.unionByName(before).unionByName(held).groupBy("outcome", PERIOD, "micro_batch", "attempt")
+    whole = whole.agg(F.sum("row_count").alias("row_count"), F.max("newest_event_time").alias("newest_event_time"))
+    version = spark.table(store.batches).agg(F.coalesce(F.max("version"), F.lit(0)) + 1).scalar()
+    stamped = whole.select("*", F.expr(f"{run_times}[micro_batch] AS run_time"), version.alias("version"))
+    tables.insert(stamped.coalesce(1), store.batches)
+
+
+def compact(spark: SparkSession, store: SilverStore, batches: list[int] | None = None) -> None:
+    """Write complete batches (all, if none are named) again, each in few, even files for
+    each period, under an attempt that readers then see. Readers who are on the old files
+    stay on them until :func:`forget_replaced`. To be run between the runs of the stream."""
+    counted = store.lines(spark).groupBy("micro_batch").agg(F.sum("row_count").alias("n"), F.expr("unix_micros(max(run_time)) AS at"))
+    found = {row.micro_batch: row.at for row in counted.where("n > 0").collect()}
+    chosen = sorted(found if batches is None else set(found) & set(batches))
+    if not chosen:
         return
-    name = f"micro_batch={-1 - max(ids)}"
-    rows = store._checked(spark).drop("micro_batch")
-    _replace(rows.hint("rebalance", "outcome", PERIOD), f"{store.checked_path}/{name}", "outcome", PERIOD)
-    _replace(store._log(spark).drop("micro_batch").coalesce(1), f"{store.log_path}/{name}")
-
-
-def forget_compacted(spark: SparkSession, store: SilverStore) -> None:
-    """Delete the folders and logs that a compaction stands for; no reader may be on them."""
-    last = last_compacted(spark, store)
-    for root in (store.log_path, store.checked_path):
-        ids = [int(name.split("=")[1]) for name in tables.folders(spark, root)]
-        old = [i for i in ids if -1 - last < i <= last]
-        tables.reset(spark, paths=[f"{root}/micro_batch={i}" for i in old])
-
-
-def _replace(df: DataFrame, path: str, *partition_by: str) -> None:
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    attempt = uuid.uuid4().hex
+    rows = store._outcome(spark, CLEAN).unionAll(store._outcome(spark, QUARANTINE)).where(F.col("micro_batch").isin(chosen))
+    rows = rows.withColumn("attempt", F.expr(f"concat('{attempt}-', micro_batch)"))
+    tables.insert(rows.hint("rebalance", "micro_batch", "outcome", PERIOD), store.readings)
+    run_times = ", ".join(f"{batch}, timestamp_micros({found[batch]})" for batch in chosen)
+    _switch(spark, store, [f"{attempt}-{batch}" for batch in chosen], f"map({run_times})")
+
+
+def forget_replaced(spark: SparkSession, store: SilverStore) -> list[str]:
+    """Drop the partitions of attempts that no reader sees: replaced, compacted or left by a
+    run that died. No reader may be on them, and no batch be in the writing."""
+    seen = {row.attempt for row in store.lines(spark).select("attempt").distinct().collect()}
+    dropped: set[str] = set()
+    for table in (store.readings, store.batches):
+        specs = []
+        for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+            parts = [part.split("=", 1) for part in row[0].split("/")]
+            if (attempt := dict(parts)["attempt"]) not in seen:
+                # catalogs differ in what they take an incomplete specification for
+                spec = ", ".join(f"{name} = {'null' if value == NULL_PARTITION else repr(value)}" for name, value in parts)
+                specs.append(f"PARTITION ({spec})")
+                dropped.add(attempt)
+        for begin in range(0, len(specs), 500):
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs[begin : begin + 500])}")
+    return sorted(dropped)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 
 def scan(spark: SparkSession, path: str, ddl: str | None = None, merge_schema: bool = False) -> DataFrame:
@@ -98,30 +100,6 @@ def forget_before(spark: SparkSession, name: str, location: str, before: datetim
     return sorted(path.getName() for path in old)
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small file beside a table, unless it is there."""
-    files, place = _open(spark, path)
-    if not files.exists(place):
-        out = files.create(place, True)
-        out.write(bytearray(text.encode()))
-        out.close()
-
-
-def read_texts(spark: SparkSession, folder: str) -> list[str]:
-    """The small files of a folder, by name; none if there is no folder."""
-    files, place = _open(spark, folder)
-    if not files.exists(place):
-        return []
-    paths = sorted(str(x.getPath()) for x in files.listStatus(place))
-    to_text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString
-    out = []
-    for path in paths:
-        stream = files.open(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path))
-        out.append(to_text(stream, "UTF-8"))
-        stream.close()
-    return out
-
-
 def refresh_partitions(df: DataFrame, path: str, partition_by: str) -> None:
     """Replace only the partitions that ``df`` holds rows of."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
@@ -139,10 +117,35 @@ def create_layers(
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS IDENTIFIER(:name) {place}", {"name": name})
 
 
-def create_table(spark: SparkSession, name: str, ddl: str, partition_by: Sequence[str] = ()) -> None:
-    """Create an empty typed table unless it is there."""
+def create_table(
+    spark: SparkSession, name: str, ddl: str, partition_by: Sequence[str] = (), overwrites: bool = False
+) -> None:
+    """Create an empty typed table unless it is there. With ``overwrites`` whatever is
+    inserted replaces the partitions that it has rows of, and no others."""
     layout = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) ({ddl}) USING PARQUET {layout}", {"name": name})
+    mode = "OPTIONS (partitionOverwriteMode 'dynamic')" if overwrites else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) ({ddl}) USING PARQUET {mode} {layout}", {"name": name})
+
+
+def insert(df: DataFrame, name: str, overwrite: bool = False) -> None:
+    """Insert rows by the names of the table's columns; those that the frame lacks are null.
+    ``overwrite`` replaces the partitions that get rows, if the table was made so."""
+    target = df.sparkSession.table(name).schema
+    columns = [F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in target]
+    df.select(*columns).write.insertInto(name, overwrite=overwrite)
+
+
+def add_columns(spark: SparkSession, name: str, fields: Sequence[StructField]) -> bool:
+    """Add columns to a named table; older rows have nulls there."""
+    if fields:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+    return bool(fields)
+
+
+def stream_table(spark: SparkSession, name: str, **options: str) -> DataFrame:
+    """A named append-only table as a stream; options as in :func:`stream`."""
+    return spark.readStream.options(**options).table(name)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
@@ -161,13 +164,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
-def folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders below a path; none if it is not there."""
-    files, place = _open(spark, path)
-    found = files.listStatus(place) if files.exists(place) else []
-    return sorted(x.getPath().getName() for x in found if x.isDirectory())
-
-
 def reset(spark: SparkSession, tables: Sequence[str] = (), paths: Sequence[str] = ()) -> None:
     """Drop the named tables and delete the given folders."""
     for name in tables:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from datetime import datetime, timezone
 
+from skyledger.plans.silver import SilverStore
 from skyledger.sources import captures
 
 CALLED = datetime(2031, 2, 3, 16, 20, tzinfo=timezone.utc)
@@ -42,3 +44,8 @@ def call(text: str | None, status: int | None = 200, city: str = CITY, at: datet
 
 def bronze(spark, *calls):
     return captures.stamp(captures.capture_rows(spark, list(calls)), AS_OF)
+
+
+def store_at(path, unit="day"):
+    """A store of its own for each path."""
+    return SilverStore(f"s{hashlib.md5(path.encode()).hexdigest()[:12]}", path, unit)

@@ -9,7 +9,7 @@ from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
-from samples import AS_OF, CALLED, NOON, body, bronze, call, main
+from samples import AS_OF, CALLED, NOON, body, bronze, call, main, store_at
 
 from skyledger.operators import products, quality
 from skyledger.plans import bronze as bronze_plan
@@ -22,6 +22,7 @@ from skyledger.streaming import bronze as bronze_stream
 from skyledger.streaming import current, silver
 
 DAY_SECONDS = 86_400
+NOON_TEXT = "2031-02-03 12:00:00.25"
 
 
 def responses(n=30, offset=0):
@@ -43,7 +44,7 @@ def contents(df):
 
 @pytest.mark.parametrize("unit, cluster", [("day", False), ("day", True), ("month", True)])
 def test_batch_lands_whole_and_replays_in_place(spark, folder, unit, cluster):
-    store = SilverStore(folder, unit)
+    store = store_at(folder, unit)
     rows = bronze(spark, *responses())
     write_batch(rows, store, 0, AS_OF, cluster)
     before = contents(store.clean(spark)), contents(store.quarantine(spark)), contents(store.audit(spark))
@@ -55,18 +56,76 @@ def test_batch_lands_whole_and_replays_in_place(spark, folder, unit, cluster):
     assert before == (contents(store.clean(spark)), contents(store.quarantine(spark)), contents(store.audit(spark)))
 
 
-def test_batch_without_log_is_not_seen(spark, folder):
-    store = SilverStore(folder)
-    write_batch(bronze(spark, *responses()), store, 0, AS_OF)
-    seen = store.clean(spark).count()
-    write_batch(bronze(spark, *responses(offset=30)), store, 1, AS_OF)
-    assert store.clean(spark).count() > seen
-    tables.reset(spark, paths=[f"{store.log_path}/micro_batch=1"])  # died before its log
-    assert store.clean(spark).count() == seen
+class Died(Exception):
+    """Stands for the end of a run."""
+
+
+def dies_at(monkeypatch, step):
+    """Let the ``step``-th insert of the next run end before (odd) or after (even) it."""
+    count, insert = [0], tables.insert
+
+    def run(df, name):
+        count[0] += 1
+        if count[0] == step:
+            raise Died
+        insert(df, name)
+        count[0] += 1
+        if count[0] == step:
+            raise Died
+
+    monkeypatch.setattr(tables, "insert", run)
+
+
+@pytest.mark.parametrize("step", [1, 2, 3])
+@pytest.mark.parametrize("number", [0, 1])
+def test_a_run_that_dies_shows_the_rows_there_were(spark, folder, monkeypatch, step, number):
+    store = store_at(folder)
+    for n in range(2):
+        write_batch(bronze(spark, *responses(30, 30 * n)), store, n, AS_OF)
+
+    def seen():
+        return [contents(read(spark)) for read in (store.clean, store.quarantine, store.audit)]
+
+    before = seen()
+    with monkeypatch.context() as patched:
+        dies_at(patched, step)
+        with pytest.raises(Died):
+            write_batch(bronze(spark, *responses(9, 100)), store, number, AS_OF)
+    assert seen() == before
+    assert contents(spark.newSession().table(f"{store.namespace}.clean")) == before[0]
+    write_batch(bronze(spark, *responses(9, 100)), store, number, AS_OF)
+    after = seen()
+    assert after != before
+    assert len(silver_plan.forget_replaced(spark, store)) in (1, 2)
+    assert seen() == after
+
+
+def test_first_batch_that_dies_is_not_seen(spark, folder, monkeypatch):
+    store = store_at(folder)
+    with monkeypatch.context() as patched:
+        dies_at(patched, 2)
+        with pytest.raises(Died):
+            write_batch(bronze(spark, *responses()), store, 0, AS_OF)
+    assert store.clean(spark).count() == store.audit(spark).count() == 0
+
+
+@pytest.mark.parametrize("step", [1, 2, 3, 4])
+def test_extremes_have_no_stale_day_after_a_run_that_died(spark, folder, monkeypatch, step):
+    store, path = store_at(f"{folder}/silver"), f"{folder}/extremes"
+    write_batch(bronze(spark, *responses(30)), store, 0, AS_OF)
+    gold.refresh_daily_extremes(spark, store, 0, path)
+    with monkeypatch.context() as patched:
+        dies_at(patched, step)
+        with pytest.raises(Died):
+            write_batch(bronze(spark, *responses(2, 1)), store, 0, AS_OF)
+    write_batch(bronze(spark, *responses(2, 1)), store, 0, AS_OF)
+    gold.refresh_daily_extremes(spark, store, 0, path)
+    got = contents(gold.read_daily_extremes(spark, path))
+    assert got == contents(products.daily_extremes(store.clean(spark)))
 
 
 def test_batch_of_undated_rows_only(spark, folder):
-    store = SilverStore(folder)
+    store = store_at(folder)
     write_batch(bronze(spark, call(None), call("", 200)), store, 0, AS_OF)
     assert (store.clean(spark).count(), store.quarantine(spark).count()) == (0, 2)
     assert products.city_current(store.clean(spark, keep_period=True), store.period).count() == 0
@@ -75,18 +134,18 @@ def test_batch_of_undated_rows_only(spark, folder):
 
 
 def test_store_without_a_batch(spark, folder):
-    store, filled = SilverStore(f"{folder}/a"), SilverStore(f"{folder}/b")
+    store, filled = store_at(f"{folder}/a"), store_at(f"{folder}/b")
     write_batch(bronze(spark, *responses()), filled, 0, AS_OF)
     for read in (lambda s: s.clean(spark), lambda s: s.quarantine(spark), lambda s: s.audit(spark)):
         assert read(store).count() == 0
         assert read(store).dtypes == read(filled).dtypes
-    store.register(spark, "none")
-    assert spark.sql("SELECT * FROM none_clean").count() == spark.table("none_audit").count() == 0
+    for name in ("clean", "quarantine", "audit"):
+        assert spark.newSession().table(f"{store.namespace}.{name}").count() == 0
     assert products.city_current(store.clean(spark, keep_period=True), store.period).count() == 0
 
 
 def test_replaced_batch_leaves_no_extremes(spark, folder):
-    store, path = SilverStore(f"{folder}/silver"), f"{folder}/extremes"
+    store, path = store_at(f"{folder}/silver"), f"{folder}/extremes"
     for rows in (responses(30), responses(2, 1)):
         write_batch(bronze(spark, *rows), store, 0, AS_OF)
         gold.refresh_daily_extremes(spark, store, 0, path)
@@ -99,48 +158,48 @@ def test_replaced_batch_leaves_no_extremes(spark, folder):
         assert not [name for name in os.listdir(path) if name.startswith("event_period")]
 
 
-def test_many_batches_share_their_columns(spark, folder):
-    store = SilverStore(folder, "month")
-    for number in range(6):
-        write_batch(bronze(spark, *responses(2, number)), store, number, AS_OF)
-    assert len(os.listdir(store.columns_path)) <= 2  # with the checksum
-
-
 def test_compaction_changes_no_row(spark, folder):
-    store, plain = SilverStore(f"{folder}/a"), SilverStore(f"{folder}/b")
+    store, plain = store_at(f"{folder}/a"), store_at(f"{folder}/b")
     silver_plan.compact(spark, store)  # nothing yet
-    for number in range(5):
+    for number in range(4):
         for one in (store, plain):
-            write_batch(bronze(spark, *responses(9, 9 * number)), one, number, AS_OF)
+            write_batch(bronze(spark, *responses(9, 9 * number)).repartition(3), one, number, AS_OF if number else NOON_TEXT)
         if number in (1, 3):
-            silver_plan.compact(spark, store)
-            silver_plan.compact(spark, store)
+            silver_plan.compact(spark, store, None if number == 1 else [3, 99])
             if number == 3:
-                silver_plan.forget_compacted(spark, store)
+                assert silver_plan.forget_replaced(spark, store)
         for read in (SilverStore.clean, SilverStore.quarantine, SilverStore.audit):
             assert contents(read(store, spark)) == contents(read(plain, spark))
         assert store.periods(spark, number) == plain.periods(spark, number)
-    assert sorted(tables.folders(spark, store.log_path)) == ["micro_batch=-4", "micro_batch=4"]
-    assert tables.folders(spark, store.checked_path) == tables.folders(spark, store.log_path)
-    with pytest.raises(ValueError, match="compacted"):
-        write_batch(bronze(spark, *responses()), store, 3, AS_OF)
-    write_batch(bronze(spark, *responses()), store, 4, AS_OF)
+    assert spark.table(store.readings).count() == spark.table(plain.readings).count()
+    write_batch(bronze(spark, *responses(5, 50)), store, 0, AS_OF)
+    write_batch(bronze(spark, *responses(5, 50)), plain, 0, AS_OF)
+    assert contents(store.clean(spark)) == contents(plain.clean(spark))
+    write_batch(bronze(spark, *responses(90)).repartition(3), store, 4, AS_OF)
+    before = len(spark.table(store.readings).inputFiles())
+    silver_plan.compact(spark, store)
+    silver_plan.forget_replaced(spark, store)
+    assert len(spark.table(store.readings).inputFiles()) < before
+    write_batch(bronze(spark, *responses()), store, 3, AS_OF)
 
 
-def test_failed_compaction_is_not_seen(spark, folder):
-    store = SilverStore(folder)
+@pytest.mark.parametrize("step", [1, 2, 3])
+def test_failed_compaction_is_not_seen(spark, folder, monkeypatch, step):
+    store = store_at(folder)
     write_batch(bronze(spark, *responses()), store, 0, AS_OF)
-    before = contents(store.clean(spark))
-    silver_plan.compact(spark, store)
-    tables.reset(spark, paths=[f"{store.log_path}/micro_batch=-1"])  # died before its log
-    assert contents(store.clean(spark)) == before
+    before = contents(store.clean(spark)), contents(store.audit(spark))
+    with monkeypatch.context() as patched:
+        dies_at(patched, step)
+        with pytest.raises(Died):
+            silver_plan.compact(spark, store)
+    assert (contents(store.clean(spark)), contents(store.audit(spark))) == before
     silver_plan.compact(spark, store)
-    silver_plan.forget_compacted(spark, store)
-    assert contents(store.clean(spark)) == before
+    silver_plan.forget_replaced(spark, store)
+    assert (contents(store.clean(spark)), contents(store.audit(spark))) == before
 
 
 def test_store_ranks_without_bodies(spark, folder):
-    store = SilverStore(folder)
+    store = store_at(folder)
     write_batch(bronze(spark, *responses(40)), store, 0, AS_OF)
     stored = gold.from_store(spark, store, bronze(spark, call(body())), AS_OF)["severe_alerts"]
     out = io.StringIO()
@@ -150,7 +209,7 @@ def test_store_ranks_without_bodies(spark, folder):
 
 
 def test_empty_batch(spark, folder):
-    store = SilverStore(folder)
+    store = store_at(folder)
     write_batch(bronze(spark), store, 0, AS_OF)
     assert store.audit(spark).count() == store.clean(spark).count() == 0
     write_batch(bronze(spark, *responses(5)), store, 1, AS_OF)
@@ -159,7 +218,7 @@ def test_empty_batch(spark, folder):
 
 
 def test_added_column_is_null_in_older_batches(spark, folder):
-    store = SilverStore(folder)
+    store = store_at(folder)
     write_batch(bronze(spark, *responses(5, 1)), store, 0, AS_OF)
     write_batch(bronze(spark, *responses(5, 11)).withColumn("region", F.lit("south")), store, 1, AS_OF)
     write_batch(bronze(spark, *responses(5, 21)), store, 2, AS_OF)
@@ -168,22 +227,24 @@ def test_added_column_is_null_in_older_batches(spark, folder):
 
 
 def test_column_of_another_type_is_refused(spark, folder):
-    store = SilverStore(folder)
-    for number, region in enumerate(("south", 1)):
-        write_batch(bronze(spark, *responses(5, 1)).withColumn("region", F.lit(region)), store, number, AS_OF)
+    store = store_at(folder)
+    write_batch(bronze(spark, *responses(5, 1)).withColumn("region", F.lit("south")), store, 0, AS_OF)
+    before = contents(store.clean(spark))
     with pytest.raises(ValueError, match="region"):
-        store.clean(spark)
+        write_batch(bronze(spark, *responses(5, 1)).withColumn("region", F.lit(1)), store, 1, AS_OF)
+    assert contents(store.clean(spark)) == before
+    assert "region" in spark.newSession().table(f"{store.namespace}.clean").columns
 
 
 def test_kept_struct(spark, folder):
-    store = SilverStore(folder)
+    store = store_at(folder)
     write_batch(bronze(spark, call(body())), store, 0, AS_OF, keep_parsed=True)
     assert store.clean(spark).select("parsed.main.temp").first()[0] == 21.5
 
 
 @pytest.mark.parametrize("unit", ["day", "month"])
 def test_store_products_equal_plain_ones(spark, folder, unit):
-    store = SilverStore(folder, unit)
+    store = store_at(folder, unit)
     for number in range(3):
         write_batch(bronze(spark, *responses(40, 40 * number)), store, number, AS_OF)
     clean = store.clean(spark)
@@ -201,7 +262,7 @@ def test_store_products_equal_plain_ones(spark, folder, unit):
 
 
 def test_store_products_prune_partitions(spark, folder):
-    store = SilverStore(folder)
+    store = store_at(folder)
     write_batch(bronze(spark, *responses(40)), store, 0, AS_OF)
     stored = gold.from_store(spark, store, bronze(spark, call(body())), AS_OF)
     for name in ("city_current", "recent_24h", "hourly_summary", "severe_alerts"):
@@ -213,7 +274,7 @@ def test_store_products_prune_partitions(spark, folder):
 
 
 def test_gold_refresh_of_touched_days(spark, folder):
-    store, path = SilverStore(f"{folder}/silver"), f"{folder}/extremes"
+    store, path = store_at(f"{folder}/silver"), f"{folder}/extremes"
     for number, offset in enumerate((0, 30, 60)):
         write_batch(bronze(spark, *responses(30, offset)), store, number, AS_OF)
         gold.refresh_daily_extremes(spark, store, number, path)
@@ -228,7 +289,7 @@ def bronze_files(spark, path, *parts):
 
 
 def test_stream_equals_batch_and_restarts_where_it_was(spark, folder):
-    path, store = f"{folder}/bronze", SilverStore(f"{folder}/silver")
+    path, store = f"{folder}/bronze", store_at(f"{folder}/silver")
     parts = [bronze(spark, *responses(30, offset)) for offset in (0, 30, 60)]
     source = bronze_files(spark, path, *parts)
     silver.drain(source, store, AS_OF)
@@ -236,7 +297,7 @@ def test_stream_equals_batch_and_restarts_where_it_was(spark, folder):
     silver.drain(source, store, AS_OF)
     assert store.audit(spark).count() == 3
 
-    whole = SilverStore(f"{folder}/whole")
+    whole = store_at(f"{folder}/whole")
     write_batch(bronze(spark, *responses(90)), whole, 0, AS_OF)
     assert contents(store.clean(spark)) == contents(whole.clean(spark))
     assert contents(store.quarantine(spark)) == contents(whole.quarantine(spark))
@@ -247,7 +308,7 @@ def test_stream_equals_batch_and_restarts_where_it_was(spark, folder):
 
 
 def test_replayed_micro_batch_adds_nothing(spark, folder):
-    path, store = f"{folder}/bronze", SilverStore(f"{folder}/silver")
+    path, store = f"{folder}/bronze", store_at(f"{folder}/silver")
     source = bronze_files(spark, path, *[bronze(spark, *responses(20, offset)) for offset in (0, 20)])
     silver.drain(source, store, AS_OF)
     before = contents(store.clean(spark)), contents(store.quarantine(spark)), contents(store.audit(spark))
@@ -266,7 +327,7 @@ def test_streamed_current_equals_batch(spark, folder):
     tables.create_layers(spark, ["streamed"])
     name = "streamed.city_current"
     current.start(source, name, f"{folder}/current", f"{folder}/checkpoint", AS_OF).awaitTermination()
-    store = SilverStore(f"{folder}/silver")
+    store = store_at(f"{folder}/silver")
     write_batch(bronze(spark, *responses(60)), store, 0, AS_OF)
     assert contents(spark.table(name)) == contents(products.city_current(store.clean(spark)))
     # a late reading does not replace a later one
@@ -293,7 +354,7 @@ def test_merged_current_takes_late_repeated_and_wider_rows(spark, folder):
 
 
 def test_publish_all(spark, folder):
-    store, path = SilverStore(f"{folder}/silver"), f"{folder}/bronze"
+    store, path = store_at(f"{folder}/silver"), f"{folder}/bronze"
     rows = bronze(spark, *responses())
     tables.append(rows, path, ["load_date"])
     write_batch(rows, store, 0, AS_OF)
@@ -326,3 +387,8 @@ def test_compacted_date_has_the_same_rows_in_one_file(spark, folder):
     day = bronze_plan.read(spark, table).where(f"load_date = DATE '{AS_OF[:10]}'")
     assert contents(bronze_plan.read(spark, archive)) == contents(day)
     assert len(tables.scan(spark, archive).inputFiles()) == 1
+    whole = contents(bronze_plan.read(spark, table))
+    assert contents(bronze_plan.read_whole(spark, table, f"{folder}/none")) == whole
+    assert contents(bronze_plan.read_whole(spark, table, archive)) == whole
+    tables.refresh_partitions(bronze_plan.read(spark, archive).limit(0), archive, "load_date")
+    assert contents(bronze_plan.read_whole(spark, table, archive)) == whole

@@ -7,13 +7,13 @@ import random
 from collections import Counter
 from datetime import timedelta
 
-from samples import AS_OF, CALLED, CITY, NOON, body, bronze, call, main
+from samples import AS_OF, CALLED, CITY, NOON, body, bronze, call, main, store_at
 
 from skyledger.operators import audit
 from skyledger.operators.parse import split_routes
 from skyledger.plans import bronze as bronze_plan
 from skyledger.plans import gold
-from skyledger.plans.silver import SilverStore, checked_readings
+from skyledger.plans.silver import checked_readings
 from skyledger.schemas import BRONZE_DDL
 from skyledger.sources import captures, tables
 from skyledger.streaming import silver
@@ -25,7 +25,7 @@ def test_landing_to_products(spark, folder):
     captures.land(captures.capture_rows(spark, calls), f"{folder}/landing")
     bronze_plan.ingest(spark, f"{folder}/landing", f"{folder}/bronze", AS_OF)
 
-    store = SilverStore(f"{folder}/silver")
+    store = store_at(f"{folder}/silver")
     source = tables.stream(spark, f"{folder}/bronze", BRONZE_DDL, maxBytesPerTrigger=str(1 << 30))
     assert silver.drain(source, store, AS_OF, timeout_s=120)
     tables.create_layers(spark, ["route"])
