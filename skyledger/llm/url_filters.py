@@ -26,9 +26,16 @@ CANONICAL_TAG = r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
 HREF = r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
 REFRESH_TAG = r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
 REFRESH_URL = r"(?i)\burl\s*=\s*[\"']?([^\"'\s>;]+)"
-BASE_TAG = r"(?i)<base\b[^>]*\bhref\s*=[^>]*>"
-#: The value of an attribute, in one of three groups: in quotes of two kinds, or bare.
-ATTRIBUTE = r"(?i)[\s\"'/]{}\s*=\s*(?:\"([^\"]*)|'([^']*)|([^\s\"'>][^\s>]*))"
+#: What stands in a tag behind its name: a quote opens a value only behind =.
+_INSIDE = r"(?:=\s*+(?:\"[^\"]*+\"|'[^']*+')|[^>])*+"
+TAG = r"(?is)<{}(?=[\s/])" + _INSIDE + ">"
+#: Comments, and elements whose text holds no tags (fixed values: the standard's names).
+NO_TAGS = (
+    r"(?is)<!--.*?(?:-->|\z)|<(script|style|textarea|title|xmp|iframe|noembed|noframes)(?=[\s/>])" + _INSIDE
+    + r">.*?(?:</\1(?=[\s/>])[^>]*+>|\z)"
+)
+#: One attribute with its value, if it has one.
+ATTRIBUTE = r"(?s)[^\s\"'>/=][^\s>/=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]++))?"
 #: What stands behind the seconds of a refresh: likewise.
 REFRESH = (
     r"(?is)^\s*(?:[\d.]++(?:\s*[;,]\s*|\s+|$)(?:url\s*=\s*)?+|[;,]?\s*url\s*=\s*)(?:\"([^\"]*)|'([^']*)|([^\"'\s].*))"
@@ -39,8 +46,6 @@ NAMED = {
     "&quot;": '"', "&apos;": "'", "&lt;": "<", "&gt;": ">", "&sol;": "/", "&colon;": ":", "&equals;": "=", "&quest;": "?",
     "&num;": "#", "&percnt;": "%", "&amp;": "&", "&amp": "&",
 }
-#: Paths beyond it, in characters, keep their dots.
-LONGEST_PATH = 8192
 
 
 def _after_scheme(url: Column) -> Column:
@@ -83,6 +88,22 @@ def _one_of(text: Column, pattern: str) -> Column:
     return F.concat(*[F.regexp_extract(text, pattern, i) for i in (1, 2, 3)])
 
 
+def attribute(tag: Column, name: str) -> Column:
+    """The value of a tag's first attribute of a name; null without one."""
+    inside = F.regexp_replace(tag, r"^<[^\s/>]+|>$", "")
+    found = F.filter(
+        F.regexp_extract_all(inside, F.lit(ATTRIBUTE), F.lit(0)),
+        lambda x: F.lower(F.regexp_extract(x, r"^[^\s=]+", 0)) == name,
+    )
+    value = F.regexp_extract(F.get(found, F.lit(0)), r"(?s)^[^\s=]+\s*=\s*(.*)$", 1)
+    return F.regexp_replace(value, r"(?s)^\"(.*)\"$|^'(.*)'$", "$1$2")
+
+
+def tags(html: Column, name: str) -> Column:
+    """The tags of a name, without those in comments or in the text of scripts and the like."""
+    return F.regexp_extract_all(html, F.lit(TAG.format(name)), F.lit(0))
+
+
 def _code_point(digits: Column, radix: int) -> Column:
     code = F.conv(digits, radix, 10).cast("long")
     known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
@@ -110,7 +131,7 @@ def _address(text: Column) -> Column:
 
 def _without_dots(path: Column) -> Column:
     """A path from ``/`` on with its ``.`` and ``..`` steps taken."""
-    steps = F.split(F.substring(path, 2, LONGEST_PATH), "/")
+    steps = F.split(F.substring(path, F.lit(2), F.length(path)), "/")
     nothing = F.array().cast("array<string>")
     taken = F.aggregate(
         steps,
@@ -121,8 +142,7 @@ def _without_dots(path: Column) -> Column:
     )
     # a last step of dots is a folder
     end = F.when(path.rlike(r"/\.\.?$") & (F.size(taken) > 0), F.lit("/")).otherwise(F.lit(""))
-    dotted = path.rlike(r"/\.\.?(/|$)") & (F.length(path) <= LONGEST_PATH)
-    return F.when(dotted, F.concat(F.lit("/"), F.array_join(taken, "/"), end)).otherwise(path)
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(F.lit("/"), F.array_join(taken, "/"), end)).otherwise(path)
 
 
 def resolved(target: Column, base: Column) -> Column:
@@ -147,19 +167,26 @@ def resolved(target: Column, base: Column) -> Column:
 
 def document_edges(pages: DataFrame) -> DataFrame:
     """``a``, ``b``: alias keys of a page and of each page that its canonical links or meta
-    refreshes name. Targets are resolved as in a browser, against the page's URL or what
+    refreshes name: a tag's ``rel`` is read as words, attributes as a browser cuts them, and
+    what looks like a tag in a comment, a script or another attribute is none. Targets are resolved as in a browser, against the page's URL or what
     its first ``base`` names: absolute, ``//host/...``, ``/path``, ``?query`` or relative to
     the folder; character references are undone."""
-    links = F.transform(
-        F.regexp_extract_all("html", F.lit(CANONICAL_TAG), F.lit(0)),
-        lambda tag: unescaped(_one_of(tag, ATTRIBUTE.format("href"))),
-    )
+    shown = F.regexp_replace("html", NO_TAGS, " ")
+
+    def is_canonical(tag: Column) -> Column:
+        words = F.split(F.lower(F.coalesce(attribute(tag, "rel"), F.lit(""))), r"[ \t\n\f\r]+")
+        return F.array_contains(words, "canonical")
+
+    def is_refresh(tag: Column) -> Column:
+        return F.lower(F.trim(F.coalesce(attribute(tag, "http-equiv"), F.lit("")))) == "refresh"
+
+    links = F.transform(F.filter(tags(shown, "link"), is_canonical), lambda tag: unescaped(attribute(tag, "href")))
     moves = F.transform(
-        F.regexp_extract_all("html", F.lit(REFRESH_TAG), F.lit(0)),
-        lambda tag: _one_of(unescaped(_one_of(tag, ATTRIBUTE.format("content"))), REFRESH),
+        F.filter(tags(shown, "meta"), is_refresh), lambda tag: _one_of(unescaped(attribute(tag, "content")), REFRESH)
     )
-    base = _address(unescaped(_one_of(F.regexp_extract("html", BASE_TAG, 0), ATTRIBUTE.format("href"))))
-    targets = F.array_distinct(F.concat(links, moves))
+    bases = F.filter(F.transform(tags(shown, "base"), lambda tag: attribute(tag, "href")), lambda x: x.isNotNull())
+    base = _address(unescaped(F.get(bases, F.lit(0))))
+    targets = F.filter(F.array_distinct(F.concat(links, moves)), lambda x: x.isNotNull())
     found = pages.where("html is not null and instr(url, '://') > 0")
     found = found.select("url", targets.alias("targets"), base.alias("base")).where("size(targets) > 0")
     found = found.withColumn("base", F.coalesce(resolved(F.col("base"), F.col("url")), "url"))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import html.parser
 import random
 
 from helpers import with_extras
@@ -152,3 +153,83 @@ def test_components_equal_union_find(spark):
     found = {r.node: r.root for r in components.connected_components(frame, "a", "b").collect()}
     assert found == {x: find(x) for x in root}
     assert components.connected_components(frame.where(F.lit(False)), "a", "b").collect() == []
+
+
+TARGET = "https://evil.org/page"
+LINKS = [
+    f'<link rel="nofollow canonical" href="{TARGET}">',
+    f'<link title="a>b" rel="canonical" href="{TARGET}">',
+    f"<LINK HREF={TARGET} REL=Canonical>",
+    f"<link title=it's rel=canonical href={TARGET}><p>it's",
+    f"<link\nrel = 'x\tcanonical'\n href = '{TARGET}' />",
+    f'<meta content="0;url={TARGET}" http-equiv=" Refresh ">',
+    f'<!-- a --><link rel=canonical href="{TARGET}"><!-- b -->',
+    f'<script>var a = "<!--";</script><link rel=canonical href="{TARGET}">',
+    f'<base href="https://evil.org/x/"><link rel=canonical href="../page">',
+]
+NO_LINKS = [
+    f'<!-- <link rel="canonical" href="{TARGET}"> -->',
+    f"<script>var a = '<link rel=canonical href={TARGET}>';</script>",
+    f'<link data-rel="canonical" href="{TARGET}">',
+    f'<link rel="canonical-old" href="{TARGET}">',
+    f"""<link title=' rel="canonical" ' href="{TARGET}">""",
+    f'<linkage rel="canonical" href="{TARGET}">',
+    f'<link rel="canonical" data-href="{TARGET}">',
+    f'<style>/* <link rel=canonical href="{TARGET}"> */</style>',
+    f'<textarea><link rel=canonical href="{TARGET}"></textarea>',
+    f'<link rel=canonical title="href={TARGET}">',
+    f'<!-- unclosed <link rel=canonical href="{TARGET}">',
+]
+
+
+def test_links_are_cut_as_browsers_cut_them(spark):
+    rows = [(n, f"http://page{n}.net/a", html) for n, html in enumerate(LINKS + NO_LINKS)]
+    got = [r[4] for r in judged(spark, rows)]
+    assert got == ["block"] * len(LINKS) + ["allow"] * len(NO_LINKS)
+
+
+class Reader(html.parser.HTMLParser):
+    """The links of a page by the standard library."""
+
+    def __init__(self, url):
+        super().__init__()
+        self.base, self.found, self.based = url, set(), False
+
+    def handle_starttag(self, tag, attrs):
+        values = {}
+        for name, value in attrs:
+            values.setdefault(name, value or "")
+        if tag == "link" and "canonical" in values.get("rel", "").lower().split():
+            self.found.add(values.get("href"))
+
+    handle_startendtag = handle_starttag
+
+
+def test_random_tags_equal_a_parser(spark):
+    rng = random.Random(6)
+    rels = ["canonical", "nofollow canonical", "canonical-old", "CANONICAL", "stylesheet", ""]
+    rows = []
+    for n in range(400):
+        parts = []
+        for k in range(rng.randint(1, 3)):
+            attrs = [f"rel={q}{rng.choice(rels)}{q}" for q in rng.choice(["\"", "'"])]
+            attrs += [f'href="http://t{n}.org/{k}"', 'title="a > b"', "data-rel='canonical'", "hidden", "x='href=no'"][: rng.randint(1, 5)]
+            rng.shuffle(attrs)
+            tag = f"<{rng.choice(['link', 'LINK', 'a', 'link'])} {' '.join(attrs)}{rng.choice(['', ' /'])}>"
+            parts.append(rng.choice(["{}", "<!-- {} -->", "<p>{}</p>", "<script>{}</script>", "<style>{}</style>"]).format(tag))
+        rows.append((n, f"http://p{n}.net/", " text ".join(parts)))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {tuple(r) for r in url_filters.document_edges(pages).collect()}
+    want = set()
+    for n, _, text in rows:
+        reader = Reader("")
+        reader.feed(text)
+        want |= {(f"p{n}.net/", target.removeprefix("http://")) for target in reader.found if target}
+    assert got == want and len(want) > 50
+
+
+def test_dots_of_long_paths(spark):
+    far = "a/" * 12_000 + "../" * 12_000 + "page"
+    rows = [(1, "http://long.net/", f'<link rel=canonical href="https://evil.org/{far}">'), (2, "http://q.net/", f'<link rel=canonical href="/{far}">')]
+    edges = {r.a: r.b for r in url_filters.document_edges(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert edges["q.net/"] == "q.net/page"
