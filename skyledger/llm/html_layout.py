@@ -307,8 +307,10 @@ def _aligned(grid: list[list[tuple[int, int, list[str]]]]) -> list[str]:
 
 
 def _whole(text: str | None, otherwise: int) -> int:
-    found = re.match(r"\s*([+-]?\d{1,9})", text or "")
-    return int(found.group(1)) if found else otherwise
+    """A whole number as browsers read it; beyond 32 bits it is none."""
+    found = re.match(r"\s*([+-]?)0*(\d{1,10})(?!\d)", text or "")
+    number = int(found.group(1) + found.group(2)) if found else otherwise
+    return number if -(1 << 31) <= number < 1 << 31 else otherwise
 
 
 def rendered(html: str | None) -> str:

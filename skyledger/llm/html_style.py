@@ -33,8 +33,6 @@ COMPARE = {
     "<": lambda a, b: a < b, "<=": lambda a, b: a <= b, ">": lambda a, b: a > b, ">=": lambda a, b: a >= b,
     "=": lambda a, b: a == b,
 }
-#: Nesting of blocks, conditions and selectors, and compounds of a selector, beyond which a rule is left out.
-DEEPEST, LONGEST = 24, 100
 
 SETTLING = re.compile(r"display|visibility|\\", re.IGNORECASE)
 PIECE = re.compile(
@@ -113,10 +111,8 @@ def _all(values: list[bool | None]) -> bool | None:
     return False if False in values else None if None in values else True
 
 
-def _condition(text: str, leaf: Callable[[str], bool | None], depth: int = 0) -> bool | None:
+def _condition(text: str, leaf: Callable[[str], bool | None]) -> bool | None:
     """The truth of ``not``, ``and``, ``or`` and brackets; None where a part is unknown."""
-    if depth > DEEPEST:
-        return None
     values, negate, either, at = [], False, False, 0
     while at < len(text):
         if text[at] == "(":
@@ -127,7 +123,7 @@ def _condition(text: str, leaf: Callable[[str], bool | None], depth: int = 0) ->
                 if level == 0:
                     break
             inner = text[at + 1 : end - (level == 0)].strip()
-            value = _condition(inner, leaf, depth + 1) if re.match(r"\(|not\b", inner) else leaf(inner)
+            value = _condition(inner, leaf) if re.match(r"\(|not\b", inner) else leaf(inner)
             values.append(value if not negate or value is None else not value)
             negate, at = False, end
             continue
@@ -178,12 +174,11 @@ class Compound:
 
 
 class Selector:
-    __slots__ = ("length", "links", "parts", "weight")
+    __slots__ = ("links", "parts", "weight")
 
     def __init__(self, parts: list[Compound], links: list[str], weight: tuple[int, int, int]):
         self.parts, self.links, self.weight = parts, links, weight
         #: Compounds one after another, with those of the longest selector within.
-        self.length = len(parts) + max((x.length for p in parts for _, inner in p.within for x in inner), default=0)
 
 
 def _unescaped(name: str) -> str:
@@ -216,7 +211,7 @@ def selectors(text: str, own: list[Selector] | None = None, depth: int = 0) -> l
 
 
 def _selector(text: str, own: list[Selector] | None, depth: int) -> Selector | None:
-    if not text or depth > DEEPEST:
+    if not text:
         return None
     parts, links, weight, at = [Compound()], [], [0, 0, 0], 0
     if own is not None and depth == 0:
@@ -285,8 +280,7 @@ def _selector(text: str, own: list[Selector] | None, depth: int) -> Selector | N
                     return None
                 part.pseudos.append(test)
                 weight[1] += 1
-    whole = Selector(parts, links, tuple(weight))
-    return whole if whole.length <= LONGEST else None
+    return Selector(parts, links, tuple(weight))
 
 
 def _pseudo(name: str, inside: str | None) -> Callable[[Node, Sheets], bool] | None:
@@ -410,7 +404,7 @@ class Sheets:
             elif piece in ")]":
                 level = max(level - 1, 0)
             if piece == "{" and level == 0:
-                stack.append(self._open("".join(parts).strip(), chosen, applies, layer, len(stack)))
+                stack.append(self._open("".join(parts).strip(), chosen, applies, layer))
                 parts = []
             elif piece == "}" or piece == ";" and level == 0:
                 text, parts, level = "".join(parts).strip(), [], 0
@@ -428,8 +422,8 @@ class Sheets:
                 self._declare("".join(parts), chosen, layer)
             parts = []
 
-    def _open(self, head: str, chosen: list[Selector] | None, applies: bool, layer: str, depth: int):
-        if not applies or depth > DEEPEST:
+    def _open(self, head: str, chosen: list[Selector] | None, applies: bool, layer: str):
+        if not applies:
             return chosen, False, layer
         if not head.startswith("@"):
             return selectors(head, chosen), True, layer

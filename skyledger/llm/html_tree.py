@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import sys
+from collections import Counter
 from html import unescape
 
 # -- fixed values of the HTML standard, in the order of its text ---------------
@@ -41,9 +43,6 @@ CLOSES_OPEN = {
     "rp": (frozenset(["rt", "rp"]), frozenset(["ruby"]) | SCOPE),
 }
 
-#: Elements below this depth are put beside, not below, what opened them.
-DEEPEST = 200
-
 TOKEN = re.compile(
     r"<!--(?:-?>|.*?(?:--!?>|\Z))"  # a comment
     # a tag of names and values: a quote opens a value behind the "=" of a name, elsewhere it is as any character
@@ -81,6 +80,15 @@ class _Builder:
         self.head = Node("head")
         self.root.children = [self.head, self.body]
         self.stack = [self.body]
+        # how many elements of each name are open, so that none is looked for in vain
+        self.open = Counter(["body"])
+        self.deepest = 1
+
+    def pop(self, begin: int, end: int | None = None) -> None:
+        """Ends the open elements from one place to another."""
+        for node in self.stack[begin:end]:
+            self.open[node.tag] -= 1
+        del self.stack[begin:end]
 
     def text(self, text: str) -> None:
         self.stack[-1].children.append(unescape(text) if "&" in text else text)
@@ -99,7 +107,7 @@ class _Builder:
         if tag in CLOSES_PARAGRAPH:
             self.close({"p"}, SCOPE)
         if tag in HEADINGS and self.stack[-1].tag in HEADINGS:
-            self.stack.pop()
+            self.pop(len(self.stack) - 1)
         if tag in CLOSES_OPEN:
             self.close(*CLOSES_OPEN[tag])
         if tag in ROW_GROUPS or tag == "tr":
@@ -116,17 +124,19 @@ class _Builder:
         return node
 
     def push(self, node: Node) -> None:
-        if len(self.stack) >= DEEPEST:
-            self.stack.pop()
         self.stack[-1].children.append(node)
         self.stack.append(node)
+        self.open[node.tag] += 1
+        self.deepest = max(self.deepest, len(self.stack))
 
     def close(self, tags, stops) -> bool:
         """Ends the nearest open element of ``tags``, with all that it holds."""
+        if not any(self.open[tag] for tag in tags):
+            return False
         for i in range(len(self.stack) - 1, 0, -1):
             tag = self.stack[i].tag
             if tag in tags:
-                del self.stack[i:]
+                self.pop(i)
                 return True
             if tag in stops:
                 return False
@@ -142,16 +152,18 @@ class _Builder:
             self.close(HEADINGS, SCOPE)
         elif tag in ("body", "html", "head") or tag in VOID:
             return
-        elif tag in INLINE:
+        elif tag in INLINE and self.open[tag]:
             for i in range(len(self.stack) - 1, 0, -1):
                 if self.stack[i].tag == tag:
                     if all(x.tag in INLINE for x in self.stack[i:]):
-                        del self.stack[i:]
+                        self.pop(i)
                     else:  # misnested: blocks that it opened stay open
-                        del self.stack[i]
+                        self.pop(i, i + 1)
                     return
                 if self.stack[i].tag in SCOPE:
                     return
+        elif tag in INLINE:
+            return
         elif tag in CELLS | ROW_GROUPS | {"tr", "caption"}:
             self.close({tag}, {"table", "template"})
         elif tag == "table":
@@ -188,5 +200,7 @@ def parse(html: str) -> Node:
             node.children.append(unescape(content) if name in ESCAPABLE_RAW_TEXT else content)
             at = close.end() if close else length
             if builder.stack[-1] is node:
-                builder.stack.pop()
+                builder.pop(len(builder.stack) - 1)
+    # every element is a few calls deep in those who walk the tree
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 2000 + 8 * builder.deepest))
     return builder.root

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 from helpers import with_extras
 
@@ -102,7 +104,7 @@ def test_sheets_of_other_media():
 def test_long_sheets():
     many = "".join(f".n .c{i}{{display:none}}" for i in range(5000))
     assert rendered(f"<style>{many}</style><div class=n>" + "<p class=x>s" * 5000).split() == ["s"] * 5000
-    assert rendered("<style>" + "@media all{" * 20_000 + "p{display:none}</style><p>s") == "s"
+    assert rendered("<style>" + "@media all{" * 20_000 + "p{display:none}</style><p>s") == ""  # however deep, the rule counts
     assert rendered("<style>" + "a " * 20_000 + "{display:none}</style><p>s") == "s"
     assert rendered("<style>li ~ li{display:none}</style>" + "<li>s" * 20_000) == "s"
     assert rendered("<style>" + "{" * 50_000 + ":not(" * 50_000 + "display:none</style><p>s") == "s"
@@ -129,3 +131,34 @@ def test_rows(spark):
     got = [tuple(r) for r in html_layout.extract(pages).collect()]
     assert sorted(got, key=str) == sorted([(1, ""), (2, ""), (3, "x"), (3, "x"), (None, "y")], key=str)
     assert html_layout.extract(pages.where("false")).collect() == []
+
+
+def test_depth_hides_nothing_and_shows_nothing():
+    for n, tag in ((220, "div"), (3000, "div"), (198, "span"), (2500, "span"), (700, "b")):
+        for hide in ("hidden", "style='display:none'"):
+            page = f"<{tag}>" * n + f"<div {hide}><p>SECRET</p><{tag}>SECRET</{tag}></div>seen" + f"</{tag}>" * n + "<p>after</p>"
+            assert rendered(page).split() == ["seen", "after"], (n, tag, hide)
+    assert rendered("<ul><li>" * 300 + "x").split()[-1] == "x"
+    assert rendered("<table><tr><td>" * 150 + "x" + "</table>" * 150).strip() == "x"
+
+
+def test_many_ends_of_what_is_not_open_take_no_time():
+    began = time.perf_counter()
+    page = "<span>" * 20_000 + "</i></p><div></div>" * 20_000 + "x"
+    assert rendered(page).split() == ["x"]
+    assert time.perf_counter() - began < 20
+
+
+def test_deep_and_long_rules_count():
+    nested = "@media all{" * 60 + ".a{display:none}" + "}" * 60
+    assert rendered(f"<style>{nested}</style><p class=a>SECRET</p><p>seen</p>") == "seen"
+    chain = " ".join(["div"] * 119) + " .a"
+    page = f"<style>{chain}{{display:none}}</style>" + "<div>" * 119 + "<p class=a>SECRET</p><p>seen</p>"
+    assert rendered(page) == "seen"
+    inner = ":is(" * 40 + ".a" + ")" * 40
+    assert rendered(f"<style>{inner}{{display:none}}</style><p class=a>SECRET</p><p>seen</p>") == "seen"
+
+
+def test_numbers_of_lists():
+    for start, first in (("12345678901", "1."), ("2147483647", "2147483647."), ("-3", "-3."), ("007", "7."), ("x", "1.")):
+        assert rendered(f"<ol start={start}><li>a</ol>").split()[0] == first
