@@ -111,9 +111,14 @@ def budgets(leaves: DataFrame, total: str, weights: dict[tuple[str, ...], int],
     return leaves.drop("cap").join(parents.drop("_root"), LEVELS, "left").fillna(0, ["budget"])
 
 
-def _place(seed: int, epoch: Column, doc_id: Column) -> Column:
-    """Where a document stands in an epoch of its leaf."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+def _place(seed: int, epoch: Column, doc_id: Column, text_md5: Column) -> Column:
+    """Where a document stands in an epoch of its leaf; rows of one id by their texts."""
+    named = F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+    return F.concat(named, text_md5)
+
+
+def _text_md5(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")))
 
 
 def cuts(narrow: DataFrame, plan: DataFrame, n_leaves: int, seed: int) -> DataFrame:
@@ -122,15 +127,16 @@ def cuts(narrow: DataFrame, plan: DataFrame, n_leaves: int, seed: int) -> DataFr
 
     The place is found by its leading digits: sums by two digits (256 rows for each leaf),
     then by four within the pair that the budget ends in, then document by document within
-    those four. Rows of one id stand at one place and are taken or cut together.
+    those four. Rows equal in id and text stand at one place; where the budget ends in it
+    each gives as many tokens, so fewer than there are such rows are left over.
     """
     rows = narrow.join(plan.where("rest > 0").select(*LEVELS, "whole", "rest"), LEVELS)
-    rows = rows.withColumn("place", _place(seed, F.col("whole"), F.col("doc_id")))
+    rows = rows.withColumn("place", _place(seed, F.col("whole"), F.col("doc_id"), F.col("text_md5")))
     rows = rows.groupBy(*LEVELS, "rest", "place").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n"))
     rows = stage(rows, "mixing-places")
     within = Window.partitionBy(*LEVELS).orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
     found = None
-    for digits in (2, 4, 32):
+    for digits in (2, 4, 64):
         level = rows.withColumn("prefix", F.substring("place", 1, digits))
         if found is not None:
             parts = found.select(*LEVELS, F.col("prefix").alias("outer"), F.col("before").alias("base"))
@@ -143,10 +149,7 @@ def cuts(narrow: DataFrame, plan: DataFrame, n_leaves: int, seed: int) -> DataFr
         sums = checkpointed(sums)
         sums = sums.withColumn("before", F.col("base") + F.coalesce(F.sum("tokens").over(within), F.lit(0)))
         found = checkpointed(sums.where("before <= rest and rest < before + tokens"))
-    # of rows that share an id no single one can be cut: they are left out
-    return found.select(
-        *LEVELS, F.col("prefix").alias("cut_place"), F.expr("if(n = 1, rest - before, 0)").alias("cut_tokens")
-    )
+    return found.select(*LEVELS, F.col("prefix").alias("cut_place"), F.expr("(rest - before) div n").alias("cut_tokens"))
 
 
 def mixture(
@@ -166,14 +169,14 @@ def mixture(
     language's among its sources, by ``weights``; a node can give its tokens
     ``most_epochs`` times, and what it cannot give goes to its siblings first. A source
     then gives whole epochs and, of one more, the documents that come first by the md5 of
-    seed, epoch and id, until its budget ends; of the last document only the tokens that
+    seed, epoch and id, then of the text, until its budget ends; of the last document only the tokens that
     fit are kept (``_kept`` < ``_tokens``; none: no row).
 
     Null languages and sources are one leaf of the name ``(none)``, as are texts named so.
     A null text has no tokens: it comes with the whole epochs of its leaf. Leaves without
-    any token and nodes of weight 0 give nothing. Rows that repeat an id are tied: they
-    are taken together, and left out where the budget ends in them. An empty table gives
-    no rows. Columns named like those used here keep their values.
+    any token and nodes of weight 0 give nothing. Rows that repeat an id, or have none, stand in
+    the order of their texts' md5; of rows equal in both that the budget ends in, each gives
+    the same number of tokens. An empty table gives no rows. Columns named like those used here keep their values.
 
     Sums are made by leaf in the tasks; no task gets a leaf's documents. Documents are not
     shuffled: the plan, a row for each leaf, is joined to the scan.
@@ -186,7 +189,8 @@ def mixture(
         F.coalesce("lang", F.lit(NO_NAME)).alias("lang"),
         source.alias("source"),
     ]
-    narrow = stage(docs.select("doc_id", *leaf, word_count(F.col("text")).alias("tokens")), "mixing-tokens")
+    counted = word_count(F.col("text")).alias("tokens"), _text_md5(F.col("text")).alias("text_md5")
+    narrow = stage(docs.select("doc_id", *leaf, *counted), "mixing-tokens")
     leaves = checkpointed(narrow.groupBy(*LEVELS).agg(F.sum("tokens").alias("available")))
     plan = budgets(leaves, total, weights, most_epochs)
     plan = plan.withColumns({"whole": F.expr("budget div available"), "rest": F.expr("budget % available")})
@@ -200,7 +204,7 @@ def mixture(
         renamed = F.broadcast(renamed)
     same = [leaf[i] == F.col(f"_plan_{c}") for i, c in enumerate(LEVELS)]
     rows = docs.join(renamed, same[0] & same[1] & same[2])
-    place = _place(seed, F.col("_plan_whole"), F.col("doc_id"))
+    place = _place(seed, F.col("_plan_whole"), F.col("doc_id"), _text_md5(F.col("text")))
     tokens = word_count(F.col("text"))
     last = F.when(place < F.col("_plan_cut_place"), tokens).when(
         place == F.col("_plan_cut_place"), F.least(tokens, F.col("_plan_cut_tokens"))
@@ -297,7 +301,7 @@ ORACLE = f"""
 WITH weights(path, weight) AS (VALUES {_WEIGHT_ROWS}),
 narrow AS (
   SELECT doc_id, {_DOMAIN_SQL} AS domain, coalesce(lang, '{NO_NAME}') AS lang, coalesce(source, '{NO_NAME}') AS source,
-    coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS tokens
+    coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS tokens, md5(coalesce(text, '')) AS text_md5
   FROM documents
 ),
 leaves AS (
@@ -313,7 +317,7 @@ plan AS (
 ),
 placed AS (
   SELECT narrow.*, whole, rest,
-    md5('{SEED}:' || CAST(whole AS VARCHAR) || ':' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place
+    md5('{SEED}:' || CAST(whole AS VARCHAR) || ':' || coalesce(CAST(doc_id AS VARCHAR), '')) || text_md5 AS place
   FROM narrow JOIN plan USING (domain, lang, source)
 ),
 ordered AS (
@@ -326,7 +330,7 @@ ordered AS (
 ),
 last_epoch AS (
   SELECT *, CASE WHEN rest = 0 THEN 0 WHEN before + at_place <= rest THEN tokens
-    WHEN before > rest OR n > 1 THEN 0 ELSE rest - before END AS kept FROM ordered
+    WHEN before > rest THEN 0 ELSE (rest - before) // n END AS kept FROM ordered
 )
 SELECT doc_id, domain, lang, source, CAST(e AS INTEGER) AS epoch, tokens, tokens AS tokens_kept
 FROM (SELECT *, unnest(range(whole)) AS e FROM placed)

@@ -90,3 +90,11 @@ def test_weight_nought(documents):
     docs = documents([(i, "a b c d", "en", f"s{i % 2}", 7) for i in range(10)])
     got = mixing.mixture(docs, "16", {("rest", "en", "s0"): 0}, {}, "rest", 4)
     assert got.agg(F.sum("_kept"), F.countDistinct("source")).first()[:] == (16, 1)
+
+
+def test_rows_without_ids_are_taken_to_the_token(documents):
+    docs = documents([(None, " ".join(f"w{i}x{k}" for k in range(25)), "en", "s1", 9) for i in range(20)])
+    assert mixing.mixture(docs, "285", {}, {}, "rest", 4).agg(F.sum("_kept")).first()[0] == 285
+    twice = documents([(7, f"a{i % 2} b c d e f g", "en", "s1", 9) for i in range(20)])
+    got = mixing.mixture(twice, "100", {}, {}, "rest", 4).agg(F.sum("_kept")).first()[0]
+    assert 90 < got <= 100  # ten equal rows give the same each
