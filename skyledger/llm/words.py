@@ -10,11 +10,15 @@ from skyledger.llm.common import GOLDEN, mix64
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
-#: A value for each byte, by rule; words are polynomials in BASE over them.
+#: A value for each byte, by rule; texts are polynomials in BASE over them.
 BYTE_VALUE = mix64(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
 BASE = np.uint64(0x2545F4914F6CDD1D)
 _INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
+#: Likewise for each byte at each of the first places of a word.
+PLACES = 64
+_PLACED = mix64(np.arange(1, PLACES * 256 + 1, dtype=np.uint64) * GOLDEN)
+
 _powers = {True: np.ones(1, dtype=np.uint64), False: np.ones(1, dtype=np.uint64)}
 
 
@@ -52,7 +56,18 @@ def split_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64 bits for each word; equal words have equal values wherever they stand."""
-    sums = prefix_values(BYTE_VALUE[data])
-    value = (sums[ends] - sums[starts]) * powers(True, len(data) + 1)[starts]
-    return mix64(value + (ends - starts).astype(np.uint64) * GOLDEN)
+    """64 bits for each word; equal words have equal values wherever they stand.
+
+    The sum of values drawn by rule for each byte at its place: no two texts of a pattern
+    are bound to meet, as they are for polynomials modulo a power of two.
+    """
+    sizes = ends - starts
+    begin = np.cumsum(sizes) - sizes
+    place = np.arange(int(sizes.sum())) - np.repeat(begin, sizes)
+    inside = data[place + np.repeat(starts, sizes)].astype(np.int64)
+    far = np.flatnonzero(place >= PLACES)
+    value = _PLACED[(place % PLACES) * 256 + inside]
+    value[far] = mix64(value[far] + (place[far] // PLACES).astype(np.uint64) * GOLDEN)
+    sums = np.zeros(len(value) + 1, dtype=np.uint64)
+    np.cumsum(value, out=sums[1:])
+    return mix64(sums[begin + sizes] - sums[begin] + sizes.astype(np.uint64) * GOLDEN)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from helpers import components, shingles, with_extras
 
-from skyledger.llm import jaccard
+from skyledger.llm import jaccard, words
 from skyledger.llm.shingles import Bands, common_count, signatures
 
 
@@ -121,3 +121,23 @@ def test_shingles_of_long_and_odd_texts(documents):
     rows = [(1, long), (2, odd)]
     got = {r.doc_id: r.n_shingles for r in jaccard.components(documents(rows)).collect()}
     assert got == {1: len(shingles(long, 4)), 2: len(shingles(odd, 4))}
+
+
+def test_words_of_a_pattern_do_not_meet():
+    """Thue-Morse words and their complements meet in polynomials modulo a power of two."""
+    data = []
+    for k in (6, 8, 10, 12):
+        bits = [bin(i).count("1") % 2 for i in range(1 << k)]
+        data += ["".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)]
+    data += ["a", "aa", "a" * 64, "a" * 65, "a" * 128, "b" + "a" * 64, "a" * 64 + "b", "é", "e"]
+    text = np.frombuffer(" ".join(data).encode(), dtype=np.uint8)
+    starts, ends, _ = words.split_words(text, np.array([0, len(text)]))
+    found = words.word_hashes(text, starts, ends)
+    assert len(set(found.tolist())) == len(data)
+    alone = [words.word_hashes(*split_alone(w))[0] for w in data]
+    assert alone == found.tolist()
+
+
+def split_alone(word):
+    text = np.frombuffer(word.encode(), dtype=np.uint8)
+    return text, *words.split_words(text, np.array([0, len(text)]))[:2]
