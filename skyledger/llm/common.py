@@ -89,9 +89,12 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[start : offsets[-1] if len(offsets) else 0], offsets - start
 
 
-def blocks(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+def blocks(
+    batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = 1 << 18, most_rows: int = 2048
+) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the column ``text`` of a block holds about ``most_bytes``
-    (one row may be longer): temporaries then stay small whatever the rows hold."""
+    (one row may be longer), in so many rows at most: temporaries then stay small whatever
+    the rows hold."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -99,7 +102,7 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = 1 <<
         begin = 0
         while begin < batch.num_rows:
             end = int(np.searchsorted(offsets, offsets[begin] + most_bytes, side="right")) - 1
-            end = min(max(end, begin + 1), batch.num_rows)
+            end = min(max(end, begin + 1), begin + most_rows, batch.num_rows)
             yield batch.slice(begin, end - begin)
             begin = end
 

@@ -14,6 +14,9 @@ from skyledger.llm.common import GOLDEN, blocks, broadcast_if_small, checkpointe
 #: Different labels whose shares are sent to every executor; more are joined by shuffle.
 MOST_LABELS = 100_000
 
+#: Texts whose n-gram counts a task holds at a time.
+BLOCK_ROWS = 512
+
 #: Lower case for A-Z, other bytes as they are.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -62,7 +65,7 @@ def scored(
     names = [*columns, *[x.split()[0] for x in schema.split(", ")]]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", most_rows=BLOCK_ROWS):
             data, offsets = text_buffer(block.column("text"))
             made = run(data, offsets, block)
             yield pa.RecordBatch.from_arrays([*[block.column(c) for c in columns], *made], names=names)

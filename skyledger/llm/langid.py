@@ -36,6 +36,8 @@ SIZES = (1, 2, 3)
 BITS = 12
 #: Documents of each language that the machines are fitted on.
 SAMPLE_EACH = 800
+#: Documents of all languages that the driver holds, about: more languages have fewer each.
+SAMPLE_ALL = 8000
 FOLDS, HELD_OUT = 3, 1
 UNDETERMINED = "und"
 
@@ -123,7 +125,9 @@ def _logistic(x: np.ndarray) -> np.ndarray:
 
 def train(docs: DataFrame, learn: DataFrame, each: int = SAMPLE_EACH, families: dict[str, str] | None = None) -> Machines | None:
     """Fitted on about ``each`` documents of every language of ``learn`` (``doc_id``,
-    ``lang``); none without any."""
+    ``lang``), or fewer, so that all are SAMPLE_ALL about (of 8 KB each); none without any."""
+    n_langs = learn.select("lang").distinct().count()
+    each = min(each, max(1, SAMPLE_ALL // max(n_langs, 1)))
     sample = join_sample(docs, labelled_sample(learn, "lang", each))
 
     def run(data, offsets, block):

@@ -7,10 +7,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import fold, read_table, stage
+from skyledger.llm.common import GOLDEN, MIX_1, fold, mix64, read_table, stage
 from skyledger.llm.features import (
     LOWER,
-    hashed_ngrams,
     inside,
     join_sample,
     labelled_sample,
@@ -30,14 +29,34 @@ THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
 
 
+def characters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of UTF-8 bytes, A-Z in lower case, and the rows' offsets among them."""
+    begins = np.zeros(len(data) + 1, dtype=np.int64)
+    np.cumsum((data & 0xC0) != 0x80, out=begins[1:])
+    if begins[-1] == len(data):  # one byte each
+        return LOWER[data].astype(np.uint32), offsets
+    points = np.frombuffer(LOWER[data].tobytes().decode("utf-8").encode("utf-32-le"), dtype="<u4")
+    return points, begins[offsets]
+
+
+def hashed_characters(values: np.ndarray, n: int) -> np.ndarray:
+    """A bucket for the ``n`` characters from each position on, of values drawn by rule."""
+    m = max(len(values) - n + 1, 0)
+    whole = values[:m] + np.uint64(n)
+    for k in range(1, n):
+        whole = whole * MIX_1 + values[k : k + m]
+    whole ^= whole >> np.uint64(31)
+    return ((whole * GOLDEN) >> np.uint64(64 - BITS)).astype(np.int32)
+
+
 def present_ngrams(
     data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the n-grams in each row (those that ``wanted`` marks), each once, and the
     rows' offsets among them."""
-    data = LOWER[data]
-    rows = len(offsets) - 1
-    grams = [(hashed_ngrams(data, n, BITS), *inside(offsets, n)) for n in SIZES]
+    points, offsets = characters(data, offsets)
+    rows, values = len(offsets) - 1, mix64(points.astype(np.uint64) * GOLDEN)
+    grams = [(hashed_characters(values, n), *inside(offsets, n)) for n in SIZES]
     if wanted is not None:  # few are left to sort
         found = [np.flatnonzero(wanted[g]) for g, _, _ in grams]
         cuts = [(np.searchsorted(f, b), np.searchsorted(f, e)) for f, (_, b, e) in zip(found, grams, strict=True)]

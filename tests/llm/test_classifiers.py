@@ -3,10 +3,11 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import with_extras
 
-from skyledger.llm import features, langid, quality, toxicity, words
+from skyledger.llm import common, features, langid, quality, toxicity, words
 from skyledger.llm.common import fold_of, text_buffer
 
 LANGUAGES = {
@@ -126,3 +127,22 @@ def test_ngrams_and_words_stay_within_rows():
     assert found == ["abab", "Ab", "é", "x", "yz", "abab"] and cuts.tolist() == [0, 1, 1, 2, 5, 6]
     value = words.word_hashes(data, starts, ends)
     assert value[0] == value[5] and len(set(value.tolist())) == 5
+
+
+def test_grams_are_of_characters():
+    texts = ["ÀÉÎÕÜ日本語", "xÀÉÎÕÜ", "abcdef", "ABCDEF日", "", "é"]
+    data, offsets = common.text_buffer(pa.array(texts))
+    points, cuts = toxicity.characters(data, offsets)
+    assert ["".join(map(chr, points[a:b])) for a, b in zip(cuts, cuts[1:], strict=False)] == [
+        "".join(c.lower() if c.isascii() else c for c in t) for t in texts
+    ]
+    grams, ends = toxicity.present_ngrams(data, offsets)
+    sets = [set(grams[a:b].tolist()) for a, b in zip(ends, ends[1:], strict=False)]
+    assert [len(x) for x in sets] == [sum(max(len(t) - n + 1, 0) for n in toxicity.SIZES) for t in texts]
+    assert len(sets[0] & sets[1]) == 3 and sets[2] < sets[3]  # two of four characters, one of five
+
+
+def test_blocks_are_bounded_in_rows_and_bytes():
+    batch = pa.RecordBatch.from_arrays([pa.array([""] * 5000 + ["x" * 600_000] + ["ab"] * 100)], names=["text"])
+    parts = [b.num_rows for b in common.blocks([batch], "text", most_rows=512)]
+    assert sum(parts) == 5101 and max(parts) <= 512
