@@ -18,10 +18,10 @@ TREES = 8
 SAMPLE = 32_768
 LEAF_SAMPLE = 24
 DEEPEST = 10
-#: Share of the sample that a search covers before it ends.
-SEARCH_SHARE = 0.6
-#: Vectors that a search covers at least, however few there are.
-LEAST_COVERED = 1000
+#: Share of the true neighbours that a search has to find; how much of the sample it covers
+#: for that is measured on so many vectors of the sample when the forest is fitted.
+RECALL = 0.95
+PROBES = 32
 #: Index rows of a leaf that are compared in one go; larger leaves are split.
 LEAF_ROWS = 4096
 NEIGHBOURS = 10
@@ -72,10 +72,13 @@ class Tree:
 
 
 class Forest:
-    def __init__(self, sample: np.ndarray, trees: int = TREES, share: float = SEARCH_SHARE, seed: int = SEED):
+    """``share`` of the sample is what a search covers before it ends; unless it is given,
+    the least that finds RECALL of the neighbours of some vectors of the sample."""
+
+    def __init__(self, sample: np.ndarray, trees: int = TREES, share: float | None = None, seed: int = SEED):
         rng = np.random.default_rng(seed)
         depth = min(DEEPEST, max(0, int(np.log2(max(len(sample), 1) / LEAF_SAMPLE)) if len(sample) > LEAF_SAMPLE else 0))
-        self.depth, self.share, self.size = depth, share, len(sample)
+        self.depth, self.size = depth, len(sample)
         self.trees = [Tree(sample, depth, rng) for _ in range(trees)]
         self.members = []
         for tree in self.trees:
@@ -83,17 +86,32 @@ class Forest:
             edges = np.searchsorted(tree.leaf[order], np.arange((1 << depth) + 1))
             self.members.append([order[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)])
 
-    def probes(self, query: np.ndarray) -> list[tuple[int, int]]:
-        """(tree, leaf) to look into. All trees share one queue: what is nearest to the
-        query, by the squares of the distances to the hyperplanes crossed, comes first,
-        until the leaves hold ``share`` of the sample, each vector counted once (of a small
-        one LEAST_COVERED)."""
+        self.share = self._measured(sample, rng) if share is None else share
+
+    def _measured(self, sample: np.ndarray, rng: np.random.Generator) -> float:
+        """A quantile, over true neighbours, of the share covered when each is found."""
+        found = []
+        for i in rng.permutation(len(sample))[:PROBES]:
+            distance = ((sample - sample[i]) ** 2).sum(axis=1)
+            distance[i] = np.inf
+            near = np.argsort(distance, kind="stable")[: min(NEIGHBOURS, len(sample) - 1)]
+            at = np.zeros(len(sample), dtype=np.int64)
+            for _, _, new, count in self._visits(sample[i]):
+                at[new] = count
+                if at[near].all():
+                    break
+            found += at[near].tolist()
+        return float(np.quantile(found, RECALL) / self.size) if found else 1.0
+
+    def _visits(self, query: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, int]]:
+        """Tree, leaf, sample vectors that no leaf before held, and how many have been seen.
+        All trees share one queue: what is nearest to the query, by the squares of the
+        distances to the hyperplanes crossed, comes first."""
         inner = (1 << self.depth) - 1
         margins = [tree.normals @ query - tree.cuts for tree in self.trees]
         queue = [(0.0, t, 0) for t in range(len(self.trees))]
-        wanted = min(max(self.share * self.size, LEAST_COVERED), self.size)
-        covered, count, out = np.zeros(self.size, dtype=bool), 0, []
-        while queue and (count < wanted or len(out) < len(self.trees)):
+        covered, count = np.zeros(self.size, dtype=bool), 0
+        while queue:
             far, t, node = heapq.heappop(queue)
             while node < inner:
                 margin = margins[t][node]
@@ -105,7 +123,16 @@ class Forest:
             new = rows[~covered[rows]]
             covered[new] = True
             count += len(new)
+            yield t, leaf, new, count
+
+    def probes(self, query: np.ndarray) -> list[tuple[int, int]]:
+        """(tree, leaf) to look into, until the leaves hold ``share`` of the sample, each
+        vector counted once; a leaf of every tree at least."""
+        out = []
+        for t, leaf, _, count in self._visits(query):
             out.append((t, leaf))
+            if count >= self.share * self.size and len(out) >= len(self.trees):
+                break
         return out
 
 
