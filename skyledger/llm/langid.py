@@ -135,11 +135,16 @@ def train(docs: DataFrame, learn: DataFrame, each: int = SAMPLE_EACH, families:
         share = np.sqrt(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)).astype(np.float16)
         return [pa.array([x.tobytes() for x in share], type=pa.binary())]
 
-    got = scored(sample, ["doc_id", "lang"], run, "x binary").toArrow().combine_chunks().sort_by("doc_id")
+    got = scored(sample, ["doc_id", "lang"], run, "x binary").toArrow()
     if not got.num_rows:
         return None
-    x = np.frombuffer(b"".join(got.column("x").to_pylist()), dtype=np.float16).reshape(got.num_rows, -1)
-    return Machines(x.astype(np.float32), got.column("lang").to_pylist(), FAMILIES if families is None else families)
+    order = np.argsort(got.column("doc_id").to_numpy(), kind="stable")
+    langs = got.column("lang").to_pylist()
+    x, column = np.empty((len(order), 1 << BITS), dtype=np.float32), got.column("x")
+    for row, i in enumerate(order):  # no second copy of what came
+        x[row] = np.frombuffer(column[i].as_buffer(), dtype=np.float16)
+    del got, column
+    return Machines(x, [langs[i] for i in order], FAMILIES if families is None else families)
 
 
 def predicted(docs: DataFrame, machines: Machines | None, columns: list[str]) -> DataFrame:

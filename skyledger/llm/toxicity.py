@@ -144,8 +144,7 @@ def _places(sample: DataFrame, wanted: np.ndarray) -> list[np.ndarray]:
 
     got = scored(sample, ["doc_id", "label"], run, "places binary").toArrow()
     order = np.lexsort((got.column("doc_id").to_numpy(), got.column("label").to_numpy()))
-    rows = [np.frombuffer(x, dtype=np.int32) for x in got.column("places").to_pylist()]
-    return [rows[i] for i in order]
+    return [np.frombuffer(got.column("places")[i].as_buffer(), dtype=np.int32) for i in order]
 
 
 def log_count_ratios(sample: DataFrame, drawn: dict[int, int]) -> np.ndarray:
