@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions import derive
 from skyledger.operators import audit, enrich, parse, products, quality
-from skyledger.plans import bronze, gold, silver
+from skyledger.plans import bronze, gold, recent, silver
 from skyledger.schemas import AUDIT_DDL, BRONZE_DDL, CAPTURE_DDL, READING_DDL, column_names
 from skyledger.session import pin_utc, shared_dir
 from skyledger.sources import captures, event_feed, tables
@@ -218,12 +218,17 @@ def city_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return products.city_current(_clean(spark, sf_dir))
 
 
+def _recent(spark: SparkSession, sf_dir: str, hours: float) -> DataFrame:
+    """Readings that hold the last hours, each body parsed once."""
+    return recent.stage_recent(_captures(spark, sf_dir), shared_dir(spark, "recent"), hours, AS_OF)
+
+
 def recent_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return products.recent_readings(_clean(spark, sf_dir))
+    return products.recent_readings(_recent(spark, sf_dir, 24))
 
 
 def hourly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return products.hourly_summary(_clean(spark, sf_dir))
+    return products.hourly_summary(_recent(spark, sf_dir, 24))
 
 
 def daily_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,7 +236,7 @@ def daily_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def severe_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return products.severe_alerts(_clean(spark, sf_dir))
+    return products.severe_alerts(_recent(spark, sf_dir, 2))
 
 
 def alert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
