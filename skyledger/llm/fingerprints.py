@@ -10,7 +10,9 @@ whole text.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -183,6 +185,74 @@ def _bucket(order: Column, bounds: list[int]) -> Column:
     return begin + F.size(F.filter(F.slice(whole, begin + 1, step), lambda b: b > order))
 
 
+#: Cuts are taken this many times as fine as partitions, to tell values that fill one.
+FINE = 4
+
+
+def _divided(cuts: list[int]) -> tuple[list[int], dict[int, int]]:
+    """From ascending cuts, ``FINE`` for each range wanted: the bounds of the ranges, and
+    the values that fill about a range or more, with the number of ranges they are worth."""
+    times = Counter(cuts)
+    bounds = sorted(set(cuts[FINE - 1 :: FINE]))
+    return bounds, {x: -(-n // FINE) + 1 for x, n in times.items() if n >= FINE}
+
+
+def _starts(widths: list[int]) -> list[int]:
+    return list(accumulate(widths, initial=0))
+
+
+def _quantiles(name: str, parts: int) -> Column:
+    shares = [i / (FINE * parts) for i in range(1, FINE * parts)]
+    return F.percentile_approx(name, shares, 100 * FINE * parts)
+
+
+def _first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row of each ``_order`` and ``_text_hash`` of a task."""
+    seen: set[tuple[int, int]] = set()
+    for batch in batches:
+        keys = list(zip(batch.column("_order").to_pylist(), batch.column("_text_hash").to_pylist(), strict=True))
+        new = [i for i, key in enumerate(keys) if key not in seen and not seen.add(key)]
+        if new:
+            yield batch.take(pa.array(new))
+
+
+def _dealt(rows: DataFrame, parts: int) -> tuple[DataFrame, int]:
+    """``rows`` with ``_hash``, 0 but for ids that fill a range, and ``bucket``, the number
+    of its range in descending order of id, and the number of ranges.
+
+    An id that fills a range (null counts as one) has ranges of its own, in order of a hash
+    of the text. If one text of such an id fills a range, its rows, which are all alike, are
+    spread over several.
+    """
+    spark = rows.sparkSession
+    cuts = rows.agg(_quantiles("_order", parts)).first()[0] or []
+    bounds, hot = _divided(cuts)
+    bounds.reverse()
+    if not hot:
+        return rows.withColumns({"_hash": F.lit(0).cast("long"), "bucket": _bucket(F.col("_order"), bounds)}), len(bounds) + 1
+    text_hash = F.shiftright(F.xxhash64("text"), 12)  # quantiles are taken as doubles
+    of_hot = rows.where(F.col("_order").isin(list(hot))).select("_order", text_hash.alias("_hash"))
+    most = max(hot.values())
+    split, widths = [], dict.fromkeys(bounds, 1)
+    for order, found in of_hot.groupBy("_order").agg(_quantiles("_hash", most)).collect():
+        step = max(1, most // hot[order])  # as many ranges as the id is worth
+        within, same = _divided(found[step - 1 :: step])
+        spread = [same.get(h, 1) for h in within] + [1]
+        split.append((order, within, spread, _starts(spread)))
+        widths[order] += sum(spread)
+    ddl = "_order long, _within array<long>, _spread array<int>, _starts array<int>"
+    rows = rows.join(F.broadcast(spark.createDataFrame(split, ddl)), "_order", "left")
+    starts = _starts([widths[x] for x in bounds])
+    rows = rows.withColumn("_hash", F.when(F.col("_within").isNull(), 0).otherwise(text_hash))
+    rows = rows.withColumn("_rank", F.size(F.filter("_within", lambda h: h < F.col("_hash"))))
+    ties = F.get("_within", F.col("_rank")) == F.col("_hash")
+    salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.get("_spread", F.col("_rank")))
+    own = F.get("_starts", F.col("_rank")) + F.when(ties, salt).otherwise(0) + 1
+    first = F.get(F.array(*[F.lit(x) for x in starts]), _bucket(F.col("_order"), bounds))
+    bucket = (first + F.coalesce(own, F.lit(0))).cast("int")
+    return rows.withColumn("bucket", bucket).drop("_within", "_spread", "_starts", "_rank"), starts[-1] + 1
+
+
 def in_order(docs: DataFrame) -> DataFrame:
     """Rows in order of descending id, a range of ids per partition: ``doc_id``, ``text``,
     and behind the last of each partition, marked ``guest``, the row that comes next."""
@@ -190,19 +260,19 @@ def in_order(docs: DataFrame) -> DataFrame:
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), order.alias("_order"))
     parts = shuffle_partitions(spark)
-    cuts = rows.agg(F.percentile_approx("_order", [i / parts for i in range(1, parts)] or [0.5], 100 * parts)).first()[0]
-    bounds = sorted(set(cuts or []), reverse=True)
-    bucket = _bucket(F.col("_order"), bounds)
-    # a number for each range, of which there are as many as partitions
-    heads = rows.groupBy(bucket.alias("bucket")).agg(F.max("_order").alias("head")).orderBy("bucket").collect()
-    after = {heads[i - 1].bucket: x.head for i, x in enumerate(heads)}  # the first comes after the last
-    guests = rows.where(F.col("_order").isin(sorted(set(after.values()))))
-    to = F.explode(F.array(*[F.struct(F.lit(b).alias("bucket"), F.lit(h).alias("head")) for b, h in after.items()])) if after else None
-    mine = rows.withColumns({"bucket": bucket, "guest": F.lit(False)})
-    if to is not None:
-        guests = guests.withColumn("_to", to).where("_order = _to.head")
-        mine = mine.unionByName(guests.withColumns({"bucket": F.col("_to.bucket"), "guest": F.lit(True)}).drop("_to"))
-    dealt = mine.repartitionById(max(parts, len(bounds) + 1), F.col("bucket").cast("int"))
+    mine, ranges = _dealt(rows, parts)
+    # a row for each range, of which there are a few times as many as partitions at most
+    heads = mine.groupBy("bucket").agg(F.max("_order").alias("order"), F.min("_hash").alias("hash"))
+    heads = heads.orderBy("bucket").collect()
+    after = [(heads[i - 1].bucket, x.order, x.hash) for i, x in enumerate(heads)]  # the first comes after the last
+    to = F.broadcast(spark.createDataFrame(after, "bucket int, _order long, _hash long"))
+    wanted = mine.drop("bucket").join(to.select("_order", "_hash").distinct().hint("broadcast"), ["_order", "_hash"], "left_semi")
+    wanted = wanted.withColumn("_text_hash", F.xxhash64("text")).select("doc_id", "text", "_order", "_hash", "_text_hash")
+    wanted = in_batches(wanted).mapInArrow(_first_of_each, wanted.schema)
+    found = wanted.groupBy("_order", "_hash").agg(F.min_by(F.struct("doc_id", "text"), "_text_hash").alias("row"))
+    guests = found.join(to, ["_order", "_hash"]).select("row.*", "_order", "bucket", F.lit(True).alias("guest"))
+    mine = mine.select("doc_id", "text", "_order", "bucket", F.lit(False).alias("guest")).unionByName(guests)
+    dealt = mine.repartitionById(max(parts, ranges), F.col("bucket").cast("int"))
     return dealt.sortWithinPartitions("bucket", "guest", F.desc("_order"), F.xxhash64("text")).select(
         "bucket", "guest", "doc_id", "text"
     )
@@ -227,7 +297,8 @@ def compared(docs: DataFrame) -> DataFrame:
     columns beside the two are not read. An empty table gives no rows.
 
     Texts are shuffled once, into ranges of ids; the first row of a range is also sent
-    behind the range before it.
+    behind the range before it. An id with many rows, or the rows without one, take several
+    ranges. Rows of one id and one text are told apart by their numbers in the input.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,9 +2,12 @@ from __future__ import annotations
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
+import pytest
 from helpers import with_extras
+from pyspark.sql import functions as F
 
 from skyledger.llm import fingerprints
 from skyledger.llm.common import text_buffer
@@ -75,3 +78,42 @@ def test_few_rows_and_repeats(documents):
     assert [r.near_next for r in alone] == [1.0]
     again = fingerprints.compared(documents([(4, "same"), (4, "same"), (4, "other")])).collect()
     assert sorted(r.n_chars for r in again) == [4, 4, 5]
+
+
+def _hot(kind):
+    rng = random.Random(kind)
+    words = [f"w{i}" for i in range(50)]
+    text = lambda: " ".join(rng.choice(words) for _ in range(rng.randrange(1, 12)))
+    plain = [(i, text()) for i in range(1, 1001)]
+    hot = {
+        "nulls": [(None, text()) for _ in range(1000)],
+        "one id": [(500, text()) for _ in range(1000)],
+        "one row": [(None, "the same row")] * 1000,
+        "one id, mostly one text": [(7, text() if i % 3 == 0 else "often") for i in range(1000)],
+        "all one row": [(3, "copies")] * 1000,
+    }[kind]
+    return hot if kind.startswith("all") else plain + hot
+
+
+KINDS = ["nulls", "one id", "one row", "one id, mostly one text", "all one row"]
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_hot_ids_take_several_ranges(spark, documents, kind):
+    rows = _hot(kind)
+    random.Random(1).shuffle(rows)
+    docs = documents(rows).repartition(5)
+    dealt = fingerprints.in_order(docs)
+    sizes = Counter(r[0] for r in dealt.where("not guest").select(F.spark_partition_id()).collect())
+    parts = fingerprints.shuffle_partitions(spark)
+    assert sum(sizes.values()) == len(rows) and max(sizes.values()) <= 2 * len(rows) / parts
+    assert dealt.where("guest").count() == dealt.select("bucket").distinct().count()
+    # the order that the ranges and their guests stand for
+    hashed = {r.text: r.h for r in documents(rows).select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashed[r[1]]))
+    want = Counter()
+    for (i, text), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+        k = len(text) // 3
+        want[(i, len(text), hashlib.sha256((text[: len(text) - k] + after[:k]).encode()).hexdigest())] += 1
+    found = fingerprints.compared(docs).select("doc_id", "n_chars", "edited_sha256").collect()
+    assert Counter(map(tuple, found)) == want
