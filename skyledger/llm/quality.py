@@ -17,6 +17,8 @@ SIZES = (2, 3)
 BITS = 11
 DIMENSIONS = 48
 NEIGHBOURS = 15
+#: Cosines that differ by no more are equal: products round by where in a block they stand.
+TIE = 1e-6
 #: Labelled documents of each class whose vectors are broadcast.
 SAMPLE_EACH = 1500
 FOLDS, HELD_OUT = 3, 1
@@ -108,16 +110,21 @@ class Neighbours:
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Labels of the nearest vectors by cosine, weighted by the similarity; the prior
-        for texts that are similar to none."""
+        for texts that are similar to none. Vectors as near as the last of them share the
+        places that the nearer ones leave, whatever their order."""
         x = _unit(self._weighted(term_weights(data, offsets)) @ self.axes)
         k = min(NEIGHBOURS, len(self.labels))
         if not k:
             return np.full(len(x), self.prior)
         cosines = x @ self.vectors.T
-        nearest = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-        votes = np.maximum(np.take_along_axis(cosines, nearest, axis=1), 0) ** 4 * self.weight[nearest]
+        last = np.partition(cosines, cosines.shape[1] - k, axis=1)[:, -k, None]
+        nearer = cosines > last + TIE
+        tied = (cosines >= last - TIE) & ~nearer
+        left = (k - nearer.sum(axis=1)) / tied.sum(axis=1)
+        places = nearer + tied * left[:, None].astype(np.float32)
+        votes = places * np.square(np.square(np.maximum(cosines, 0))) * self.weight
         total = votes.sum(axis=1)
-        score = (votes * self.labels[nearest]).sum(axis=1) / np.where(total > 0, total, 1)
+        score = (votes @ self.labels) / np.where(total > 0, total, 1)
         return np.where(total > 0, np.clip(score, 0, 1), self.prior).astype(np.float64)
 
 
@@ -151,8 +158,8 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Learns from rows of ``labels`` whose fold is not the held-out one and whose ``quality``
     is 0 or 1 (of an id labelled twice the greater counts). Each document's cosines with
     all labelled vectors are computed, block by block; the vectors broadcast are bounded by
-    the sample. Null and empty texts are near none and get the labels' prior; without any
-    label the score is 0.5. A null id is not held out. Texts are read whole; equal texts
+    the sample. Vectors tied at the last place share it. Null and empty texts are near none
+    and get the labels' prior; without any label the score is 0.5. A null id is not held out. Texts are read whole; equal texts
     score alike; repeated rows get one each. An empty table gives no rows. Other columns
     are not read.
     """
