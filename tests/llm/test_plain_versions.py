@@ -1,0 +1,248 @@
+"""The fitted operators and the parser beside plain versions of what they compute."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter, defaultdict
+from functools import cache
+from itertools import combinations, groupby
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from test_classifiers import ODD, corpus
+
+from skyledger.llm import fingerprints, langid, quality, toxicity
+from skyledger.llm.common import GOLDEN, mix64, text_buffer
+
+TEXTS = [text for _, text in ODD] + [r[1] for r in corpus(60, seed=3)] + ["ÀÉ 日本語 über", "aaaaaaa", "clodpole"]
+
+
+@pytest.fixture(scope="module")
+def learnt(spark):
+    rows = corpus(300, seed=5)
+    docs = spark.createDataFrame([(i, t, lang) for i, t, lang, _, _ in rows], "doc_id long, text string, lang string")
+    return rows, docs
+
+
+def labels_of(spark, rows, column):
+    return spark.createDataFrame([(r[0], r[column]) for r in rows], "doc_id long, label int")
+
+
+# -- toxicity --------------------------------------------------------------------
+
+
+@cache
+def bucket(gram):
+    points = np.array([ord(c) for c in gram], dtype=np.uint64)
+    return int(toxicity.hashed_characters(mix64(points * GOLDEN), len(gram))[0])
+
+
+def grams_of(text):
+    text = "".join(c.lower() if c.isascii() else c for c in text or "")
+    return {bucket(text[i : i + n]) for n in toxicity.SIZES for i in range(len(text) - n + 1)}
+
+
+def plain_ratios(rows):
+    held, drawn = [Counter(), Counter()], Counter(r[3] for r in rows)
+    for r in rows:
+        held[r[3]].update(grams_of(r[1]))
+    out = {}
+    for g in held[0] | held[1]:
+        one, nil = held[1][g] + 1, held[0][g] + 1
+        ratio = math.log(one / drawn[1]) - math.log(nil / drawn[0])
+        if abs(ratio) > toxicity.LEAST_Z * math.sqrt(1 / one + 1 / nil):
+            out[g] = ratio
+    return out
+
+
+def plain_weights(rows, ratios, penalty=3.0):
+    """The same steps over a whole table of documents by features."""
+    used = sorted(ratios)
+    rows = sorted(rows, key=lambda r: (r[3], r[0]))
+    x = np.array([[ratios[g] * (g in held) for g in used] for held in (grams_of(r[1]) for r in rows)])
+    y = np.array([r[3] for r in rows], dtype=float)
+    theta = np.append(np.zeros(len(used)), math.log(y.mean() / (1 - y.mean())))
+    first, second = np.zeros_like(theta), np.zeros_like(theta)
+    rate = np.append(np.full(len(used), 0.03), 0.3)
+    for step in range(1, 81):
+        error = 1 / (1 + np.exp(-(x @ theta[:-1] + theta[-1]))) - y
+        grad = np.append(x.T @ error + penalty * theta[:-1], error.sum())
+        first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad**2
+        theta -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
+    return {g: w * ratios[g] for g, w in zip(used, theta[:-1], strict=True)}, theta[-1]
+
+
+def test_toxicity_equals_a_plain_version(spark, learnt):
+    rows, docs = learnt
+    model = toxicity.train(docs, labels_of(spark, rows, 3))
+    ratios = plain_ratios(rows)
+    assert set(np.flatnonzero(model.used).tolist()) == set(ratios) and len(ratios) > 10
+    weights, bias = plain_weights(rows, ratios)
+    assert model.bias == pytest.approx(bias, abs=1e-3)
+    assert all(model.weights[g] == pytest.approx(w, abs=1e-3) for g, w in weights.items())
+    found = model.score(*text_buffer(pa.array(TEXTS)))
+    want = [1 / (1 + math.exp(-(bias + sum(weights.get(g, 0) for g in grams_of(t))))) for t in TEXTS]
+    assert found == pytest.approx(want, abs=5e-3)
+
+
+# -- quality ---------------------------------------------------------------------
+
+
+def plain_votes(cosines, labels, weight, prior):
+    """By sorting all labelled vectors; those tied at the last place share what is left."""
+    order = sorted(range(len(cosines)), key=lambda i: -cosines[i])
+    k = min(quality.NEIGHBOURS, len(order))
+    last = cosines[order[k - 1]]
+    nearer = [i for i in order if cosines[i] > last + quality.TIE]
+    tied = [i for i in order if abs(cosines[i] - last) <= quality.TIE]
+    share = {**dict.fromkeys(nearer, 1.0), **dict.fromkeys(tied, (k - len(nearer)) / len(tied))}
+    votes = {i: s * max(cosines[i], 0) ** 4 * weight[i] for i, s in share.items()}
+    total = sum(votes.values())
+    return sum(v * labels[i] for i, v in votes.items()) / total if total > 0 else prior
+
+
+def test_quality_equals_votes_over_all_vectors(spark, learnt):
+    rows, docs = learnt
+    model = quality.train(docs, labels_of(spark, rows, 4))
+    assert len(model.labels) == len(rows)
+    buffer = text_buffer(pa.array(TEXTS))
+    x = model._weighted(quality.term_weights(*buffer)) @ model.axes
+    found = model.score(*buffer)
+    for r in range(len(TEXTS)):
+        length = max(math.sqrt(sum(float(v) ** 2 for v in x[r])), 1e-12)
+        cosines = [sum(float(a) * float(b) for a, b in zip(x[r], v, strict=True)) / length for v in model.vectors]
+        want = plain_votes(cosines, model.labels.tolist(), model.weight.tolist(), model.prior)
+        assert found[r] == pytest.approx(want, abs=2e-3), TEXTS[r]
+
+
+def test_quality_axes_are_the_leading_ones(spark, learnt):
+    rows, docs = learnt
+    model = quality.train(docs, labels_of(spark, rows, 4))
+    whole = model._weighted(quality.term_weights(*text_buffer(pa.array([r[1] for r in rows]))))
+    assert model.axes.T @ model.axes == pytest.approx(np.eye(quality.DIMENSIONS), abs=1e-4)
+    singular = np.linalg.svd(whole.astype(np.float64), compute_uv=False)[: quality.DIMENSIONS]
+    assert np.square(whole @ model.axes).sum() == pytest.approx(np.square(singular).sum(), rel=1e-3)
+
+
+def test_copies_tied_at_the_last_place_share_it():
+    """Two texts nearer than twenty copies of one, of which ten are good: in any order."""
+    texts = ["alpha beta gamma delta"] * 2 + ["omega psi chi phi alpha"] * 20
+    labels = np.array([1, 1] + [0, 1] * 10, dtype=float)
+    terms = quality.term_weights(*text_buffer(pa.array(texts)))
+    idf, score = np.ones(1 << quality.BITS), []
+    for order in (np.arange(22), np.arange(22)[::-1], np.argsort(-labels, kind="stable")):
+        model = quality.Neighbours(terms[order], labels[order], np.ones(22), idf)
+        score.append(model.score(*text_buffer(pa.array(["alpha beta gamma delta", texts[-1]]))))
+    assert score[0] == pytest.approx(score[1], abs=1e-4) and score[0] == pytest.approx(score[2], abs=1e-4)
+    assert score[0][1] == pytest.approx(0.5, abs=1e-3)
+
+
+# -- language --------------------------------------------------------------------
+
+
+def plain_vector(text):
+    raw = bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode())
+    counts = Counter()
+    for n in langid.SIZES:
+        for i in range(len(raw) - n + 1):
+            counts[raw[i : i + n]] += 1
+    return counts
+
+
+def test_language_vectors_are_shares_of_ngrams():
+    found = langid.vectors(*text_buffer(pa.array(TEXTS)))
+    for r, text in enumerate(TEXTS):
+        counts = plain_vector(text)
+        want = defaultdict(int)
+        for gram, n in counts.items():
+            want[int(langid_bucket(gram))] += n
+        total = max(sum(counts.values()), 1)
+        assert {int(b): pytest.approx(float(found[r][b]), abs=1e-5) for b in np.flatnonzero(found[r])} == {
+            b: math.sqrt(n / total) for b, n in want.items()
+        }
+
+
+@cache
+def langid_bucket(gram):
+    from skyledger.llm.features import hashed_ngrams
+
+    return hashed_ngrams(np.frombuffer(gram, dtype=np.uint8), len(gram), langid.BITS)[0]
+
+
+@pytest.mark.parametrize("families", [None, {"en": "x", "de": "x", "fr": "x", "es": "y"}, {c: "one" for c in ("en", "de", "fr", "es")}])
+def test_language_equals_votes_by_loops(learnt, families):
+    rows, _ = learnt
+    x = langid.vectors(*text_buffer(pa.array([r[1] for r in rows])))
+    machines = langid.Machines(x, [r[2] for r in rows], langid.FAMILIES if families is None else families)
+    of = lambda c: (langid.FAMILIES if families is None else families).get(c, c)
+    given = langid.vectors(*text_buffer(pa.array(TEXTS)))
+    best, score = machines.predict(given)
+    logistic = lambda m: 1 / (1 + math.exp(-min(max(4 * m, -30), 30)))
+    for r in range(len(TEXTS)):
+        margin = [float(given[r] @ w[:-1] + w[-1]) for w in machines.weights]
+        heads = len(machines.families)
+        family = max(range(heads), key=lambda k: margin[k])
+        langs = [c for c in machines.langs if of(c) == machines.families[family]]
+        pairs = {(machines.langs[a], machines.langs[b]): m for (a, b), m in zip(machines.pairs, margin[heads:], strict=True)}
+        won, weakest = defaultdict(float), defaultdict(lambda: math.inf)
+        for a, b in combinations(langs, 2):
+            m = pairs[a, b]
+            won[a] += (m >= 0) + 1e-3 * math.tanh(m)
+            won[b] += (m < 0) - 1e-3 * math.tanh(m)
+            weakest[a], weakest[b] = min(weakest[a], m), min(weakest[b], -m)
+        top = max(langs, key=lambda c: won[c])
+        assert machines.langs[best[r]] == top, TEXTS[r]
+        want = (logistic(margin[family]) if heads > 1 else 1.0) * (logistic(weakest[top]) if len(langs) > 1 else 1.0)
+        assert score[r] == pytest.approx(want, abs=1e-4)
+
+
+# -- fingerprints ----------------------------------------------------------------
+
+
+def plain_labels(symbols, rounds):
+    labels = list(symbols)
+    for _ in range(rounds):
+        new = []
+        for i, x in enumerate(labels):
+            differ = x ^ (labels[i - 1] if i else x ^ 1)
+            bit = (differ & -differ).bit_length() - 1
+            new.append(2 * bit + ((x >> bit) & 1))
+        labels = new
+    return labels
+
+
+def plain_phrases(symbols, level):
+    """Of one text: the runs of each phrase, and the position of its first symbol."""
+    runs = [(s, len(list(g))) for s, g in groupby(symbols)]
+    labels = plain_labels([s for s, _ in runs], 3 if level == 0 else 4)
+    assert all(0 <= x < 6 for x in labels) and all(a != b for a, b in zip(labels, labels[1:], strict=False))
+    phrases, places, at = [], [], 0
+    for i, run in enumerate(runs):
+        peak = i >= 2 and labels[i] > labels[i - 1] and (i == len(runs) - 1 or labels[i] > labels[i + 1])
+        if i == 0 or peak:
+            phrases.append([])
+            places.append(at)
+        phrases[-1].append(run)
+        at += run[1]
+    return [tuple(p) for p in phrases], places
+
+
+def test_parsing_equals_a_plain_parser():
+    made = [t or "" for t in TEXTS if len(t or "") < 10_000] + ["a", "ab", "aab" * 40, "abcabcabc" * 30, "z" * 500]
+    symbols, cuts = text_buffer(pa.array(made))
+    places, level, names_of, phrases_of = np.arange(len(symbols)), 0, {}, {}
+    while np.diff(cuts).max() > 1:
+        names, ends, found = fingerprints._phrases(symbols, cuts, places)
+        for r in range(len(made)):
+            own, start = symbols[cuts[r] : cuts[r + 1]].tolist(), places[cuts[r] : cuts[r + 1]]
+            phrases, at = plain_phrases(own, level)
+            assert found[ends[r] : ends[r + 1]].tolist() == [int(start[i]) for i in at]
+            for name, phrase in zip(names[ends[r] : ends[r + 1]].tolist(), phrases, strict=True):
+                # equal names are equal phrases, and the other way round
+                assert names_of.setdefault((level, phrase), name) == name
+                assert phrases_of.setdefault((level, name), phrase) == phrase
+        symbols, cuts, places, level = names, ends, found, level + 1
+    assert level > 3
+    roots, _ = fingerprints.of_texts(made)
+    assert len(set(roots.tolist())) == len(set(made))
