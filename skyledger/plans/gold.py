@@ -72,13 +72,13 @@ def refresh_daily_extremes(spark: SparkSession, store: SilverStore, micro_batch:
     that have no rows left are removed. Running it again for the same batch changes
     nothing. The table at ``path`` is partitioned like the store.
     """
-    touched = store.periods(spark, micro_batch)
-    kept = [period for period, has_rows in touched.items() if has_rows]
-    clean = store.clean(spark, keep_period=True).where(F.col(PERIOD).isin(kept))
-    extremes = products.daily_extremes(clean)
-    tables.refresh_partitions(extremes.selectExpr("*", f"{store.period.of('event_date')} AS {PERIOD}"), path, PERIOD)
-    emptied = [period for period, has_rows in touched.items() if not has_rows]
-    tables.reset(spark, paths=[f"{path}/{PERIOD}={period}" for period in emptied])
+    touched = store.period_counts(spark, micro_batch)
+    clean = store.clean(spark, keep_period=True).join(F.broadcast(touched.where("row_count > 0")), PERIOD, "left_semi")
+    extremes = products.daily_extremes(clean).selectExpr("*", f"{store.period.of('event_date')} AS {PERIOD}")
+    # a period in one file, not in one of each task
+    tables.refresh_partitions(extremes.repartition(PERIOD), path, PERIOD)
+    emptied = touched.where("row_count = 0").collect()
+    tables.reset(spark, paths=[f"{path}/{PERIOD}={row[PERIOD]}" for row in emptied])
 
 
 def read_daily_extremes(spark: SparkSession, path: str) -> DataFrame:

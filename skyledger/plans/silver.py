@@ -134,10 +134,13 @@ class SilverStore:
     def periods(self, spark: SparkSession, micro_batch: int) -> dict[date, bool]:
         """The periods that a batch holds clean rows of, or held before it was replaced, and
         whether the store has clean rows of them now. Bounded by the periods of a batch."""
+        return {row[PERIOD]: row.row_count > 0 for row in self.period_counts(spark, micro_batch).collect()}
+
+    def period_counts(self, spark: SparkSession, micro_batch: int) -> DataFrame:
+        """The same as a frame, with the clean rows of each period in all batches."""
         lines = self._clean_lines(spark)
         own = lines.where(F.col("micro_batch") == micro_batch).select(PERIOD).distinct()
-        counts = lines.join(own, PERIOD).groupBy(PERIOD).agg(F.sum("row_count").alias("row_count"))
-        return {row[PERIOD]: row.row_count > 0 for row in counts.collect()}
+        return lines.join(own, PERIOD).groupBy(PERIOD).agg(F.sum("row_count").alias("row_count"))
 
     def lines(self, spark: SparkSession) -> DataFrame:
         """Of each batch the lines of the attempt that readers see."""
