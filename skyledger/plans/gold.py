@@ -103,7 +103,8 @@ def _replace_parts(parts: DataFrame, name: str, ddl: str, micro_batch: int) -> N
     stamped = parts.selectExpr("*", f"{micro_batch} AS micro_batch")
     # a batch without rows has to replace its partition as well: a row that adds nothing
     zero = spark.range(1).selectExpr(f"{micro_batch} AS micro_batch")
-    tables.insert(stamped.unionByName(zero, allowMissingColumns=True).coalesce(1), name, overwrite=True)
+    # not gathered in one task: a batch may have about as many parts as rows
+    tables.insert(stamped.unionByName(zero, allowMissingColumns=True), name, overwrite=True)
 
 
 def _parts(spark: SparkSession, name: str, key: str) -> DataFrame:

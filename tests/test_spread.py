@@ -102,6 +102,20 @@ def test_extremes_take_one_file_a_period(spark, folder, monkeypatch):
     assert all("dynamicpruning" in plan for plan in plans)  # periods not touched are not read
 
 
+def test_parts_are_not_gathered_in_one_task(spark, folder):
+    name, store = f"{space(spark)}.hours", store_at(folder)
+    silver.write_batch(bronze(spark, *days(4)), store, 0, AS_OF)
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        gold.add_hours(spark, store, 0, name)
+    finally:
+        spark.conf.set(coalesce, before)
+    assert len(spark.table(name).inputFiles()) > 2
+    assert contents(gold.kept_hours(spark, store, name)) == contents(products.hourly_summary(store.clean(spark)))
+
+
 def test_listing_takes_few_tasks(spark):
     name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
     before = spark.conf.get(name)
