@@ -16,7 +16,7 @@ from test_kept_products import space
 import __spark_entry__ as entry
 from skyledger.operators import products
 from skyledger.plans import gold, silver
-from skyledger.session import SETTINGS, bound_listing
+from skyledger.session import SETTINGS, bound_listing, bound_methods
 from skyledger.sources import event_feed, tables
 
 EVENTS_DDL = "event_id bigint, ts timestamp_ntz, user_id bigint"
@@ -124,3 +124,18 @@ def test_listing_takes_few_tasks(spark):
         assert bound_listing(spark).conf.get(name) == SETTINGS[name]
     finally:
         spark.conf.set(name, before)
+
+
+def test_feed_is_never_left_to_the_interpreter(spark, folder):
+    events_at(spark, folder, [*range(80), None, 7])
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "65535")
+        want = contents(event_feed.read_captures(spark, folder))
+        found = entry._captures(spark, folder)
+        assert int(spark.conf.get(name)) <= 8000  # HotSpot's limit; the feed takes about 9,000
+        assert contents(found) == want
+        assert bound_methods(spark) is spark
+    finally:
+        spark.conf.set(name, before)
