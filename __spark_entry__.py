@@ -16,7 +16,7 @@ from skyledger.functions import derive
 from skyledger.operators import audit, enrich, parse, products, quality
 from skyledger.plans import bronze, gold, recent, silver
 from skyledger.schemas import AUDIT_DDL, BRONZE_DDL, CAPTURE_DDL, READING_DDL, column_names
-from skyledger.session import bound_listing, bound_methods, pin_utc, shared_dir
+from skyledger.session import bound_listing, bound_methods, even_scans, pin_utc, shared_dir
 from skyledger.sources import captures, event_feed, tables
 from skyledger.streaming import bronze as stream_bronze
 from skyledger.streaming import current as stream_current
@@ -56,7 +56,7 @@ PAYLOAD_EXTRAS = {
 
 
 def _captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_feed.read_captures(bound_methods(bound_listing(pin_utc(spark))), sf_dir)
+    return event_feed.read_captures(even_scans(bound_methods(bound_listing(pin_utc(spark)))), sf_dir)
 
 
 def _checked(spark: SparkSession, sf_dir: str, **options) -> DataFrame:

@@ -14,10 +14,11 @@ from test_jobs import DAY_SECONDS, contents
 from test_kept_products import space
 
 import __spark_entry__ as entry
-from skyledger.operators import products
+from skyledger.operators import products, quality
 from skyledger.plans import gold, silver
-from skyledger.session import SETTINGS, bound_listing, bound_methods
-from skyledger.sources import event_feed, tables
+from skyledger.schemas import BRONZE_COLUMNS
+from skyledger.session import PARTS_PER_CORE, SETTINGS, bound_listing, bound_methods, even_scans
+from skyledger.sources import captures, event_feed, tables
 
 EVENTS_DDL = "event_id bigint, ts timestamp_ntz, user_id bigint"
 
@@ -139,3 +140,48 @@ def test_feed_is_never_left_to_the_interpreter(spark, folder):
         assert bound_methods(spark) is spark
     finally:
         spark.conf.set(name, before)
+
+
+SCAN_PARTS = "spark.sql.files.minPartitionNum"
+
+
+@pytest.fixture
+def scan_parts(spark):
+    """Scans split as by default, before the test and after it."""
+    before = spark.conf.get(SCAN_PARTS, None)
+    spark.conf.unset(SCAN_PARTS)
+    yield
+    if before is None:
+        spark.conf.unset(SCAN_PARTS)
+    else:
+        spark.conf.set(SCAN_PARTS, before)
+
+
+def test_scans_have_several_parts_for_each_core(spark, folder, scan_parts):
+    spark.range(9).repartition(9).write.parquet(f"{folder}/rows")
+    files = len(glob.glob(f"{folder}/rows/*.parquet"))
+    assert spark.read.parquet(f"{folder}/rows").rdd.getNumPartitions() < files
+    assert even_scans(spark) is spark
+    assert int(spark.conf.get(SCAN_PARTS)) == PARTS_PER_CORE * spark.sparkContext.defaultParallelism
+    rows = spark.read.parquet(f"{folder}/rows")
+    assert rows.rdd.getNumPartitions() == files and rows.count() == 9
+
+
+def test_batches_of_a_stream_are_written_in_even_parts(spark, folder, scan_parts, monkeypatch):
+    events_at(spark, folder, [*range(400), None, 7, 7])
+    tasks, insert = [], tables.insert
+
+    def run(df, name, **options):
+        if name.endswith(".readings"):
+            tasks.append(df.rdd.getNumPartitions())
+        insert(df, name, **options)
+
+    monkeypatch.setattr(event_feed, "ROWS_PER_TASK", 50)
+    monkeypatch.setattr(tables, "insert", run)
+    monkeypatch.setattr(entry, "shared_dir", lambda spark, label: f"{folder}/{label}")
+    calls = captures.stamp(entry._captures(spark, folder), entry.AS_OF).select(*BRONZE_COLUMNS)
+    want = contents(quality.clean_rows(silver.checked_readings(calls, entry.AS_OF)))
+    spark.conf.unset(SCAN_PARTS)
+    found = entry.stream_clean(spark, folder)
+    assert tasks == [len(glob.glob(f"{folder}/bronze/*.parquet"))] and tasks[0] > 4
+    assert contents(found) == want
