@@ -40,6 +40,8 @@ PERIOD = "event_period"
 # Fixed value: how a path tells a null.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 PARTITIONS = {"micro_batch": "int", "attempt": "string", "outcome": "string", PERIOD: "date"}
+# A body tells its place and time, so hardly one is there twice.
+DISTINCT = ("raw_response", BODY_HASH)
 BATCHES_DDL = f"""
     outcome string, {PERIOD} date, row_count bigint, newest_event_time timestamp,
     run_time timestamp, version int, micro_batch int, attempt string
@@ -105,7 +107,7 @@ class SilverStore:
             columns = columns or _placed(checked_readings(spark.createDataFrame([], BRONZE_DDL)), self).schema
             ddl = [f"`{f.name}` {f.dataType.simpleString()}" for f in columns if f.name not in PARTITIONS]
             ddl += [f"{name} {kind}" for name, kind in PARTITIONS.items()]
-            tables.create_table(spark, self.readings, ", ".join(ddl), list(PARTITIONS))
+            tables.create_table(spark, self.readings, ", ".join(ddl), list(PARTITIONS), distinct=DISTINCT)
             tables.create_table(spark, self.batches, BATCHES_DDL, ["micro_batch", "attempt"])
             self._show(spark)
 
@@ -151,8 +153,12 @@ class SilverStore:
         return self.lines(spark).where(F.col("outcome") == CLEAN)
 
     def _outcome(self, spark: SparkSession, outcome: str) -> DataFrame:
+        return self._rows(spark).where(F.col("outcome") == outcome)
+
+    def _rows(self, spark: SparkSession) -> DataFrame:
+        """Readings of both outcomes, with the partition columns."""
         self.create(spark)
-        return spark.sql(f"SELECT * FROM {self.readings} WHERE outcome = '{outcome}' AND {self._seen()}")
+        return spark.sql(f"SELECT * FROM {self.readings} WHERE {self._seen()}")
 
     def _seen(self) -> str:
         """Attempts that readers see, one for each batch; the condition prunes partitions."""
@@ -253,7 +259,7 @@ def compact(spark: SparkSession, store: SilverStore, batches: list[int] | None =
     if not chosen:
         return
     attempt = uuid.uuid4().hex
-    rows = store._outcome(spark, CLEAN).unionAll(store._outcome(spark, QUARANTINE)).where(F.col("micro_batch").isin(chosen))
+    rows = store._rows(spark).where(F.col("micro_batch").isin(chosen))
     rows = rows.withColumn("attempt", F.expr(f"concat('{attempt}-', micro_batch)"))
     tables.insert(rows.hint("rebalance", "micro_batch", "outcome", PERIOD), store.readings)
     run_times = ", ".join(f"{batch}, timestamp_micros({found[batch]})" for batch in chosen)

@@ -118,13 +118,22 @@ def create_layers(
 
 
 def create_table(
-    spark: SparkSession, name: str, ddl: str, partition_by: Sequence[str] = (), overwrites: bool = False
+    spark: SparkSession,
+    name: str,
+    ddl: str,
+    partition_by: Sequence[str] = (),
+    overwrites: bool = False,
+    distinct: Sequence[str] = (),
 ) -> None:
     """Create an empty typed table unless it is there. With ``overwrites`` whatever is
-    inserted replaces the partitions that it has rows of, and no others."""
+    inserted replaces the partitions that it has rows of, and no others. ``distinct`` names
+    columns whose values hardly repeat: files hold them plainly, as a dictionary of them
+    would be hashed for each row and spare nothing. Names in lower case, as options are."""
     layout = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    mode = "OPTIONS (partitionOverwriteMode 'dynamic')" if overwrites else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) ({ddl}) USING PARQUET {mode} {layout}", {"name": name})
+    given = {"partitionOverwriteMode": "dynamic"} if overwrites else {}
+    given |= {f"parquet.enable.dictionary#{column}": "false" for column in distinct}
+    options = f"OPTIONS ({', '.join(f"'{key}' '{value}'" for key, value in given.items())})" if given else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) ({ddl}) USING PARQUET {options} {layout}", {"name": name})
 
 
 def insert(df: DataFrame, name: str, overwrite: bool = False) -> None:

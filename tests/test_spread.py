@@ -7,6 +7,7 @@ import glob
 import io
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from samples import AS_OF, NOON, body, bronze, call, main, store_at
@@ -74,6 +75,44 @@ def test_batches_of_compacted_silver_are_written_by_many_tasks(spark, folder, mo
     assert len(tasks) == 3 and min(tasks) > 1
 
 
+def dictionaries(table):
+    """For each column, whether some file has a dictionary of it."""
+    found = {}
+    for name in table.inputFiles():
+        parts = pq.ParquetFile(name.removeprefix("file://")).metadata
+        for group in (parts.row_group(k) for k in range(parts.num_row_groups)):
+            for column in (group.column(k) for k in range(group.num_columns)):
+                found[column.path_in_schema] = found.get(column.path_in_schema, False) or column.has_dictionary_page
+    return found
+
+
+def test_store_keeps_no_dictionary_of_bodies(spark, folder):
+    store = store_at(folder)
+    for batch in range(2):
+        # equal bodies, of which a dictionary would be small
+        silver.write_batch(bronze(spark, *days(3), *days(3), call(None), call("{", status=404)), store, batch, AS_OF)
+        before = contents(store.clean(spark)), contents(store.quarantine(spark)), contents(store.audit(spark))
+        for _ in range(2):
+            found = dictionaries(spark.table(store.readings))
+            assert not found["raw_response"] and not found["body_hash"] and found["source_system"]
+            silver.compact(spark, store)
+            silver.forget_replaced(spark, store)
+            assert (contents(store.clean(spark)), contents(store.quarantine(spark)), contents(store.audit(spark))) == before
+
+
+def test_compaction_reads_the_store_in_one_scan(spark, folder, monkeypatch):
+    store, plans, insert = store_at(folder), [], tables.insert
+
+    def run(df, name, **options):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        insert(df, name, **options)
+
+    silver.write_batch(bronze(spark, *days(2), call("{", status=404)), store, 0, AS_OF)
+    monkeypatch.setattr(tables, "insert", run)
+    silver.compact(spark, store)
+    assert plans[0].count("FileScan") == 1 and plans[0].count("raw_response") and "Union" not in plans[0]
+
+
 def days(n, cities=12):
     return [
         call(body(name=f"c{k}", dt=NOON + day * DAY_SECONDS + 60 * k, main=main(temp=k)))
