@@ -28,12 +28,16 @@ WORDS, SHARE = 4, 85
 BUCKET_KEYS = 1_000_000
 #: Keys that a task gathers, about, before it sends them on.
 FLUSH_KEYS = 400_000
-#: Sets of a block; two blocks at a time are compared in a task.
-BLOCK = 128
+#: Sets of a block at most, and shingles in all of them, about; two blocks at a time are
+#: compared in a task.
+BLOCK = 4096
+BLOCK_SHINGLES = 1 << 20
 #: Bytes of sets that a task hands on at a time.
 UNIT_BYTES = 1 << 20
 #: Rows of a table of ids that is sent to every executor; larger ones are joined by shuffle.
 MOST_IDS = 500_000
+#: Likewise of a table of a number alone.
+MOST_KEYS = 2_000_000
 
 _RECORD = np.dtype([("key", "<u4"), ("name", "<i8"), ("flags", "u1")])
 INDEXED, PROBING, SHARED = 1, 2, 4
@@ -98,7 +102,8 @@ def _packed(keys: list, names: list, flags: list, buckets: int, turn: int) -> It
 
 
 def shared_keys(docs: DataFrame, words: int, bands: Bands, buckets: int) -> DataFrame:
-    """``key``, ``name``, ``flags``: the segment keys that more than one set has.
+    """``key``, ``name``, ``flags``: the segment keys that more than one set has, one of
+    them to probe and one of the index.
 
     Keys are made in the tasks and sent to buckets in blocks of records. A task sends the
     keys of a set once, however many copies it reads, and of a key that many of its sets
@@ -154,12 +159,19 @@ def shared_keys(docs: DataFrame, words: int, bands: Bands, buckets: int) -> Data
 
         def close() -> pa.RecordBatch:
             records = np.frombuffer(b"".join(parts), dtype=_RECORD)
-            records = records[np.argsort(records["key"], kind="stable")]
-            same = records["key"][1:] == records["key"][:-1]
-            several = (records["flags"] & SHARED) > 0
-            several[1:] |= same
-            several[:-1] |= same
-            found = records[several]
+            records = records[np.lexsort((records["name"], records["key"]))]
+            new_key = np.append(True, records["key"][1:] != records["key"][:-1])
+            new_name = np.append(True, records["name"][1:] != records["name"][:-1]) | new_key
+            # a set comes once, however many tasks have read it
+            edges = np.flatnonzero(new_name)
+            flags = np.bitwise_or.reduceat(records["flags"], edges)
+            records, new_key = records[edges], new_key[edges]
+            records["flags"] = flags
+            edges = np.flatnonzero(new_key)
+            flags = np.bitwise_or.reduceat(flags, edges)
+            meets = (np.diff(np.append(edges, len(records))) > 1) & (flags & (INDEXED | PROBING) == INDEXED | PROBING)
+            # other sets of a SHARED one are elsewhere
+            found = records[(meets | (flags & SHARED > 0))[np.cumsum(new_key) - 1]]
             return rows(np.full(len(found), bucket), found)
 
         for batch in batches:
@@ -182,28 +194,29 @@ def shared_keys(docs: DataFrame, words: int, bands: Bands, buckets: int) -> Data
 
 
 def candidate_groups(found: DataFrame, classes: DataFrame) -> DataFrame:
-    """``center``, ``member``, ``row_key``: each set with the centers of the lists it is in.
+    """``center``, ``member``, ``row_key``, ``size``: each set with the centers of the lists it is in.
 
     Of the sets that share a key, one is the center: the one whose keys are shared most,
     as the text that others were copied from is. Two sets that may be similar are in a
     list together, and so in the group of its center. Centers are members too.
     """
-    named = classes.select("name", "id", "row_key")
-    rows = found.join(named, "name").groupBy("key", "id", "row_key").agg(F.bit_or("flags").alias("flags"))
+    named = classes.select("name", "id", F.struct("row_key", F.col("n").alias("size")).alias("set"))
+    rows = found.join(named, "name").groupBy("key", "id", "set").agg(F.bit_or("flags").alias("flags"))
     rows = stage(rows, "jaccard-lists")
     lists = rows.groupBy("key").agg(F.count("*").alias("n"), F.bit_or("flags").alias("all"))
     lists = lists.where((F.col("n") > 1) & (F.col("all").bitwiseAND(INDEXED + PROBING) == INDEXED + PROBING))
     rows = rows.join(lists.select("key", "n"), "key")
     weights = rows.groupBy("id").agg(F.sum("n").alias("weight"))
-    rows = rows.select("key", "id", "row_key").join(weights, "id")
-    centers = rows.groupBy("key").agg(F.max(F.struct("weight", "id", "row_key")).alias("top"))
-    pairs = rows.join(centers, "key").select(F.col("top.id").alias("center"), F.col("id").alias("member"), "row_key")
+    rows = rows.select("key", "id", "set").join(weights, "id")
+    centers = rows.groupBy("key").agg(F.max(F.struct("weight", "id")).alias("top"))
+    pairs = rows.join(centers, "key").select(F.col("top.id").alias("center"), F.col("id").alias("member"), "set.*")
     return checkpointed(pairs.distinct())
 
 
 def _places(groups: DataFrame) -> DataFrame:
     """One row per member: the groups it is in, its block there and how many there are."""
-    sizes = groups.groupBy("center").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    most = F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_SHINGLES)
+    sizes = groups.groupBy("center").agg(F.ceil(most).cast("int").alias("blocks"))
     # a table of its own: else one shuffle, by center, would serve the join too
     rows = groups.join(checkpointed(sizes), "center")
     block = F.pmod(F.xxhash64("member", F.lit(7)), F.col("blocks")).cast("int")
@@ -219,7 +232,11 @@ def _units(docs: DataFrame, places: DataFrame, words: int) -> DataFrame:
     center comes to all of its group."""
     count = places.count()
     wanted = broadcast_if_small(places, count, MOST_IDS)
-    rows = docs.select(_row_key().alias("row_key"), "text").join(wanted, "row_key").select("member", "places", "text")
+    rows = docs.select(_row_key().alias("row_key"), "text")
+    if MOST_IDS < count <= MOST_KEYS:
+        # only the texts that are wanted are shuffled
+        rows = rows.join(F.broadcast(places.select("row_key")), "row_key", "left_semi")
+    rows = rows.join(wanted, "row_key").select("member", "places", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
@@ -255,44 +272,64 @@ def _units(docs: DataFrame, places: DataFrame, words: int) -> DataFrame:
     return rows.mapInArrow(run, UNIT)
 
 
+def _bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Of each set (a column) for each of some bits whether an odd number of its shingles
+    fall on it. Two columns differ in at most as many bits as the sets do in shingles."""
+    bits = 64 * -(-2 * max(map(len, sets)) // 64)
+    out = np.empty((bits // 64, len(sets)), dtype=np.uint64)
+    for r, values in enumerate(sets):
+        odd = np.bincount((values % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+        out[:, r] = np.packbits(odd.astype(np.uint8)).view(np.uint64)
+    return out
+
+
 def _links(sets: list[tuple[bool, int, str, np.ndarray]], low: int, high: int, share: int) -> list[tuple[str, str]]:
     """Links that join all sets of two blocks that are similar, directly or by others here.
 
-    Every set is compared with the center. The Jaccard distance is a metric, so two sets
-    whose distances from the center differ by more than that of a link are not linked;
+    Every set is compared with the center, the first. The Jaccard distance is a metric, so
+    two sets whose distances from the center differ by more than that of a link are not
+    linked, nor are two whose bitmaps differ in more bits than similar sets do in shingles;
     sets that are joined already need no comparing; all other pairs are counted.
     """
-    sizes = np.array([len(s[3]) for s in sets])
-    root = list(range(len(sets)))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    def compare(i: int, j: int) -> float:
-        common = common_count(sets[i][3], sets[j][3])
-        union = sizes[i] + sizes[j] - common
-        if 100 * common >= share * union:
-            a, b = find(i), find(j)
-            if a != b:
-                root[max(a, b)] = min(a, b)
-                links.append((sets[i][2], sets[j][2]))
-        return 1 - common / max(union, 1)
-
-    links: list[tuple[str, str]] = []
-    distance = np.array([0.0] + [compare(0, j) for j in range(1, len(sets))])
-    block = np.array([s[1] for s in sets])
-    for i in range(1, len(sets)):
-        later = np.arange(i + 1, len(sets))
-        # pairs within a block are compared where the block meets itself
-        later = later[(block[later] != block[i]) if low != high else (block[later] == block[i])]
-        near = np.abs(distance[later] - distance[i]) <= (100 - share) / 100 + 1e-9
-        fits = 100 * np.minimum(sizes[later], sizes[i]) >= share * np.maximum(sizes[later], sizes[i])
-        for j in later[near & fits]:
-            if find(i) != find(int(j)):
-                compare(i, int(j))
+    center, *rest = sets
+    # pairs within a block are compared where the block meets itself
+    rest = sorted(rest, key=lambda s: (low != high and s[1] == high, len(s[3])))
+    if not rest:
+        return []
+    values = [center[3], *[s[3] for s in rest]]
+    names = [center[2], *[s[2] for s in rest]]
+    sizes = np.array([len(v) for v in values])
+    common = np.array([sizes[0], *[common_count(values[0], v) for v in values[1:]]])
+    union = sizes[0] + sizes - common
+    distance = 1 - common / np.maximum(union, 1)
+    near = 100 * common >= share * union
+    label = np.where(near, 0, np.arange(len(values)))
+    # links with the center are told where a block meets itself
+    links = [(names[0], names[j]) for j in np.flatnonzero(near) if j] if low == high else []
+    second = 1 + sum(s[1] != high for s in rest) if low != high else len(values)
+    if low != high and second == len(values):
+        return links
+    bitmaps = None
+    for i in range(1, second if low != high else second - 1):
+        begin, end = (second, len(values)) if low != high else (i + 1, second)
+        begin += int(np.searchsorted(100 * sizes[begin:end], share * sizes[i]))
+        end = begin + int(np.searchsorted(share * sizes[begin:end], 100 * sizes[i], side="right"))
+        left = label[begin:end] != label[i]
+        left &= np.abs(distance[begin:end] - distance[i]) <= (100 - share) / 100 + 1e-9
+        left = begin + np.flatnonzero(left)
+        if not len(left):
+            continue
+        if bitmaps is None:
+            bitmaps = _bitmaps(values)
+        apart = np.bitwise_count(bitmaps[:, left] ^ bitmaps[:, i, None]).sum(axis=0, dtype=np.int64)
+        left = left[apart * (100 + share) <= (sizes[left] + sizes[i]) * (100 - share)]
+        for j in left.tolist():
+            if label[j] == label[i]:
+                continue
+            both = common_count(values[i], values[j])
+            if 100 * both >= share * (sizes[i] + sizes[j] - both):
+                label[label == label[j]] = label[i]
+                links.append((names[i], names[j]))
     return links
 
 

@@ -56,6 +56,86 @@ def test_large_groups_are_split_into_blocks(documents, monkeypatch):
     assert len(set(want)) > 1
 
 
+def passages(n, size, shared, seed):
+    """Sets that share a passage with a center, some of them near copies of it or each other."""
+    rng = np.random.default_rng(seed)
+    fresh = lambda k: rng.integers(0, 2**63, k, dtype=np.uint64)
+    passage = fresh(shared)
+    sets = [np.concatenate([passage, fresh(size - shared)])]
+    for i in range(n):
+        base = sets[0] if i % 5 == 0 else sets[-1] if i % 5 == 1 else np.concatenate([passage, fresh(size - shared)])
+        kept = rng.permutation(base)[: size - int(rng.integers(0, size // 6))]
+        sets.append(np.concatenate([kept, fresh(size - len(kept))]))
+    return [np.unique(x) for x in sets]
+
+
+def joined(names, links):
+    root = {n: n for n in names}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in links:
+        low, high = sorted((find(a), find(b)))
+        root[high] = low
+    return [find(n) for n in names]
+
+
+def test_sets_of_a_passage_are_hardly_counted(monkeypatch):
+    """Unlike sets that share a passage, as licenses, are told apart without counting all pairs."""
+    sets = passages(300, 200, 110, seed=4)
+    names = [f"{k:04}" for k in range(len(sets))]
+    pairs = [(names[i], names[j]) for i in range(len(sets)) for j in range(i) if alike(sets[i], sets[j], 80)]
+    counted = []
+    monkeypatch.setattr(jaccard, "common_count", lambda a, b: counted.append(1) or common_count(a, b))
+    whole = jaccard._links([(k == 0, 0, names[k], x) for k, x in enumerate(sets)], 0, 0, 80)
+    assert set(map(frozenset, whole)) <= set(map(frozenset, pairs))
+    assert joined(names, whole) == joined(names, pairs)
+    assert len(counted) < 3 * len(sets)
+    # the same in three blocks, which meet in pairs
+    parts = []
+    for low in range(3):
+        for high in range(low, 3):
+            unit = [(k == 0, k % 3, names[k], x) for k, x in enumerate(sets) if k == 0 or k % 3 in (low, high)]
+            parts += jaccard._links(unit, low, high, 80)
+    assert set(map(frozenset, parts)) <= set(map(frozenset, pairs))
+    assert joined(names, parts) == joined(names, pairs)
+
+
+def alike(a, b, share):
+    both = common_count(a, b)
+    return 100 * both >= share * (len(a) + len(b) - both)
+
+
+def test_bitmaps_differ_no_more_than_their_sets():
+    sets = passages(40, 90, 50, seed=6) + [np.unique(np.arange(5, dtype=np.uint64))]
+    bitmaps = jaccard._bitmaps(sets)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            apart = int(np.bitwise_count(bitmaps[:, i] ^ bitmaps[:, j]).sum())
+            assert apart <= len(np.setxor1d(a, b))
+
+
+def test_sets_of_large_groups_are_sent_once(spark):
+    """Not once for every 128 sets of their group, as long as few shingles are in all of them."""
+    rows = [("c" * 32, f"{k:032}", k, 40) for k in range(1000)] + [("c" * 32, "c" * 32, 1000, 40)]
+    rows += [("d" * 32, f"{k:032}", k, 40_000) for k in range(100)] + [("d" * 32, "d" * 32, 1001, 40_000)]
+    groups = spark.createDataFrame(rows, "center string, member string, row_key long, size long")
+    found = {p["center"][0]: p["blocks"] for r in jaccard._places(groups).collect() for p in r.places}
+    assert found == {"c": 1, "d": 4}
+
+
+def test_a_key_of_one_set_is_no_list(documents):
+    """However many tasks read copies of it."""
+    texts = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(4)] * 6
+    docs = documents(list(enumerate(texts))).repartition(8)
+    assert jaccard.shared_keys(docs, 5, Bands(80), 8).count() == 0
+    near = documents([*enumerate(texts), (30, texts[0] + " z")]).repartition(8)
+    assert jaccard.shared_keys(near, 5, Bands(80), 8).select("name").distinct().count() == 2
+
+
 def test_nulls_repeats_and_empty_tables(documents):
     text = " ".join(f"w{i}" for i in range(40))
     rows = [(5, text), (5, text), (3, text + " end"), (None, text), (None, None), (7, None), (8, ""), (9, "alone")]
