@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import (
@@ -21,7 +21,7 @@ from skyledger.llm.common import (
     text_buffer,
 )
 from skyledger.llm.components import connected_components
-from skyledger.llm.shingles import Bands, common_count, set_names, shingle_sets, signatures
+from skyledger.llm.shingles import Bands, common_count, set_keys, set_names, shingle_sets
 
 WORDS, SHARE = 4, 85
 #: Segment keys in a bucket, on average; a task holds one bucket at a time.
@@ -80,10 +80,10 @@ def _packed(keys: list, names: list, flags: list, buckets: int, turn: int) -> It
     """Records by bucket. Of a key that several sets here have, one record goes to its
     bucket, marked SHARED; the others are known to share it and go anywhere."""
     key, name, flag = np.concatenate(keys), np.concatenate(names), np.concatenate(flags)
-    bucket = ((key >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+    bucket = (key >> np.uint64(32)) % np.uint64(buckets)
     short = key.astype(np.uint32)
-    order = np.lexsort((flag, short, bucket))
-    bucket, short, name, flag = bucket[order], short[order], name[order], flag[order]
+    order = np.argsort((bucket << np.uint64(32)) | short, kind="stable")
+    bucket, short, name, flag = bucket[order].astype(np.int64), short[order], name[order], flag[order]
     again = np.zeros(len(order), dtype=bool)
     again[1:] = (bucket[1:] == bucket[:-1]) & (short[1:] == short[:-1])
     shared = again.copy()
@@ -133,19 +133,20 @@ def shared_keys(docs: DataFrame, words: int, bands: Bands, buckets: int) -> Data
         for block in blocks(batches, "text"):
             values, cuts = shingle_sets(*text_buffer(block.column("text")), words)
             first = set_names(values, cuts)[0].view(np.int64)
+            new = np.zeros(len(first), dtype=bool)
             for r, name in enumerate(first.tolist()):
-                if name in seen:
-                    continue
+                new[r] = name not in seen
                 seen.add(name)
-                key, indexed, probing = signatures(values[cuts[r] : cuts[r + 1]], bands)
-                if len(key):
-                    keys.append(key)
-                    names.append(np.full(len(key), name))
-                    flags.append((indexed * INDEXED + probing * PROBING).astype(np.uint8))
-                    held += len(key)
-            if held >= FLUSH_KEYS:
-                yield flush()
-                held, turn = 0, turn + 1
+            sizes = np.diff(cuts)
+            values, cuts = values[np.repeat(new, sizes)], np.concatenate([[0], np.cumsum(sizes[new])])
+            for row, key, indexed, probing in set_keys(values, cuts, bands):
+                keys.append(key)
+                names.append(first[new][row])
+                flags.append((indexed * INDEXED + probing * PROBING).astype(np.uint8))
+                held += len(key)
+                if held >= FLUSH_KEYS:
+                    yield flush()
+                    held, turn = 0, turn + 1
         if held:
             yield flush()
 
@@ -159,6 +160,14 @@ def shared_keys(docs: DataFrame, words: int, bands: Bands, buckets: int) -> Data
 
         def close() -> pa.RecordBatch:
             records = np.frombuffer(b"".join(parts), dtype=_RECORD)
+            records = records[np.argsort(records["key"].copy(), kind="stable")]
+            same = records["key"][1:] == records["key"][:-1]
+            several = (records["flags"] & SHARED) > 0
+            several[1:] |= same
+            several[:-1] |= same
+            records = records[several]
+            if not len(records):
+                return rows(np.zeros(0, np.int64), records)
             records = records[np.lexsort((records["name"], records["key"]))]
             new_key = np.append(True, records["key"][1:] != records["key"][:-1])
             new_name = np.append(True, records["name"][1:] != records["name"][:-1]) | new_key
@@ -200,17 +209,21 @@ def candidate_groups(found: DataFrame, classes: DataFrame) -> DataFrame:
     as the text that others were copied from is. Two sets that may be similar are in a
     list together, and so in the group of its center. Centers are members too.
     """
-    named = classes.select("name", "id", F.struct("row_key", F.col("n").alias("size")).alias("set"))
-    rows = found.join(named, "name").groupBy("key", "id", "set").agg(F.bit_or("flags").alias("flags"))
-    rows = stage(rows, "jaccard-lists")
-    lists = rows.groupBy("key").agg(F.count("*").alias("n"), F.bit_or("flags").alias("all"))
-    lists = lists.where((F.col("n") > 1) & (F.col("all").bitwiseAND(INDEXED + PROBING) == INDEXED + PROBING))
-    rows = rows.join(lists.select("key", "n"), "key")
-    weights = rows.groupBy("id").agg(F.sum("n").alias("weight"))
-    rows = rows.select("key", "id", "set").join(weights, "id")
-    centers = rows.groupBy("key").agg(F.max(F.struct("weight", "id")).alias("top"))
-    pairs = rows.join(centers, "key").select(F.col("top.id").alias("center"), F.col("id").alias("member"), "set.*")
-    return checkpointed(pairs.distinct())
+    by_key = Window.partitionBy("key")
+    rows = found.repartition("key").groupBy("key", "name").agg(F.bit_or("flags").alias("flags"))
+    flags = F.bit_or("flags").over(by_key).bitwiseAND(INDEXED + PROBING)
+    rows = rows.select("key", "name", F.count("*").over(by_key).alias("n"), flags.alias("flags"))
+    rows = rows.where((F.col("n") > 1) & (F.col("flags") == INDEXED + PROBING))
+    # names are numbers, ids texts: those are joined to the few rows left at the end
+    rows = stage(rows.select("key", "name", "n"), "jaccard-lists")
+    weights = rows.groupBy("name").agg(F.sum("n").alias("weight"))
+    rows = rows.select("key", "name").join(weights, "name")
+    top = F.max(F.struct("weight", "name")).over(by_key)
+    pairs = rows.select("name", top["name"].alias("center_name")).distinct()
+    named = classes.select("name", F.col("id").alias("member"), "row_key", F.col("n").alias("size"))
+    centers = classes.select(F.col("name").alias("center_name"), F.col("id").alias("center"))
+    pairs = pairs.join(centers, "center_name").join(named, "name")
+    return checkpointed(pairs.select("center", "member", "row_key", "size"))
 
 
 def _places(groups: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -15,6 +16,8 @@ from skyledger.llm.words import split_words, word_hashes
 #: shingle, which texts share without being alike; others cost less by half for each
 #: shingle more in a segment.
 CHANCE = 200.0
+#: Shingles whose segments are found at a time, or one larger set.
+KEYED_AT_ONCE = 1 << 18
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -31,18 +34,30 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.
     for k in range(words):
         whole += (value[k : k + len(whole)] ^ (value[k : k + len(whole)] >> np.uint64(31))) * salts[k]
     whole = mix64(whole)
-    parts = []
-    for r, m in enumerate(many):
-        if m >= words:
-            parts.append(np.unique(whole[cuts[r] : cuts[r] + m - words + 1]))
-        elif m:
-            few = value[cuts[r] : cuts[r] + m]
-            mixed = ((few ^ (few >> np.uint64(31))) * salts[:m]).sum(dtype=np.uint64, keepdims=True)
-            parts.append(mix64(mixed + mix64(np.full(1, m, dtype=np.uint64))))
-        else:
-            parts.append(np.zeros(0, dtype=np.uint64))
-    sizes = np.array([len(p) for p in parts], dtype=np.int64)
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint64), np.concatenate([[0], np.cumsum(sizes)])
+    sizes = np.minimum(many, 1)
+    for r in np.flatnonzero(many >= words).tolist():
+        sizes[r] = many[r] - words + 1
+        whole[cuts[r] : cuts[r] + sizes[r]].sort()
+    few = np.flatnonzero((many > 0) & (many < words)).tolist()
+    out = np.empty(int(sizes.sum()), dtype=np.uint64)
+    ends = np.cumsum(sizes)
+    taken = many >= words
+    out[np.repeat(taken, sizes)] = whole[_spans(cuts[:-1][taken], sizes[taken])]
+    for r in few:
+        own = value[cuts[r] : cuts[r + 1]]
+        mixed = ((own ^ (own >> np.uint64(31))) * salts[: many[r]]).sum(dtype=np.uint64, keepdims=True)
+        out[ends[r] - 1] = mix64(mixed + mix64(np.full(1, many[r], dtype=np.uint64)))[0]
+    # repeated shingles stand side by side
+    distinct = np.ones(len(out), dtype=bool)
+    distinct[1:] = out[1:] != out[:-1]
+    distinct[(ends - sizes)[sizes > 0]] = True
+    kept = np.concatenate([[0], np.cumsum(distinct)])
+    return out[distinct], kept[np.concatenate([[0], ends])]
+
+
+def _spans(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The indices of slices, one after the other."""
+    return np.arange(int(sizes.sum())) + np.repeat(begins - (np.cumsum(sizes) - sizes), sizes)
 
 
 def set_names(values: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -114,14 +129,11 @@ class Bands:
         return high, best[1], best[2]
 
 
-def _segment_edges(values: np.ndarray, segments: int) -> np.ndarray:
-    """Segments are ranges of the hash, so those of a sorted set are slices of it."""
-    bounds = (np.arange(segments, dtype=np.float64) * (2.0**64 / segments)).astype(np.uint64)
-    return np.append(np.searchsorted(values, bounds), len(values))
-
-
-def signatures(values: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of one sorted set, and of each whether it is of the index and whether it probes.
+def set_keys(
+    values: np.ndarray, cuts: np.ndarray, bands: Bands
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Keys of sorted sets, ``values`` cut at ``cuts``, some sets and bands at a time: whose
+    they are, the keys, and of each whether it is of the index and whether it probes.
 
     In its own band a set indexes every segment (where one holds the whole set, with its
     one-deletion neighbourhood). It probes, for partners of its size or larger, in its own band and in
@@ -129,42 +141,65 @@ def signatures(values: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray
     most by which it can differ from such a partner, and leaves out those that cost most,
     the smallest ones, which many texts share.
     """
-    size = len(values)
-    if size < bands.least:
-        none = np.zeros(0, dtype=np.uint64)
-        return none, none.astype(bool), none.astype(bool)
+    sizes = np.diff(cuts)
+    rows = np.flatnonzero(sizes >= bands.least)
+    if not len(rows):
+        return
+    partners = 100 * sizes // bands.share
+    top = bands.band(int(partners.max()))
+    starts = np.array(bands.starts)
+    own, last = (np.searchsorted(starts, x[rows], side="right") - 1 for x in (sizes, partners))
+    band = _spans(own, last - own + 1)
+    row = np.repeat(rows, last - own + 1)
+    plans = np.array([bands.plan(b) for b in range(top + 1)])
+    room = np.cumsum(sizes[row]) // KEYED_AT_ONCE
+    for part in np.split(np.arange(len(row)), np.flatnonzero(np.diff(room)) + 1):
+        yield _keys_of(values, cuts, bands, row[part], band[part], np.repeat(own, last - own + 1)[part], plans)
+
+
+def _keys_of(
+    values: np.ndarray, cuts: np.ndarray, bands: Bands, row: np.ndarray, band: np.ndarray, own: np.ndarray, plans: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`set_keys` of the sets ``row``, each in one band beside its own."""
+    size = np.diff(cuts)[row]
+    high, segments, deletions = plans[band].T
+    values = values[_spans(cuts[row], size)]
     mixed = mix64(values ^ np.uint64(0x5DEECE66D))
-    sums = np.zeros(size + 1, dtype=np.uint64)
+    sums = np.zeros(len(values) + 1, dtype=np.uint64)
     np.cumsum(mixed, out=sums[1:])
-    keys, indexed, probing = [], [], []
-    own, top = bands.band(size), bands.band(bands.largest_partner(size))
-    for band in range(own, top + 1):
-        high, segments, deletions = bands.plan(band)
-        edges = _segment_edges(values, segments)
-        held = np.diff(edges)
-        content = sums[edges[1:]] - sums[edges[:-1]]
-        place = (np.arange(segments, dtype=np.uint64) + np.uint64(1)) * GOLDEN + np.uint64(band + 1)
-        need = bands.difference(size, min(high, bands.largest_partner(size))) + 1
-        worth = np.ones(segments, dtype=np.int64)
-        worth[:deletions] = 2
-        order = np.argsort(held + (worth > 1) * size, kind="stable")
-        spare = segments + deletions - need
-        probes = np.ones(segments, dtype=bool)
-        skipped = order[: max(spare, 0)]
-        probes[skipped[np.cumsum(worth[skipped]) <= spare]] = False
-        full = mix64(content + place)
-        keep = np.ones(segments, dtype=bool) if band == own else probes
-        keys.append(full[keep])
-        indexed.append(np.full(keep.sum(), band == own))
-        probing.append(probes[keep])
-        for j in range(deletions):
-            if band != own and not probes[j]:
-                continue
-            less = mix64(content[j] - mixed[edges[j] : edges[j + 1]] + place[j])
-            keys.append(less)
-            indexed.append(np.full(len(less), band == own))
-            probing.append(np.full(len(less), probes[j]))
-    return np.concatenate(keys), np.concatenate(indexed), np.concatenate(probing)
+    # segments are ranges of the hash, so those of a sorted set are slices of it
+    first = np.cumsum(segments) - segments
+    at = ((values >> np.uint64(32)) * np.repeat(segments, size).astype(np.uint64)) >> np.uint64(32)
+    at = at.astype(np.int64) + np.repeat(first, size)
+    held = np.bincount(at, minlength=int(segments.sum()))
+    edges = np.concatenate([[0], np.cumsum(held)])
+    content = sums[edges[1:]] - sums[edges[:-1]]
+    of = np.repeat(np.arange(len(row)), segments)
+    number = np.arange(len(of)) - first[of]
+    place = (number + 1).astype(np.uint64) * GOLDEN + (band + 1)[of].astype(np.uint64)
+    partner = np.minimum(high, 100 * size // bands.share)
+    need = bands.difference(size, partner) + 1
+    # a segment with its neighbourhood tolerates two, and is never one to spare
+    spare = np.where(deletions > 0, 0, segments - need)
+    order = np.argsort((of << 32) + held, kind="stable")
+    probes = np.ones(len(of), dtype=bool)
+    probes[order[number < spare[of]]] = False
+    is_own = (band == own)[of]
+    keep = is_own | probes
+    found = [(row[of][keep], mix64(content + place)[keep], is_own[keep], probes[keep])]
+    if deletions.any():
+        near = np.flatnonzero(np.repeat(deletions > 0, size))
+        less = mix64(content[at[near]] - mixed[near] + place[at[near]])
+        found.append((row[of[at[near]]], less, is_own[at[near]], probes[at[near]]))
+    return tuple(map(np.concatenate, zip(*found, strict=True)))
+
+
+def signatures(values: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The keys of one sorted set (:func:`set_keys`), and of each whether it is of the index
+    and whether it probes."""
+    found = [x[1:] for x in set_keys(values, np.array([0, len(values)]), bands)]
+    found = found or [(np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, bool))]
+    return tuple(map(np.concatenate, zip(*found, strict=True)))
 
 
 def common_count(a: np.ndarray, b: np.ndarray) -> int:

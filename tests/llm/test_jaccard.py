@@ -7,7 +7,8 @@ import pytest
 from helpers import components, shingles, with_extras
 
 from skyledger.llm import jaccard, words
-from skyledger.llm.shingles import Bands, common_count, signatures
+from skyledger.llm import shingles as shingles_of_sets
+from skyledger.llm.shingles import Bands, common_count, set_keys, signatures
 
 
 def corpus(seed=1, bases=14):
@@ -136,6 +137,27 @@ def test_a_key_of_one_set_is_no_list(documents):
     assert jaccard.shared_keys(near, 5, Bands(80), 8).select("name").distinct().count() == 2
 
 
+def test_keys_of_many_sets_are_those_of_each(monkeypatch):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 2**64, n, dtype=np.uint64)) for n in [0, 1, 4, 5, 6, 7, 9, 30, 0, 200, 3000, 6]]
+    values, cuts = np.concatenate(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    want = sorted((r, *k) for r, x in enumerate(sets) for k in zip(*map(np.ndarray.tolist, signatures(x, Bands(80))), strict=True))
+    for most in (1, 300, 1 << 20):
+        monkeypatch.setattr(shingles_of_sets, "KEYED_AT_ONCE", most)
+        found = [zip(*map(np.ndarray.tolist, k), strict=True) for k in set_keys(values, cuts, Bands(80))]
+        assert sorted(k for part in found for k in part) == want
+
+
+def test_many_wanted_texts_are_joined_by_shuffle(documents, monkeypatch):
+    texts = corpus(seed=3, bases=5)
+    want, _ = components(texts, 4, 85)
+    docs = documents(list(enumerate(texts))).repartition(3)
+    for most_ids, most_keys in ((3, 1000), (3, 3)):
+        monkeypatch.setattr(jaccard, "MOST_IDS", most_ids)
+        monkeypatch.setattr(jaccard, "MOST_KEYS", most_keys)
+        assert {r.doc_id: r.component_id for r in jaccard.components(docs).collect()} == dict(enumerate(want))
+
+
 def test_nulls_repeats_and_empty_tables(documents):
     text = " ".join(f"w{i}" for i in range(40))
     rows = [(5, text), (5, text), (3, text + " end"), (None, text), (None, None), (7, None), (8, ""), (9, "alone")]
